@@ -1,0 +1,26 @@
+"""Size-checked broadcast.
+
+A broadcast copies one side to every executor, so it is only safe when that
+side is provably small. ``broadcast_if_small`` proves it at run time with a
+bounded probe (``limit(max_rows + 1).count()`` reads at most ``max_rows + 1``
+rows per partition) and otherwise leaves the join to the planner, which picks
+a shuffle join (and AQE can still switch to broadcast from real sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a broadcast side may have. Dimension rows here are < 200 bytes, so the
+# bound keeps a broadcast under ~20 MB per executor.
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
