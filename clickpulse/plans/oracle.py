@@ -118,7 +118,92 @@ FROM (SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS ran
 WHERE rank <= 3
 """
 
+# ---------------------------------------------------------------- R1, R2
+def _jsplit(x: str) -> str:
+    """Java ``split(",")``: trailing empties dropped, ``''`` -> ``['']``."""
+    t = f"regexp_replace({x}, ',+$', '')"
+    return (f"CASE WHEN {x} = '' THEN [''] WHEN {t} = '' THEN CAST([] AS VARCHAR[]) "
+            f"ELSE string_split({t}, ',') END")
+
+
+_CLASSIFIED = f"""
+cls AS (SELECT *,
+          CASE WHEN click_category_id <> -1 THEN 'click'
+               WHEN order_category_ids IS NOT NULL THEN 'order'
+               WHEN pay_category_ids IS NOT NULL THEN 'pay' END AS kind,
+          CASE WHEN click_category_id <> -1 THEN [CAST(click_category_id AS VARCHAR)]
+               WHEN order_category_ids IS NOT NULL THEN {_jsplit('order_category_ids')}
+               WHEN pay_category_ids IS NOT NULL THEN {_jsplit('pay_category_ids')} END AS ids
+        FROM filtered_visits),
+ex AS (SELECT session_id, action_time, kind, unnest(ids) AS category_id FROM cls),
+cc AS (SELECT category_id,
+              CAST(count(*) FILTER (WHERE kind = 'click') AS BIGINT) AS click_count,
+              CAST(count(*) FILTER (WHERE kind = 'order') AS BIGINT) AS order_count,
+              CAST(count(*) FILTER (WHERE kind = 'pay') AS BIGINT) AS pay_count
+       FROM ex GROUP BY category_id),
+top10 AS (SELECT '{TASK_ID}' AS task_id, * FROM cc
+          ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10),
+csc AS (SELECT CAST(click_category_id AS VARCHAR) AS category_id, session_id,
+               CAST(count(*) AS BIGINT) AS click_count
+        FROM filtered_visits
+        WHERE CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM top10)
+        GROUP BY 1, 2)
+"""
+
+CONDITION_FILTER = _with() + "SELECT * FROM filtered_visits"
+ACTION_CLASSIFY = _with(_CLASSIFIED) + "SELECT session_id, action_time, page_id, kind FROM cls"
+EXPLODE_IDS = _with(_CLASSIFIED) + "SELECT * FROM ex"
+CATEGORY_COUNTS = _with(_CLASSIFIED) + "SELECT * FROM cc"
+CATEGORY_TOP10 = _with(_CLASSIFIED) + "SELECT * FROM top10"
+CATEGORY_SESSION_COUNTS = _with(_CLASSIFIED) + "SELECT * FROM csc"
+CATEGORY_SESSION_TOP10 = _with(_CLASSIFIED) + f"""
+SELECT '{TASK_ID}' AS task_id, category_id, session_id, click_count
+FROM (SELECT *, row_number() OVER (PARTITION BY category_id
+                                   ORDER BY click_count DESC, session_id) AS rn FROM csc)
+WHERE rn <= 10
+"""
+
+# ---------------------------------------------------------------- R3
+_PAGES = COND.target_page_flow.split(",")
+_FLOWS = [f"{a}->{b}" for a, b in zip(_PAGES[:-1], _PAGES[1:])]
+
+
+def _in_list(xs: list[str]) -> str:
+    return "(" + ", ".join(f"'{x}'" for x in xs) + ")"
+
+
+_PAGE_FLOW = f"""
+den AS (SELECT page_id, count(*) AS page_count FROM filtered_visits
+        WHERE CAST(page_id AS VARCHAR) IN {_in_list(_PAGES[:-1])} GROUP BY page_id),
+fv AS (SELECT session_id, action_time, page_id FROM filtered_visits
+       WHERE CAST(page_id AS VARCHAR) IN {_in_list(_PAGES)}),
+pairs AS (SELECT page_id AS from_page,
+                 lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, page_id) AS to_page
+          FROM fv),
+num AS (SELECT from_page || '->' || to_page AS flow, from_page, count(*) AS flow_count
+        FROM pairs WHERE to_page IS NOT NULL AND from_page || '->' || to_page IN {_in_list(_FLOWS)}
+        GROUP BY 1, 2)
+"""
+
+PAGE_DENOMINATOR = _with(_PAGE_FLOW) + "SELECT * FROM den"
+PAGE_TRANSITIONS = _with(_PAGE_FLOW) + "SELECT * FROM num"
+PAGE_CONVERSION = _with(_PAGE_FLOW) + f"""
+SELECT '{TASK_ID}' AS task_id, flow,
+       {_pct_nolead('CAST(flow_count AS DOUBLE) / page_count')} AS rate
+FROM num JOIN den ON num.from_page = den.page_id
+"""
+
 ORACLE: dict[str, str] = {
+    "condition_filter": CONDITION_FILTER,
+    "action_classify": ACTION_CLASSIFY,
+    "explode_ids": EXPLODE_IDS,
+    "category_counts": CATEGORY_COUNTS,
+    "category_top10": CATEGORY_TOP10,
+    "category_session_counts": CATEGORY_SESSION_COUNTS,
+    "category_session_top10": CATEGORY_SESSION_TOP10,
+    "page_denominator": PAGE_DENOMINATOR,
+    "page_transitions": PAGE_TRANSITIONS,
+    "page_conversion": PAGE_CONVERSION,
     "area_product_clicks": AREA_PRODUCT_CITY_COUNTS,
     "city_remark": CITY_REMARK,
     "area_product_top3": AREA_PRODUCT_TOP3,

@@ -10,12 +10,62 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpulse.operators import area
+from clickpulse.operators import area, category, conversion
+from clickpulse.plans.condition import filter_visits
+from clickpulse.plans.params import COND, TASK_ID
 from clickpulse.sources.fixtures import MallTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = MallTables(spark, sf_dir)
+    return filter_visits(t.visits(), t.users(), COND)
+
+
+def _condition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filtered(spark, sf_dir)
+
+
+def _action_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = category.classify_actions(_filtered(spark, sf_dir))
+    return c.select("session_id", "action_time", "page_id", "kind")
+
+
+def _explode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return category.explode_ids(_filtered(spark, sf_dir))
+
+
+def _category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return category.category_counts(_filtered(spark, sf_dir))
+
+
+def _category_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return category.category_top10(_filtered(spark, sf_dir), TASK_ID)
+
+
+def _category_session_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _filtered(spark, sf_dir)
+    return category.category_session_counts(v, category.category_top10(v, TASK_ID))
+
+
+def _category_session_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _filtered(spark, sf_dir)
+    return category.category_session_top10(v, category.category_top10(v, TASK_ID), TASK_ID)
+
+
+def _page_denominator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversion.page_denominator(_filtered(spark, sf_dir), COND.target_page_flow)
+
+
+def _page_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversion.page_transitions(_filtered(spark, sf_dir), COND.target_page_flow)
+
+
+def _page_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversion.page_conversion(_filtered(spark, sf_dir), COND.target_page_flow, TASK_ID)
+
+
 def _area_product_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = MallTables(spark, sf_dir)
     return area.area_product_city_counts(t.visits(), t.cities(), t.products())
@@ -32,6 +82,16 @@ def _area_product_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "condition_filter": _condition_filter,
+    "action_classify": _action_classify,
+    "explode_ids": _explode_ids,
+    "category_counts": _category_counts,
+    "category_top10": _category_top10,
+    "category_session_counts": _category_session_counts,
+    "category_session_top10": _category_session_top10,
+    "page_denominator": _page_denominator,
+    "page_transitions": _page_transitions,
+    "page_conversion": _page_conversion,
     "area_product_clicks": _area_product_clicks,
     "city_remark": _city_remark,
     "area_product_top3": _area_product_top3,
