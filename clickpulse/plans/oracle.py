@@ -14,6 +14,7 @@ from clickpulse.plans.params import (
     BLACKLIST_THRESHOLD,
     COND,
     LAST_HOUR_END_MS,
+    LAST_HOUR_SPAN_MS,
     SLOT_MS,
     TASK_ID,
 )
@@ -56,7 +57,7 @@ product_info AS (
          CASE WHEN p_partkey % 10 < 7 THEN 'self' ELSE 'third_party' END AS extend_info
   FROM part),
 ads_log AS (
-  SELECT epoch_ms(e.ts) AS ts, c.area, c.city_name AS city,
+  SELECT epoch_us(e.ts) // 1000 AS ts, c.area, c.city_name AS city,
          CAST(e.user_id % 30 + 101 AS VARCHAR) AS user_id, CAST(e.k % 5 + 1 AS VARCHAR) AS ads_id,
          strftime(e.ts, '%Y-%m-%d') AS day, strftime(e.ts, '%H:%M') AS hm
   FROM ev e JOIN city_info c ON (e.event_id + e.k) % 25 = c.city_id),
@@ -193,6 +194,45 @@ SELECT '{TASK_ID}' AS task_id, flow,
 FROM num JOIN den ON num.from_page = den.page_id
 """
 
+# ---------------------------------------------------------------- R5-R8
+_ADS = f"""
+sc AS (SELECT *, ts // {SLOT_MS} AS slot FROM ads_log),
+ps AS (SELECT user_id, day, ads_id, slot, count(*) AS n FROM sc GROUP BY ALL),
+cum AS (SELECT *, sum(n) OVER (PARTITION BY user_id, day, ads_id ORDER BY slot
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM ps),
+flags AS (SELECT user_id, CAST(min(slot) AS BIGINT) AS flag_slot
+          FROM cum WHERE cum >= {BLACKLIST_THRESHOLD} GROUP BY user_id),
+kept AS (SELECT sc.* FROM sc LEFT JOIN flags f ON sc.user_id = f.user_id
+         WHERE f.flag_slot IS NULL OR sc.slot <= f.flag_slot),
+dac AS (SELECT day, area, city, ads_id, count(*) AS cnt FROM ads_log GROUP BY ALL),
+da AS (SELECT day, area, ads_id, CAST(sum(cnt) AS BIGINT) AS cnt FROM dac GROUP BY ALL),
+top3 AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY day, area
+                                       ORDER BY cnt DESC, ads_id) AS BIGINT) AS rank FROM da)
+         WHERE rank <= 3),
+lh AS (SELECT ads_id, hm, count(*) AS cnt FROM ads_log
+       WHERE ts > {LAST_HOUR_END_MS - LAST_HOUR_SPAN_MS} AND ts <= {LAST_HOUR_END_MS} GROUP BY ALL)
+"""
+
+ADS_PARSE = _with() + "SELECT ts, area, city, user_id, ads_id, day, hm FROM ads_log"
+BLACKLIST_USERS = _with(_ADS) + "SELECT * FROM flags"
+BLACKLIST_REPLAY = _with(_ADS) + "SELECT ts, area, city, user_id, ads_id FROM kept"
+USER_AD_DAY_COUNTS = _with(_ADS) + (
+    "SELECT day, user_id, ads_id, count(*) AS cnt FROM kept GROUP BY ALL")
+DAY_AREA_CITY_ADS = _with(_ADS) + "SELECT * FROM dac"
+DAY_AREA_ADS = _with(_ADS) + "SELECT * FROM da"
+DAY_AREA_ADS_TOP3 = _with(_ADS) + "SELECT * FROM top3"
+DAY_AREA_ADS_TOP3_JSON = _with(_ADS) + """
+SELECT day, area, '[' || string_agg('{"' || ads_id || '":' || cnt || '}', ',' ORDER BY rank) || ']'
+       AS ads_json
+FROM top3 GROUP BY day, area
+"""
+LAST_HOUR_MINUTES = _with(_ADS) + "SELECT * FROM lh"
+LAST_HOUR_JSON = _with(_ADS) + """
+SELECT ads_id, '[' || string_agg('{"' || hm || '":' || cnt || '}', ',' ORDER BY hm) || ']'
+       AS minutes_json
+FROM lh GROUP BY ads_id
+"""
+
 ORACLE: dict[str, str] = {
     "condition_filter": CONDITION_FILTER,
     "action_classify": ACTION_CLASSIFY,
@@ -207,4 +247,14 @@ ORACLE: dict[str, str] = {
     "area_product_clicks": AREA_PRODUCT_CITY_COUNTS,
     "city_remark": CITY_REMARK,
     "area_product_top3": AREA_PRODUCT_TOP3,
+    "ads_parse": ADS_PARSE,
+    "user_ad_day_counts": USER_AD_DAY_COUNTS,
+    "blacklist_users": BLACKLIST_USERS,
+    "blacklist_replay": BLACKLIST_REPLAY,
+    "day_area_city_ads": DAY_AREA_CITY_ADS,
+    "day_area_ads": DAY_AREA_ADS,
+    "day_area_ads_top3": DAY_AREA_ADS_TOP3,
+    "day_area_ads_top3_json": DAY_AREA_ADS_TOP3_JSON,
+    "last_hour_minutes": LAST_HOUR_MINUTES,
+    "last_hour_json": LAST_HOUR_JSON,
 }

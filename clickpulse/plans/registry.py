@@ -10,9 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpulse.operators import area, category, conversion
+from clickpulse.operators import ads, area, category, conversion
 from clickpulse.plans.condition import filter_visits
-from clickpulse.plans.params import COND, TASK_ID
+from clickpulse.plans.params import (
+    BLACKLIST_THRESHOLD,
+    COND,
+    LAST_HOUR_END_MS,
+    LAST_HOUR_SPAN_MS,
+    SLOT_MS,
+    TASK_ID,
+)
 from clickpulse.sources.fixtures import MallTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +88,51 @@ def _area_product_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area.area_product_top3(t.visits(), t.cities(), t.products())
 
 
+def _ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MallTables(spark, sf_dir).ads()
+
+
+def _ads_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = ads.to_lines(_ads(spark, sf_dir))
+    return ads.with_time_text(ads.good_lines(ads.parse_ad_lines(lines)))
+
+
+def _blacklist_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.blacklist_users(_ads(spark, sf_dir), BLACKLIST_THRESHOLD, SLOT_MS)
+
+
+def _blacklist_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.blacklist_replay(_ads(spark, sf_dir), BLACKLIST_THRESHOLD, SLOT_MS)
+
+
+def _user_ad_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.user_ad_day_counts(_blacklist_replay(spark, sf_dir))
+
+
+def _day_area_city_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.day_area_city_ads(_ads(spark, sf_dir))
+
+
+def _day_area_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.day_area_ads(_day_area_city_ads(spark, sf_dir))
+
+
+def _day_area_ads_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.day_area_ads_top3(_day_area_ads(spark, sf_dir))
+
+
+def _day_area_ads_top3_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.day_area_ads_top3_json(_day_area_ads_top3(spark, sf_dir))
+
+
+def _last_hour_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.last_hour_minutes(_ads(spark, sf_dir), LAST_HOUR_END_MS, LAST_HOUR_SPAN_MS)
+
+
+def _last_hour_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.minutes_json(_last_hour_minutes(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "condition_filter": _condition_filter,
     "action_classify": _action_classify,
@@ -95,4 +147,14 @@ QUERIES: dict[str, Query] = {
     "area_product_clicks": _area_product_clicks,
     "city_remark": _city_remark,
     "area_product_top3": _area_product_top3,
+    "ads_parse": _ads_parse,
+    "user_ad_day_counts": _user_ad_day_counts,
+    "blacklist_users": _blacklist_users,
+    "blacklist_replay": _blacklist_replay,
+    "day_area_city_ads": _day_area_city_ads,
+    "day_area_ads": _day_area_ads,
+    "day_area_ads_top3": _day_area_ads_top3,
+    "day_area_ads_top3_json": _day_area_ads_top3_json,
+    "last_hour_minutes": _last_hour_minutes,
+    "last_hour_json": _last_hour_json,
 }
