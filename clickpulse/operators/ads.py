@@ -113,6 +113,26 @@ def user_ad_day_counts(kept: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def blacklist_counters(clicks: DataFrame, threshold: int, slot_ms: int) -> DataFrame:
+    """A12 in one scan: the counter table computed from slot counts.
+
+    Equal to ``user_ad_day_counts(blacklist_replay(...))`` without joining
+    the flags back to raw clicks. Slot counts (partially aggregated
+    map-side) are placed by user once; on that placement a running window per
+    (user, day, ad) finds each crossing slot, a window per user takes the
+    earliest, and slots after it are dropped. A user's partition holds one
+    row per (day, ad, slot) it clicked in, never one per click.
+    """
+    sc = slot_counts(clicks, slot_ms).repartition("user_id")
+    run = (Window.partitionBy("user_id", "day", "ads_id").orderBy("slot")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cum = sc.withColumn("_cum", F.sum("n").over(run))
+    crossing = F.when(F.col("_cum") >= threshold, F.col("slot"))
+    flagged = cum.withColumn("_flag", F.min(crossing).over(Window.partitionBy("user_id")))
+    kept = flagged.where(F.col("_flag").isNull() | (F.col("slot") <= F.col("_flag")))
+    return kept.groupBy("day", "user_id", "ads_id").agg(F.sum("n").cast("long").alias("cnt"))
+
+
 # ------------------------------------------------------------------ R6, R7
 def day_area_city_ads(clicks: DataFrame) -> DataFrame:
     """Clicks per (day, area, city, ad)."""

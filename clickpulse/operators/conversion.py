@@ -42,50 +42,88 @@ def _bucket(action_time: Column, chars: int) -> Column:
     return F.substring(action_time, 1, chars)
 
 
-def consecutive_pairs(actions: DataFrame, bucket_chars: int = HOUR_BUCKET_CHARS) -> DataFrame:
-    """(from_page, to_page) for consecutive actions of each session.
-
-    ``actions`` has session_id, action_time (sortable text), page_id. Order is
-    action_time, then page_id for equal times.
-    """
+def _windowed(actions: DataFrame, bucket_chars: int) -> DataFrame:
+    """Level 1: each action with the next and previous page inside its (session, bucket)."""
     a = actions.select("session_id", "action_time", "page_id",
                        _bucket(F.col("action_time"), bucket_chars).alias("_b"))
     w1 = Window.partitionBy("session_id", "_b").orderBy("action_time", "page_id")
-    a = (a.withColumn("_next", F.lead("page_id").over(w1))
-         .withColumn("_prev", F.lag("page_id").over(w1)))
-    inner = (a.where(F.col("_next").isNotNull())
-             .select(F.col("page_id").alias("from_page"), F.col("_next").alias("to_page")))
-    # one summary row per (session, bucket): its first and last page
+    return (a.withColumn("_next", F.lead("page_id").over(w1))
+            .withColumn("_prev", F.lag("page_id").over(w1)))
+
+
+def _across(a: DataFrame) -> DataFrame:
+    """Level 2: pairs joining each bucket's last page to the next bucket's first.
+
+    One summary row per (session, bucket) -- its first and last page -- and a
+    ``lead`` over those rows per session.
+    """
     edges = (a.where(F.col("_next").isNull() | F.col("_prev").isNull())
              .groupBy("session_id", "_b")
              .agg(F.max(F.when(F.col("_prev").isNull(), F.col("page_id"))).alias("_first"),
                   F.max(F.when(F.col("_next").isNull(), F.col("page_id"))).alias("_last")))
     w2 = Window.partitionBy("session_id").orderBy("_b")
-    across = (edges.withColumn("_to", F.lead("_first").over(w2))
-              .where(F.col("_to").isNotNull())
-              .select(F.col("_last").alias("from_page"), F.col("_to").alias("to_page")))
-    return inner.unionByName(across)
+    return (edges.withColumn("_to", F.lead("_first").over(w2))
+            .where(F.col("_to").isNotNull())
+            .select(F.col("_last").alias("from_page"), F.col("_to").alias("to_page")))
+
+
+def _pairs_of(a: DataFrame) -> DataFrame:
+    inner = (a.where(F.col("_next").isNotNull())
+             .select(F.col("page_id").alias("from_page"), F.col("_next").alias("to_page")))
+    return inner.unionByName(_across(a))
+
+
+def consecutive_pairs(actions: DataFrame, bucket_chars: int = HOUR_BUCKET_CHARS) -> DataFrame:
+    """(from_page, to_page) for consecutive actions of each session.
+
+    ``actions`` has session_id, action_time (sortable text), page_id. Order is
+    action_time, then page_id for equal times.
+    """
+    return _pairs_of(_windowed(actions, bucket_chars))
+
+
+def _flow_counts(pairs: DataFrame, pages: list[str]) -> DataFrame:
+    flows = pairs.select("from_page", flow(F.col("from_page"), F.col("to_page")).alias("flow"))
+    return (flows.where(F.col("flow").isin(target_flows(pages)))
+            .groupBy("flow", "from_page").agg(F.count(F.lit(1)).alias("flow_count")))
 
 
 def page_transitions(visits: DataFrame, page_flow: str,
                      bucket_chars: int = HOUR_BUCKET_CHARS) -> DataFrame:
     """F6 + W5 + F8 + A5: count of each target transition that occurs."""
     pages = target_pages(page_flow)
-    pairs = consecutive_pairs(_on_pages(visits, pages), bucket_chars)
-    flows = pairs.select("from_page", flow(F.col("from_page"), F.col("to_page")).alias("flow"))
-    return (flows.where(F.col("flow").isin(target_flows(pages)))
-            .groupBy("flow", "from_page").agg(F.count(F.lit(1)).alias("flow_count")))
+    return _flow_counts(consecutive_pairs(_on_pages(visits, pages), bucket_chars), pages)
 
 
 def page_conversion(visits: DataFrame, page_flow: str, task_id: str,
                     bucket_chars: int = HOUR_BUCKET_CHARS) -> DataFrame:
     """J5 + C8 + C6: ``rate`` = transitions a->b / actions on a, as ``.00%`` text.
 
-    Transitions that never occur are absent, as in the original job.
+    One scan and one aggregation: every windowed action carries its own
+    denominator flag and the target flow it starts (if any); pairs across
+    buckets join that stream, one ``groupBy(from_page, flow)`` counts both,
+    and a window over the few result rows spreads each page's denominator
+    to its flows. Transitions that never occur are absent, as in the
+    original job.
     """
-    num = page_transitions(visits, page_flow, bucket_chars)
-    den = page_denominator(visits, page_flow).withColumnRenamed("page_id", "from_page")
-    j = num.join(den, "from_page")
-    return j.select(F.lit(task_id).alias("task_id"), "flow",
-                    percent(ratio(F.col("flow_count"), F.col("page_count")),
-                            leading_zero=False).alias("rate"))
+    pages = target_pages(page_flow)
+    targets = target_flows(pages)
+    a = _windowed(_on_pages(visits, pages), bucket_chars)
+    step = flow(F.col("page_id"), F.col("_next"))
+    inner = a.select(
+        F.col("page_id").alias("from_page"),
+        F.when(F.col("_next").isNotNull() & step.isin(targets), step).alias("flow"),
+        F.col("page_id").cast("string").isin(pages[:-1]).alias("_den"),
+    )
+    edges = _across(a)
+    across = (edges.select("from_page", flow(F.col("from_page"), F.col("to_page")).alias("flow"))
+              .where(F.col("flow").isin(targets)).withColumn("_den", F.lit(False)))
+    counted = inner.unionByName(across).groupBy("from_page", "flow").agg(
+        F.count_if(F.col("flow").isNotNull()).alias("flow_count"),
+        F.count_if(F.col("_den")).alias("_den_part"))
+    per_page = Window.partitionBy("from_page")
+    out = (counted.withColumn("page_count", F.sum("_den_part").over(per_page))
+           .where(F.col("flow").isNotNull()))
+    return out.select(F.lit(task_id).alias("task_id"), "flow",
+                      percent(ratio(F.col("flow_count"), F.col("page_count")),
+                              leading_zero=False).alias("rate"))

@@ -106,7 +106,7 @@ def _blacklist_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_ad_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ads.user_ad_day_counts(_blacklist_replay(spark, sf_dir))
+    return ads.blacklist_counters(_ads(spark, sf_dir), BLACKLIST_THRESHOLD, SLOT_MS)
 
 
 def _day_area_city_ads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,6 +194,7 @@ def test_user_crossing_threshold_inside_a_slot(spark):
     assert kept.where("user_id = '8'").count() == 1
     cnt = rows(ads.user_ad_day_counts(kept))
     assert cnt == [("2024-01-01", "7", "1", 4), ("2024-01-01", "7", "2", 1), ("2024-01-01", "8", "1", 1)]
+    assert rows(ads.blacklist_counters(c, 3, h)) == cnt
 
 
 def test_threshold_is_per_day_and_ad(spark):
