@@ -164,9 +164,25 @@ def day_area_ads_top3_json(top3: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ R8
-def last_hour_minutes(clicks: DataFrame, end_ms: int, span_ms: int = 3_600_000) -> DataFrame:
-    """A10: clicks per (ad, HH:mm) with ``end_ms - span_ms < ts <= end_ms``."""
-    c = clicks.where((F.col("ts") > F.lit(end_ms - span_ms)) & (F.col("ts") <= F.lit(end_ms)))
+def last_hour_bounds(end_ms: int, span_ms: int, slot_ms: int) -> tuple[int, int]:
+    """[lo, hi) in ms of the ``span_ms / slot_ms`` slots up to and including ``end_ms``'s slot."""
+    last = end_ms // slot_ms
+    n = span_ms // slot_ms
+    return (last - n + 1) * slot_ms, (last + 1) * slot_ms
+
+
+def last_hour_minutes(clicks: DataFrame, end_ms: int, span_ms: int = 3_600_000,
+                      slot_ms: int = 5_000) -> DataFrame:
+    """A10 + T3: clicks per (ad, HH:mm) over the last hour of batch slots.
+
+    The original window covers the last 60 min of 5 s batches and labels
+    each click by its own minute; the replay uses event-time slots: the
+    ``span_ms / slot_ms`` slots up to and including the one holding
+    ``end_ms``, so the oldest and newest minute are partial (61 labels).
+    A plain range on ``ts``, so it reaches the scan as a pushed filter.
+    """
+    lo, hi = last_hour_bounds(end_ms, span_ms, slot_ms)
+    c = clicks.where((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi)))
     return (c.groupBy("ads_id", hour_minute(F.col("ts")).alias("hm"))
             .agg(F.count(F.lit(1)).alias("cnt")))
 

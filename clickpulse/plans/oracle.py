@@ -14,6 +14,7 @@ from clickpulse.plans.params import (
     BLACKLIST_THRESHOLD,
     COND,
     LAST_HOUR_END_MS,
+    LAST_HOUR_SLOT_MS,
     LAST_HOUR_SPAN_MS,
     SLOT_MS,
     TASK_ID,
@@ -210,7 +211,9 @@ top3 AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY day, area
                                        ORDER BY cnt DESC, ads_id) AS BIGINT) AS rank FROM da)
          WHERE rank <= 3),
 lh AS (SELECT ads_id, hm, count(*) AS cnt FROM ads_log
-       WHERE ts > {LAST_HOUR_END_MS - LAST_HOUR_SPAN_MS} AND ts <= {LAST_HOUR_END_MS} GROUP BY ALL)
+       WHERE ts // {LAST_HOUR_SLOT_MS} > {LAST_HOUR_END_MS // LAST_HOUR_SLOT_MS} - {LAST_HOUR_SPAN_MS // LAST_HOUR_SLOT_MS}
+         AND ts // {LAST_HOUR_SLOT_MS} <= {LAST_HOUR_END_MS // LAST_HOUR_SLOT_MS}
+       GROUP BY ALL)
 """
 
 ADS_PARSE = _with() + "SELECT ts, area, city, user_id, ads_id, day, hm FROM ads_log"
@@ -257,4 +260,10 @@ ORACLE: dict[str, str] = {
     "day_area_ads_top3_json": DAY_AREA_ADS_TOP3_JSON,
     "last_hour_minutes": LAST_HOUR_MINUTES,
     "last_hour_json": LAST_HOUR_JSON,
+    # stream replays end in the same tables as the batch forms
+    "stream_blacklist": BLACKLIST_USERS,
+    "stream_blacklist_replay": BLACKLIST_REPLAY,
+    "stream_day_area_city_ads": DAY_AREA_CITY_ADS,
+    "stream_day_area_ads_top3": DAY_AREA_ADS_TOP3,
+    "stream_last_hour": LAST_HOUR_JSON,
 }

@@ -19,3 +19,5 @@ SLOT_MS = 3_600_000
 # "now" of the last-hour trend: 2024-01-15 12:00 UTC.
 LAST_HOUR_END_MS = 1_705_320_000_000
 LAST_HOUR_SPAN_MS = 3_600_000
+# the original 5 s batch interval: the last hour is 720 such slots
+LAST_HOUR_SLOT_MS = 5_000

@@ -16,11 +16,13 @@ from clickpulse.plans.params import (
     BLACKLIST_THRESHOLD,
     COND,
     LAST_HOUR_END_MS,
+    LAST_HOUR_SLOT_MS,
     LAST_HOUR_SPAN_MS,
     SLOT_MS,
     TASK_ID,
 )
 from clickpulse.sources.fixtures import MallTables
+from clickpulse.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,13 +128,35 @@ def _day_area_ads_top3_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _last_hour_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ads.last_hour_minutes(_ads(spark, sf_dir), LAST_HOUR_END_MS, LAST_HOUR_SPAN_MS)
+    return ads.last_hour_minutes(_ads(spark, sf_dir), LAST_HOUR_END_MS, LAST_HOUR_SPAN_MS,
+                                 LAST_HOUR_SLOT_MS)
 
 
 def _last_hour_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.minutes_json(_last_hour_minutes(spark, sf_dir))
 
 
+def _stream_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.blacklist(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS).current_blacklist(spark)
+
+
+def _stream_blacklist_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.blacklist(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS).kept_clicks(spark)
+
+
+def _stream_day_area_city_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.day_area(spark, sf_dir).current_counts(spark)
+
+
+def _stream_day_area_ads_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.day_area(spark, sf_dir).current_top3(spark)
+
+
+def _stream_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = replay.last_hour(spark, sf_dir, LAST_HOUR_END_MS, LAST_HOUR_SLOT_MS, LAST_HOUR_SPAN_MS)
+    return sink.current_trend(spark)
+
+
 QUERIES: dict[str, Query] = {
     "condition_filter": _condition_filter,
     "action_classify": _action_classify,
@@ -157,4 +181,9 @@ QUERIES: dict[str, Query] = {
     "day_area_ads_top3_json": _day_area_ads_top3_json,
     "last_hour_minutes": _last_hour_minutes,
     "last_hour_json": _last_hour_json,
+    "stream_blacklist": _stream_blacklist,
+    "stream_blacklist_replay": _stream_blacklist_replay,
+    "stream_day_area_city_ads": _stream_day_area_city_ads,
+    "stream_day_area_ads_top3": _stream_day_area_ads_top3,
+    "stream_last_hour": _stream_last_hour,
 }

@@ -223,7 +223,17 @@ def test_last_hour_across_midnight_sorts_as_text(spark):
     rs = [(end - 40 * 60_000, "n", "A", "1", "1"),  # 23:50 the day before
           (end - 5 * 60_000, "n", "A", "1", "1"), (end - 5 * 60_000 + 1, "n", "A", "1", "1"),
           (end - 61 * 60_000, "n", "A", "1", "1"),  # outside the hour
-          (end + 1, "n", "A", "1", "1")]  # in the future
+          (end + 5_000, "n", "A", "1", "1")]  # a later batch
     m = ads.last_hour_minutes(_clicks(spark, rs), end)
     got = ads.minutes_json(m).collect()
     assert [(r["ads_id"], r["minutes_json"]) for r in got] == [("1", '[{"00:25":2},{"23:50":1}]')]
+
+
+def test_last_hour_is_720_slots_with_partial_edge_minutes(spark):
+    end = 1_705_320_000_000  # 12:00:00.000, first ms of its 5 s slot
+    lo, hi = ads.last_hour_bounds(end, 3_600_000, 5_000)
+    assert (hi - lo) == 3_600_000 and hi == end + 5_000
+    rs = [(lo - 1, "n", "A", "1", "1"), (lo, "n", "A", "1", "1"),  # 11:00:04.999 out, 11:00:05 in
+          (end + 4_999, "n", "A", "1", "1"), (end + 5_000, "n", "A", "1", "1")]
+    got = rows(ads.last_hour_minutes(_clicks(spark, rs), end))
+    assert got == [("1", "11:00", 1), ("1", "12:00", 1)]
