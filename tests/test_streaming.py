@@ -1,0 +1,87 @@
+"""Stream jobs against their batch forms."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from clickpulse.operators import ads
+from clickpulse.session import scratch_dir
+from clickpulse.sources.fixtures import MallTables
+from clickpulse.sources.streams import kafka_lines, text_lines
+from clickpulse.streaming import app
+from clickpulse.streaming.blacklist import BlacklistLoop
+
+from .conftest import SF_SMALL, rows
+
+THRESHOLD = 3
+HOUR = 3_600_000
+
+
+def _write_in_order(spark, clicks, base, pieces):
+    """Write the log as ``pieces`` files in event-time order, one write each."""
+    lo_hi = clicks.agg(F.min("ts"), F.max("ts")).first()
+    lo, hi = lo_hi[0], lo_hi[1] + 1
+    step = (hi - lo) // pieces + 1
+    for i in range(pieces):
+        part = clicks.where((F.col("ts") >= lo + i * step) & (F.col("ts") < lo + (i + 1) * step))
+        ads.to_lines(part).coalesce(1).write.mode("overwrite").text(f"{base}/src/part={i:03d}")
+    return f"{base}/src"
+
+
+@pytest.fixture(scope="module")
+def clicks(spark):
+    return MallTables(spark, SF_SMALL).ads()
+
+
+def test_blacklist_multi_batch_equals_batch(spark, clicks):
+    base = scratch_dir(spark, "t-bl")
+    src = _write_in_order(spark, clicks, base, 6)
+    good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
+    loop = BlacklistLoop(f"{base}/state", THRESHOLD, HOUR)
+    q = app.start_blacklist(good, loop, f"{base}/ck", available_now=True)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 6
+    want_flags = rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
+    assert want_flags, "threshold should flag someone"
+    assert rows(loop.current_blacklist(spark)) == want_flags
+    assert rows(loop.kept_clicks(spark)) == rows(ads.blacklist_replay(clicks, THRESHOLD, HOUR))
+
+
+def test_blacklist_retry_is_a_no_op(spark, clicks):
+    base = scratch_dir(spark, "t-retry")
+    loop = BlacklistLoop(f"{base}/state", THRESHOLD, HOUR)
+    first = clicks.where(F.col("ts") < 1_704_500_000_000)
+    loop(first, 0)
+    kept0 = loop.kept_clicks(spark).count()
+    loop(first, 0)  # the same batch again, as after a failure before the commit
+    assert loop.kept_clicks(spark).count() == kept0
+    loop(clicks.where(F.col("ts") >= 1_704_500_000_000), 1)
+    assert rows(loop.current_blacklist(spark)) == rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
+
+
+def test_realtime_app_end_to_end(spark, clicks):
+    base = scratch_dir(spark, "t-app")
+    src = _write_in_order(spark, clicks, base, 3)
+    spark.createDataFrame([("not,a,click",), ("x1,n,c,1,1",)], "value string") \
+        .coalesce(1).write.mode("overwrite").text(f"{src}/part=999")
+    end = 1_704_240_000_000
+    rt = app.start_realtime(spark, text_lines(spark, src, max_files_per_trigger=1), base, THRESHOLD,
+                            slot_ms=HOUR, available_now=True, now_ms=lambda: end)
+    rt.await_all()
+    kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
+    assert rows(rt.blacklist.kept_clicks(spark)) == rows(kept)
+    assert rows(rt.day_area.current_counts(spark)) == rows(ads.day_area_city_ads(kept))
+    want_top = ads.day_area_ads_top3(ads.day_area_ads(ads.day_area_city_ads(kept)))
+    assert rows(rt.day_area.current_top3(spark)) == rows(want_top.select("day", "area", "ads_id", "cnt", "rank"))
+    want_trend = ads.minutes_json(ads.last_hour_minutes(kept, end))
+    assert rows(rt.last_hour.current_trend(spark)) == rows(want_trend)
+    rejects = spark.read.parquet(f"{base}/rejects")
+    assert sorted(r["line"] for r in rejects.collect()) == ["not,a,click", "x1,n,c,1,1"]
+
+
+def test_kafka_source_needs_the_connector(spark):
+    # the connector jar is not on this classpath; the source fails loudly, not silently
+    with pytest.raises(AnalysisException):
+        kafka_lines(spark, "localhost:1", "ads_log")
