@@ -1,0 +1,178 @@
+"""Seeded writer of the four mall tables (G1-G3), as Spark jobs.
+
+Every random draw is a hash of (seed, row id, field tag) mapped to [0, 1),
+so the same seed gives the same tables at any partitioning and scale:
+sessions come from ``spark.range``, their actions from
+``explode(sequence(...))``, weighted picks from a cumulative ``when`` chain.
+Not a registered query: it writes inputs, it does not read the driver's tables.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickpulse.sources.schemas import CITY_INFO, PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION, decode
+
+# Fixed values of the original generator: option lists with their weights,
+# and the 26 cities (id, name, area).
+PROFESSIONS = [("学生", 4), ("程序员", 3), ("经理", 2), ("老师", 1)]
+GENDERS = [("男", 6), ("女", 4)]
+EXTEND_INFO = [("自营", 70), ("第三方", 30)]
+KEYWORDS = [("手机", 30), ("笔记本", 70), ("内存", 70), ("i7", 70), ("苹果", 70), ("吃鸡", 70)]
+ACTIONS = [("search", 20), ("click", 60), ("order", 6), ("pay", 4), ("quit", 10)]
+CITIES = [
+    (1, "北京", "华北"), (2, "上海", "华东"), (3, "深圳", "华南"), (4, "广州", "华南"),
+    (5, "武汉", "华中"), (6, "南京", "华东"), (7, "天津", "华北"), (8, "成都", "西南"),
+    (9, "哈尔滨", "东北"), (10, "大连", "东北"), (11, "沈阳", "东北"), (12, "西安", "西北"),
+    (13, "长沙", "华中"), (14, "重庆", "西南"), (15, "济南", "华东"), (16, "石家庄", "华北"),
+    (17, "银川", "西北"), (18, "杭州", "华东"), (19, "保定", "华北"), (20, "福州", "华南"),
+    (21, "贵阳", "西南"), (22, "青岛", "华东"), (23, "苏州", "华东"), (24, "郑州", "华北"),
+    (25, "无锡", "华东"), (26, "厦门", "华南"),
+]
+
+
+@dataclass(frozen=True)
+class SynthConfig:
+    seed: int = 42
+    users: int = 100
+    age_from: int = 20
+    age_to: int = 60
+    categories: int = 20
+    products: int = 100
+    sessions: int = 10_000
+    pages: int = 50
+    start_date: str = "2019-06-12"
+    end_date: str = "2019-06-15"
+    log_about: int = 100_000  # expected rows, spreads the time line
+
+
+def uniform(seed: int, tag: str, *ids: Column) -> Column:
+    """A hash-derived uniform in [0, 1) for (seed, tag, ids)."""
+    h = F.xxhash64(F.lit(seed), F.lit(tag), *ids)
+    # top 53 bits as a non-negative integer: exact in a double
+    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(2 ** 53))
+
+
+def randint(u: Column, lo: int, hi: int) -> Column:
+    """[lo, hi] from a uniform."""
+    return (F.lit(lo) + F.floor(u * (hi - lo + 1))).cast("long")
+
+
+def pick(u: Column, options: list[tuple[str, int]]) -> Column:
+    """Weighted choice -- cumulative weights over a uniform."""
+    total = sum(w for _, w in options)
+    acc, expr = 0, None
+    for value, w in options:
+        acc += w
+        cond = u < F.lit(acc / total)
+        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
+    return expr.otherwise(F.lit(options[-1][0]))
+
+
+def distinct_ids(seed: int, tag: str, row_id: Column, lo: int, hi: int, count: Column) -> Column:
+    """``count`` distinct ids of [lo, hi], comma-joined: ids ordered by a hash, first ``count``."""
+    ranked = F.array_sort(F.transform(F.sequence(F.lit(lo), F.lit(hi)),
+                                      lambda x: F.struct(F.xxhash64(F.lit(seed), F.lit(tag), row_id, x).alias("h"),
+                                                         x.alias("id"))))
+    return F.array_join(F.transform(F.slice(ranked, 1, count), lambda s: s["id"].cast("string")), ",")
+
+
+def user_info(spark: SparkSession, cfg: SynthConfig) -> DataFrame:
+    i = F.col("id")
+    df = spark.range(1, cfg.users + 1).select(
+        i.alias("user_id"), F.concat(F.lit("user_"), i).alias("username"),
+        F.concat(F.lit("name_"), i).alias("name"),
+        randint(uniform(cfg.seed, "age", i), cfg.age_from, cfg.age_to).cast("int").alias("age"),
+        pick(uniform(cfg.seed, "prof", i), PROFESSIONS).alias("professional"),
+        pick(uniform(cfg.seed, "gender", i), GENDERS).alias("gender"))
+    return decode(df, USER_INFO)
+
+
+def city_info(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(CITIES, CITY_INFO)
+
+
+def product_info(spark: SparkSession, cfg: SynthConfig) -> DataFrame:
+    i = F.col("id")
+    df = spark.range(1, cfg.products + 1).select(
+        i.alias("product_id"), F.concat(F.lit("商品_"), i).alias("product_name"),
+        pick(uniform(cfg.seed, "extend", i), EXTEND_INFO).alias("extend_info"))
+    return decode(df, PRODUCT_INFO)
+
+
+def user_visit_action(spark: SparkSession, cfg: SynthConfig) -> DataFrame:
+    """G1: sessions of actions drawn until ``quit``.
+
+    The number of actions before the first quit is geometric; session ``i``
+    starts at its share of the time line and its actions step forward by
+    random amounts, so times rise within a session.
+    """
+    s = cfg.seed
+    quit_p = dict(ACTIONS)["quit"] / sum(w for _, w in ACTIONS)
+    acts = [a for a in ACTIONS if a[0] != "quit"]
+    span_ms = _days_ms(cfg.start_date, cfg.end_date)
+    mean_step = 2 * span_ms / cfg.log_about  # a step is uniform in [0, 4 x average)
+    per_session = (1 - quit_p) / quit_p * mean_step
+    sid = F.col("id")
+    sessions = spark.range(cfg.sessions).select(
+        sid.alias("sid"),
+        randint(uniform(s, "user", sid), 1, cfg.users).alias("user_id"),
+        _uuid_text(s, sid).alias("session_id"),
+        F.floor(F.log(uniform(s, "len", sid) + F.lit(1e-300)) / F.lit(math.log(1 - quit_p)))
+        .cast("int").alias("n"))
+    a = sessions.where(F.col("n") > 0).select(
+        "sid", "user_id", "session_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+    row = F.col("sid") * F.lit(1 << 20) + F.col("j")
+    t0 = F.unix_millis(F.to_timestamp(F.lit(cfg.start_date)))
+    ms = (t0 + F.col("sid") * F.lit(per_session)
+          + (F.col("j") + uniform(s, "step", row)) * F.lit(mean_step)).cast("long")
+    action = pick(uniform(s, "action", row), acts)
+    ts = F.timestamp_millis(ms)
+    n_cat = randint(uniform(s, "ncat", row), 1, 3).cast("int")
+    n_prod = randint(uniform(s, "nprod", row), 1, 5).cast("int")
+    cats = distinct_ids(s, "cats", row, 1, cfg.categories, n_cat)
+    prods = distinct_ids(s, "prods", row, 1, cfg.products, n_prod)
+    is_ = {k: F.col("action") == k for k, _ in acts}
+    df = a.withColumn("action", action).select(
+        F.date_format(ts, "yyyy-MM-dd").alias("date"), "user_id", "session_id",
+        randint(uniform(s, "page", row), 1, cfg.pages).alias("page_id"),
+        F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("action_time"),
+        F.when(is_["search"], pick(uniform(s, "kw", row), KEYWORDS)).alias("search_keyword"),
+        F.when(is_["click"], randint(uniform(s, "ccat", row), 1, cfg.categories))
+        .otherwise(F.lit(-1)).alias("click_category_id"),
+        F.when(is_["click"], randint(uniform(s, "cprod", row), 1, cfg.products))
+        .otherwise(F.lit(-1)).alias("click_product_id"),
+        F.when(is_["order"], cats).alias("order_category_ids"),
+        F.when(is_["order"], prods).alias("order_product_ids"),
+        F.when(is_["pay"], cats).alias("pay_category_ids"),
+        F.when(is_["pay"], prods).alias("pay_product_ids"),
+        randint(uniform(s, "city", row), 1, len(CITIES)).alias("city_id"))
+    return decode(df, USER_VISIT_ACTION)
+
+
+def _days_ms(start: str, end: str) -> int:
+    import datetime as dt
+    d = dt.date.fromisoformat(end) - dt.date.fromisoformat(start)
+    return int(d.total_seconds() * 1000)
+
+
+def _uuid_text(seed: int, sid: Column) -> Column:
+    h = F.md5(F.concat_ws(":", F.lit(seed), sid.cast("string")))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+
+
+def write_tables(spark: SparkSession, cfg: SynthConfig | None = None, database: str | None = None) -> None:
+    """S2 for the generated tables: replace each as a managed table."""
+    from clickpulse.sources.catalog import save_table
+
+    cfg = cfg or SynthConfig()
+    prefix = f"{database}." if database else ""
+    save_table(user_visit_action(spark, cfg), prefix + "user_visit_action")
+    save_table(user_info(spark, cfg), prefix + "user_info")
+    save_table(product_info(spark, cfg), prefix + "product_info")
+    save_table(city_info(spark), prefix + "city_info")

@@ -15,8 +15,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = get_session("local[*]", 8, app_name="clickpulse-tests")
+def spark(tmp_path_factory):
+    wh = str(tmp_path_factory.mktemp("warehouse"))
+    s = get_session("local[*]", 8, app_name="clickpulse-tests",
+                    extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
