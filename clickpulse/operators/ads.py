@@ -77,6 +77,9 @@ def flag_users(counts: DataFrame, threshold: int) -> DataFrame:
     """
     if "base" not in counts.columns:
         counts = counts.withColumn("base", F.lit(0).cast("long"))
+    # placed by user once: the window per (user, day, ad) and the per-user
+    # minimum both run on that placement, so no further shuffle
+    counts = counts.repartition("user_id")
     w = (Window.partitionBy("user_id", "day", "ads_id").orderBy("slot")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = counts.withColumn("cum", F.col("base") + F.sum("n").over(w))

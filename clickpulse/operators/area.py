@@ -3,8 +3,9 @@
 Plan: the click facts are first counted per (city_id, product_id) -- a
 partial + final hash aggregate, so a hot product or city is combined map-side
 and the shuffle carries at most one row per key and partition. Only those
-counts meet the dimensions: cities are broadcast after a row-count check,
-products join by key (broadcast by AQE when small, shuffle otherwise). The
+counts meet the dimensions; the planner broadcasts a dimension when its size
+estimate is under the broadcast threshold (AQE re-checks at run time) and
+shuffles otherwise -- no unchecked hint. The
 rest runs on aggregated rows: per (area, product, city), per (area, product),
 and a ``rank`` per area that Spark cuts early with a partial WindowGroupLimit.
 """
@@ -14,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.functions.sizing import broadcast_if_small
 from clickpulse.functions.text import join_text, percent, ratio
 
 # Fixed values that must equal the original output:
@@ -39,7 +39,7 @@ def area_product_city_counts(visits: DataFrame, cities: DataFrame, products: Dat
     Same-named products and cities merge.
     """
     counts = product_click_counts(visits)
-    dims_city = broadcast_if_small(cities.select("city_id", "city_name", "area"))
+    dims_city = cities.select("city_id", "city_name", "area")
     joined = (counts.join(dims_city, "city_id")
               .join(products.select("product_id", "product_name"), "product_id"))
     return (joined.groupBy("area", "product_name", "city_name")

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.functions.sizing import broadcast_if_small
 from clickpulse.sources.schemas import (
     CITY_INFO,
     PRODUCT_INFO,
@@ -26,9 +25,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Declared schemas of the driver tables this package reads: no footer
+# inference on every read, and a wrong file fails loudly at the scan.
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one driver table (declared schema when known)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def _k() -> Column:
@@ -112,12 +127,14 @@ def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad clicks (ts ms, area, city, user_id, ads_id) plus ``day`` and ``hm``.
 
-    Each event joins exactly one city on ``(event_id + k) % 25``; the city
-    table is broadcast only after its row count is checked.
+    Each event joins exactly one city on ``(event_id + k) % 25``. No hint:
+    the planner broadcasts the city table when its estimated size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks with real
+    sizes), else it shuffles both sides.
     """
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", _k().alias("k"))
-    cities = broadcast_if_small(city_info(spark, sf_dir))
+    cities = city_info(spark, sf_dir)
     df = ev.join(cities, (ev.event_id + ev.k) % 25 == cities.city_id)
     return df.select(
         _event_ms().alias("ts"),

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickpulse.functions.sizing import broadcast_if_small
 from clickpulse.operators import ads
 from clickpulse.sources.keyed import KeyedTable
 from clickpulse.sources.schemas import ADS_INFO
@@ -74,8 +75,9 @@ class BlacklistLoop:
         prev_bl = self._state(self.blacklist, spark, batch_id - 1)
         prev_cnt = self._state(self.counters, spark, batch_id - 1)
 
-        # T4 + J3 + F9: users listed before this batch keep clicks up to their slot
-        passed = ads.kept_clicks(clicks, prev_bl, self.slot_ms)
+        # T4 + J3 + F9: users listed before this batch keep clicks up to their
+        # slot; the list is broadcast as in the original, once its size is checked
+        passed = ads.kept_clicks(clicks, broadcast_if_small(prev_bl), self.slot_ms)
         sc = ads.slot_counts(passed, self.slot_ms)
         base = prev_cnt.select("user_id", "day", "ads_id", F.col("cnt").alias("base"))
         sc = sc.join(base, ["user_id", "day", "ads_id"], "left").fillna(0, ["base"])
