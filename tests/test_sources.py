@@ -71,3 +71,22 @@ def test_save_table_partitioned_and_decode(spark):
 def test_jdbc_target_properties():
     t = jdbc.JdbcTarget("jdbc:mysql://db/mall", user="u", password="p", batch_size=500)
     assert t.properties() == {"batchsize": "500", "user": "u", "password": "p"}
+
+
+def test_offline_app_writes_the_four_results(spark):
+    import __spark_entry__ as E
+    from clickpulse.plans.offline import run_offline
+    from clickpulse.plans.params import COND, TASK_ID
+    from clickpulse.sources.fixtures import MallTables
+
+    from .conftest import SF_SMALL
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS mall_out")
+    run_offline(MallTables(spark, SF_SMALL), COND, TASK_ID,
+                lambda df, name: save_table(df, f"mall_out.{name}"))
+    q = E.queries()
+    for table, query in [("category_top10", "category_top10"),
+                         ("category_top10_session_count", "category_session_top10"),
+                         ("page_conversion_rate", "page_conversion"),
+                         ("area_product_click", "area_product_top3")]:
+        assert rows(spark.table(f"mall_out.{table}")) == rows(q[query](spark, SF_SMALL)), table
