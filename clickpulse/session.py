@@ -19,6 +19,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no Python call-site capture per Column (it only feeds error messages and
+    # costs a gateway round trip for every function call while building plans)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

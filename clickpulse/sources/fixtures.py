@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.sources.schemas import (
     CITY_INFO,
@@ -46,103 +45,86 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("long")
-
-
-def _day(ts: str = "ts") -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
-
-
-def _event_ms(ts: str = "ts") -> Column:
-    return F.unix_millis(F.col(ts).cast("timestamp"))
-
-
-def _id_pair(k: Column, event_id: Column) -> tuple[Column, Column]:
-    cats = F.when(k % 3 == 0, (k % 20 + 1).cast("string")).otherwise(
-        F.concat_ws(",", (k % 20 + 1).cast("string"), ((k + 7) % 20 + 1).cast("string")))
-    prods = F.concat_ws(",", (event_id % 200).cast("string"), ((event_id + 11) % 200).cast("string"))
-    return cats, prods
+# The mapping, as Spark SQL expressions over the driver's tables. One
+# ``selectExpr`` per view keeps plan construction to a single parse.
+_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+_DAY = "date_format(ts, 'yyyy-MM-dd')"
+_CATS = "CASE WHEN k % 3 = 0 THEN CAST(k % 20 + 1 AS STRING) ELSE concat_ws(',', k % 20 + 1, (k + 7) % 20 + 1) END"
+_PRODS = "concat_ws(',', event_id % 200, (event_id + 11) % 200)"
+_IS_CLICK = "event_type IN ('click', 'view')"
+
+VISIT_EXPRS = [
+    f"{_DAY} AS date",
+    "user_id",
+    f"concat(CAST(user_id AS STRING), '-', {_DAY}) AS session_id",
+    "k % 10 + 1 AS page_id",
+    "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS action_time",
+    "CASE WHEN event_type = 'error' THEN concat('kw_', k % 6) END AS search_keyword",
+    f"CASE WHEN {_IS_CLICK} THEN k % 20 + 1 ELSE -1 END AS click_category_id",
+    f"CASE WHEN {_IS_CLICK} THEN event_id % 200 ELSE -1 END AS click_product_id",
+    f"CASE WHEN event_type = 'signup' THEN {_CATS} END AS order_category_ids",
+    f"CASE WHEN event_type = 'signup' THEN {_PRODS} END AS order_product_ids",
+    f"CASE WHEN event_type = 'purchase' THEN {_CATS} END AS pay_category_ids",
+    f"CASE WHEN event_type = 'purchase' THEN {_PRODS} END AS pay_product_ids",
+    "(event_id + k) % 25 AS city_id",
+]
+
+USER_EXPRS = [
+    "c_custkey AS user_id",
+    "concat('user_', CAST(c_custkey AS STRING)) AS username",
+    "c_name AS name",
+    "CAST(20 + c_custkey % 41 AS INT) AS age",
+    "c_mktsegment AS professional",
+    "CASE WHEN c_custkey % 10 < 6 THEN 'M' ELSE 'F' END AS gender",
+]
+
+PRODUCT_EXPRS = [
+    "p_partkey AS product_id",
+    "p_name AS product_name",
+    "CASE WHEN p_partkey % 10 < 7 THEN 'self' ELSE 'third_party' END AS extend_info",
+]
+
+AD_EXPRS = [
+    "unix_millis(CAST(ts AS TIMESTAMP)) AS ts",
+    "area",
+    "city_name AS city",
+    "CAST(user_id % 30 + 101 AS STRING) AS user_id",
+    "CAST(k % 5 + 1 AS STRING) AS ads_id",
+]
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").withColumn("k", _k())
-    k, eid, et = F.col("k"), F.col("event_id"), F.col("event_type")
-    cats, prods = _id_pair(k, eid)
-    is_click = et.isin("click", "view")
-    df = ev.select(
-        _day().alias("date"),
-        F.col("user_id"),
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), _day()).alias("session_id"),
-        (k % 10 + 1).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("action_time"),
-        F.when(et == "error", F.concat(F.lit("kw_"), (k % 6).cast("string"))).alias("search_keyword"),
-        F.when(is_click, k % 20 + 1).otherwise(F.lit(-1)).alias("click_category_id"),
-        F.when(is_click, eid % 200).otherwise(F.lit(-1)).alias("click_product_id"),
-        F.when(et == "signup", cats).alias("order_category_ids"),
-        F.when(et == "signup", prods).alias("order_product_ids"),
-        F.when(et == "purchase", cats).alias("pay_category_ids"),
-        F.when(et == "purchase", prods).alias("pay_product_ids"),
-        ((eid + k) % 25).alias("city_id"),
-    )
-    return decode(df, USER_VISIT_ACTION)
+    ev = read_table(spark, sf_dir, "events").selectExpr("*", f"{_K} AS k")
+    return decode(ev.selectExpr(*VISIT_EXPRS), USER_VISIT_ACTION)
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    df = c.select(
-        key.alias("user_id"),
-        F.concat(F.lit("user_"), key.cast("string")).alias("username"),
-        F.col("c_name").alias("name"),
-        (F.lit(20) + key % 41).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.when(key % 10 < 6, "M").otherwise("F").alias("gender"),
-    )
-    return decode(df, USER_INFO)
+    return decode(read_table(spark, sf_dir, "customer").selectExpr(*USER_EXPRS), USER_INFO)
 
 
 def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    df = n.join(r, n.n_regionkey == r.r_regionkey).select(
-        F.col("n_nationkey").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("area"),
-    )
+    df = n.join(r, n.n_regionkey == r.r_regionkey).selectExpr(
+        "n_nationkey AS city_id", "n_name AS city_name", "r_name AS area")
     return decode(df, CITY_INFO)
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    df = p.select(
-        key.alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.when(key % 10 < 7, "self").otherwise("third_party").alias("extend_info"),
-    )
-    return decode(df, PRODUCT_INFO)
+    return decode(read_table(spark, sf_dir, "part").selectExpr(*PRODUCT_EXPRS), PRODUCT_INFO)
 
 
 def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ad clicks (ts ms, area, city, user_id, ads_id) plus ``day`` and ``hm``.
+    """Ad clicks (ts ms, area, city, user_id, ads_id).
 
     Each event joins exactly one city on ``(event_id + k) % 25``. No hint:
     the planner broadcasts the city table when its estimated size is under
     ``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks with real
     sizes), else it shuffles both sides.
     """
-    ev = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", _k().alias("k"))
+    ev = read_table(spark, sf_dir, "events").selectExpr("event_id", "ts", "user_id", f"{_K} AS k")
     cities = city_info(spark, sf_dir)
-    df = ev.join(cities, (ev.event_id + ev.k) % 25 == cities.city_id)
-    return df.select(
-        _event_ms().alias("ts"),
-        F.col("area"),
-        F.col("city_name").alias("city"),
-        (F.col("user_id") % 30 + 101).cast("string").alias("user_id"),
-        (F.col("k") % 5 + 1).cast("string").alias("ads_id"),
-    )
+    return ev.join(cities, (ev.event_id + ev.k) % 25 == cities.city_id).selectExpr(*AD_EXPRS)
 
 
 @dataclass
