@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
@@ -56,7 +57,22 @@ class Condition:
 
     @classmethod
     def from_json(cls, text: str) -> "Condition":
-        return cls.from_dict(json.loads(text))
+        """Strict JSON, or the lenient form with bare keys (``{startDate:"..."}``)."""
+        try:
+            return cls.from_dict(json.loads(text))
+        except json.JSONDecodeError:
+            quoted = re.sub(r'([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:', r'\1"\2":', text)
+            return cls.from_dict(json.loads(quoted))
+
+    @classmethod
+    def from_properties(cls, text: str, key: str = "condition.params.json") -> "Condition":
+        """The ``key=<json>`` entry of a properties file (``\\`` continues a line)."""
+        joined = re.sub(r"\\\r?\n\s*", "", text)
+        for line in joined.splitlines():
+            line = line.strip()
+            if line.startswith(key) and "=" in line:
+                return cls.from_json(line.split("=", 1)[1].strip())
+        raise KeyError(key)
 
     def date_predicate(self, date_col: Column) -> Column:
         """F1, date part: ``yyyy-MM-dd`` text bounds, inclusive, each only if set."""

@@ -47,19 +47,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def _checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
-    found = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if found:
-        return found
-    for getter in (lambda: sc.getConf().get("spark.checkpoint.dir"),
-                   lambda: spark.conf.get("spark.checkpoint.dir", None)):
-        try:
-            found = getter()
-        except Exception:  # noqa: BLE001 - conf lookups raise on absent keys in some modes
-            found = None
+    try:  # classic sessions; Spark Connect has no SparkContext
+        sc = spark.sparkContext
+        found = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
         if found:
             return found
-    return None
+    except Exception:  # noqa: BLE001
+        pass
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None) or None
+    except Exception:  # noqa: BLE001
+        return None
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
@@ -72,8 +70,11 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     base = _checkpoint_dir(spark)
     if not base:
         base = tempfile.mkdtemp(prefix="clickpulse-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = _checkpoint_dir(spark) or base
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+            base = _checkpoint_dir(spark) or base
+        except Exception:  # noqa: BLE001 - Spark Connect: keep the local folder
+            pass
     sub = f"{name or 'run'}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + sub
 

@@ -237,3 +237,12 @@ def test_last_hour_is_720_slots_with_partial_edge_minutes(spark):
           (end + 4_999, "n", "A", "1", "1"), (end + 5_000, "n", "A", "1", "1")]
     got = rows(ads.last_hour_minutes(_clicks(spark, rs), end))
     assert got == [("1", "11:00", 1), ("1", "12:00", 1)]
+
+
+def test_condition_from_properties_file_format():
+    text = ('condition.params.json={startDate:"2024-01-05", \\\n'
+            '  endDate:"2024-01-20", \\\n  startAge: "20", \\\n  endAge: "50", \\\n'
+            '  professionals: "",  \\\n  targetPageFlow:"1,2,3"}\n')
+    c = Condition.from_properties(text)
+    assert (c.start_date, c.end_date, c.start_age, c.end_age) == ("2024-01-05", "2024-01-20", 20, 50)
+    assert c.target_page_flow == "1,2,3" and c.professionals == ""
