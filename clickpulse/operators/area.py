@@ -96,3 +96,49 @@ def area_product_top3(visits: DataFrame, cities: DataFrame, products: DataFrame,
     return (clicks.withColumn("rank", F.rank().over(w))
             .where(F.col("rank") <= top)
             .withColumn("rank", F.col("rank").cast("long")))
+
+
+# The same R4 as Spark SQL over the temp views user_visit_action, city_info and
+# product_info (see ``MallTables.register_views``). The counts per
+# (city, product) come first, as in the DataFrame form: Catalyst does not push
+# an aggregate below a join by itself.
+AREA_TOP3_SQL = f"""
+WITH clicks AS (
+  SELECT city_id, click_product_id AS product_id, count(*) AS n
+  FROM user_visit_action WHERE click_product_id > -1
+  GROUP BY city_id, click_product_id),
+by_city AS (
+  SELECT c.area, p.product_name, coalesce(c.city_name, 'null') AS city_name, sum(k.n) AS n
+  FROM clicks k JOIN city_info c ON k.city_id = c.city_id
+  JOIN product_info p ON k.product_id = p.product_id
+  GROUP BY c.area, p.product_name, coalesce(c.city_name, 'null')),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY area, product_name ORDER BY n DESC, city_name) AS rn,
+         sum(n) OVER (PARTITION BY area, product_name) AS total,
+         count(*) OVER (PARTITION BY area, product_name) AS cities
+  FROM by_city),
+top2 AS (
+  SELECT area, product_name, max(total) AS click_count, max(cities) AS cities,
+         max(CASE WHEN rn = 1 THEN city_name END) AS c1,
+         max(CASE WHEN rn = 1 THEN n END) / max(total) AS r1,
+         max(CASE WHEN rn = 2 THEN city_name END) AS c2,
+         max(CASE WHEN rn = 2 THEN n END) / max(total) AS r2
+  FROM ranked WHERE rn <= 2 GROUP BY area, product_name),
+remark AS (
+  SELECT area, product_name, CAST(click_count AS BIGINT) AS click_count,
+         concat_ws('{REMARK_SEP}',
+                   concat(c1, ':', format_number(r1, '0.00%')),
+                   CASE WHEN c2 IS NOT NULL THEN concat(c2, ':', format_number(r2, '0.00%')) END,
+                   CASE WHEN cities > 2
+                        THEN concat('{OTHER_LABEL}:', format_number((1.0D - r1) - r2, '0.00%')) END)
+           AS city_remark
+  FROM top2)
+SELECT area, product_name, click_count, city_remark, CAST(rank AS BIGINT) AS rank
+FROM (SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS rank FROM remark)
+WHERE rank <= 3
+"""
+
+
+def area_product_top3_sql(spark) -> DataFrame:
+    """W1 etc. through ``spark.sql`` on the registered views."""
+    return spark.sql(AREA_TOP3_SQL)

@@ -250,6 +250,7 @@ ORACLE: dict[str, str] = {
     "area_product_clicks": AREA_PRODUCT_CITY_COUNTS,
     "city_remark": CITY_REMARK,
     "area_product_top3": AREA_PRODUCT_TOP3,
+    "area_product_top3_sql": AREA_PRODUCT_TOP3,
     "ads_parse": ADS_PARSE,
     "user_ad_day_counts": USER_AD_DAY_COUNTS,
     "blacklist_users": BLACKLIST_USERS,

@@ -90,6 +90,11 @@ def _area_product_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area.area_product_top3(t.visits(), t.cities(), t.products())
 
 
+def _area_product_top3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    MallTables(spark, sf_dir).register_views()
+    return area.area_product_top3_sql(spark)
+
+
 def _ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MallTables(spark, sf_dir).ads()
 
@@ -171,6 +176,7 @@ QUERIES: dict[str, Query] = {
     "area_product_clicks": _area_product_clicks,
     "city_remark": _city_remark,
     "area_product_top3": _area_product_top3,
+    "area_product_top3_sql": _area_product_top3_sql,
     "ads_parse": _ads_parse,
     "user_ad_day_counts": _user_ad_day_counts,
     "blacklist_users": _blacklist_users,
