@@ -1,10 +1,20 @@
 """Keyed, versioned Parquet tables: the sink of the stream jobs.
 
-Each write is one version directory ``<path>/v=<version>/`` holding the rows
-of the groups it replaces (optionally partitioned further, e.g. by ``day``).
-Reading "current" keeps, per group, the rows of the newest version that
-holds that group. Writing a version again (a retried micro-batch) overwrites
-it, so a stream batch id used as the version makes the sink idempotent.
+Each write is one version directory ``v=<version>`` holding the rows of the
+groups it replaces (optionally partitioned further, e.g. by ``day``).
+Reading "current" keeps, per group, the rows of the newest version that holds
+that group. Writing a version again (a retried micro-batch) overwrites it, so
+a stream batch id used as the version makes the sink idempotent.
+
+With ``compact_every=N`` the table stays cheap to read in a long-running
+stream: every N versions the current rows are written once as a snapshot,
+and later versions go to a new epoch folder. A read then touches the last
+snapshot plus at most N versions. A snapshot counts only after its row in
+``_compactions`` is written, so a half-written one is never used.
+
+Layout: ``<path>/[epoch=<e>/]v=<n>/...``, ``<path>/_snapshot/v=<e>/...``,
+``<path>/_compactions/v=<e>/``. (Names starting with ``_`` are hidden from
+Spark's listing of ``<path>``.)
 
 This replaces the per-key hash writes of the original jobs: a key upsert is a
 group of one key; a bulk replace of a hash is a group of the hash key.
@@ -18,49 +28,106 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 VERSION = "v"
+_DONE = T.StructType([T.StructField("done", T.LongType())])
 
 
 class KeyedTable:
     def __init__(self, path: str, schema: T.StructType, group_cols: list[str],
-                 partition_cols: list[str] | None = None):
+                 partition_cols: list[str] | None = None, compact_every: int | None = None):
         self.path = path.rstrip("/")
         self.schema = schema
         self.group_cols = list(group_cols)
         self.partition_cols = list(partition_cols or [])
+        self.compact_every = compact_every
+        self._epoch: int | None = None
 
-    # ------------------------------------------------------------ write
-    def version_path(self, version: int) -> str:
-        return f"{self.path}/{VERSION}={int(version)}"
+    # ------------------------------------------------------------ layout
+    def _root(self, spark: SparkSession) -> str:
+        if not self.compact_every:
+            return self.path
+        return f"{self.path}/epoch={self.epoch(spark)}"
+
+    def epoch(self, spark: SparkSession) -> int:
+        """Version of the last finished snapshot, -1 before the first."""
+        if self._epoch is None:
+            try:
+                done = spark.read.schema(_DONE).parquet(f"{self.path}/_compactions")
+                top = done.agg(F.max("done").alias("m")).first()["m"]
+                self._epoch = -1 if top is None else int(top)
+            except AnalysisException:
+                self._epoch = -1
+        return self._epoch
 
+    def version_path(self, version: int, spark: SparkSession | None = None) -> str:
+        root = self._root(spark) if spark is not None else self.path
+        return f"{root}/{VERSION}={int(version)}"
+
+    # ------------------------------------------------------------ write
     def write(self, df: DataFrame, version: int) -> None:
         """Replace the groups present in ``df`` as of ``version``."""
-        w = df.select([F.col(f.name).cast(f.dataType) for f in self.schema.fields]).write.mode("overwrite")
+        spark = df.sparkSession
+        if self.compact_every and int(version) <= self.epoch(spark):
+            return  # a retried batch already folded into the last snapshot
+        w = df.select([F.col(f.name).cast(f.dataType.simpleString()) for f in self.schema.fields])
+        w = w.write.mode("overwrite")
         if self.partition_cols:
             w = w.partitionBy(*self.partition_cols)
-        w.parquet(self.version_path(version))
+        w.parquet(self.version_path(version, spark))
+        if self.compact_every and (int(version) + 1) % self.compact_every == 0:
+            self.compact(spark, int(version))
+
+    def compact(self, spark: SparkSession, version: int) -> None:
+        """Write the current rows as the snapshot of ``version``; start a new epoch."""
+        if version <= self.epoch(spark):
+            return
+        snap = self.current(spark).write.mode("overwrite")
+        if self.partition_cols:
+            snap = snap.partitionBy(*self.partition_cols)
+        snap.parquet(f"{self.path}/_snapshot/{VERSION}={version}")
+        spark.createDataFrame([(version,)], _DONE).write.mode("overwrite") \
+            .parquet(f"{self.path}/_compactions/{VERSION}={version}")
+        self._epoch = version
 
     # ------------------------------------------------------------ read
     def empty(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], self.schema)
 
-    def versions(self, spark: SparkSession) -> DataFrame | None:
-        """All versions with the ``v`` column, or None before the first write."""
-        full = T.StructType(
+    def _with_version(self) -> T.StructType:
+        return T.StructType(
             [f for f in self.schema.fields if f.name not in self.partition_cols]
             + [T.StructField(VERSION, T.LongType())]
             + [f for f in self.schema.fields if f.name in self.partition_cols])
+
+    def versions(self, spark: SparkSession) -> DataFrame | None:
+        """Rows of the last snapshot (as its version) and of every later version."""
+        parts = []
+        root = self._root(spark)
         try:
-            return spark.read.schema(full).option("basePath", self.path).parquet(self.path)
+            parts.append(spark.read.schema(self._with_version()).option("basePath", root).parquet(root))
         except AnalysisException:
+            pass
+        e = self.epoch(spark) if self.compact_every else -1
+        if e >= 0:
+            snap = self.read_path(spark, f"{self.path}/_snapshot/{VERSION}={e}")
+            if snap is not None:
+                parts.append(snap.withColumn(VERSION, F.lit(e).cast("long")))
+        if not parts:
             return None
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
 
-    def read_version(self, spark: SparkSession, version: int) -> DataFrame | None:
-        """Rows written exactly as ``version``, or None if it does not exist."""
+    def read_path(self, spark: SparkSession, path: str) -> DataFrame | None:
         try:
-            return spark.read.schema(self._file_schema()).parquet(self.version_path(version))
+            return spark.read.schema(self._file_schema()).parquet(path)
         except AnalysisException:
             return None
 
+    def read_version(self, spark: SparkSession, version: int) -> DataFrame | None:
+        """Rows written exactly as ``version``, or None if it does not exist."""
+        return self.read_path(spark, self.version_path(version, spark))
+
     def _file_schema(self) -> T.StructType:
         fs = [f for f in self.schema.fields if f.name not in self.partition_cols]
         return T.StructType(fs + [f for f in self.schema.fields if f.name in self.partition_cols])

@@ -51,10 +51,13 @@ def parsed_clicks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ads.good_lines(parsed), ads.bad_lines(parsed)
 
 
-def kept_click_stream(spark: SparkSession, loop: BlacklistLoop) -> DataFrame:
+def kept_click_stream(spark: SparkSession, loop: BlacklistLoop,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
     schema = T.StructType(ADS_INFO.fields + [T.StructField("v", T.LongType())])
-    return (spark.readStream.schema(schema).option("basePath", loop.kept_path)
-            .parquet(loop.kept_path).select(*ads.AD_FIELDS))
+    r = spark.readStream.schema(schema).option("basePath", loop.kept_path)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.parquet(loop.kept_path).select(*ads.AD_FIELDS)
 
 
 def start_blacklist(clicks: DataFrame, loop: BlacklistLoop, checkpoint: str,
@@ -78,7 +81,8 @@ def start_last_hour(clicks: DataFrame, sink: LastHourSink, checkpoint: str,
 
 
 def start_realtime(spark: SparkSession, lines: DataFrame, base_dir: str, threshold: int,
-                   slot_ms: int = 5_000, available_now: bool = False, now_ms=None) -> Realtime:
+                   slot_ms: int = 5_000, available_now: bool = False, now_ms=None,
+                   compact_every: int = 100, kept_files_per_trigger: int | None = None) -> Realtime:
     """Start the four streaming queries; with ``available_now`` run them in order to the end."""
     base = base_dir.rstrip("/")
     good, bad = parsed_clicks(lines)
@@ -90,9 +94,9 @@ def start_realtime(spark: SparkSession, lines: DataFrame, base_dir: str, thresho
     if available_now:  # the downstream queries read what the loop committed
         for q in queries:
             q.awaitTermination()
-    kept = kept_click_stream(spark, loop)
-    day_area = DayAreaSink(f"{base}/day_area")
-    last_hour = LastHourSink(f"{base}/last_hour", now_ms=now_ms)
+    kept = kept_click_stream(spark, loop, kept_files_per_trigger)
+    day_area = DayAreaSink(f"{base}/day_area", compact_every=compact_every)
+    last_hour = LastHourSink(f"{base}/last_hour", now_ms=now_ms, compact_every=compact_every)
     queries.append(start_day_area(kept, day_area, f"{base}/ck/day_area", available_now))
     queries.append(start_last_hour(kept, last_hour, f"{base}/ck/last_hour", available_now))
     return Realtime(base, loop, day_area, last_hour, queries)

@@ -59,11 +59,12 @@ def day_area_city_ads_stream(clicks: DataFrame, lateness: str = "1 day") -> Data
 class DayAreaSink:
     """foreachBatch target of R6 (S9) and the R7 re-rank."""
 
-    def __init__(self, out_dir: str, top: int = 3):
+    def __init__(self, out_dir: str, top: int = 3, compact_every: int = 100):
         out_dir = out_dir.rstrip("/")
         self.counts = KeyedTable(f"{out_dir}/day_area_city_ads", DAY_AREA_CITY_ADS,
-                                 ["day", "area", "city", "ads_id"], ["day"])
-        self.top3 = KeyedTable(f"{out_dir}/day_area_ads_top3", DAY_AREA_ADS_TOP3, ["day"], ["day"])
+                                 ["day", "area", "city", "ads_id"], ["day"], compact_every)
+        self.top3 = KeyedTable(f"{out_dir}/day_area_ads_top3", DAY_AREA_ADS_TOP3, ["day"], ["day"],
+                               compact_every)
         self.top = top
 
     def __call__(self, changed: DataFrame, batch_id: int) -> None:
@@ -100,10 +101,11 @@ class LastHourSink:
     """foreachBatch target of R8: slot counts upserted, trend JSON replaced."""
 
     def __init__(self, out_dir: str, slot_ms: int = 5_000, span_ms: int = 3_600_000,
-                 now_ms: Callable[[], int] | None = None):
+                 now_ms: Callable[[], int] | None = None, compact_every: int = 100):
         out_dir = out_dir.rstrip("/")
-        self.slots = KeyedTable(f"{out_dir}/ad_slot_counts", AD_SLOT_COUNTS, ["ads_id", "slot"], ["epoch_day"])
-        self.trend = KeyedTable(f"{out_dir}/last_hour_json", LAST_HOUR_JSON, [])
+        self.slots = KeyedTable(f"{out_dir}/ad_slot_counts", AD_SLOT_COUNTS, ["ads_id", "slot"],
+                                ["epoch_day"], compact_every)
+        self.trend = KeyedTable(f"{out_dir}/last_hour_json", LAST_HOUR_JSON, [], None, compact_every)
         self.slot_ms, self.span_ms = slot_ms, span_ms
         self.now_ms = now_ms or (lambda: int(time.time() * 1000))
 

@@ -68,8 +68,10 @@ def test_realtime_app_end_to_end(spark, clicks):
         .coalesce(1).write.mode("overwrite").text(f"{src}/part=999")
     end = 1_704_240_000_000
     rt = app.start_realtime(spark, text_lines(spark, src, max_files_per_trigger=1), base, THRESHOLD,
-                            slot_ms=HOUR, available_now=True, now_ms=lambda: end)
+                            slot_ms=HOUR, available_now=True, now_ms=lambda: end, compact_every=2,
+                            kept_files_per_trigger=1)
     rt.await_all()
+    assert rt.day_area.counts.epoch(spark) >= 1  # snapshots were taken between batches
     kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
     assert rows(rt.blacklist.kept_clicks(spark)) == rows(kept)
     assert rows(rt.day_area.current_counts(spark)) == rows(ads.day_area_city_ads(kept))
