@@ -48,7 +48,8 @@ def _realtime(args) -> None:
     else:
         lines = text_lines(spark, args.text_dir, args.max_files_per_trigger)
     base = args.base_dir or scratch_dir(spark, "realtime")
-    rt = start_realtime(spark, lines, base, args.threshold, args.slot_ms, args.available_now)
+    rt = start_realtime(spark, lines, base, args.threshold, args.slot_ms, args.available_now,
+                        mode=args.blacklist_mode)
     rt.await_all()
 
 
@@ -81,6 +82,8 @@ def main(argv=None) -> None:
     r.add_argument("--slot-ms", type=int, default=5_000)
     r.add_argument("--max-files-per-trigger", type=int)
     r.add_argument("--available-now", action="store_true")
+    r.add_argument("--blacklist-mode", choices=["state", "loop"], default="state",
+                   help="counters in the state store (large streams) or the snapshot loop")
     r.set_defaults(fn=_realtime)
 
     args = p.parse_args(argv)

@@ -264,6 +264,8 @@ ORACLE: dict[str, str] = {
     # stream replays end in the same tables as the batch forms
     "stream_blacklist": BLACKLIST_USERS,
     "stream_blacklist_replay": BLACKLIST_REPLAY,
+    "stream_blacklist_state": BLACKLIST_USERS,
+    "stream_blacklist_counters_state": USER_AD_DAY_COUNTS,
     "stream_day_area_city_ads": DAY_AREA_CITY_ADS,
     "stream_day_area_ads_top3": DAY_AREA_ADS_TOP3,
     "stream_last_hour": LAST_HOUR_JSON,

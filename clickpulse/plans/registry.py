@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpulse.operators import ads, area, category, conversion
 from clickpulse.plans.condition import filter_visits
@@ -149,6 +150,16 @@ def _stream_blacklist_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.blacklist(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS).kept_clicks(spark)
 
 
+def _stream_blacklist_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.blacklist_state(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS).current_blacklist(spark)
+
+
+def _stream_blacklist_counters_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bl = replay.blacklist_state(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS)
+    return (bl.kept_counts(spark).groupBy("day", "user_id", "ads_id")
+            .agg(F.sum("n").cast("long").alias("cnt")))
+
+
 def _stream_day_area_city_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.day_area(spark, sf_dir).current_counts(spark)
 
@@ -189,6 +200,8 @@ QUERIES: dict[str, Query] = {
     "last_hour_json": _last_hour_json,
     "stream_blacklist": _stream_blacklist,
     "stream_blacklist_replay": _stream_blacklist_replay,
+    "stream_blacklist_state": _stream_blacklist_state,
+    "stream_blacklist_counters_state": _stream_blacklist_counters_state,
     "stream_day_area_city_ads": _stream_day_area_city_ads,
     "stream_day_area_ads_top3": _stream_day_area_ads_top3,
     "stream_last_hour": _stream_last_hour,

@@ -4,10 +4,12 @@
 R7, R8 on the filtered clicks), as separate streaming queries joined through
 the kept-click table the blacklist loop writes:
 
-    lines --parse--> BlacklistLoop (foreachBatch) --kept clicks (parquet)-->
+    lines --parse--> BlacklistState (state store, per user) --kept counts (parquet)-->
         +--> R6 running counts --> DayAreaSink (R6 table + R7 top-3)
         +--> R8 slot counts    --> LastHourSink (minute trend JSON)
 
+(``mode="loop"`` swaps in BlacklistLoop, which passes raw kept clicks on.)
+
 Malformed lines go to a reject table instead of failing the batch (S4).
 Every query has its own checkpoint under ``base_dir``; on a cluster that
 folder must be shared storage (for example under ``spark.checkpoint.dir``).
@@ -25,6 +27,7 @@ from clickpulse.operators import ads
 from clickpulse.sources.schemas import ADS_INFO
 from clickpulse.sources.streams import with_trigger
 from clickpulse.streaming.blacklist import BlacklistLoop
+from clickpulse.streaming.blacklist_state import BlacklistState
 from clickpulse.streaming.counts import (
     DayAreaSink,
     LastHourSink,
@@ -36,7 +39,7 @@ from clickpulse.streaming.counts import (
 @dataclass
 class Realtime:
     base_dir: str
-    blacklist: BlacklistLoop
+    blacklist: BlacklistLoop | BlacklistState
     day_area: DayAreaSink
     last_hour: LastHourSink
     queries: list[StreamingQuery]
@@ -82,21 +85,34 @@ def start_last_hour(clicks: DataFrame, sink: LastHourSink, checkpoint: str,
 
 def start_realtime(spark: SparkSession, lines: DataFrame, base_dir: str, threshold: int,
                    slot_ms: int = 5_000, available_now: bool = False, now_ms=None,
-                   compact_every: int = 100, kept_files_per_trigger: int | None = None) -> Realtime:
-    """Start the four streaming queries; with ``available_now`` run them in order to the end."""
+                   compact_every: int = 100, kept_files_per_trigger: int | None = None,
+                   mode: str = "state") -> Realtime:
+    """Start the four streaming queries; with ``available_now`` run them in order to the end.
+
+    ``mode="state"`` keeps the blacklist counters in the state store
+    (:class:`BlacklistState`, the form for large streams); ``mode="loop"``
+    uses the snapshot loop (:class:`BlacklistLoop`), which keeps raw kept clicks.
+    """
     base = base_dir.rstrip("/")
     good, bad = parsed_clicks(lines)
-    loop = BlacklistLoop(f"{base}/blacklist", threshold, slot_ms)
-    queries = [start_blacklist(good, loop, f"{base}/ck/blacklist", available_now)]
+    if mode == "state":
+        bl = BlacklistState(f"{base}/blacklist", threshold, slot_ms)
+        queries = [bl.start(good, f"{base}/ck/blacklist", available_now)]
+    else:
+        bl = BlacklistLoop(f"{base}/blacklist", threshold, slot_ms)
+        queries = [start_blacklist(good, bl, f"{base}/ck/blacklist", available_now)]
     rejects = (bad.writeStream.format("parquet").option("path", f"{base}/rejects")
                .option("checkpointLocation", f"{base}/ck/rejects"))
     queries.append(with_trigger(rejects, available_now).start())
-    if available_now:  # the downstream queries read what the loop committed
+    if available_now:  # the downstream queries read what the blacklist committed
         for q in queries:
             q.awaitTermination()
-    kept = kept_click_stream(spark, loop, kept_files_per_trigger)
+    if mode == "state":
+        kept = bl.kept_count_stream(spark, kept_files_per_trigger)
+    else:
+        kept = kept_click_stream(spark, bl, kept_files_per_trigger)
     day_area = DayAreaSink(f"{base}/day_area", compact_every=compact_every)
     last_hour = LastHourSink(f"{base}/last_hour", now_ms=now_ms, compact_every=compact_every)
     queries.append(start_day_area(kept, day_area, f"{base}/ck/day_area", available_now))
     queries.append(start_last_hour(kept, last_hour, f"{base}/ck/last_hour", available_now))
-    return Realtime(base, loop, day_area, last_hour, queries)
+    return Realtime(base, bl, day_area, last_hour, queries)

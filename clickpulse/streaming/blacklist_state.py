@@ -1,0 +1,139 @@
+"""R5 with the counters in Spark's state store (the scalable stream form).
+
+:class:`clickpulse.streaming.blacklist.BlacklistLoop` rewrites the open-day
+counter table every micro-batch, which is exact but costs O(all counters) per
+batch. Here the clicks are grouped by user with ``applyInPandasWithState``:
+each user's state is its flagging slot and its counts of the open days, kept
+by Spark's state store and checkpointed with the query, so a batch touches
+only the users that clicked in it.
+
+Per user and batch the function folds the clicks chunk by chunk into counts
+per (slot, day, area, city, ad) -- memory is bounded by those distinct keys,
+not by the user's click count -- then walks the slots in order: a listed user
+keeps its clicks up to its flagging slot; a running (day, ad) count reaching
+the threshold lists the user at that slot (T6, T7). It emits the kept counts
+(with a 5 s ``tick`` for the last-hour trend) and, once, the new flag.
+``foreachBatch`` writes both as version ``batch_id`` (idempotent on retry);
+R6-R8 read the kept counts as a stream and sum them.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from clickpulse.functions.timefmt import day_string, slot
+from clickpulse.sources.keyed import KeyedTable
+from clickpulse.sources.streams import with_trigger
+
+KEPT_COUNTS = T.StructType([
+    T.StructField("user_id", T.StringType()), T.StructField("day", T.StringType()),
+    T.StructField("area", T.StringType()), T.StructField("city", T.StringType()),
+    T.StructField("ads_id", T.StringType()), T.StructField("slot", T.LongType()),
+    T.StructField("tick", T.LongType()), T.StructField("n", T.LongType())])
+FLAGS = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("flag_slot", T.LongType())])
+OUT = T.StructType(KEPT_COUNTS.fields + [T.StructField("flag_slot", T.LongType())])
+STATE = "flag_slot LONG, counts STRING"
+_KEYS = ["slot", "tick", "day", "area", "city", "ads_id"]
+TICK_MS = 5_000  # the finer time key kept for the last-hour trend
+
+
+def user_step(threshold: int, lateness_days: int):
+    """The per-user state function (pandas inside one task, one user at a time)."""
+
+    def step(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        (user_id,) = key
+        flag, counts = (None, {})
+        if state.exists:
+            flag, text = state.get
+            flag = None if flag is None or pd.isna(flag) else int(flag)
+            counts = json.loads(text) if text else {}
+        parts = [c.groupby(_KEYS, sort=False, dropna=False).size() for c in chunks if len(c)]
+        if not parts:
+            return
+        agg = pd.concat(parts).groupby(level=list(range(len(_KEYS))), dropna=False).sum()
+        agg = agg.rename("n").reset_index().sort_values("slot", kind="stable")
+        if flag is not None:
+            agg = agg[agg["slot"] <= flag]
+        per = agg.groupby(["slot", "day", "ads_id"], sort=True)["n"].sum().reset_index()
+        base = [counts.get(f"{d}|{a}", 0) for d, a in zip(per["day"], per["ads_id"])]
+        per["cum"] = per.groupby(["day", "ads_id"])["n"].cumsum() + pd.Series(base, index=per.index)
+        crossed = per.loc[per["cum"] >= threshold, "slot"]
+        new_flag = None
+        if flag is None and len(crossed):
+            new_flag = int(crossed.min())
+            flag = new_flag
+            agg = agg[agg["slot"] <= flag]
+        for (d, a), n in agg.groupby(["day", "ads_id"])["n"].sum().items():
+            counts[f"{d}|{a}"] = counts.get(f"{d}|{a}", 0) + int(n)
+        if counts:  # only open days carry on
+            newest = max(k.split("|", 1)[0] for k in counts)
+            horizon = (pd.Timestamp(newest) - pd.Timedelta(days=lateness_days)).strftime("%Y-%m-%d")
+            counts = {k: v for k, v in counts.items() if k.split("|", 1)[0] >= horizon}
+        state.update((flag, json.dumps(counts)))
+        out = agg.assign(user_id=user_id, flag_slot=None)
+        if new_flag is not None:
+            out = pd.concat([out, pd.DataFrame([{"user_id": user_id, "n": 0, "flag_slot": new_flag}])],
+                            ignore_index=True)
+        yield out[[f.name for f in OUT.fields]].astype(
+            {"n": "int64", "slot": "Int64", "tick": "Int64", "flag_slot": "Int64"})
+
+    return step
+
+
+class BlacklistState:
+    def __init__(self, out_dir: str, threshold: int, slot_ms: int, lateness_days: int = 1,
+                 tick_ms: int = TICK_MS):
+        out_dir = out_dir.rstrip("/")
+        self.threshold, self.slot_ms, self.lateness_days = threshold, slot_ms, lateness_days
+        self.tick_ms = tick_ms
+        self.kept = KeyedTable(f"{out_dir}/kept_counts", KEPT_COUNTS, [])
+        self.flags = KeyedTable(f"{out_dir}/blacklist", FLAGS, ["user_id"], compact_every=100)
+
+    @property
+    def kept_path(self) -> str:
+        return self.kept.path
+
+    def transform(self, clicks: DataFrame) -> DataFrame:
+        """Clicks -> kept counts and flag rows, stateful per user."""
+        c = clicks.select("user_id", "area", "city", "ads_id",
+                          day_string(F.col("ts")).alias("day"),
+                          slot(F.col("ts"), self.slot_ms).alias("slot"),
+                          slot(F.col("ts"), self.tick_ms).alias("tick"))
+        return c.groupBy("user_id").applyInPandasWithState(
+            user_step(self.threshold, self.lateness_days), OUT, STATE, "append", "NoTimeout")
+
+    def __call__(self, out: DataFrame, batch_id: int) -> None:
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.kept.write(out.where(F.col("flag_slot").isNull()).select(*KEPT_COUNTS.names), batch_id)
+            self.flags.write(out.where(F.col("flag_slot").isNotNull()).select(*FLAGS.names), batch_id)
+        finally:
+            out.unpersist()
+
+    def start(self, clicks: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+        w = self.transform(clicks).writeStream.outputMode("append").foreachBatch(self) \
+            .option("checkpointLocation", checkpoint)
+        return with_trigger(w, available_now).start()
+
+    # ------------------------------------------------------------ results
+    def current_blacklist(self, spark: SparkSession) -> DataFrame:
+        return self.flags.current(spark)
+
+    def kept_counts(self, spark: SparkSession) -> DataFrame:
+        allv = self.kept.versions(spark)
+        return self.kept.empty(spark) if allv is None else allv.select(*KEPT_COUNTS.names)
+
+    def kept_count_stream(self, spark: SparkSession, max_files_per_trigger: int | None = None) -> DataFrame:
+        schema = T.StructType(KEPT_COUNTS.fields + [T.StructField("v", T.LongType())])
+        r = spark.readStream.schema(schema).option("basePath", self.kept.path)
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        return r.parquet(self.kept.path).select(*KEPT_COUNTS.names)

@@ -42,16 +42,26 @@ LAST_HOUR_JSON = T.StructType([
     T.StructField("ads_id", T.StringType()), T.StructField("minutes_json", T.StringType())])
 
 
-def _event_time(clicks: DataFrame) -> DataFrame:
-    # timestamp_millis gives TIMESTAMP (not _NTZ), which withWatermark accepts
-    return clicks.withColumn("event_time", F.timestamp_millis(F.col("ts")))
+def _event_time(clicks: DataFrame, tick_ms: int = 5_000) -> DataFrame:
+    """``event_time`` and a click weight ``_w`` for raw clicks or kept counts.
+
+    Raw clicks (``ts``) weigh 1 each; kept counts from the state form of the
+    blacklist (``tick``, ``n``) weigh ``n`` at the start of their tick.
+    timestamp_millis gives TIMESTAMP (not _NTZ), which withWatermark accepts.
+    """
+    if "ts" in clicks.columns:
+        return clicks.select("*", F.timestamp_millis(F.col("ts")).alias("event_time"),
+                             F.lit(1).cast("long").alias("_w"))
+    return clicks.select("*", F.timestamp_millis(F.col("tick") * F.lit(tick_ms)).alias("event_time"),
+                         F.col("n").cast("long").alias("_w"))
 
 
 # ------------------------------------------------------------------ R6 + R7
 def day_area_city_ads_stream(clicks: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Running counts per (day, area, city, ad) with a watermark."""
     ev = _event_time(clicks).withWatermark("event_time", lateness)
-    agg = ev.groupBy(F.window("event_time", "1 day").alias("w"), "area", "city", "ads_id").count()
+    agg = (ev.groupBy(F.window("event_time", "1 day").alias("w"), "area", "city", "ads_id")
+           .agg(F.sum("_w").alias("count")))
     return agg.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"),
                       "area", "city", "ads_id", F.col("count").cast("long").alias("cnt"))
 
@@ -89,8 +99,9 @@ class DayAreaSink:
 # ------------------------------------------------------------------ R8
 def ad_slot_stream(clicks: DataFrame, slot_ms: int = 5_000, lateness: str = "65 minutes") -> DataFrame:
     """Clicks per (ad, slot) with a watermark just over the trend's hour."""
-    ev = _event_time(clicks).withWatermark("event_time", lateness)
-    agg = ev.groupBy("ads_id", F.window("event_time", f"{slot_ms} milliseconds").alias("w")).count()
+    ev = _event_time(clicks, slot_ms).withWatermark("event_time", lateness)
+    agg = (ev.groupBy("ads_id", F.window("event_time", f"{slot_ms} milliseconds").alias("w"))
+           .agg(F.sum("_w").alias("count")))
     start_ms = F.unix_millis(F.col("w.start"))
     return agg.select("ads_id", F.floor(start_ms / slot_ms).cast("long").alias("slot"),
                       F.col("count").cast("long").alias("cnt"),

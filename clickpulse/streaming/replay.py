@@ -18,6 +18,7 @@ from clickpulse.sources.fixtures import MallTables
 from clickpulse.sources.streams import text_lines
 from clickpulse.streaming import app
 from clickpulse.streaming.blacklist import BlacklistLoop
+from clickpulse.streaming.blacklist_state import BlacklistState
 from clickpulse.streaming.counts import DayAreaSink, LastHourSink
 
 
@@ -36,6 +37,14 @@ def blacklist(spark: SparkSession, sf_dir: str, threshold: int, slot_ms: int) ->
     return loop
 
 
+def blacklist_state(spark: SparkSession, sf_dir: str, threshold: int, slot_ms: int) -> BlacklistState:
+    base, lines = write_log(spark, sf_dir, "stream-blacklist-state")
+    good, _ = app.parsed_clicks(lines)
+    bl = BlacklistState(f"{base}/out", threshold, slot_ms)
+    bl.start(good, f"{base}/ck", available_now=True).awaitTermination()
+    return bl
+
+
 def day_area(spark: SparkSession, sf_dir: str) -> DayAreaSink:
     base, lines = write_log(spark, sf_dir, "stream-day-area")
     good, _ = app.parsed_clicks(lines)

@@ -69,7 +69,7 @@ def test_realtime_app_end_to_end(spark, clicks):
     end = 1_704_240_000_000
     rt = app.start_realtime(spark, text_lines(spark, src, max_files_per_trigger=1), base, THRESHOLD,
                             slot_ms=HOUR, available_now=True, now_ms=lambda: end, compact_every=2,
-                            kept_files_per_trigger=1)
+                            kept_files_per_trigger=1, mode="loop")
     rt.await_all()
     assert rt.day_area.counts.epoch(spark) >= 1  # snapshots were taken between batches
     kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
@@ -87,3 +87,36 @@ def test_kafka_source_needs_the_connector(spark):
     # the connector jar is not on this classpath; the source fails loudly, not silently
     with pytest.raises(AnalysisException):
         kafka_lines(spark, "localhost:1", "ads_log")
+
+
+def test_state_store_blacklist_equals_batch(spark, clicks):
+    from clickpulse.streaming.blacklist_state import BlacklistState
+
+    for pieces in (1, 6):
+        base = scratch_dir(spark, "t-state")
+        src = _write_in_order(spark, clicks, base, pieces)
+        good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
+        bl = BlacklistState(f"{base}/out", THRESHOLD, HOUR)
+        bl.start(good, f"{base}/ck", available_now=True).awaitTermination()
+        assert rows(bl.current_blacklist(spark)) == rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
+        kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
+        got = (bl.kept_counts(spark).groupBy("day", "user_id", "ads_id")
+               .agg(F.sum("n").cast("long").alias("cnt")))
+        assert rows(got) == rows(ads.user_ad_day_counts(kept)), pieces
+
+
+def test_realtime_app_state_mode(spark, clicks):
+    base = scratch_dir(spark, "t-app-state")
+    src = _write_in_order(spark, clicks, base, 4)
+    end = 1_704_240_000_000
+    # the stateful step writes one file per shuffle partition and version; read
+    # them in one go, since a month replayed in 4 batches would otherwise trip
+    # the one-day watermark of R6 (a live stream's files span seconds)
+    rt = app.start_realtime(spark, text_lines(spark, src, max_files_per_trigger=1), base, THRESHOLD,
+                            slot_ms=HOUR, available_now=True, now_ms=lambda: end, mode="state")
+    rt.await_all()
+    kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
+    assert rows(rt.day_area.current_counts(spark)) == rows(ads.day_area_city_ads(kept))
+    want_top = ads.day_area_ads_top3(ads.day_area_ads(ads.day_area_city_ads(kept)))
+    assert rows(rt.day_area.current_top3(spark)) == rows(want_top.select("day", "area", "ads_id", "cnt", "rank"))
+    assert rows(rt.last_hour.current_trend(spark)) == rows(ads.minutes_json(ads.last_hour_minutes(kept, end)))
