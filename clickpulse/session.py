@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -77,12 +76,3 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
             pass
     sub = f"{name or 'run'}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + sub
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so driver-side checks can use the path."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from clickpulse.functions.text import java_split, percent, split_ids, target_flows
+from clickpulse.functions.text import composite_key, java_split, percent, split_ids, target_flows
 from clickpulse.operators import ads, area, category, conversion
 from clickpulse.plans.condition import Condition, filter_visits
 from clickpulse.sources.schemas import CITY_INFO, PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION
@@ -246,3 +246,9 @@ def test_condition_from_properties_file_format():
     c = Condition.from_properties(text)
     assert (c.start_date, c.end_date, c.start_age, c.end_age) == ("2024-01-05", "2024-01-20", 20, 50)
     assert c.target_page_flow == "1,2,3" and c.professionals == ""
+
+
+def test_composite_key_text(spark):
+    df = spark.createDataFrame([("north", "A", "3", "2024-01-01")], "area string, city string, ad string, day string")
+    got = df.select(composite_key(F.col("area"), F.col("city"), F.col("ad"), F.col("day")).alias("k")).first()["k"]
+    assert got == "north:A:3:2024-01-01"
