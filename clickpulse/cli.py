@@ -30,7 +30,7 @@ def _condition(path: str | None) -> Condition:
 
 
 def _offline(args) -> None:
-    spark = get_session(args.master, args.shuffle_partitions)
+    spark = get_session(args.master, args.shuffle_partitions, cluster=args.cluster)
     tables = MallTables(spark, args.sf_dir) if args.sf_dir else CatalogTables(spark, args.database)
     if args.jdbc_url:
         target = jdbc.JdbcTarget(args.jdbc_url, args.jdbc_user, args.jdbc_password, args.jdbc_driver)
@@ -42,7 +42,7 @@ def _offline(args) -> None:
 
 
 def _realtime(args) -> None:
-    spark = get_session(args.master, args.shuffle_partitions)
+    spark = get_session(args.master, args.shuffle_partitions, cluster=args.cluster)
     if args.kafka_servers:
         lines = kafka_lines(spark, args.kafka_servers, args.topic)
     else:
@@ -57,6 +57,7 @@ def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="clickpulse")
     p.add_argument("--master")
     p.add_argument("--shuffle-partitions", type=int)
+    p.add_argument("--cluster", action="store_true", help="large-cluster sizing (CLUSTER_CONF)")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     o = sub.add_parser("offline", help="R1-R4 batch jobs")

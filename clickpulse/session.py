@@ -21,20 +21,39 @@ BASE_CONF = {
     # no Python call-site capture per Column (it only feeds error messages and
     # costs a gateway round trip for every function call while building plans)
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # stream state off-heap in RocksDB with changelog checkpoints: per-user
+    # blacklist state and running counts can outgrow executor heaps
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+# Sizing for a large cluster (100 TB of input): ~256 MB file splits and
+# shuffle partitions, many initial shuffle partitions that AQE coalesces.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "clickpulse", extra: dict | None = None) -> SparkSession:
+                app_name: str = "clickpulse", extra: dict | None = None,
+                cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with :data:`BASE_CONF` applied.
 
-    On a cluster leave ``master`` unset and size ``shuffle_partitions`` to the
-    data (about 128-256 MB of shuffle per partition); locally use the core count.
+    On a cluster leave ``master`` unset and pass ``cluster=True`` (adds
+    :data:`CLUSTER_CONF`), or size ``shuffle_partitions`` to the data (about
+    128-256 MB of shuffle per partition); locally use the core count.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
