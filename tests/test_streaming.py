@@ -120,3 +120,74 @@ def test_realtime_app_state_mode(spark, clicks):
     want_top = ads.day_area_ads_top3(ads.day_area_ads(ads.day_area_city_ads(kept)))
     assert rows(rt.day_area.current_top3(spark)) == rows(want_top.select("day", "area", "ads_id", "cnt", "rank"))
     assert rows(rt.last_hour.current_trend(spark)) == rows(ads.minutes_json(ads.last_hour_minutes(kept, end)))
+
+
+class _FailOnce:
+    """Wraps a foreachBatch sink: on ``batch`` it raises after the first table write."""
+
+    def __init__(self, sink, table_attr, batch):
+        self.sink, self.table_attr, self.batch, self.armed = sink, table_attr, batch, True
+
+    def __call__(self, df, batch_id):
+        if self.armed and batch_id == self.batch:
+            self.armed = False
+            table = getattr(self.sink, self.table_attr)
+            real = table.write
+
+            def write_then_fail(d, v):
+                real(d, v)
+                table.write = real
+                raise RuntimeError("simulated loss in the middle of a batch")
+
+            table.write = write_then_fail
+        return self.sink(df, batch_id)
+
+
+def _run_until_done(spark, make_query):
+    from pyspark.errors import StreamingQueryException
+
+    for _ in range(3):
+        q = make_query()
+        try:
+            q.awaitTermination()
+            return
+        except StreamingQueryException:
+            continue
+    raise AssertionError("query never finished")
+
+
+def test_blacklist_forms_survive_a_failed_batch(spark, clicks):
+    from clickpulse.streaming.blacklist_state import BlacklistState
+
+    base = scratch_dir(spark, "t-fail")
+    src = _write_in_order(spark, clicks, base, 4)
+    want_flags = rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
+    kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
+
+    loop = BlacklistLoop(f"{base}/loop", THRESHOLD, HOUR)
+    wrapped = _FailOnce(loop, "kept", 1)
+
+    def loop_query():
+        good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
+        w = good.writeStream.foreachBatch(wrapped).option("checkpointLocation", f"{base}/ck-loop")
+        return w.trigger(availableNow=True).start()
+
+    _run_until_done(spark, loop_query)
+    assert not wrapped.armed
+    assert rows(loop.current_blacklist(spark)) == want_flags
+    assert rows(loop.kept_clicks(spark)) == rows(kept)  # batch 1 written once
+
+    st = BlacklistState(f"{base}/state", THRESHOLD, HOUR)
+    wrapped_st = _FailOnce(st, "kept", 1)
+
+    def state_query():
+        good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
+        w = (st.transform(good).writeStream.outputMode("append").foreachBatch(wrapped_st)
+             .option("checkpointLocation", f"{base}/ck-state"))
+        return w.trigger(availableNow=True).start()
+
+    _run_until_done(spark, state_query)
+    assert not wrapped_st.armed
+    assert rows(st.current_blacklist(spark)) == want_flags
+    got = st.kept_counts(spark).groupBy("day", "user_id", "ads_id").agg(F.sum("n").cast("long").alias("cnt"))
+    assert rows(got) == rows(ads.user_ad_day_counts(kept))
