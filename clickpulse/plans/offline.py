@@ -52,10 +52,10 @@ def offline_results(tables, cond: Condition, task_id: str, materialize: bool = F
         spark = visits.sparkSession
         scratch_dir(spark, "offline")  # makes sure a checkpoint dir is set (tests only)
         filtered = filtered.checkpoint(eager=True)
-    top10 = category.category_top10(filtered, task_id)
+    top10, sessions = category.top_category_sessions(filtered, task_id)
     return OfflineResults(
         category_top10=top10,
-        category_session_top10=category.category_session_top10(filtered, top10, task_id),
+        category_session_top10=sessions,
         page_conversion=conversion.page_conversion(filtered, cond.target_page_flow or "", task_id),
         # R4 reads the whole clickstream: the condition does not apply to it
         area_product_top3=area.area_product_top3(visits, tables.cities(), tables.products()),

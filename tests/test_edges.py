@@ -252,3 +252,16 @@ def test_composite_key_text(spark):
     df = spark.createDataFrame([("north", "A", "3", "2024-01-01")], "area string, city string, ad string, day string")
     got = df.select(composite_key(F.col("area"), F.col("city"), F.col("ad"), F.col("day")).alias("k")).first()["k"]
     assert got == "north:A:3:2024-01-01"
+
+
+def test_single_scan_r1_r2_equal_separate_forms(spark):
+    rs = [visit(session_id=f"s{i % 7}", click_category_id=i % 13 + 1) for i in range(60)]
+    rs += [visit(session_id="s9", order_category_ids="-1,2")] * 30  # "-1" becomes a top category
+    rs += [visit(session_id="s8", pay_category_ids="3,,")] * 5 + [visit(session_id="s8")]
+    v = visits_df(spark, rs)
+    top, sessions = category.top_category_sessions(v, "t")
+    assert rows(top) == rows(category.category_top10(v, "t"))
+    assert "-1" in [r["category_id"] for r in top.collect()]
+    # every action whose click category reads "-1" counts for that category
+    assert rows(sessions) == rows(category.category_session_top10(v, category.category_top10(v, "t"), "t"))
+    assert ("t", "-1", "s9", 30) in rows(sessions)
