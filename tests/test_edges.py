@@ -255,7 +255,7 @@ def test_composite_key_text(spark):
 
 
 def test_single_scan_r1_r2_equal_separate_forms(spark):
-    rs = [visit(session_id=f"s{i % 7}", click_category_id=i % 13 + 1) for i in range(60)]
+    rs = [visit(session_id=f"s{i % 7}", click_category_id=i % 5 + 1) for i in range(60)]
     rs += [visit(session_id="s9", order_category_ids="-1,2")] * 30  # "-1" becomes a top category
     rs += [visit(session_id="s8", pay_category_ids="3,,")] * 5 + [visit(session_id="s8")]
     v = visits_df(spark, rs)
