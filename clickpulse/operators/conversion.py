@@ -4,11 +4,12 @@
 Transitions are consecutive actions of a session ordered by ``action_time``
 after pages outside the target list are removed (so 1 -> 9 -> 2 counts as
 ``1->2``). A session is not sorted as one unit: its rows are cut into
-buckets by a prefix of the sortable time text (default: the hour), pairs
+buckets by a prefix of the sortable time text (default: the minute), pairs
 inside a bucket come from ``lead`` over (session, bucket), and the pair across
 two neighbouring buckets from a second ``lead`` over one summary row per
-bucket (its first and last page). A hot session is thus spread over as many
-tasks as it has hours, and the second window sees 1 row per session-hour.
+bucket (its first and last page). A hot session is thus spread over its
+minutes, and the second window holds at most 1,440 rows per session and day
+however many actions the session has.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.text import flow, java_split, percent, ratio, target_flows
 
-# Characters of "yyyy-MM-dd HH:mm:ss..." that name the bucket: the hour.
-HOUR_BUCKET_CHARS = 13
+# Characters of "yyyy-MM-dd HH:mm:ss..." that name the bucket: the minute.
+MINUTE_BUCKET_CHARS = 16
 
 
 def target_pages(page_flow: str) -> list[str]:
@@ -73,7 +74,7 @@ def _pairs_of(a: DataFrame) -> DataFrame:
     return inner.unionByName(_across(a))
 
 
-def consecutive_pairs(actions: DataFrame, bucket_chars: int = HOUR_BUCKET_CHARS) -> DataFrame:
+def consecutive_pairs(actions: DataFrame, bucket_chars: int = MINUTE_BUCKET_CHARS) -> DataFrame:
     """(from_page, to_page) for consecutive actions of each session.
 
     ``actions`` has session_id, action_time (sortable text), page_id. Order is
@@ -89,14 +90,14 @@ def _flow_counts(pairs: DataFrame, pages: list[str]) -> DataFrame:
 
 
 def page_transitions(visits: DataFrame, page_flow: str,
-                     bucket_chars: int = HOUR_BUCKET_CHARS) -> DataFrame:
+                     bucket_chars: int = MINUTE_BUCKET_CHARS) -> DataFrame:
     """F6 + W5 + F8 + A5: count of each target transition that occurs."""
     pages = target_pages(page_flow)
     return _flow_counts(consecutive_pairs(_on_pages(visits, pages), bucket_chars), pages)
 
 
 def page_conversion(visits: DataFrame, page_flow: str, task_id: str,
-                    bucket_chars: int = HOUR_BUCKET_CHARS) -> DataFrame:
+                    bucket_chars: int = MINUTE_BUCKET_CHARS) -> DataFrame:
     """J5 + C8 + C6: ``rate`` = transitions a->b / actions on a, as ``.00%`` text.
 
     One scan and one aggregation: every windowed action carries its own
