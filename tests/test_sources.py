@@ -90,3 +90,44 @@ def test_offline_app_writes_the_four_results(spark):
                          ("page_conversion_rate", "page_conversion"),
                          ("area_product_click", "area_product_top3")]:
         assert rows(spark.table(f"mall_out.{table}")) == rows(q[query](spark, SF_SMALL)), table
+
+
+class _Recorder:
+    """Stands in for DataFrame / DataFrameWriter and records the calls."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def coalesce(self, n):
+        self.log.append(("coalesce", n))
+        return self
+
+    @property
+    def write(self):
+        return self
+
+    def mode(self, m):
+        self.log.append(("mode", m))
+        return self
+
+    def option(self, k, v):
+        self.log.append(("option", k, v))
+        return self
+
+    def jdbc(self, url, table, properties=None):
+        self.log.append(("jdbc", url, table, dict(properties or {})))
+
+
+@pytest.mark.parametrize("fn,expected", [
+    (jdbc.overwrite, [("mode", "overwrite")]),
+    (jdbc.truncate_insert, [("mode", "overwrite"), ("option", "truncate", "true")]),
+    (jdbc.append, [("mode", "append")]),
+])
+def test_jdbc_writer_calls(fn, expected):
+    log = []
+    target = jdbc.JdbcTarget("jdbc:mysql://db/mall", user="u", password="p", max_writers=4)
+    fn(_Recorder(log), target, "category_top10")
+    assert log[0] == ("coalesce", 4)
+    assert log[1:-1] == expected
+    assert log[-1] == ("jdbc", "jdbc:mysql://db/mall", "category_top10",
+                       {"batchsize": "1000", "user": "u", "password": "p"})
