@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Fixed value of the parameter-file format: the properties key holding the JSON.
+PARAMS_KEY = "condition.params.json"
+
+
 def is_set(s: str | None) -> bool:
     """a text parameter counts only when not null and not empty."""
     return s is not None and len(s) > 0
@@ -65,7 +69,7 @@ class Condition:
             return cls.from_dict(json.loads(quoted))
 
     @classmethod
-    def from_properties(cls, text: str, key: str = "condition.params.json") -> "Condition":
+    def from_properties(cls, text: str, key: str = PARAMS_KEY) -> "Condition":
         """The ``key=<json>`` entry of a properties file (``\\`` continues a line)."""
         joined = re.sub(r"\\\r?\n\s*", "", text)
         for line in joined.splitlines():
