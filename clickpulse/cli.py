@@ -49,7 +49,7 @@ def _realtime(args) -> None:
         lines = text_lines(spark, args.text_dir, args.max_files_per_trigger)
     base = args.base_dir or scratch_dir(spark, "realtime")
     rt = start_realtime(spark, lines, base, args.threshold, args.slot_ms, args.available_now,
-                        mode=args.blacklist_mode)
+                        mode=args.blacklist_mode, trend_by=args.trend_by)
     rt.await_all()
 
 
@@ -85,6 +85,8 @@ def main(argv=None) -> None:
     r.add_argument("--available-now", action="store_true")
     r.add_argument("--blacklist-mode", choices=["state", "loop"], default="state",
                    help="counters in the state store (large streams) or the snapshot loop")
+    r.add_argument("--trend-by", choices=["event", "arrival"], default="event",
+                   help="window the last-hour trend by event time or by arrival")
     r.set_defaults(fn=_realtime)
 
     args = p.parse_args(argv)

@@ -77,8 +77,9 @@ def start_day_area(clicks: DataFrame, sink: DayAreaSink, checkpoint: str,
 
 
 def start_last_hour(clicks: DataFrame, sink: LastHourSink, checkpoint: str,
-                    available_now: bool = False, lateness: str = "65 minutes") -> StreamingQuery:
-    w = (ad_slot_stream(clicks, sink.slot_ms, lateness).writeStream.outputMode("update")
+                    available_now: bool = False, lateness: str = "65 minutes",
+                    arrival: bool = False) -> StreamingQuery:
+    w = (ad_slot_stream(clicks, sink.slot_ms, lateness, arrival).writeStream.outputMode("update")
          .foreachBatch(sink).option("checkpointLocation", checkpoint))
     return with_trigger(w, available_now).start()
 
@@ -86,12 +87,14 @@ def start_last_hour(clicks: DataFrame, sink: LastHourSink, checkpoint: str,
 def start_realtime(spark: SparkSession, lines: DataFrame, base_dir: str, threshold: int,
                    slot_ms: int = 5_000, available_now: bool = False, now_ms=None,
                    compact_every: int = 100, kept_files_per_trigger: int | None = None,
-                   mode: str = "state") -> Realtime:
+                   mode: str = "state", trend_by: str = "event") -> Realtime:
     """Start the four streaming queries; with ``available_now`` run them in order to the end.
 
     ``mode="state"`` keeps the blacklist counters in the state store
     (:class:`BlacklistState`, the form for large streams); ``mode="loop"``
     uses the snapshot loop (:class:`BlacklistLoop`), which keeps raw kept clicks.
+    ``trend_by="arrival"`` windows the last-hour trend by arrival, as the
+    original does; ``"event"`` (default) by event time.
     """
     base = base_dir.rstrip("/")
     good, bad = parsed_clicks(lines)
@@ -114,5 +117,6 @@ def start_realtime(spark: SparkSession, lines: DataFrame, base_dir: str, thresho
     day_area = DayAreaSink(f"{base}/day_area", compact_every=compact_every)
     last_hour = LastHourSink(f"{base}/last_hour", now_ms=now_ms, compact_every=compact_every)
     queries.append(start_day_area(kept, day_area, f"{base}/ck/day_area", available_now))
-    queries.append(start_last_hour(kept, last_hour, f"{base}/ck/last_hour", available_now))
+    queries.append(start_last_hour(kept, last_hour, f"{base}/ck/last_hour", available_now,
+                                   arrival=trend_by == "arrival"))
     return Realtime(base, bl, day_area, last_hour, queries)

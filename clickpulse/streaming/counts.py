@@ -8,9 +8,10 @@ watermark leave the state (the original ``updateStateByKey`` never forgets).
 for the days touched, re-ranks the top-3 ads per area (R7) from the table --
 ranking cannot run on the stream itself.
 
-R8 counts clicks per (ad, 5 s slot) the same way, with a watermark a little
-over an hour, and after each batch rebuilds the per-ad minute trend of the
-last 720 slots before "now" as JSON.
+R8 counts clicks per (ad, 5 s slot, minute label) the same way, with a
+watermark a little over an hour, and after each batch rebuilds the per-ad
+minute trend of the last 720 slots before "now" as JSON. Slots are event-time
+slots by default, or arrival slots (the original's window) on request.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.functions.timefmt import hour_minute
 from clickpulse.operators import ads
 from clickpulse.sources.keyed import KeyedTable
 
@@ -37,7 +37,8 @@ DAY_AREA_ADS_TOP3 = T.StructType([
     T.StructField("rank", T.LongType())])
 AD_SLOT_COUNTS = T.StructType([
     T.StructField("ads_id", T.StringType()), T.StructField("slot", T.LongType()),
-    T.StructField("cnt", T.LongType()), T.StructField("epoch_day", T.LongType())])
+    T.StructField("hm", T.StringType()), T.StructField("cnt", T.LongType()),
+    T.StructField("epoch_day", T.LongType())])
 LAST_HOUR_JSON = T.StructType([
     T.StructField("ads_id", T.StringType()), T.StructField("minutes_json", T.StringType())])
 
@@ -97,13 +98,27 @@ class DayAreaSink:
 
 
 # ------------------------------------------------------------------ R8
-def ad_slot_stream(clicks: DataFrame, slot_ms: int = 5_000, lateness: str = "65 minutes") -> DataFrame:
-    """Clicks per (ad, slot) with a watermark just over the trend's hour."""
-    ev = _event_time(clicks, slot_ms).withWatermark("event_time", lateness)
-    agg = (ev.groupBy("ads_id", F.window("event_time", f"{slot_ms} milliseconds").alias("w"))
+def ad_slot_stream(clicks: DataFrame, slot_ms: int = 5_000, lateness: str = "65 minutes",
+                   arrival: bool = False) -> DataFrame:
+    """Clicks per (ad, slot, event minute) with a watermark just over the trend's hour.
+
+    By default the slot is the click's event-time slot (deterministic on
+    replay). With ``arrival=True`` it is the slot of the micro-batch that
+    received the click -- ``current_timestamp()`` is the batch's trigger time
+    in a stream -- which is the original's window over arrival; the label is
+    still the click's own minute.
+    """
+    ev = _event_time(clicks, slot_ms)
+    ev = ev.withColumn("hm", F.date_format("event_time", "HH:mm"))
+    clock = "event_time"
+    if arrival:
+        ev = ev.withColumn("arrival_time", F.current_timestamp())
+        clock = "arrival_time"
+    ev = ev.withWatermark(clock, lateness)
+    agg = (ev.groupBy("ads_id", F.window(clock, f"{slot_ms} milliseconds").alias("w"), "hm")
            .agg(F.sum("_w").alias("count")))
     start_ms = F.unix_millis(F.col("w.start"))
-    return agg.select("ads_id", F.floor(start_ms / slot_ms).cast("long").alias("slot"),
+    return agg.select("ads_id", F.floor(start_ms / slot_ms).cast("long").alias("slot"), "hm",
                       F.col("count").cast("long").alias("cnt"),
                       F.floor(start_ms / 86_400_000).cast("long").alias("epoch_day"))
 
@@ -114,7 +129,7 @@ class LastHourSink:
     def __init__(self, out_dir: str, slot_ms: int = 5_000, span_ms: int = 3_600_000,
                  now_ms: Callable[[], int] | None = None, compact_every: int = 100):
         out_dir = out_dir.rstrip("/")
-        self.slots = KeyedTable(f"{out_dir}/ad_slot_counts", AD_SLOT_COUNTS, ["ads_id", "slot"],
+        self.slots = KeyedTable(f"{out_dir}/ad_slot_counts", AD_SLOT_COUNTS, ["ads_id", "slot", "hm"],
                                 ["epoch_day"], compact_every)
         self.trend = KeyedTable(f"{out_dir}/last_hour_json", LAST_HOUR_JSON, [], None, compact_every)
         self.slot_ms, self.span_ms = slot_ms, span_ms
@@ -126,8 +141,7 @@ class LastHourSink:
         days = F.col("epoch_day").between(lo // 86_400_000, hi // 86_400_000)
         cur = self.slots.current(spark, where=days)
         cur = cur.where((F.col("slot") >= lo // self.slot_ms) & (F.col("slot") < hi // self.slot_ms))
-        minutes = (cur.groupBy("ads_id", hour_minute(F.col("slot") * self.slot_ms).alias("hm"))
-                   .agg(F.sum("cnt").cast("long").alias("cnt")))
+        minutes = cur.groupBy("ads_id", "hm").agg(F.sum("cnt").cast("long").alias("cnt"))
         return ads.minutes_json(minutes)
 
     def __call__(self, changed: DataFrame, batch_id: int) -> None:

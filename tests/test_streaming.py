@@ -191,3 +191,20 @@ def test_blacklist_forms_survive_a_failed_batch(spark, clicks):
     assert rows(st.current_blacklist(spark)) == want_flags
     got = st.kept_counts(spark).groupBy("day", "user_id", "ads_id").agg(F.sum("n").cast("long").alias("cnt"))
     assert rows(got) == rows(ads.user_ad_day_counts(kept))
+
+
+def test_last_hour_by_arrival_labels_event_minutes(spark, clicks):
+    import time
+
+    from clickpulse.streaming.counts import LastHourSink
+
+    base = scratch_dir(spark, "t-arrival")
+    src = _write_in_order(spark, clicks, base, 2)
+    good, _ = app.parsed_clicks(text_lines(spark, src))
+    sink = LastHourSink(f"{base}/out")  # "now" = wall clock at each batch
+    app.start_last_hour(good, sink, f"{base}/ck", available_now=True, arrival=True).awaitTermination()
+    # every click arrived in this run, so the trend holds all of them by event minute
+    want = ads.minutes_json(ads.with_time_text(clicks).groupBy("ads_id", "hm")
+                            .agg(F.count(F.lit(1)).alias("cnt")))
+    assert rows(sink.current_trend(spark)) == rows(want)
+    assert rows(sink.trend_at(spark, int(time.time() * 1000) + 2 * 3_600_000)) == []
