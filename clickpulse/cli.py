@@ -49,7 +49,7 @@ def _realtime(args) -> None:
         lines = text_lines(spark, args.text_dir, args.max_files_per_trigger)
     base = args.base_dir or scratch_dir(spark, "realtime")
     rt = start_realtime(spark, lines, base, args.threshold, args.slot_ms, args.available_now,
-                        mode=args.blacklist_mode, trend_by=args.trend_by)
+                        mode=args.blacklist_mode, trend_by=args.trend_by, slots_by=args.slots_by)
     rt.await_all()
 
 
@@ -87,6 +87,8 @@ def main(argv=None) -> None:
                    help="counters in the state store (large streams) or the snapshot loop")
     r.add_argument("--trend-by", choices=["event", "arrival"], default="event",
                    help="window the last-hour trend by event time or by arrival")
+    r.add_argument("--slots-by", choices=["event", "arrival"], default="event",
+                   help="blacklist slots: event-time slices of --slot-ms, or the micro-batches")
     r.set_defaults(fn=_realtime)
 
     args = p.parse_args(argv)

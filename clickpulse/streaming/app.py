@@ -87,19 +87,21 @@ def start_last_hour(clicks: DataFrame, sink: LastHourSink, checkpoint: str,
 def start_realtime(spark: SparkSession, lines: DataFrame, base_dir: str, threshold: int,
                    slot_ms: int = 5_000, available_now: bool = False, now_ms=None,
                    compact_every: int = 100, kept_files_per_trigger: int | None = None,
-                   mode: str = "state", trend_by: str = "event") -> Realtime:
+                   mode: str = "state", trend_by: str = "event",
+                   slots_by: str = "event") -> Realtime:
     """Start the four streaming queries; with ``available_now`` run them in order to the end.
 
     ``mode="state"`` keeps the blacklist counters in the state store
     (:class:`BlacklistState`, the form for large streams); ``mode="loop"``
     uses the snapshot loop (:class:`BlacklistLoop`), which keeps raw kept clicks.
     ``trend_by="arrival"`` windows the last-hour trend by arrival, as the
-    original does; ``"event"`` (default) by event time.
+    original does; ``"event"`` (default) by event time. ``slots_by="arrival"``
+    makes each micro-batch one blacklist slot (state mode), as in the original.
     """
     base = base_dir.rstrip("/")
     good, bad = parsed_clicks(lines)
     if mode == "state":
-        bl = BlacklistState(f"{base}/blacklist", threshold, slot_ms)
+        bl = BlacklistState(f"{base}/blacklist", threshold, slot_ms, arrival=slots_by == "arrival")
         queries = [bl.start(good, f"{base}/ck/blacklist", available_now)]
     else:
         bl = BlacklistLoop(f"{base}/blacklist", threshold, slot_ms)

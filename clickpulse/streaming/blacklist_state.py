@@ -90,10 +90,13 @@ def user_step(threshold: int, lateness_days: int):
 
 class BlacklistState:
     def __init__(self, out_dir: str, threshold: int, slot_ms: int, lateness_days: int = 1,
-                 tick_ms: int = TICK_MS):
+                 tick_ms: int = TICK_MS, arrival: bool = False):
+        """``arrival=True``: the slot is the micro-batch itself (its trigger time),
+        so a flag takes effect from the next batch, as in the original; by default
+        the slot is the click's event-time slice of ``slot_ms``."""
         out_dir = out_dir.rstrip("/")
         self.threshold, self.slot_ms, self.lateness_days = threshold, slot_ms, lateness_days
-        self.tick_ms = tick_ms
+        self.tick_ms, self.arrival = tick_ms, arrival
         self.kept = KeyedTable(f"{out_dir}/kept_counts", KEPT_COUNTS, [])
         self.flags = KeyedTable(f"{out_dir}/blacklist", FLAGS, ["user_id"], compact_every=100)
 
@@ -103,9 +106,11 @@ class BlacklistState:
 
     def transform(self, clicks: DataFrame) -> DataFrame:
         """Clicks -> kept counts and flag rows, stateful per user."""
+        # the trigger time is one value per micro-batch and grows batch by batch
+        batch_slot = F.unix_micros(F.current_timestamp())
         c = clicks.select("user_id", "area", "city", "ads_id",
                           day_string(F.col("ts")).alias("day"),
-                          slot(F.col("ts"), self.slot_ms).alias("slot"),
+                          (batch_slot if self.arrival else slot(F.col("ts"), self.slot_ms)).alias("slot"),
                           slot(F.col("ts"), self.tick_ms).alias("tick"))
         return c.groupBy("user_id").applyInPandasWithState(
             user_step(self.threshold, self.lateness_days), OUT, STATE, "append", "NoTimeout")

@@ -208,3 +208,38 @@ def test_last_hour_by_arrival_labels_event_minutes(spark, clicks):
                             .agg(F.count(F.lit(1)).alias("cnt")))
     assert rows(sink.current_trend(spark)) == rows(want)
     assert rows(sink.trend_at(spark, int(time.time() * 1000) + 2 * 3_600_000)) == []
+
+
+def test_blacklist_by_arrival_flags_from_the_next_batch(spark, clicks):
+    import pandas as pd
+
+    from clickpulse.streaming.blacklist_state import BlacklistState
+
+    pieces = 5
+    base = scratch_dir(spark, "t-arrival-bl")
+    src = _write_in_order(spark, clicks, base, pieces)
+    good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
+    bl = BlacklistState(f"{base}/out", THRESHOLD, HOUR, arrival=True)
+    bl.start(good, f"{base}/ck", available_now=True).awaitTermination()
+
+    # brute force: batch b = file b; a user listed in batch b loses batches > b
+    pdf = ads.with_time_text(clicks).toPandas()
+    lo, hi = pdf["ts"].min(), pdf["ts"].max() + 1
+    step = (hi - lo) // pieces + 1
+    pdf["batch"] = (pdf["ts"] - lo) // step
+    flagged, kept = {}, []
+    for b in range(pieces):
+        part = pdf[(pdf["batch"] == b) & ~pdf["user_id"].map(lambda u: u in flagged and flagged[u] < b)]
+        kept.append(part)
+        so_far = pd.concat(kept)
+        per = so_far.groupby(["user_id", "day", "ads_id"]).size()
+        for (u, _, _), n in per.items():
+            if n >= THRESHOLD and u not in flagged:
+                flagged[u] = b
+    kept = pd.concat(kept)
+    got_users = sorted(r["user_id"] for r in bl.current_blacklist(spark).collect())
+    assert got_users == sorted(flagged)
+    got = {(r["day"], r["user_id"], r["ads_id"]): r["cnt"] for r in bl.kept_counts(spark)
+           .groupBy("day", "user_id", "ads_id").agg(F.sum("n").alias("cnt")).collect()}
+    want = {k: int(v) for k, v in kept.groupby(["day", "user_id", "ads_id"]).size().items()}
+    assert got == want
