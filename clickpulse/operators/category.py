@@ -126,14 +126,8 @@ def _metric_counts(visits: DataFrame) -> DataFrame:
     return rows.groupBy("m", "c", "s").agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_category_sessions(visits: DataFrame, task_id: str, n_categories: int = 10,
-                          n_sessions: int = 10) -> tuple[DataFrame, DataFrame]:
-    """R1 and R2 from one scan: (top categories, their top sessions).
-
-    Both results read the same aggregate, so Spark reuses its shuffle and the
-    fact table is read once. Same results as :func:`category_top10` and
-    :func:`category_session_top10`.
-    """
+def _top_and_session_counts(visits: DataFrame, task_id: str,
+                            n_categories: int) -> tuple[DataFrame, DataFrame]:
     agg = _metric_counts(visits)
     m, n = F.col("m"), F.col("n")
     # Each branch keeps its rows with a test on the count column: a filter on
@@ -152,6 +146,23 @@ def top_category_sessions(visits: DataFrame, task_id: str, n_categories: int = 1
                 .select(F.col("c").alias("category_id"), F.col("s").alias("session_id"),
                         F.col("n").alias("click_count"))
                 .join(F.broadcast(top.select("category_id")), "category_id", "left_semi"))
+    return top, sessions
+
+
+def top_category_session_counts(visits: DataFrame, task_id: str, n_categories: int = 10) -> DataFrame:
+    """A3 from one scan: actions per (top category, session), as :func:`category_session_counts`."""
+    return _top_and_session_counts(visits, task_id, n_categories)[1]
+
+
+def top_category_sessions(visits: DataFrame, task_id: str, n_categories: int = 10,
+                          n_sessions: int = 10) -> tuple[DataFrame, DataFrame]:
+    """R1 and R2 from one scan: (top categories, their top sessions).
+
+    Both results read the same aggregate, so Spark reuses its shuffle and the
+    fact table is read once. Same results as :func:`category_top10` and
+    :func:`category_session_top10`.
+    """
+    top, sessions = _top_and_session_counts(visits, task_id, n_categories)
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     best = (sessions.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n_sessions)
             .select(F.lit(task_id).alias("task_id"), "category_id", "session_id",

@@ -55,8 +55,7 @@ def _category_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _category_session_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _filtered(spark, sf_dir)
-    return category.category_session_counts(v, category.category_top10(v, TASK_ID))
+    return category.top_category_session_counts(_filtered(spark, sf_dir), TASK_ID)
 
 
 def _category_session_top10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -265,3 +265,5 @@ def test_single_scan_r1_r2_equal_separate_forms(spark):
     # every action whose click category reads "-1" counts for that category
     assert rows(sessions) == rows(category.category_session_top10(v, category.category_top10(v, "t"), "t"))
     assert ("t", "-1", "s9", 30) in rows(sessions)
+    assert rows(category.top_category_session_counts(v, "t")) == rows(
+        category.category_session_counts(v, category.category_top10(v, "t")))

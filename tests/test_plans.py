@@ -29,7 +29,8 @@ def events_scans(plan: str) -> int:
     return len(re.findall(r"FileScan parquet [^\n]*events\.parquet", plan))
 
 
-@pytest.mark.parametrize("name", ["category_session_top10", "page_conversion", "area_product_top3",
+@pytest.mark.parametrize("name", ["category_session_top10", "category_session_counts",
+                                  "page_conversion", "area_product_top3",
                                   "user_ad_day_counts", "day_area_ads_top3_json"])
 def test_fact_table_read_once(spark, name):
     assert events_scans(final_plan(spark, name)) == 1
