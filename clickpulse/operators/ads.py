@@ -105,9 +105,22 @@ def blacklist_users(clicks: DataFrame, threshold: int, slot_ms: int) -> DataFram
     return flag_users(slot_counts(clicks, slot_ms), threshold)
 
 
-def blacklist_replay(clicks: DataFrame, threshold: int, slot_ms: int) -> DataFrame:
-    """R5 filter: the clicks the blacklist lets through, slot by slot."""
-    return kept_clicks(clicks, blacklist_users(clicks, threshold, slot_ms), slot_ms)
+def blacklist_replay(clicks: DataFrame, threshold: int, slot_ms: int,
+                     broadcast_rows: int = 1_000_000) -> DataFrame:
+    """R5 filter: the clicks the blacklist lets through, slot by slot.
+
+    The flag list (one row per listed user) is computed first and cut from
+    its lineage with a reliable ``checkpoint()`` in the shared checkpoint
+    dir; if it has at most ``broadcast_rows`` rows it is broadcast, so the
+    raw clicks are filtered where they are read instead of being shuffled.
+    A longer list takes the shuffle join.
+    """
+    from clickpulse.functions.sizing import broadcast_if_small
+    from clickpulse.session import scratch_dir
+
+    scratch_dir(clicks.sparkSession, "flags")  # a checkpoint dir exists (set only if absent)
+    flags = blacklist_users(clicks, threshold, slot_ms).checkpoint(eager=True)
+    return kept_clicks(clicks, broadcast_if_small(flags, broadcast_rows), slot_ms)
 
 
 def user_ad_day_counts(kept: DataFrame) -> DataFrame:
