@@ -118,6 +118,18 @@ class KeyedTable:
             out = out.unionByName(p)
         return out
 
+    def version_complete(self, spark: SparkSession, version: int) -> bool:
+        """True when the write of ``version`` finished (its ``_SUCCESS`` marker exists).
+
+        Streams that feed other streams use this to never rewrite a finished
+        version: new file names would be read twice downstream.
+        """
+        try:
+            spark.read.text(f"{self.version_path(version, spark)}/_SUCCESS")
+            return True
+        except AnalysisException:
+            return False
+
     def read_path(self, spark: SparkSession, path: str) -> DataFrame | None:
         try:
             return spark.read.schema(self._file_schema()).parquet(path)

@@ -93,7 +93,8 @@ class BlacklistLoop:
                        - dt.timedelta(days=self.lateness_days)).isoformat()
             counters = counters.where(F.col("day") >= F.lit(horizon))
 
-        self.kept.write(kept, batch_id)
+        if not self.kept.version_complete(spark, batch_id):  # read downstream: never rewrite
+            self.kept.write(kept, batch_id)
         self.counters.write(counters, batch_id)
         self.blacklist.write(blacklist, batch_id)
         self.commits.write(spark.createDataFrame([(int(batch_id),)], COMMIT), batch_id)

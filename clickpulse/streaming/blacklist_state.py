@@ -116,9 +116,12 @@ class BlacklistState:
             user_step(self.threshold, self.lateness_days), OUT, STATE, "append", "NoTimeout")
 
     def __call__(self, out: DataFrame, batch_id: int) -> None:
+        spark = out.sparkSession
         out = out.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self.kept.write(out.where(F.col("flag_slot").isNull()).select(*KEPT_COUNTS.names), batch_id)
+            # the kept counts feed other streams: a finished version is never rewritten
+            if not self.kept.version_complete(spark, batch_id):
+                self.kept.write(out.where(F.col("flag_slot").isNull()).select(*KEPT_COUNTS.names), batch_id)
             self.flags.write(out.where(F.col("flag_slot").isNotNull()).select(*FLAGS.names), batch_id)
         finally:
             out.unpersist()

@@ -122,6 +122,13 @@ def test_realtime_app_state_mode(spark, clicks):
     assert rows(rt.last_hour.current_trend(spark)) == rows(ads.minutes_json(ads.last_hour_minutes(kept, end)))
 
 
+def _files(path):
+    import os
+
+    local = path[5:] if path.startswith("file:") else path
+    return sorted(f for f in os.listdir(local) if f.endswith(".parquet"))
+
+
 class _FailOnce:
     """Wraps a foreachBatch sink: on ``batch`` it raises after the first table write."""
 
@@ -137,6 +144,7 @@ class _FailOnce:
             def write_then_fail(d, v):
                 real(d, v)
                 table.write = real
+                self.files_after_failure = _files(table.version_path(v))
                 raise RuntimeError("simulated loss in the middle of a batch")
 
             table.write = write_then_fail
@@ -174,6 +182,7 @@ def test_blacklist_forms_survive_a_failed_batch(spark, clicks):
 
     _run_until_done(spark, loop_query)
     assert not wrapped.armed
+    assert wrapped.files_after_failure == _files(loop.kept.version_path(1)), "version 1 was rewritten"
     assert rows(loop.current_blacklist(spark)) == want_flags
     assert rows(loop.kept_clicks(spark)) == rows(kept)  # batch 1 written once
 
@@ -188,6 +197,7 @@ def test_blacklist_forms_survive_a_failed_batch(spark, clicks):
 
     _run_until_done(spark, state_query)
     assert not wrapped_st.armed
+    assert wrapped_st.files_after_failure == _files(st.kept.version_path(1)), "version 1 was rewritten"
     assert rows(st.current_blacklist(spark)) == want_flags
     got = st.kept_counts(spark).groupBy("day", "user_id", "ads_id").agg(F.sum("n").cast("long").alias("cnt"))
     assert rows(got) == rows(ads.user_ad_day_counts(kept))
