@@ -7,11 +7,15 @@ each user's state is its flagging slot and its counts of the open days, kept
 by Spark's state store and checkpointed with the query, so a batch touches
 only the users that clicked in it.
 
-Per user and batch the function folds the clicks chunk by chunk into counts
-per (slot, day, area, city, ad) -- memory is bounded by those distinct keys,
-not by the user's click count -- then walks the slots in order: a listed user
-keeps its clicks up to its flagging slot; a running (day, ad) count reaching
-the threshold lists the user at that slot (T6, T7). It emits the kept counts
+Before the shuffle by user a stateless ``mapInPandas`` step combines each
+chunk of a partition into counts per (user, day, area, city, ad, slot), the
+map-side combine a stateful operator does not do by itself, so a hot user
+ships one row per key and chunk rather than one per click. Per user and
+batch the state function folds those counts chunk by chunk -- memory is
+bounded by the distinct keys, not by the user's click count -- then walks
+the slots in order: a listed user keeps its clicks up to its flagging slot;
+a running (day, ad) count reaching the threshold lists the user at that slot
+(T6, T7). It emits the kept counts
 (with a 5 s ``tick`` for the last-hour trend) and, once, the new flag.
 ``foreachBatch`` writes both as version ``batch_id`` (idempotent on retry);
 R6-R8 read the kept counts as a stream and sum them.
@@ -42,6 +46,22 @@ FLAGS = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("f
 OUT = T.StructType(KEPT_COUNTS.fields + [T.StructField("flag_slot", T.LongType())])
 STATE = "flag_slot LONG, counts STRING"
 _KEYS = ["slot", "tick", "day", "area", "city", "ads_id"]
+COMBINED = T.StructType([
+    T.StructField("user_id", T.StringType()), T.StructField("area", T.StringType()),
+    T.StructField("city", T.StringType()), T.StructField("ads_id", T.StringType()),
+    T.StructField("day", T.StringType()), T.StructField("slot", T.LongType()),
+    T.StructField("tick", T.LongType()), T.StructField("n", T.LongType())])
+
+
+def combine_chunks(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Map-side combine before the shuffle by user: each Arrow chunk of a
+    partition becomes counts per (user, day, area, city, ad, slot, tick).
+    Stateless, so a stream may run it ahead of the per-user state step."""
+    keys = ["user_id"] + _KEYS
+    for c in chunks:
+        if len(c):
+            g = c.groupby(keys, sort=False, dropna=False).size().rename("n").reset_index()
+            yield g[[f.name for f in COMBINED.fields]]
 TICK_MS = 5_000  # the finer time key kept for the last-hour trend
 
 
@@ -55,7 +75,7 @@ def user_step(threshold: int, lateness_days: int):
             flag, text = state.get
             flag = None if flag is None or pd.isna(flag) else int(flag)
             counts = json.loads(text) if text else {}
-        parts = [c.groupby(_KEYS, sort=False, dropna=False).size() for c in chunks if len(c)]
+        parts = [c.groupby(_KEYS, sort=False, dropna=False)["n"].sum() for c in chunks if len(c)]
         if not parts:
             return
         agg = pd.concat(parts).groupby(level=list(range(len(_KEYS))), dropna=False).sum()
@@ -112,7 +132,8 @@ class BlacklistState:
                           day_string(F.col("ts")).alias("day"),
                           (batch_slot if self.arrival else slot(F.col("ts"), self.slot_ms)).alias("slot"),
                           slot(F.col("ts"), self.tick_ms).alias("tick"))
-        return c.groupBy("user_id").applyInPandasWithState(
+        combined = c.mapInPandas(combine_chunks, COMBINED)
+        return combined.groupBy("user_id").applyInPandasWithState(
             user_step(self.threshold, self.lateness_days), OUT, STATE, "append", "NoTimeout")
 
     def __call__(self, out: DataFrame, batch_id: int) -> None:
