@@ -131,3 +131,24 @@ def test_jdbc_writer_calls(fn, expected):
     assert log[1:-1] == expected
     assert log[-1] == ("jdbc", "jdbc:mysql://db/mall", "category_top10",
                        {"batchsize": "1000", "user": "u", "password": "p"})
+
+
+def test_cli_offline_writes_tables(spark, tmp_path):
+    import json
+
+    import __spark_entry__ as E
+    from clickpulse.cli import main
+    from clickpulse.plans.params import COND, TASK_ID
+
+    from .conftest import SF_SMALL
+
+    cond = tmp_path / "cond.json"
+    cond.write_text(json.dumps({"startDate": COND.start_date, "endDate": COND.end_date,
+                                "startAge": str(COND.start_age), "endAge": str(COND.end_age),
+                                "targetPageFlow": COND.target_page_flow}))
+    spark.sql("CREATE DATABASE IF NOT EXISTS cli_out")
+    main(["offline", "--sf-dir", SF_SMALL, "--condition", str(cond), "--task-id", TASK_ID,
+          "--out-database", "cli_out"])
+    q = E.queries()
+    assert rows(spark.table("cli_out.page_conversion_rate")) == rows(q["page_conversion"](spark, SF_SMALL))
+    assert rows(spark.table("cli_out.category_top10")) == rows(q["category_top10"](spark, SF_SMALL))
