@@ -44,7 +44,8 @@ def _offline(args) -> None:
 def _realtime(args) -> None:
     spark = get_session(args.master, args.shuffle_partitions, cluster=args.cluster)
     if args.kafka_servers:
-        lines = kafka_lines(spark, args.kafka_servers, args.topic)
+        lines = kafka_lines(spark, args.kafka_servers, args.topic, group_id=args.group_id,
+                            max_offsets_per_trigger=args.max_offsets_per_trigger)
     else:
         lines = text_lines(spark, args.text_dir, args.max_files_per_trigger)
     base = args.base_dir or scratch_dir(spark, "realtime")
@@ -78,6 +79,8 @@ def main(argv=None) -> None:
     rs.add_argument("--text-dir", help="folder watched for new ad-log text files")
     rs.add_argument("--kafka-servers")
     r.add_argument("--topic", default="ads_log")
+    r.add_argument("--group-id")
+    r.add_argument("--max-offsets-per-trigger", type=int)
     r.add_argument("--base-dir", help="shared folder for state, sinks and checkpoints")
     r.add_argument("--threshold", type=int, default=100_000)
     r.add_argument("--slot-ms", type=int, default=5_000)

@@ -13,9 +13,12 @@ BATCH_INTERVAL = "5 seconds"
 
 
 def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str,
-                starting_offsets: str = "latest", extra: dict | None = None) -> DataFrame:
+                starting_offsets: str = "latest", group_id: str | None = None,
+                max_offsets_per_trigger: int | None = None, extra: dict | None = None) -> DataFrame:
     """S3: subscribe to one topic, newest offsets first; offsets live in the checkpoint.
 
+    ``group_id`` names the consumer group (for monitoring; progress is the
+    checkpoint's), ``max_offsets_per_trigger`` bounds each micro-batch.
     Needs the ``spark-sql-kafka`` connector on the classpath; without it Spark
     raises when the query is defined.
     """
@@ -23,6 +26,10 @@ def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str,
          .option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", topic)
          .option("startingOffsets", starting_offsets))
+    if group_id:
+        r = r.option("kafka.group.id", group_id)
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in (extra or {}).items():
         r = r.option(k, v)
     return r.load().selectExpr("CAST(value AS STRING) AS value")
