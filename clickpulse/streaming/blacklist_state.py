@@ -24,10 +24,11 @@ R6-R8 read the kept counts as a stream and sum them.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,11 @@ from clickpulse.functions.timefmt import day_string, slot
 from clickpulse.sources.keyed import KeyedTable
 from clickpulse.sources.streams import with_trigger
 
+# The pandas functions below run on the executors. Ship them by value so the
+# workers need not import this package (on a cluster, ``--py-files`` with the
+# package zip works as well).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KEPT_COUNTS = T.StructType([
     T.StructField("user_id", T.StringType()), T.StructField("day", T.StringType()),
     T.StructField("area", T.StringType()), T.StructField("city", T.StringType()),
