@@ -51,3 +51,16 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["area", "product_name", "click_count", "city_remark", "rank"]
     assert df.count() == 23
+
+
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+          "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_column_types_match_oracle(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    mine = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    rel = _duck(SF_SMALL).sql(ORACLE[name])
+    theirs = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert mine == theirs
