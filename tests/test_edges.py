@@ -267,3 +267,17 @@ def test_single_scan_r1_r2_equal_separate_forms(spark):
     assert ("t", "-1", "s9", 30) in rows(sessions)
     assert rows(category.top_category_session_counts(v, "t")) == rows(
         category.category_session_counts(v, category.category_top10(v, "t")))
+
+
+def test_hash_views_of_stream_results(spark):
+    from clickpulse.sources import hashview
+
+    day_ms = 1_704_067_200_000
+    c = _clicks(spark, [(day_ms, "n", "A", "1", "2"), (day_ms, "n", "A", "1", "2"), (day_ms, "n", "B", "1", "3")])
+    r6 = hashview.day_area_city_ads_hash(ads.day_area_city_ads(c))
+    assert rows(r6) == [("area:city:ads:2024-01-01", "n:A:2", "2"), ("area:city:ads:2024-01-01", "n:B:3", "1")]
+    top = ads.day_area_ads_top3_json(ads.day_area_ads_top3(ads.day_area_ads(ads.day_area_city_ads(c))))
+    assert rows(hashview.day_area_ads_top3_hash(top)) == [("area:ads:top3:2024-01-01", "n", '[{"2":2},{"3":1}]')]
+    trend = ads.minutes_json(ads.last_hour_minutes(c, day_ms))
+    assert rows(hashview.last_hour_hash(trend)) == [("last:hour:ads", "2", '[{"00:00":2}]'),
+                                                    ("last:hour:ads", "3", '[{"00:00":1}]')]
