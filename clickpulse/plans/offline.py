@@ -32,6 +32,8 @@ _SHARED_COLS = ["session_id", "action_time", "page_id", "click_category_id",
 
 @dataclass
 class OfflineResults:
+    """The four batch results, lazily built."""
+
     category_top10: DataFrame
     category_session_top10: DataFrame
     page_conversion: DataFrame

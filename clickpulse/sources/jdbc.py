@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, DataFrameWriter
 
 @dataclass
 class JdbcTarget:
+    """Where and how to write: URL, credentials, driver, batch size, parallel writers."""
+
     url: str
     user: str | None = None
     password: str | None = None

@@ -32,6 +32,8 @@ _DONE = T.StructType([T.StructField("done", T.LongType())])
 
 
 class KeyedTable:
+    """A keyed table of versions: ``write(df, version)``, ``current()`` (see module doc)."""
+
     def __init__(self, path: str, schema: T.StructType, group_cols: list[str],
                  partition_cols: list[str] | None = None, compact_every: int | None = None):
         self.path = path.rstrip("/")

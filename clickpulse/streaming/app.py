@@ -38,6 +38,8 @@ from clickpulse.streaming.counts import (
 
 @dataclass
 class Realtime:
+    """The running realtime application: its sinks and streaming queries."""
+
     base_dir: str
     blacklist: BlacklistLoop | BlacklistState
     day_area: DayAreaSink
@@ -50,12 +52,14 @@ class Realtime:
 
 
 def parsed_clicks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S4 on a stream of lines: (good clicks, rejected lines)."""
     parsed = ads.parse_ad_lines(lines)
     return ads.good_lines(parsed), ads.bad_lines(parsed)
 
 
 def kept_click_stream(spark: SparkSession, loop: BlacklistLoop,
                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """The kept clicks of a :class:`BlacklistLoop` as a file stream."""
     schema = T.StructType(ADS_INFO.fields + [T.StructField("v", T.LongType())])
     r = spark.readStream.schema(schema).option("basePath", loop.kept_path)
     if max_files_per_trigger:
@@ -65,12 +69,14 @@ def kept_click_stream(spark: SparkSession, loop: BlacklistLoop,
 
 def start_blacklist(clicks: DataFrame, loop: BlacklistLoop, checkpoint: str,
                     available_now: bool = False) -> StreamingQuery:
+    """R5 snapshot loop as a streaming query."""
     w = clicks.writeStream.foreachBatch(loop).option("checkpointLocation", checkpoint)
     return with_trigger(w, available_now).start()
 
 
 def start_day_area(clicks: DataFrame, sink: DayAreaSink, checkpoint: str,
                    available_now: bool = False, lateness: str = "1 day") -> StreamingQuery:
+    """R6 running counts (update mode) into ``sink``, which also re-ranks R7."""
     w = (day_area_city_ads_stream(clicks, lateness).writeStream.outputMode("update")
          .foreachBatch(sink).option("checkpointLocation", checkpoint))
     return with_trigger(w, available_now).start()
@@ -79,6 +85,7 @@ def start_day_area(clicks: DataFrame, sink: DayAreaSink, checkpoint: str,
 def start_last_hour(clicks: DataFrame, sink: LastHourSink, checkpoint: str,
                     available_now: bool = False, lateness: str = "65 minutes",
                     arrival: bool = False) -> StreamingQuery:
+    """R8 slot counts (update mode) into ``sink``, which rebuilds the trend JSON."""
     w = (ad_slot_stream(clicks, sink.slot_ms, lateness, arrival).writeStream.outputMode("update")
          .foreachBatch(sink).option("checkpointLocation", checkpoint))
     return with_trigger(w, available_now).start()

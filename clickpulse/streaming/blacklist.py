@@ -40,6 +40,8 @@ COMMIT = T.StructType([T.StructField("batch_id", T.LongType())])
 
 
 class BlacklistLoop:
+    """R5 as a ``foreachBatch`` function over versioned snapshots (see module doc)."""
+
     def __init__(self, state_dir: str, threshold: int, slot_ms: int, lateness_days: int = 1):
         self.state_dir = state_dir.rstrip("/")
         self.threshold = threshold

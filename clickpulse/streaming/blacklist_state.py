@@ -115,6 +115,9 @@ def user_step(threshold: int, lateness_days: int):
 
 
 class BlacklistState:
+    """R5 on a stream with per-user state: ``start`` it on parsed clicks; read the
+    blacklist and the kept counts back; stream the kept counts on to R6-R8."""
+
     def __init__(self, out_dir: str, threshold: int, slot_ms: int, lateness_days: int = 1,
                  tick_ms: int = TICK_MS, arrival: bool = False):
         """``arrival=True``: the slot is the micro-batch itself (its trigger time),

@@ -24,6 +24,7 @@ from clickpulse.streaming.counts import DayAreaSink, LastHourSink
 
 def write_log(spark: SparkSession, sf_dir: str, name: str,
               max_files_per_trigger: int | None = None) -> tuple[str, DataFrame]:
+    """Write the ad clicks of the tables as text lines; return (folder, line stream)."""
     base = scratch_dir(spark, name)
     ads.to_lines(MallTables(spark, sf_dir).ads()).write.mode("overwrite").text(f"{base}/src")
     return base, text_lines(spark, f"{base}/src", max_files_per_trigger)
