@@ -63,3 +63,28 @@ def test_counts_are_combined_map_side(spark):
     # the first shuffle after the scan carries (city_id, product_id) partial counts
     first = plan[plan.rfind("Exchange hashpartitioning"):]
     assert "city_id" in first and "partial_count" in plan[plan.rfind("Exchange hashpartitioning"):]
+
+
+def _stream_plan(q) -> str:
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        q.explain()
+    return buf.getvalue()
+
+
+def test_stream_plans_combine_before_the_shuffle(spark):
+    from clickpulse.streaming import app, replay
+    from clickpulse.streaming.blacklist_state import BlacklistState
+    from clickpulse.streaming.counts import DayAreaSink
+
+    base, lines = replay.write_log(spark, SF_SMALL, "t-stream-plans")
+    good, _ = app.parsed_clicks(lines)
+    q = app.start_day_area(good, DayAreaSink(f"{base}/out"), f"{base}/ck", available_now=True)
+    q.awaitTermination()
+    r6 = _stream_plan(q)
+    assert r6.index("StateStoreSave") < r6.index("Exchange") < r6.index("partial_sum")
+    bl = BlacklistState(f"{base}/bl", 3, 3_600_000)
+    q2 = bl.start(good, f"{base}/ck2", available_now=True)
+    q2.awaitTermination()
+    r5 = _stream_plan(q2)
+    assert r5.index("FlatMapGroupsInPandasWithState") < r5.index("Exchange") < r5.index("MapInPandas")
