@@ -71,8 +71,14 @@ def combine_chunks(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 TICK_MS = 5_000  # the finer time key kept for the last-hour trend
 
 
-def user_step(threshold: int, lateness_days: int):
-    """The per-user state function (pandas inside one task, one user at a time)."""
+def user_step(threshold: int, lateness_days: int, tick_ms: int = TICK_MS):
+    """The per-user state function (pandas inside one task, one user at a time).
+
+    A user idle for longer than the lateness bound times out: a user never
+    listed drops its state, a listed one keeps only its flag (the list is
+    permanent). Both only drop counters of days the watermark has closed.
+    """
+    lateness_ms = lateness_days * 86_400_000
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         (user_id,) = key
@@ -81,6 +87,12 @@ def user_step(threshold: int, lateness_days: int):
             flag, text = state.get
             flag = None if flag is None or pd.isna(flag) else int(flag)
             counts = json.loads(text) if text else {}
+        if state.hasTimedOut:
+            if flag is None:
+                state.remove()
+            else:
+                state.update((flag, "{}"))
+            return
         parts = [c.groupby(_KEYS, sort=False, dropna=False)["n"].sum() for c in chunks if len(c)]
         if not parts:
             return
@@ -104,6 +116,8 @@ def user_step(threshold: int, lateness_days: int):
             horizon = (pd.Timestamp(newest) - pd.Timedelta(days=lateness_days)).strftime("%Y-%m-%d")
             counts = {k: v for k, v in counts.items() if k.split("|", 1)[0] >= horizon}
         state.update((flag, json.dumps(counts)))
+        newest_ms = int(agg["tick"].max()) * tick_ms if len(agg) else 0
+        state.setTimeoutTimestamp(max(newest_ms + lateness_ms, state.getCurrentWatermarkMs() + 1))
         out = agg.assign(user_id=user_id, flag_slot=None)
         if new_flag is not None:
             out = pd.concat([out, pd.DataFrame([{"user_id": user_id, "n": 0, "flag_slot": new_flag}])],
@@ -142,8 +156,13 @@ class BlacklistState:
                           (batch_slot if self.arrival else slot(F.col("ts"), self.slot_ms)).alias("slot"),
                           slot(F.col("ts"), self.tick_ms).alias("tick"))
         combined = c.mapInPandas(combine_chunks, COMBINED)
+        # event-time watermark on the combined rows (tick resolution): it drives
+        # the timeouts that retire idle users' state
+        combined = (combined.withColumn("_tick_time", F.timestamp_millis(F.col("tick") * F.lit(self.tick_ms)))
+                    .withWatermark("_tick_time", f"{self.lateness_days} days"))
         return combined.groupBy("user_id").applyInPandasWithState(
-            user_step(self.threshold, self.lateness_days), OUT, STATE, "append", "NoTimeout")
+            user_step(self.threshold, self.lateness_days, self.tick_ms), OUT, STATE, "append",
+            "EventTimeTimeout")
 
     def __call__(self, out: DataFrame, batch_id: int) -> None:
         spark = out.sparkSession

@@ -253,3 +253,31 @@ def test_blacklist_by_arrival_flags_from_the_next_batch(spark, clicks):
            .groupBy("day", "user_id", "ads_id").agg(F.sum("n").alias("cnt")).collect()}
     want = {k: int(v) for k, v in kept.groupby(["day", "user_id", "ads_id"]).size().items()}
     assert got == want
+
+
+def test_idle_users_state_is_retired(spark):
+    from clickpulse.streaming.blacklist_state import BlacklistState
+
+    base = scratch_dir(spark, "t-evict")
+    day = 86_400_000
+    t0 = 1_704_067_200_000
+    for d in range(5):
+        rs = [(t0 + d * day + 1000, "n", "A", "b", "1")]  # B every day, below the threshold
+        if d == 0:
+            rs += [(t0 + 2000, "n", "A", "a", "1")]  # A once
+            rs += [(t0 + 3000 + i, "n", "A", "c", "1") for i in range(THRESHOLD)]  # C listed on day 1
+        ads.to_lines(_clicks_df(spark, rs)).coalesce(1).write.mode("overwrite").text(f"{base}/src/d={d}")
+    good, _ = app.parsed_clicks(text_lines(spark, f"{base}/src", max_files_per_trigger=1))
+    bl = BlacklistState(f"{base}/out", THRESHOLD, HOUR)
+    bl.start(good, f"{base}/ck", available_now=True).awaitTermination()
+    assert rows(bl.current_blacklist(spark).select("user_id")) == [("c",)]
+    state = spark.read.format("statestore").load(f"{base}/ck")
+    kept = {r["key"]["user_id"]: (r["value"]["groupState"]["flag_slot"], r["value"]["groupState"]["counts"])
+            for r in state.collect()}
+    assert "a" not in kept  # idle and never listed: removed
+    assert kept["c"] == (t0 // HOUR, "{}")  # idle and listed: only the flag stays
+    assert "b" in kept
+
+
+def _clicks_df(spark, rs):
+    return spark.createDataFrame(rs, "ts long, area string, city string, user_id string, ads_id string")
