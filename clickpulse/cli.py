@@ -4,6 +4,7 @@
                                   [--out-database DB | --jdbc-url URL ...] [--task-id ID]
     python -m clickpulse realtime --text-dir DIR | --kafka-servers S --topic T
                                   --base-dir DIR [--threshold N] [--available-now]
+    python -m clickpulse generate [--database DB] [--sessions N] [--seed S]
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from clickpulse.sources import jdbc
 from clickpulse.sources.catalog import CatalogTables, save_table
 from clickpulse.sources.fixtures import MallTables
 from clickpulse.sources.streams import kafka_lines, text_lines
+from clickpulse.sources.synth import SynthConfig, write_tables
 from clickpulse.streaming.app import start_realtime
 
 
@@ -54,6 +56,15 @@ def _realtime(args) -> None:
     rt.await_all()
 
 
+def _generate(args) -> None:
+    spark = get_session(args.master, args.shuffle_partitions, cluster=args.cluster)
+    if args.database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
+    cfg = SynthConfig(seed=args.seed, users=args.users, products=args.products, sessions=args.sessions,
+                      start_date=args.start_date, end_date=args.end_date)
+    write_tables(spark, cfg, args.database)
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="clickpulse")
     p.add_argument("--master")
@@ -94,6 +105,16 @@ def main(argv=None) -> None:
                    help="blacklist slots: event-time slices of --slot-ms, or the micro-batches")
     r.set_defaults(fn=_realtime)
 
+    g = sub.add_parser("generate", help="write seeded user_visit_action, user_info, city_info, product_info")
+    g.add_argument("--database")
+    g.add_argument("--seed", type=int, default=42)
+    g.add_argument("--sessions", type=int, default=10_000)
+    g.add_argument("--users", type=int, default=100)
+    g.add_argument("--products", type=int, default=100)
+    g.add_argument("--start-date", default="2019-06-12")
+    g.add_argument("--end-date", default="2019-06-15")
+    g.set_defaults(fn=_generate)
+
     args = p.parse_args(argv)
     args.fn(args)
 

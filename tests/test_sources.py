@@ -152,3 +152,13 @@ def test_cli_offline_writes_tables(spark, tmp_path):
     q = E.queries()
     assert rows(spark.table("cli_out.page_conversion_rate")) == rows(q["page_conversion"](spark, SF_SMALL))
     assert rows(spark.table("cli_out.category_top10")) == rows(q["category_top10"](spark, SF_SMALL))
+
+
+def test_cli_generate_then_offline_from_the_catalog(spark):
+    from clickpulse.cli import main
+
+    main(["generate", "--database", "gen_db", "--sessions", "200", "--users", "20", "--seed", "3"])
+    assert spark.table("gen_db.city_info").count() == 26
+    main(["offline", "--database", "gen_db", "--task-id", "g", "--out-database", "gen_db"])
+    assert spark.table("gen_db.category_top10").count() == 10
+    assert spark.table("gen_db.area_product_click").count() >= 7
