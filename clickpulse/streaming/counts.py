@@ -83,8 +83,12 @@ class DayAreaSink:
         changed = changed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self.counts.write(changed, batch_id)
-            days = changed.select("day").distinct()
-            cur = self.counts.current(spark).join(days, "day", "left_semi")
+            # the days a batch touches are few (bounded by the watermark): as a
+            # partition filter they prune the table to those days' folders
+            days = [r["day"] for r in changed.select("day").distinct().collect()]
+            if not days:
+                return
+            cur = self.counts.current(spark, where=F.col("day").isin(days))
             top3 = ads.day_area_ads_top3(ads.day_area_ads(cur), self.top)
             self.top3.write(top3.select("day", "area", "ads_id", "cnt", "rank"), batch_id)
         finally:
