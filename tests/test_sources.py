@@ -61,8 +61,13 @@ def test_save_table_partitioned_and_decode(spark):
     df = synth.user_visit_action(spark, CFG)
     save_table(df, "visits_by_day", partition_by=["date"])
     back = spark.table("visits_by_day").where(F.col("date") == "2019-06-12")
-    plan = back._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan
+    import io
+    from contextlib import redirect_stdout
+
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        back.explain()
+    assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
     assert rows(decode(spark.table("visits_by_day"), USER_VISIT_ACTION)) == rows(df)
     with pytest.raises(SchemaMismatch):
         decode(df.drop("city_id"), USER_VISIT_ACTION)
