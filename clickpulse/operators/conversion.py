@@ -43,10 +43,21 @@ def _bucket(action_time: Column, chars: int) -> Column:
     return F.substring(action_time, 1, chars)
 
 
-def _windowed(actions: DataFrame, bucket_chars: int) -> DataFrame:
-    """Level 1: each action with the next and previous page inside its (session, bucket)."""
-    a = actions.select("session_id", "action_time", "page_id",
-                       _bucket(F.col("action_time"), bucket_chars).alias("_b"))
+def _windowed(actions: DataFrame, bucket_chars: int, range_parts: int | None = None) -> DataFrame:
+    """Level 1: each action with the next and previous page inside its (session, bucket).
+
+    With ``range_parts`` the bucket is the partition of a range partitioning on
+    (session, time) instead of a time prefix: the partitioner samples the keys,
+    so even a single session holding a third of all rows is cut into balanced,
+    time-ordered slices. That costs one more shuffle.
+    """
+    if range_parts:
+        a = (actions.select("session_id", "action_time", "page_id")
+             .repartitionByRange(range_parts, "session_id", "action_time", "page_id")
+             .withColumn("_b", F.spark_partition_id()))
+    else:
+        a = actions.select("session_id", "action_time", "page_id",
+                           _bucket(F.col("action_time"), bucket_chars).alias("_b"))
     w1 = Window.partitionBy("session_id", "_b").orderBy("action_time", "page_id")
     return (a.withColumn("_next", F.lead("page_id").over(w1))
             .withColumn("_prev", F.lag("page_id").over(w1)))
@@ -74,13 +85,15 @@ def _pairs_of(a: DataFrame) -> DataFrame:
     return inner.unionByName(_across(a))
 
 
-def consecutive_pairs(actions: DataFrame, bucket_chars: int = MINUTE_BUCKET_CHARS) -> DataFrame:
+def consecutive_pairs(actions: DataFrame, bucket_chars: int = MINUTE_BUCKET_CHARS,
+                      range_parts: int | None = None) -> DataFrame:
     """(from_page, to_page) for consecutive actions of each session.
 
     ``actions`` has session_id, action_time (sortable text), page_id. Order is
-    action_time, then page_id for equal times.
+    action_time, then page_id for equal times. ``range_parts`` switches the
+    buckets from time prefixes to range-partition slices (see ``_windowed``).
     """
-    return _pairs_of(_windowed(actions, bucket_chars))
+    return _pairs_of(_windowed(actions, bucket_chars, range_parts))
 
 
 def _flow_counts(pairs: DataFrame, pages: list[str]) -> DataFrame:
@@ -97,7 +110,7 @@ def page_transitions(visits: DataFrame, page_flow: str,
 
 
 def page_conversion(visits: DataFrame, page_flow: str, task_id: str,
-                    bucket_chars: int = MINUTE_BUCKET_CHARS) -> DataFrame:
+                    bucket_chars: int = MINUTE_BUCKET_CHARS, range_parts: int | None = None) -> DataFrame:
     """J5 + C8 + C6: ``rate`` = transitions a->b / actions on a, as ``.00%`` text.
 
     One scan and one aggregation: every windowed action carries its own
@@ -109,7 +122,7 @@ def page_conversion(visits: DataFrame, page_flow: str, task_id: str,
     """
     pages = target_pages(page_flow)
     targets = target_flows(pages)
-    a = _windowed(_on_pages(visits, pages), bucket_chars)
+    a = _windowed(_on_pages(visits, pages), bucket_chars, range_parts)
     step = flow(F.col("page_id"), F.col("_next"))
     inner = a.select(
         F.col("page_id").alias("from_page"),

@@ -56,3 +56,29 @@ def test_split_ids_matches_java_rules(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "ids string")
     got = [r["a"] for r in df.select(split_ids(F.col("ids")).alias("a")).collect()]
     assert got == [java_split(t) for t in texts]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(_session)
+def test_range_sliced_pairs_equal_one_window_per_session(spark, acts):
+    data = [(f"s{s}", f"2024-01-01 {h:02d}:{m:02d}:00.{i:06d}", p) for i, (s, h, m, p) in enumerate(acts)]
+    df = spark.createDataFrame(data, "session_id string, action_time string, page_id long")
+    got = rows(conversion.consecutive_pairs(df, range_parts=5))
+    w = Window.partitionBy("session_id").orderBy("action_time", "page_id")
+    plain = (df.select(F.col("page_id").alias("from_page"), F.lead("page_id").over(w).alias("to_page"))
+             .where(F.col("to_page").isNotNull()))
+    assert got == rows(plain)
+
+
+def test_range_slices_split_a_hot_session(spark):
+    # one session with nearly all actions, all inside one minute
+    data = [("hot", f"2024-01-01 10:00:00.{i:06d}", i % 4 + 1) for i in range(4000)]
+    data += [(f"s{i}", "2024-01-01 11:00:00.000000", 1) for i in range(20)]
+    df = spark.createDataFrame(data, "session_id string, action_time string, page_id long")
+    sliced = conversion._windowed(df, 16, range_parts=8)
+    per_slice = [r["n"] for r in sliced.where("session_id = 'hot'").groupBy("_b").count()
+                 .withColumnRenamed("count", "n").collect()]
+    assert len(per_slice) >= 6 and max(per_slice) < 1500  # no slice holds the whole session
+    got = rows(conversion.consecutive_pairs(df, range_parts=8))
+    assert got == rows(conversion.consecutive_pairs(df))
+    assert len(got) == 3999
