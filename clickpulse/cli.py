@@ -40,7 +40,8 @@ def _offline(args) -> None:
     else:
         prefix = f"{args.out_database}." if args.out_database else ""
         sink = lambda df, name: save_table(df, prefix + name)
-    run_offline(tables, _condition(args.condition), args.task_id or str(uuid.uuid4()), sink)
+    run_offline(tables, _condition(args.condition), args.task_id or str(uuid.uuid4()), sink,
+                r3_range_parts=args.r3_range_parts)
 
 
 def _realtime(args) -> None:
@@ -52,7 +53,8 @@ def _realtime(args) -> None:
         lines = text_lines(spark, args.text_dir, args.max_files_per_trigger)
     base = args.base_dir or scratch_dir(spark, "realtime")
     rt = start_realtime(spark, lines, base, args.threshold, args.slot_ms, args.available_now,
-                        mode=args.blacklist_mode, trend_by=args.trend_by, slots_by=args.slots_by)
+                        mode=args.blacklist_mode, trend_by=args.trend_by, slots_by=args.slots_by,
+                        compact_every=args.compact_every)
     rt.await_all()
 
 
@@ -83,6 +85,8 @@ def main(argv=None) -> None:
     o.add_argument("--jdbc-user")
     o.add_argument("--jdbc-password")
     o.add_argument("--jdbc-driver")
+    o.add_argument("--r3-range-parts", type=int,
+                   help="page conversion buckets = this many range slices (sessions hot within a minute)")
     o.set_defaults(fn=_offline)
 
     r = sub.add_parser("realtime", help="R5-R8 stream jobs")
@@ -101,6 +105,7 @@ def main(argv=None) -> None:
                    help="counters in the state store (large streams) or the snapshot loop")
     r.add_argument("--trend-by", choices=["event", "arrival"], default="event",
                    help="window the last-hour trend by event time or by arrival")
+    r.add_argument("--compact-every", type=int, default=100, help="sink versions between snapshots")
     r.add_argument("--slots-by", choices=["event", "arrival"], default="event",
                    help="blacklist slots: event-time slices of --slot-ms, or the micro-batches")
     r.set_defaults(fn=_realtime)

@@ -46,7 +46,8 @@ class OfflineResults:
                 ("area_product_top3", self.area_product_top3)]
 
 
-def offline_results(tables, cond: Condition, task_id: str, materialize: bool = False) -> OfflineResults:
+def offline_results(tables, cond: Condition, task_id: str, materialize: bool = False,
+                    r3_range_parts: int | None = None) -> OfflineResults:
     """``tables`` offers visits(), users(), cities(), products() (fixture or catalog)."""
     visits = tables.visits()
     filtered = filter_visits(visits, tables.users(), cond).select(*_SHARED_COLS)
@@ -58,17 +59,19 @@ def offline_results(tables, cond: Condition, task_id: str, materialize: bool = F
     return OfflineResults(
         category_top10=top10,
         category_session_top10=sessions,
-        page_conversion=conversion.page_conversion(filtered, cond.target_page_flow or "", task_id),
+        page_conversion=conversion.page_conversion(filtered, cond.target_page_flow or "", task_id,
+                                                   range_parts=r3_range_parts),
         # R4 reads the whole clickstream: the condition does not apply to it
         area_product_top3=area.area_product_top3(visits, tables.cities(), tables.products()),
     )
 
 
 def run_offline(tables, cond: Condition, task_id: str, sink: Callable[[DataFrame, str], None],
-                names: dict[str, str] | None = None, materialize: bool = True) -> OfflineResults:
+                names: dict[str, str] | None = None, materialize: bool = True,
+                r3_range_parts: int | None = None) -> OfflineResults:
     """Run the four jobs and hand each result to ``sink(df, table_name)``."""
     names = {**TABLE_NAMES, **(names or {})}
-    res = offline_results(tables, cond, task_id, materialize)
+    res = offline_results(tables, cond, task_id, materialize, r3_range_parts)
     for key, df in res.items():
         sink(df, names[key])
     return res

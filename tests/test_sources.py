@@ -153,7 +153,7 @@ def test_cli_offline_writes_tables(spark, tmp_path):
                                 "targetPageFlow": COND.target_page_flow}))
     spark.sql("CREATE DATABASE IF NOT EXISTS cli_out")
     main(["offline", "--sf-dir", SF_SMALL, "--condition", str(cond), "--task-id", TASK_ID,
-          "--out-database", "cli_out"])
+          "--out-database", "cli_out", "--r3-range-parts", "4"])
     q = E.queries()
     assert rows(spark.table("cli_out.page_conversion_rate")) == rows(q["page_conversion"](spark, SF_SMALL))
     assert rows(spark.table("cli_out.category_top10")) == rows(q["category_top10"](spark, SF_SMALL))
