@@ -134,9 +134,10 @@ class BlacklistState:
 
     def __init__(self, out_dir: str, threshold: int, slot_ms: int, lateness_days: int = 1,
                  tick_ms: int = TICK_MS, arrival: bool = False):
-        """``arrival=True``: the slot is the micro-batch itself (its trigger time),
+        """``arrival=True``: the slot is the micro-batch itself (its trigger time,
+        in microseconds since the epoch -- that is then what ``flag_slot`` holds),
         so a flag takes effect from the next batch, as in the original; by default
-        the slot is the click's event-time slice of ``slot_ms``."""
+        the slot is the click's event-time slice of ``slot_ms`` (``ts // slot_ms``)."""
         out_dir = out_dir.rstrip("/")
         self.threshold, self.slot_ms, self.lateness_days = threshold, slot_ms, lateness_days
         self.tick_ms, self.arrival = tick_ms, arrival
