@@ -85,8 +85,9 @@ def main(argv=None) -> None:
     o.add_argument("--jdbc-user")
     o.add_argument("--jdbc-password")
     o.add_argument("--jdbc-driver")
-    o.add_argument("--r3-range-parts", type=int,
-                   help="page conversion buckets = this many range slices (sessions hot within a minute)")
+    o.add_argument("--r3-range-parts",
+                   help="page conversion buckets = this many range slices, or 'auto' "
+                        "(for sessions hot within a minute)")
     o.set_defaults(fn=_offline)
 
     r = sub.add_parser("realtime", help="R5-R8 stream jobs")

@@ -43,18 +43,22 @@ def _bucket(action_time: Column, chars: int) -> Column:
     return F.substring(action_time, 1, chars)
 
 
-def _windowed(actions: DataFrame, bucket_chars: int, range_parts: int | None = None) -> DataFrame:
+def _windowed(actions: DataFrame, bucket_chars: int, range_parts: int | str | None = None) -> DataFrame:
     """Level 1: each action with the next and previous page inside its (session, bucket).
 
     With ``range_parts`` the bucket is the partition of a range partitioning on
     (session, time) instead of a time prefix: the partitioner samples the keys,
     so even a single session holding a third of all rows is cut into balanced,
-    time-ordered slices. That costs one more shuffle.
+    time-ordered slices. That costs one more shuffle. ``"auto"`` leaves the
+    number to the session (``spark.sql.shuffle.partitions``; AQE may merge
+    adjacent ranges, which keeps the slices in key order).
     """
     if range_parts:
-        a = (actions.select("session_id", "action_time", "page_id")
-             .repartitionByRange(range_parts, "session_id", "action_time", "page_id")
-             .withColumn("_b", F.spark_partition_id()))
+        keys = ("session_id", "action_time", "page_id")
+        a = actions.select(*keys)
+        a = (a.repartitionByRange(*keys) if range_parts == "auto"
+             else a.repartitionByRange(int(range_parts), *keys))
+        a = a.withColumn("_b", F.spark_partition_id())
     else:
         a = actions.select("session_id", "action_time", "page_id",
                            _bucket(F.col("action_time"), bucket_chars).alias("_b"))
@@ -86,7 +90,7 @@ def _pairs_of(a: DataFrame) -> DataFrame:
 
 
 def consecutive_pairs(actions: DataFrame, bucket_chars: int = MINUTE_BUCKET_CHARS,
-                      range_parts: int | None = None) -> DataFrame:
+                      range_parts: int | str | None = None) -> DataFrame:
     """(from_page, to_page) for consecutive actions of each session.
 
     ``actions`` has session_id, action_time (sortable text), page_id. Order is
@@ -110,7 +114,8 @@ def page_transitions(visits: DataFrame, page_flow: str,
 
 
 def page_conversion(visits: DataFrame, page_flow: str, task_id: str,
-                    bucket_chars: int = MINUTE_BUCKET_CHARS, range_parts: int | None = None) -> DataFrame:
+                    bucket_chars: int = MINUTE_BUCKET_CHARS,
+                    range_parts: int | str | None = None) -> DataFrame:
     """J5 + C8 + C6: ``rate`` = transitions a->b / actions on a, as ``.00%`` text.
 
     One scan and one aggregation: every windowed action carries its own

@@ -81,4 +81,5 @@ def test_range_slices_split_a_hot_session(spark):
     assert len(per_slice) >= 6 and max(per_slice) < 1500  # no slice holds the whole session
     got = rows(conversion.consecutive_pairs(df, range_parts=8))
     assert got == rows(conversion.consecutive_pairs(df))
+    assert got == rows(conversion.consecutive_pairs(df, range_parts="auto"))
     assert len(got) == 3999
