@@ -100,3 +100,34 @@ def test_page_conversion_model(spark, acts):
             if f"{a}->{b}" in {"1->2", "2->3", "3->4"}:
                 num[(f"{a}->{b}", str(a))] += 1
     assert got == {flow: pct(n / den[a], leading_zero=False) for (flow, a), n in num.items()}
+
+
+_T0 = 1_704_067_200_000  # 2024-01-01 00:00 UTC
+_H = 3_600_000
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(1, 2), st.integers(0, 47 * 60)),
+                min_size=1, max_size=60))
+def test_blacklist_model(spark, clicks):
+    from clickpulse.operators import ads
+
+    threshold = 3
+    rows_in = [(_T0 + minute * 60_000 + i, "n", "A", f"u{u}", str(a)) for i, (u, a, minute) in enumerate(clicks)]
+    df = spark.createDataFrame(rows_in, "ts long, area string, city string, user_id string, ads_id string")
+    got_flags = {r["user_id"]: r["flag_slot"] for r in ads.blacklist_users(df, threshold, _H).collect()}
+    got_kept = sorted(tuple(r) for r in ads.blacklist_replay(df, threshold, _H).collect())
+
+    # the loop of the original, one slot (hour) at a time: filter, count, flag
+    flags, counts, kept = {}, Counter(), []
+    for s in sorted({ts // _H for ts, *_ in rows_in}):
+        batch = [r for r in rows_in if r[0] // _H == s]
+        batch = [r for r in batch if r[3] not in flags]  # listed users lose later slots
+        kept += batch
+        for ts, _, _, user, ad in batch:
+            counts[(ts // 86_400_000, user, ad)] += 1
+        for (day, user, ad), n in counts.items():
+            if n >= threshold and user not in flags:
+                flags[user] = s
+    assert got_flags == flags
+    assert got_kept == sorted(kept)
