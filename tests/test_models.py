@@ -131,3 +131,24 @@ def test_blacklist_model(spark, clicks):
                 flags[user] = s
     assert got_flags == flags
     assert got_kept == sorted(kept)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["n", "s"]), st.sampled_from(["A", "B"]),
+                          st.integers(1, 5)), min_size=1, max_size=60))
+def test_top3_ads_model(spark, clicks):
+    import json
+
+    from clickpulse.operators import ads
+
+    rows_in = [(_T0 + d * 86_400_000 + i, area, city, "u", str(ad)) for i, (d, area, city, ad) in enumerate(clicks)]
+    df = spark.createDataFrame(rows_in, "ts long, area string, city string, user_id string, ads_id string")
+    top = ads.day_area_ads_top3(ads.day_area_ads(ads.day_area_city_ads(df)))
+    got = {(r["day"], r["area"]): r["ads_json"] for r in ads.day_area_ads_top3_json(top).collect()}
+    per = Counter((f"2024-01-0{d + 1}", area, str(ad)) for d, area, _, ad in clicks)
+    want = {}
+    for day, area in {(k[0], k[1]) for k in per}:
+        ranked = sorted(((ad, n) for (d, a, ad), n in per.items() if (d, a) == (day, area)),
+                        key=lambda x: (-x[1], x[0]))[:3]
+        want[(day, area)] = json.dumps([{ad: n} for ad, n in ranked], separators=(",", ":"))
+    assert got == want
