@@ -152,3 +152,29 @@ def test_top3_ads_model(spark, clicks):
                         key=lambda x: (-x[1], x[0]))[:3]
         want[(day, area)] = json.dumps([{ad: n} for ad, n in ranked], separators=(",", ":"))
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(-4_000_000, 200_000), st.integers(1, 3)), min_size=1, max_size=60),
+       st.integers(0, 86_399_999))
+def test_last_hour_model(spark, clicks, end_offset):
+    import datetime as dt
+    import json
+
+    from clickpulse.operators import ads
+
+    end = _T0 + end_offset
+    rows_in = [(end + off, "n", "A", "u", str(ad)) for off, ad in clicks]
+    df = spark.createDataFrame(rows_in, "ts long, area string, city string, user_id string, ads_id string")
+    got = {r["ads_id"]: r["minutes_json"] for r in ads.minutes_json(ads.last_hour_minutes(df, end)).collect()}
+    last = end // 5_000  # the slot holding "now" and the 719 before it
+    per = Counter()
+    for ts, _, _, _, ad in rows_in:
+        if last - 720 < ts // 5_000 <= last:
+            hm = dt.datetime.fromtimestamp(ts / 1000, dt.timezone.utc).strftime("%H:%M")
+            per[(ad, hm)] += 1
+    want = {}
+    for ad in {a for a, _ in per}:
+        items = sorted((hm, n) for (a, hm), n in per.items() if a == ad)
+        want[ad] = json.dumps([{hm: n} for hm, n in items], separators=(",", ":"))
+    assert got == want
