@@ -141,14 +141,16 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE,
             .withColumn("is_query", F.lit(True))
         return candidates.unionByName(mine, allowMissingColumns=True).groupBy("part", "block")
 
+    def count_bins(bin_width: int):
+        return lambda t: _histogram(t, width, exact_float, bin_width)
+
     rounds = max(1, math.ceil(math.log(2 * bound + 1) / math.log(BINS)))
     rounds += BINS ** rounds < 2 * bound + 1
     state = queries.select("*", F.lit(-bound).cast("long").alias("lo"), F.lit(k).cast("long").alias("need"))
     for i in reversed(range(rounds)):
         w = BINS ** i
         state = written(state, "state")
-        bins = cells(state).applyInArrow(lambda t, w=w: _histogram(t, width, exact_float, w),
-                                         "qkey long, bin long, n long")
+        bins = cells(state).applyInArrow(count_bins(w), "qkey long, bin long, n long")
         down = W.partitionBy("qkey").orderBy(F.desc("bin"))
         sums = bins.groupBy("qkey", "bin").agg(F.sum("n").alias("n")) \
             .withColumn("upto", F.sum("n").over(down)).withColumn("above", F.col("upto") - F.col("n"))
