@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import quality, sharding, simhash, topk
+from clickpulse.llm import bpe, packing, quality, sharding, simhash, topk
 from clickpulse.llm.common import table
 
 
@@ -21,6 +22,17 @@ def op2_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and their decoding."""
+    scheme = bpe.ByteBpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.byte_bpe_digest(table(spark, sf_dir, "documents"), scheme)
+
+
+def op7_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 2048 ids by minimum bin slack."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of the shuffled shards of all documents (law ``rows``)."""
     text = F.coalesce("record.text", F.lit(""))
@@ -36,7 +48,8 @@ def op9_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_repetition_coverage, op2_simhash_vptree, op8_two_pass_shuffle, op9_histogram_topk)
+    f.__name__: f for f in (op1_repetition_coverage, op2_simhash_vptree, op6_byte_bpe, op7_min_bin_slack,
+                             op8_two_pass_shuffle, op9_histogram_topk)
 }
 
 ORACLE: dict[str, str] = {
