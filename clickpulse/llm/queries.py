@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import bpe, packing, quality, sharding, simhash, topk
+from clickpulse.llm import bpe, packing, quality, ranking, secrets, sharding, simhash, topk
 from clickpulse.llm.common import table
 
 
@@ -22,6 +22,12 @@ def op2_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents from pairwise preferences."""
+    docs = table(spark, sf_dir, "documents")
+    return ranking.score_documents(docs, ranking.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and their decoding."""
     scheme = bpe.ByteBpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -47,9 +53,15 @@ def op9_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op10_char_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base rules and the network's additions."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_repetition_coverage, op2_simhash_vptree, op6_byte_bpe, op7_min_bin_slack,
-                             op8_two_pass_shuffle, op9_histogram_topk)
+    f.__name__: f for f in (op1_repetition_coverage, op2_simhash_vptree, op5_bradley_terry, op6_byte_bpe, op7_min_bin_slack,
+                             op8_two_pass_shuffle, op9_histogram_topk, op10_char_cnn)
 }
 
 ORACLE: dict[str, str] = {
