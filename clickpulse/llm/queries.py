@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import bpe, packing, quality, ranking, secrets, sharding, simhash, topk
+from clickpulse.llm import bpe, packing, quality, ranking, secret_scan, sharding, simhash, topk
 from clickpulse.llm.common import table
 
 
@@ -56,7 +56,7 @@ def op9_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_char_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base rules and the network's additions."""
     docs = table(spark, sf_dir, "documents")
-    return secrets.scan(docs, secrets.train(docs))
+    return secret_scan.scan(docs, secret_scan.train(docs))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
