@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import bpe, packing, quality, ranking, repeats, secret_scan, sharding, simhash, topk
+from clickpulse.llm import bpe, lm, packing, quality, ranking, repeats, secret_scan, sharding, simhash, topk
 from clickpulse.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op2_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff log scores of every document against the rest of the corpus."""
+    return lm.backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 200-byte strings that also start elsewhere."""
     return repeats.repeated_passages(table(spark, sf_dir, "documents"))
@@ -65,8 +70,8 @@ def op10_char_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_repetition_coverage, op2_simhash_vptree, op4_difference_cover, op5_bradley_terry, op6_byte_bpe, op7_min_bin_slack,
-                             op8_two_pass_shuffle, op9_histogram_topk, op10_char_cnn)
+    f.__name__: f for f in (op1_repetition_coverage, op2_simhash_vptree, op3_stupid_backoff, op4_difference_cover,
+                             op5_bradley_terry, op6_byte_bpe, op7_min_bin_slack, op8_two_pass_shuffle, op9_histogram_topk, op10_char_cnn)
 }
 
 ORACLE: dict[str, str] = {
