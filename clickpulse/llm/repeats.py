@@ -300,15 +300,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
 
     A character that loses some of its bytes goes as a whole.
     """
-    joined = _joined(docs, id_col, text_col, length, options)
-    names, at = docs.columns, docs.columns.index(text_col)
-    kind = docs.schema
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no name of ``docs`` can clash
+    at, schema = docs.columns.index(text_col), docs.schema
 
     def run(batches):
         for batch in batches:
             texts = [kept.decode("utf-8", "ignore") for _, _, kept, _, _ in _cut_rows(batch, len(names), len(names) + 1)]
             cols = list(batch.columns)[:len(names)]
             cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, names)
+            yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    return joined.select(*names, "_text", "_ranges").mapInArrow(run, kind)
+    joined = _joined(docs.toDF(*names), names[docs.columns.index(id_col)], names[at], length, options)
+    return joined.select(*names, "_text", "_ranges").mapInArrow(run, schema)

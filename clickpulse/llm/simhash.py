@@ -226,4 +226,5 @@ def one_per_group(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BITS,
     """The rows of ``docs``, all columns, whose id names their group."""
     groups = near_duplicates(docs, width, max_bits, id_col, text_col)
     stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay"))
-    return docs.join(stay.distinct(), docs[id_col].eqNullSafe(F.col("_stay")), "left_semi")
+    stay = stay.distinct()
+    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
