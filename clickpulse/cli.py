@@ -4,7 +4,6 @@
                                   [--out-database DB | --jdbc-url URL ...] [--task-id ID]
     python -m clickpulse realtime --text-dir DIR | --kafka-servers S --topic T
                                   --base-dir DIR [--threshold N] [--available-now]
-    python -m clickpulse generate [--database DB] [--sessions N] [--seed S]
 """
 
 from __future__ import annotations
@@ -14,12 +13,11 @@ import uuid
 
 from clickpulse.plans.condition import Condition
 from clickpulse.plans.offline import run_offline
-from clickpulse.session import get_session, scratch_dir
+from clickpulse.session import STREAM_PARTITIONS, get_session, scratch_dir
 from clickpulse.sources import jdbc
 from clickpulse.sources.catalog import CatalogTables, save_table
 from clickpulse.sources.fixtures import MallTables
 from clickpulse.sources.streams import kafka_lines, text_lines
-from clickpulse.sources.synth import SynthConfig, write_tables
 from clickpulse.streaming.app import start_realtime
 
 
@@ -31,46 +29,43 @@ def _condition(path: str | None) -> Condition:
     return Condition.from_properties(text) if "=" in text.split("{", 1)[0] else Condition.from_json(text)
 
 
+def _session(args, partitions: int | None):
+    extra = {"spark.sql.session.timeZone": args.time_zone} if args.time_zone else None
+    return get_session(args.master, partitions, cluster=args.cluster, extra=extra)
+
+
 def _offline(args) -> None:
-    spark = get_session(args.master, args.shuffle_partitions, cluster=args.cluster)
+    spark = _session(args, args.shuffle_partitions)
     tables = MallTables(spark, args.sf_dir) if args.sf_dir else CatalogTables(spark, args.database)
     if args.jdbc_url:
         target = jdbc.JdbcTarget(args.jdbc_url, args.jdbc_user, args.jdbc_password, args.jdbc_driver)
-        sink = lambda df, name: jdbc.truncate_insert(df, target, name)
+        sink = lambda df, name, mode: jdbc.WRITERS[mode](df, target, name)
     else:
         prefix = f"{args.out_database}." if args.out_database else ""
-        sink = lambda df, name: save_table(df, prefix + name)
-    run_offline(tables, _condition(args.condition), args.task_id or str(uuid.uuid4()), sink,
-                r3_range_parts=args.r3_range_parts)
+        sink = lambda df, name, mode: save_table(
+            df, prefix + name, mode="append" if mode == "append" else "overwrite")
+    run_offline(tables, _condition(args.condition), args.task_id or str(uuid.uuid4()), sink)
 
 
 def _realtime(args) -> None:
-    spark = get_session(args.master, args.shuffle_partitions, cluster=args.cluster)
+    spark = _session(args, args.shuffle_partitions or (STREAM_PARTITIONS if args.cluster else None))
     if args.kafka_servers:
         lines = kafka_lines(spark, args.kafka_servers, args.topic, group_id=args.group_id,
                             max_offsets_per_trigger=args.max_offsets_per_trigger)
     else:
         lines = text_lines(spark, args.text_dir, args.max_files_per_trigger)
     base = args.base_dir or scratch_dir(spark, "realtime")
-    rt = start_realtime(spark, lines, base, args.threshold, args.slot_ms, args.available_now,
-                        mode=args.blacklist_mode, trend_by=args.trend_by, slots_by=args.slots_by,
-                        compact_every=args.compact_every)
+    rt = start_realtime(spark, lines, base, args.threshold, args.available_now, slot_ms=args.slot_ms,
+                        trend_by=args.trend_by, slots_by=args.slots_by, compact_every=args.compact_every,
+                        max_ahead_ms=args.max_ahead_ms)
     rt.await_all()
 
 
-def _generate(args) -> None:
-    spark = get_session(args.master, args.shuffle_partitions, cluster=args.cluster)
-    if args.database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
-    cfg = SynthConfig(seed=args.seed, users=args.users, products=args.products, sessions=args.sessions,
-                      start_date=args.start_date, end_date=args.end_date)
-    write_tables(spark, cfg, args.database)
-
-
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="clickpulse")
     p.add_argument("--master")
     p.add_argument("--shuffle-partitions", type=int)
+    p.add_argument("--time-zone", help="session time zone of days and minutes (default UTC)")
     p.add_argument("--cluster", action="store_true", help="large-cluster sizing (CLUSTER_CONF)")
     sub = p.add_subparsers(dest="cmd", required=True)
 
@@ -85,9 +80,6 @@ def main(argv=None) -> None:
     o.add_argument("--jdbc-user")
     o.add_argument("--jdbc-password")
     o.add_argument("--jdbc-driver")
-    o.add_argument("--r3-range-parts",
-                   help="page conversion buckets = this many range slices, or 'auto' "
-                        "(for sessions hot within a minute)")
     o.set_defaults(fn=_offline)
 
     r = sub.add_parser("realtime", help="R5-R8 stream jobs")
@@ -102,8 +94,8 @@ def main(argv=None) -> None:
     r.add_argument("--slot-ms", type=int, default=5_000)
     r.add_argument("--max-files-per-trigger", type=int)
     r.add_argument("--available-now", action="store_true")
-    r.add_argument("--blacklist-mode", choices=["state", "loop"], default="state",
-                   help="counters in the state store (large streams) or the snapshot loop")
+    r.add_argument("--max-ahead-ms", type=int, default=86_400_000,
+                   help="lines dated further ahead of the clock are rejected")
     r.add_argument("--trend-by", choices=["event", "arrival"], default="event",
                    help="window the last-hour trend by event time or by arrival")
     r.add_argument("--compact-every", type=int, default=100, help="sink versions between snapshots")
@@ -111,16 +103,6 @@ def main(argv=None) -> None:
                    help="blacklist slots: event-time slices of --slot-ms, or the micro-batches")
     r.set_defaults(fn=_realtime)
 
-    g = sub.add_parser("generate", help="write seeded user_visit_action, user_info, city_info, product_info")
-    g.add_argument("--database")
-    g.add_argument("--seed", type=int, default=42)
-    g.add_argument("--sessions", type=int, default=10_000)
-    g.add_argument("--users", type=int, default=100)
-    g.add_argument("--products", type=int, default=100)
-    g.add_argument("--start-date", default="2019-06-12")
-    g.add_argument("--end-date", default="2019-06-15")
-    g.set_defaults(fn=_generate)
-
     args = p.parse_args(argv)
     args.fn(args)
 

@@ -8,7 +8,7 @@ Input is a clicks frame with ``ts`` (epoch ms), ``area``, ``city``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpulse.functions.jsonfmt import pairs_json
@@ -17,15 +17,18 @@ from clickpulse.functions.timefmt import day_string, hour_minute, slot
 
 AD_FIELDS = ("ts", "area", "city", "user_id", "ads_id")
 _LONG_TEXT = r"^[+-]?[0-9]+$"
+# Epoch milliseconds of the years 1 to 9999: what the day and minute texts can show.
+TS_BOUNDS = (-62_135_596_800_000, 253_402_300_799_999)
 
 
 # ------------------------------------------------------------------ S4
-def parse_ad_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+def parse_ad_lines(lines: DataFrame, col: str = "value", latest_ms: int | None = None) -> DataFrame:
     """``ts,area,city,userid,adid`` text -> typed clicks plus ``_error``.
 
     Fields are split as ``String.split(",")`` splits them; fields after the
-    fifth are ignored. A line with fewer than five fields or a first field
-    that is not a 64-bit integer gets a non-null ``_error`` instead of failing
+    fifth are ignored. A line with fewer than five fields, with a first field
+    that is not a 64-bit integer or lies outside the years 1 to 9999, or (with
+    ``latest_ms``) after that instant gets a non-null ``_error`` instead of failing
     the batch; :func:`good_lines` / :func:`bad_lines` split the two.
     """
     parts = lines.select(F.col(col).alias("line"), split_ids(F.col(col), ",").alias("_p"))
@@ -37,7 +40,9 @@ def parse_ad_lines(lines: DataFrame, col: str = "value") -> DataFrame:
         F.size("_p").alias("_n"),
     )
     err = (F.when(F.col("_n") < len(AD_FIELDS), F.lit("too few fields"))
-           .when(F.col("ts").isNull(), F.lit("bad timestamp")))
+           .when(F.col("ts").isNull() | ~F.col("ts").between(*TS_BOUNDS), F.lit("bad timestamp")))
+    if latest_ms is not None:
+        err = err.when(F.col("ts") > F.lit(latest_ms), F.lit("timestamp ahead of the clock"))
     return out.withColumn("_error", err).drop("_n")
 
 
@@ -60,10 +65,14 @@ def with_time_text(clicks: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ R5
-def slot_counts(clicks: DataFrame, slot_ms: int) -> DataFrame:
+def _slot(at: int | Column) -> Column:
+    """The slot of a click: event-time slices of ``at`` ms, or a given column."""
+    return at if isinstance(at, Column) else slot(F.col("ts"), at)
+
+
+def slot_counts(clicks: DataFrame, slot_ms: int | Column) -> DataFrame:
     """A12 per slot: clicks per (user, day, ad, slot); partial aggregate map-side."""
-    c = clicks.select("user_id", "ads_id", day_string(F.col("ts")).alias("day"),
-                      slot(F.col("ts"), slot_ms).alias("slot"))
+    c = clicks.select("user_id", "ads_id", day_string(F.col("ts")).alias("day"), _slot(slot_ms).alias("slot"))
     return c.groupBy("user_id", "day", "ads_id", "slot").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -73,13 +82,11 @@ def flag_users(counts: DataFrame, threshold: int) -> DataFrame:
     ``counts`` has user_id, day, ads_id, slot, n (plus an optional ``base``
     count carried from earlier state). The running sum is a window over one
     (user, day, ad) -- at most one row per slot of that day, whatever the
-    number of clicks behind it.
+    number of clicks behind it -- so one user's rows spread over its days and
+    ads; the minimum per user is aggregated before its shuffle.
     """
     if "base" not in counts.columns:
         counts = counts.withColumn("base", F.lit(0).cast("long"))
-    # placed by user once: the window per (user, day, ad) and the per-user
-    # minimum both run on that placement, so no further shuffle
-    counts = counts.repartition("user_id")
     w = (Window.partitionBy("user_id", "day", "ads_id").orderBy("slot")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = counts.withColumn("cum", F.col("base") + F.sum("n").over(w))
@@ -87,14 +94,14 @@ def flag_users(counts: DataFrame, threshold: int) -> DataFrame:
             .agg(F.min("slot").cast("long").alias("flag_slot")))
 
 
-def kept_clicks(clicks: DataFrame, flags: DataFrame, slot_ms: int) -> DataFrame:
+def kept_clicks(clicks: DataFrame, flags: DataFrame, slot_ms: int | Column) -> DataFrame:
     """F9/J3 replay: a flagged user keeps the clicks up to its flagging slot.
 
     Clicks of the flagging slot still pass (the filter acts when the next
     batch starts). Joined on user id; the planner may broadcast ``flags``
     when AQE sees it small, and splits a skewed user's partition otherwise.
     """
-    c = clicks.withColumn("_slot", slot(F.col("ts"), slot_ms))
+    c = clicks.withColumn("_slot", _slot(slot_ms))
     j = c.join(flags, "user_id", "left")
     return (j.where(F.col("flag_slot").isNull() | (F.col("_slot") <= F.col("flag_slot")))
             .select(*clicks.columns))
@@ -105,22 +112,14 @@ def blacklist_users(clicks: DataFrame, threshold: int, slot_ms: int) -> DataFram
     return flag_users(slot_counts(clicks, slot_ms), threshold)
 
 
-def blacklist_replay(clicks: DataFrame, threshold: int, slot_ms: int,
-                     broadcast_rows: int = 1_000_000) -> DataFrame:
+def blacklist_replay(clicks: DataFrame, threshold: int, slot_ms: int) -> DataFrame:
     """R5 filter: the clicks the blacklist lets through, slot by slot.
 
-    The flag list (one row per listed user) is computed first and cut from
-    its lineage with a reliable ``checkpoint()`` in the shared checkpoint
-    dir; if it has at most ``broadcast_rows`` rows it is broadcast, so the
-    raw clicks are filtered where they are read instead of being shuffled.
-    A longer list takes the shuffle join.
+    The flag list has one row per listed user. It is joined without a hint: AQE
+    broadcasts it when its real size is small, and splits a hot user's partition
+    of the shuffle join otherwise.
     """
-    from clickpulse.functions.sizing import broadcast_if_small
-    from clickpulse.session import scratch_dir
-
-    scratch_dir(clicks.sparkSession, "flags")  # a checkpoint dir exists (set only if absent)
-    flags = blacklist_users(clicks, threshold, slot_ms).checkpoint(eager=True)
-    return kept_clicks(clicks, broadcast_if_small(flags, broadcast_rows), slot_ms)
+    return kept_clicks(clicks, blacklist_users(clicks, threshold, slot_ms), slot_ms)
 
 
 def user_ad_day_counts(kept: DataFrame) -> DataFrame:
@@ -132,20 +131,13 @@ def user_ad_day_counts(kept: DataFrame) -> DataFrame:
 def blacklist_counters(clicks: DataFrame, threshold: int, slot_ms: int) -> DataFrame:
     """A12 in one scan: the counter table computed from slot counts.
 
-    Equal to ``user_ad_day_counts(blacklist_replay(...))`` without joining
-    the flags back to raw clicks. Slot counts (partially aggregated
-    map-side) are placed by user once; on that placement a running window per
-    (user, day, ad) finds each crossing slot, a window per user takes the
-    earliest, and slots after it are dropped. A user's partition holds one
-    row per (day, ad, slot) it clicked in, never one per click.
+    Equal to ``user_ad_day_counts(blacklist_replay(...))`` without joining the
+    flags back to raw clicks: they are joined to the slot counts, which have one
+    row per (user, day, ad, slot), never one per click.
     """
-    sc = slot_counts(clicks, slot_ms).repartition("user_id")
-    run = (Window.partitionBy("user_id", "day", "ads_id").orderBy("slot")
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = sc.withColumn("_cum", F.sum("n").over(run))
-    crossing = F.when(F.col("_cum") >= threshold, F.col("slot"))
-    flagged = cum.withColumn("_flag", F.min(crossing).over(Window.partitionBy("user_id")))
-    kept = flagged.where(F.col("_flag").isNull() | (F.col("slot") <= F.col("_flag")))
+    counts = slot_counts(clicks, slot_ms)
+    flagged = counts.join(flag_users(counts, threshold), "user_id", "left")
+    kept = flagged.where(F.col("flag_slot").isNull() | (F.col("slot") <= F.col("flag_slot")))
     return kept.groupBy("day", "user_id", "ads_id").agg(F.sum("n").cast("long").alias("cnt"))
 
 
@@ -195,7 +187,8 @@ def last_hour_minutes(clicks: DataFrame, end_ms: int, span_ms: int = 3_600_000,
     each click by its own minute; the replay uses event-time slots: the
     ``span_ms / slot_ms`` slots up to and including the one holding
     ``end_ms``, so the oldest and newest minute are partial (61 labels).
-    A plain range on ``ts``, so it reaches the scan as a pushed filter.
+    The range is on the derived ``ts``; give it to the source as well
+    (``MallTables.ads(lo_ms, hi_ms)``) and it reaches the scan.
     """
     lo, hi = last_hour_bounds(end_ms, span_ms, slot_ms)
     c = clicks.where((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi)))

@@ -88,9 +88,9 @@ def category_session_counts(visits: DataFrame, top_categories: DataFrame) -> Dat
 
     The test is on the text of ``click_category_id`` against the top list, as
     in the original job. ``top_categories`` has at most 10 rows (a ``limit``),
-    so broadcasting it is bounded by construction.
+    so AQE broadcasts it; a longer list of a caller's own takes a shuffle join.
     """
-    top_ids = F.broadcast(top_categories.select("category_id").distinct())
+    top_ids = top_categories.select("category_id").distinct()
     v = visits.select(id_text(F.col("click_category_id")).alias("category_id"), "session_id")
     kept = v.join(top_ids, "category_id", "left_semi")
     return kept.groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count"))
@@ -110,13 +110,14 @@ def _metric_counts(visits: DataFrame) -> DataFrame:
     """One aggregate serving R1 and R2: counts per (metric, category text, session).
 
     Each action yields its R1 rows (metric = its kind, one per category id,
-    no session) and one R2 row (metric ``s``, the text of its click category,
-    its session). Built in the projection of the scan and partially
+    no session) and, if it is a click, one R2 row (metric ``s``, the text of its
+    category, its session). Built in the projection of the scan and partially
     aggregated before the shuffle.
     """
     kind, ids = _kind_and_ids()
-    r2 = F.array(F.struct(F.lit("s").alias("m"), id_text(F.col("click_category_id")).alias("c"),
-                          F.col("session_id").alias("s")))
+    # an action that is no click has category -1, which no top category is
+    r2 = F.filter(F.array(F.struct(F.lit("s").alias("m"), id_text(F.col("click_category_id")).alias("c"),
+                                   F.col("session_id").alias("s"))), lambda x: F.col("click_category_id") != -1)
     r1 = F.transform(F.coalesce(ids, F.array().cast("array<string>")),
                      lambda x: F.struct(kind.alias("m"), x.alias("c"), F.lit(None).cast("string").alias("s")))
     rows = visits.select(F.inline(F.concat(r2, r1)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import re
 from dataclasses import dataclass, fields
@@ -14,6 +15,14 @@ from pyspark.sql import functions as F
 PARAMS_KEY = "condition.params.json"
 
 
+def _is_date(text: str) -> bool:
+    try:
+        dt.date.fromisoformat(text)
+        return True
+    except ValueError:
+        return False
+
+
 def is_set(s: str | None) -> bool:
     """a text parameter counts only when not null and not empty."""
     return s is not None and len(s) > 0
@@ -78,6 +87,16 @@ class Condition:
                 return cls.from_json(line.split("=", 1)[1].strip())
         raise KeyError(key)
 
+    def ts_bounds(self) -> tuple[str | None, str | None]:
+        """The date bounds as ISO dates for a source that filters raw timestamps.
+
+        A bound that is not a plain ``yyyy-MM-dd`` date is left out: the text
+        comparison of :meth:`date_predicate` decides alone.
+        """
+        iso = [d if is_set(d) and re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", d) and _is_date(d) else None
+               for d in (self.start_date, self.end_date)]
+        return iso[0], iso[1]
+
     def date_predicate(self, date_col: Column) -> Column:
         """F1, date part: ``yyyy-MM-dd`` text bounds, inclusive, each only if set."""
         preds = []

@@ -236,6 +236,27 @@ SELECT ads_id, '[' || string_agg('{"' || hm || '":' || cnt || '}', ',' ORDER BY
 FROM lh GROUP BY ads_id
 """
 
+# ---------------------------------------------------------------- rejects, key/field rows
+ADS_REJECTS = _with("""
+spoilt AS (
+  SELECT ts % 11 AS n, CAST(ts AS VARCHAR) AS t, area, concat_ws(',', area, city, user_id, ads_id) AS tail FROM ads_log)
+""") + """
+SELECT CASE n WHEN 0 THEN t || ',' || area WHEN 1 THEN 'x' || t || ',' || tail
+              WHEN 2 THEN t || '000000000000,' || tail WHEN 3 THEN t || '000,' || tail ELSE ',' || tail END AS line,
+       CASE n WHEN 0 THEN 'too few fields' ELSE 'bad timestamp' END AS error
+FROM spoilt WHERE n <= 4
+"""
+DAY_AREA_CITY_ADS_HASH = _with(_ADS) + """
+SELECT 'area:city:ads:' || day AS key, area || ':' || city || ':' || ads_id AS field, CAST(cnt AS VARCHAR) AS value
+FROM dac
+"""
+DAY_AREA_ADS_TOP3_HASH = f"""
+SELECT 'area:ads:top3:' || day AS key, area AS field, ads_json AS value FROM ({DAY_AREA_ADS_TOP3_JSON})
+"""
+LAST_HOUR_HASH = f"""
+SELECT 'last:hour:ads' AS key, ads_id AS field, minutes_json AS value FROM ({LAST_HOUR_JSON})
+"""
+
 ORACLE: dict[str, str] = {
     "condition_filter": CONDITION_FILTER,
     "action_classify": ACTION_CLASSIFY,
@@ -267,6 +288,12 @@ ORACLE: dict[str, str] = {
     "stream_blacklist_state": BLACKLIST_USERS,
     "stream_blacklist_counters_state": USER_AD_DAY_COUNTS,
     "stream_day_area_city_ads": DAY_AREA_CITY_ADS,
+    "stream_day_area_city_ads_unordered": DAY_AREA_CITY_ADS,
     "stream_day_area_ads_top3": DAY_AREA_ADS_TOP3,
     "stream_last_hour": LAST_HOUR_JSON,
+    "ads_rejects": ADS_REJECTS,
+    "day_area_city_ads_hash": DAY_AREA_CITY_ADS_HASH,
+    "day_area_ads_top3_hash": DAY_AREA_ADS_TOP3_HASH,
+    "last_hour_hash": LAST_HOUR_HASH,
+    "condition_from_properties": CONDITION_FILTER,
 }

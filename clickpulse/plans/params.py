@@ -11,6 +11,12 @@ TASK_ID = "task-fixture"
 COND = Condition(start_date="2024-01-05", end_date="2024-01-20", start_age=20, end_age=50,
                  target_page_flow="1,2,3,4,5,6,7")
 
+# The same condition in the properties form.
+COND_PROPERTIES = """
+condition.params.json={startDate:"2024-01-05", endDate:"2024-01-20", startAge: "20", endAge: "50", \\
+targetPageFlow:"1,2,3,4,5,6,7", professionals: "", city:"", gender:"", keywords:"", categoryIds:"" }
+"""
+
 # Blacklist: clicks per (day, user, ad) that flag a user; micro-batches are
 # replayed as one-hour slices of event time.
 BLACKLIST_THRESHOLD = 8

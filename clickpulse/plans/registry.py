@@ -12,25 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.operators import ads, area, category, conversion
-from clickpulse.plans.condition import filter_visits
+from clickpulse.plans.condition import Condition, filter_visits
 from clickpulse.plans.params import (
     BLACKLIST_THRESHOLD,
     COND,
+    COND_PROPERTIES,
     LAST_HOUR_END_MS,
     LAST_HOUR_SLOT_MS,
     LAST_HOUR_SPAN_MS,
     SLOT_MS,
     TASK_ID,
 )
+from clickpulse.sources import hashview
 from clickpulse.sources.fixtures import MallTables
 from clickpulse.streaming import replay
+from clickpulse.streaming.app import realtime_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = MallTables(spark, sf_dir)
-    return filter_visits(t.visits(), t.users(), COND)
+    return filter_visits(t.visits(*COND.ts_bounds()), t.users(), COND)
 
 
 def _condition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,8 +136,9 @@ def _day_area_ads_top3_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _last_hour_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ads.last_hour_minutes(_ads(spark, sf_dir), LAST_HOUR_END_MS, LAST_HOUR_SPAN_MS,
-                                 LAST_HOUR_SLOT_MS)
+    lo, hi = ads.last_hour_bounds(LAST_HOUR_END_MS, LAST_HOUR_SPAN_MS, LAST_HOUR_SLOT_MS)
+    clicks = MallTables(spark, sf_dir).ads(lo, hi)
+    return ads.last_hour_minutes(clicks, LAST_HOUR_END_MS, LAST_HOUR_SPAN_MS, LAST_HOUR_SLOT_MS)
 
 
 def _last_hour_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,34 +146,68 @@ def _last_hour_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.blacklist(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS).current_blacklist(spark)
+    return replay.blacklist(spark, sf_dir).blacklist.current_blacklist(spark)
 
 
 def _stream_blacklist_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.blacklist(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS).kept_clicks(spark)
+    return replay.blacklist(spark, sf_dir, keep_clicks=True).blacklist.kept_clicks(spark)
 
 
 def _stream_blacklist_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.blacklist_state(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS).current_blacklist(spark)
+    # the list as a process that did not run the stream reads it
+    rt = replay.blacklist(spark, sf_dir)
+    return realtime_tables(rt.base_dir, BLACKLIST_THRESHOLD).blacklist.current_blacklist(spark)
 
 
 def _stream_blacklist_counters_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bl = replay.blacklist_state(spark, sf_dir, BLACKLIST_THRESHOLD, SLOT_MS)
-    return (bl.kept_counts(spark).groupBy("day", "user_id", "ads_id")
-            .agg(F.sum("n").cast("long").alias("cnt")))
+    return replay.blacklist(spark, sf_dir).blacklist.current_counters(spark)
 
 
 def _stream_day_area_city_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.day_area(spark, sf_dir).current_counts(spark)
+    return replay.day_area(spark, sf_dir).day_area.current_counts(spark)
+
+
+def _stream_day_area_city_ads_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.day_area(spark, sf_dir, unordered=True).day_area.current_counts(spark)
 
 
 def _stream_day_area_ads_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.day_area(spark, sf_dir).current_top3(spark)
+    return replay.day_area(spark, sf_dir).day_area.current_top3(spark)
 
 
 def _stream_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = replay.last_hour(spark, sf_dir, LAST_HOUR_END_MS, LAST_HOUR_SLOT_MS, LAST_HOUR_SPAN_MS)
-    return sink.current_trend(spark)
+    return replay.last_hour(spark, sf_dir).last_hour.current_trend(spark)
+
+
+def _ads_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the ad log spoilt in four ways, by event; the rejected ones and why."""
+    clicks = _ads(spark, sf_dir)
+    n = F.pmod(F.col("ts"), F.lit(11))
+    ts = F.col("ts").cast("string")
+    first = (F.when(n == 1, F.concat(F.lit("x"), ts)).when(n == 2, F.concat(ts, F.lit("000000000000")))
+             .when(n == 3, F.concat(ts, F.lit("000"))).when(n == 4, F.lit("")).otherwise(ts))
+    line = F.when(n == 0, F.concat_ws(",", ts, "area")).otherwise(
+        F.concat_ws(",", first, "area", "city", "user_id", "ads_id"))
+    return ads.bad_lines(ads.parse_ad_lines(clicks.select(line.alias("value")))).withColumnRenamed("_error", "error")
+
+
+def _day_area_city_ads_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashview.day_area_city_ads_hash(_day_area_city_ads(spark, sf_dir))
+
+
+def _day_area_ads_top3_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashview.day_area_ads_top3_hash(_day_area_ads_top3_json(spark, sf_dir))
+
+
+def _last_hour_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashview.last_hour_hash(_last_hour_json(spark, sf_dir))
+
+
+def _condition_from_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The condition parsed from the original's properties text."""
+    cond = Condition.from_properties(COND_PROPERTIES)
+    t = MallTables(spark, sf_dir)
+    return filter_visits(t.visits(*cond.ts_bounds()), t.users(), cond)
 
 
 QUERIES: dict[str, Query] = {
@@ -202,6 +240,12 @@ QUERIES: dict[str, Query] = {
     "stream_blacklist_state": _stream_blacklist_state,
     "stream_blacklist_counters_state": _stream_blacklist_counters_state,
     "stream_day_area_city_ads": _stream_day_area_city_ads,
+    "stream_day_area_city_ads_unordered": _stream_day_area_city_ads_unordered,
     "stream_day_area_ads_top3": _stream_day_area_ads_top3,
     "stream_last_hour": _stream_last_hour,
+    "ads_rejects": _ads_rejects,
+    "day_area_city_ads_hash": _day_area_city_ads_hash,
+    "day_area_ads_top3_hash": _day_area_ads_top3_hash,
+    "last_hour_hash": _last_hour_hash,
+    "condition_from_properties": _condition_from_properties,
 }

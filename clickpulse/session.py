@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes, merges
 # small shuffle partitions and splits skewed ones; the time zone pins the
@@ -38,6 +39,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
 }
 
+# A micro-batch of a few seconds is small next to the batch inputs.
+STREAM_PARTITIONS = 200
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "clickpulse", extra: dict | None = None,
@@ -78,15 +82,29 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in a fresh scratch folder and read back.
+
+    Cuts the lineage like a checkpoint, and later reads still prune columns and
+    push filters.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
     State tables, replayed stream sources and lineage cuts are written here.
-    Only when the setting is absent (local runs, tests) is a local folder made
-    and registered as the checkpoint dir.
+    Only on a local master may the setting be absent: a local folder is then
+    made and registered. On a cluster its executors could not see that folder.
     """
     base = _checkpoint_dir(spark)
     if not base:
+        master = spark.conf.get("spark.master", "local")
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         base = tempfile.mkdtemp(prefix="clickpulse-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(base)

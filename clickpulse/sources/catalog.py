@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpulse.sources.schemas import CITY_INFO, PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION, decode
 
@@ -12,13 +13,13 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-    """Replace ``name`` as a managed table (drop-if-exists + create in one step).
+def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
+    """Replace ``name`` as a managed table (drop-if-exists + create in one step), or ``append`` to it.
 
     ``partition_by=["date"]`` lays the clickstream out by day, which turns the
     date bound of the condition filter into partition pruning.
     """
-    w = df.write.mode("overwrite").format("parquet")
+    w = df.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
@@ -34,8 +35,11 @@ class CatalogTables:
     def _t(self, name: str, schema) -> DataFrame:
         return decode(read_table(self.spark, self.prefix + name), schema)
 
-    def visits(self) -> DataFrame:
-        return self._t("user_visit_action", USER_VISIT_ACTION)
+    def visits(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """Visits; the text bounds on ``date`` (inclusive) reach the scan as they are."""
+        v = self._t("user_visit_action", USER_VISIT_ACTION)
+        v = v if start is None else v.where(F.col("date") >= F.lit(start))
+        return v if end is None else v.where(F.col("date") <= F.lit(end))
 
     def users(self) -> DataFrame:
         return self._t("user_info", USER_INFO)

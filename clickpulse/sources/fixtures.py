@@ -93,8 +93,15 @@ AD_EXPRS = [
 ]
 
 
-def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").selectExpr("*", f"{_K} AS k")
+def user_visit_action(spark: SparkSession, sf_dir: str, start: str | None = None,
+                      end: str | None = None) -> DataFrame:
+    """Visits; ``start`` and ``end`` (ISO dates, inclusive) bound the scanned ``events.ts``."""
+    ev = read_table(spark, sf_dir, "events")
+    if start:
+        ev = ev.where(f"ts >= TIMESTAMP_NTZ '{start} 00:00:00'")
+    if end:
+        ev = ev.where(f"ts < TIMESTAMP_NTZ '{end} 00:00:00' + INTERVAL 1 DAY")
+    ev = ev.selectExpr("*", f"{_K} AS k")
     return decode(ev.selectExpr(*VISIT_EXPRS), USER_VISIT_ACTION)
 
 
@@ -114,15 +121,25 @@ def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(read_table(spark, sf_dir, "part").selectExpr(*PRODUCT_EXPRS), PRODUCT_INFO)
 
 
-def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ads_log(spark: SparkSession, sf_dir: str, lo_ms: int | None = None, hi_ms: int | None = None) -> DataFrame:
     """Ad clicks (ts ms, area, city, user_id, ads_id).
 
+    ``lo_ms`` (inclusive) and ``hi_ms`` (exclusive) bound the scan of
+    ``events.ts``, widened by two hours for clock changes of the session zone;
+    the caller's own filter on ``ts`` stays exact.
+
     Each event joins exactly one city on ``(event_id + k) % 25``. No hint:
     the planner broadcasts the city table when its estimated size is under
     ``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks with real
     sizes), else it shuffles both sides.
     """
-    ev = read_table(spark, sf_dir, "events").selectExpr("event_id", "ts", "user_id", f"{_K} AS k")
+    ev = read_table(spark, sf_dir, "events")
+    slack = 2 * 3_600_000
+    if lo_ms is not None:
+        ev = ev.where(f"ts >= CAST(timestamp_millis({int(lo_ms) - slack}) AS TIMESTAMP_NTZ)")
+    if hi_ms is not None:
+        ev = ev.where(f"ts < CAST(timestamp_millis({int(hi_ms) + slack}) AS TIMESTAMP_NTZ)")
+    ev = ev.selectExpr("event_id", "ts", "user_id", f"{_K} AS k")
     cities = city_info(spark, sf_dir)
     return ev.join(cities, (ev.event_id + ev.k) % 25 == cities.city_id).selectExpr(*AD_EXPRS)
 
@@ -134,8 +151,8 @@ class MallTables:
     spark: SparkSession
     sf_dir: str
 
-    def visits(self) -> DataFrame:
-        return user_visit_action(self.spark, self.sf_dir)
+    def visits(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        return user_visit_action(self.spark, self.sf_dir, start, end)
 
     def users(self) -> DataFrame:
         return user_info(self.spark, self.sf_dir)
@@ -146,8 +163,8 @@ class MallTables:
     def products(self) -> DataFrame:
         return product_info(self.spark, self.sf_dir)
 
-    def ads(self) -> DataFrame:
-        return ads_log(self.spark, self.sf_dir)
+    def ads(self, lo_ms: int | None = None, hi_ms: int | None = None) -> DataFrame:
+        return ads_log(self.spark, self.sf_dir, lo_ms, hi_ms)
 
     def register_views(self) -> None:
         """Bind the reference table names as temp views for SQL users."""

@@ -58,3 +58,7 @@ def truncate_insert(df: DataFrame, target: JdbcTarget, table: str) -> None:
 def append(df: DataFrame, target: JdbcTarget, table: str) -> None:
     """Add rows; runs are told apart by their ``task_id`` column."""
     _writer(df, target, "append", truncate=False).jdbc(target.url, table, properties=target.properties())
+
+
+# Write modes by name, for jobs that choose per result.
+WRITERS = {"overwrite": overwrite, "truncate_insert": truncate_insert, "append": append}

@@ -1,131 +1,171 @@
-"""The realtime application: ad-log lines -> blacklist -> running counts / trend.
+"""The realtime application: ad-log lines -> blacklist -> running counts and trend.
 
-``start_realtime`` wires the jobs the way the original main does (R5 then R6,
-R7, R8 on the filtered clicks), as separate streaming queries joined through
-the kept-click table the blacklist loop writes:
+One streaming query wires the jobs the way the original main does, R5 and then
+R6, R7 and R8 on the clicks it lets through:
 
-    lines --parse--> BlacklistState (state store, per user) --kept counts (parquet)-->
-        +--> R6 running counts --> DayAreaSink (R6 table + R7 top-3)
-        +--> R8 slot counts    --> LastHourSink (minute trend JSON)
+    lines --parse--> rejects
+               +---> Blacklist (R5) --kept--> DayArea (R6, R7), LastHour (R8)
 
-(``mode="loop"`` swaps in BlacklistLoop, which passes raw kept clicks on.)
+All tables of a micro-batch are written under its batch id and committed together;
+a batch that failed in the middle is run again and overwrites its own versions, a
+batch that was committed does nothing. So each click is counted once: in the kept
+clicks, among the listed users' dropped clicks, or in the rejects. Per batch these
+numbers are stored, and they add up to the lines read.
 
-Malformed lines go to a reject table instead of failing the batch (S4).
-Every query has its own checkpoint under ``base_dir``; on a cluster that
-folder must be shared storage (for example under ``spark.checkpoint.dir``).
+The clock is the wall clock or an injected one (replays), never the largest
+timestamp seen. Lines that claim to come from more than ``max_ahead_ms`` after it
+are rejected; late lines count in their own day.
+
+``base_dir`` holds the tables and the query's checkpoint; on a cluster it must be
+shared storage (for example under ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse.operators import ads
-from clickpulse.sources.schemas import ADS_INFO
-from clickpulse.sources.streams import with_trigger
-from clickpulse.streaming.blacklist import BlacklistLoop
-from clickpulse.streaming.blacklist_state import BlacklistState
-from clickpulse.streaming.counts import (
-    DayAreaSink,
-    LastHourSink,
-    ad_slot_stream,
-    day_area_city_ads_stream,
-)
+from clickpulse.sources.streams import BATCH_INTERVAL, with_trigger
+from clickpulse.sources.versions import CommitLog, VersionedTable
+from clickpulse.streaming.blacklist import Blacklist
+from clickpulse.streaming.counts import DayArea, LastHour
 
+REJECTS = T.StructType([T.StructField("line", T.StringType()), T.StructField("_error", T.StringType())])
+TOTALS = T.StructType([T.StructField(n, T.LongType()) for n in ("batch_id", "lines", "kept", "blacklisted", "rejected")])
+DAY_MS = 86_400_000
 
-@dataclass
-class Realtime:
-    """The running realtime application: its sinks and streaming queries."""
 
-    base_dir: str
-    blacklist: BlacklistLoop | BlacklistState
-    day_area: DayAreaSink
-    last_hour: LastHourSink
-    queries: list[StreamingQuery]
+class RealtimeBatch:
+    """The ``foreachBatch`` function of the application (see module doc).
+
+    ``blacklist``, ``day_area`` and ``last_hour`` may each be None: replays of one
+    job leave the others out.
+    """
+
+    def __init__(self, base_dir: str, log: CommitLog, blacklist: Blacklist | None, day_area: DayArea | None,
+                 last_hour: LastHour | None, now_ms: Callable[[], int], max_ahead_ms: int = DAY_MS,
+                 compact_every: int = 100):
+        self.log, self.blacklist, self.day_area, self.last_hour = log, blacklist, day_area, last_hour
+        self.now_ms, self.max_ahead_ms = now_ms, max_ahead_ms
+        self.rejects = VersionedTable(f"{base_dir}/rejects", REJECTS, log, "log", compact_every=compact_every)
+        self.totals = VersionedTable(f"{base_dir}/totals", TOTALS, log, "log", compact_every=compact_every)
+
+    def __call__(self, lines: DataFrame, batch_id: int) -> None:
+        spark = lines.sparkSession
+        if batch_id <= self.log.last(spark):
+            return
+        parsed = ads.parse_ad_lines(lines, latest_ms=self.now_ms() + self.max_ahead_ms) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._run(spark, parsed, int(batch_id))
+        finally:
+            parsed.unpersist()
+        self.log.commit(spark, batch_id)
+        if self.last_hour is not None:
+            self.last_hour.publish(spark)
+        for step in (self.blacklist, self.day_area):
+            for table in step.tables() if step is not None else []:
+                table.tidy(spark, batch_id)
+        if self.last_hour is not None:
+            self.last_hour.slots.tidy(spark, batch_id, self.last_hour.live())
+        self.rejects.tidy(spark, batch_id)
+        self.totals.tidy(spark, batch_id)
+
+    def _run(self, spark: SparkSession, parsed: DataFrame, batch_id: int) -> None:
+        n = parsed.agg(F.count(F.lit(1)).alias("lines"), F.count("_error").alias("rejected")).first()
+        if n["rejected"]:
+            self.rejects.write(ads.bad_lines(parsed), batch_id)
+        clicks = ads.good_lines(parsed)
+        kept = self.blacklist.step(clicks, batch_id) if self.blacklist is not None else clicks
+        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for step in (self.blacklist, self.day_area, self.last_hour):
+                if step is not None:
+                    step.store(kept, batch_id)
+            k = kept.count()
+        finally:
+            kept.unpersist()
+        row = (batch_id, n["lines"], k, n["lines"] - n["rejected"] - k, n["rejected"])
+        self.totals.write(spark.createDataFrame([row], TOTALS), batch_id)
 
-    def await_all(self) -> None:
-        for q in self.queries:
-            q.awaitTermination()
 
+@dataclass
+class Realtime:
+    """The running application: its batch function and its streaming queries."""
 
-def parsed_clicks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """S4 on a stream of lines: (good clicks, rejected lines)."""
-    parsed = ads.parse_ad_lines(lines)
-    return ads.good_lines(parsed), ads.bad_lines(parsed)
+    base_dir: str
+    batch: RealtimeBatch
+    queries: list[StreamingQuery] = field(default_factory=list)
 
+    @property
+    def blacklist(self) -> Blacklist | None:
+        return self.batch.blacklist
 
-def kept_click_stream(spark: SparkSession, loop: BlacklistLoop,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """The kept clicks of a :class:`BlacklistLoop` as a file stream."""
-    schema = T.StructType(ADS_INFO.fields + [T.StructField("v", T.LongType())])
-    r = spark.readStream.schema(schema).option("basePath", loop.kept_path)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(loop.kept_path).select(*ads.AD_FIELDS)
+    @property
+    def day_area(self) -> DayArea | None:
+        return self.batch.day_area
 
+    @property
+    def last_hour(self) -> LastHour | None:
+        return self.batch.last_hour
 
-def start_blacklist(clicks: DataFrame, loop: BlacklistLoop, checkpoint: str,
-                    available_now: bool = False) -> StreamingQuery:
-    """R5 snapshot loop as a streaming query."""
-    w = clicks.writeStream.foreachBatch(loop).option("checkpointLocation", checkpoint)
-    return with_trigger(w, available_now).start()
+    def rejects(self, spark: SparkSession) -> DataFrame:
+        return self.batch.rejects.current(spark)
 
+    def totals(self, spark: SparkSession) -> DataFrame:
+        """Per batch: lines = kept + blacklisted + rejected."""
+        return self.batch.totals.current(spark)
 
-def start_day_area(clicks: DataFrame, sink: DayAreaSink, checkpoint: str,
-                   available_now: bool = False, lateness: str = "1 day") -> StreamingQuery:
-    """R6 running counts (update mode) into ``sink``, which also re-ranks R7."""
-    w = (day_area_city_ads_stream(clicks, lateness).writeStream.outputMode("update")
-         .foreachBatch(sink).option("checkpointLocation", checkpoint))
-    return with_trigger(w, available_now).start()
+    def await_all(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
 
 
-def start_last_hour(clicks: DataFrame, sink: LastHourSink, checkpoint: str,
-                    available_now: bool = False, lateness: str = "65 minutes",
-                    arrival: bool = False) -> StreamingQuery:
-    """R8 slot counts (update mode) into ``sink``, which rebuilds the trend JSON."""
-    w = (ad_slot_stream(clicks, sink.slot_ms, lateness, arrival).writeStream.outputMode("update")
-         .foreachBatch(sink).option("checkpointLocation", checkpoint))
-    return with_trigger(w, available_now).start()
+def realtime_tables(base_dir: str, threshold: int, slot_ms: int = 5_000, now_ms: Callable[[], int] | None = None,
+                    compact_every: int = 100, trend_by: str = "event", slots_by: str = "event",
+                    max_ahead_ms: int = DAY_MS, keep_clicks: bool = False, trend_slot_ms: int = 5_000,
+                    jobs: tuple[str, ...] = ("R5", "R6", "R8")) -> Realtime:
+    """The application's tables under ``base_dir``, without a running query (readers use this too)."""
+    base = base_dir.rstrip("/")
+    clock = now_ms or (lambda: int(time.time() * 1000))
+    log = CommitLog(f"{base}/commits")
+    return Realtime(base, RealtimeBatch(
+        base, log,
+        Blacklist(f"{base}/blacklist", log, threshold, slot_ms, slots_by == "arrival", keep_clicks, compact_every)
+        if "R5" in jobs else None,
+        DayArea(f"{base}/day_area", log, compact_every=compact_every) if "R6" in jobs else None,
+        LastHour(f"{base}/last_hour", log, trend_slot_ms, arrival=trend_by == "arrival", compact_every=compact_every,
+                 now_ms=clock) if "R8" in jobs else None,
+        clock, max_ahead_ms, compact_every))
 
 
 def start_realtime(spark: SparkSession, lines: DataFrame, base_dir: str, threshold: int,
-                   slot_ms: int = 5_000, available_now: bool = False, now_ms=None,
-                   compact_every: int = 100, kept_files_per_trigger: int | None = None,
-                   mode: str = "state", trend_by: str = "event",
-                   slots_by: str = "event") -> Realtime:
-    """Start the four streaming queries; with ``available_now`` run them in order to the end.
-
-    ``mode="state"`` keeps the blacklist counters in the state store
-    (:class:`BlacklistState`, the form for large streams); ``mode="loop"``
-    uses the snapshot loop (:class:`BlacklistLoop`), which keeps raw kept clicks.
-    ``trend_by="arrival"`` windows the last-hour trend by arrival, as the
-    original does; ``"event"`` (default) by event time. ``slots_by="arrival"``
-    makes each micro-batch one blacklist slot (state mode), as in the original.
+                   available_now: bool = False, **options) -> Realtime:
+    """Start the query (``available_now``: drain what is there and stop).
+
+    ``options`` are those of :func:`realtime_tables`. ``trend_by="arrival"``
+    windows the last-hour trend by arrival and ``slots_by="arrival"`` makes each
+    micro-batch one blacklist slot, as in the original; the default is event time.
     """
-    base = base_dir.rstrip("/")
-    good, bad = parsed_clicks(lines)
-    if mode == "state":
-        bl = BlacklistState(f"{base}/blacklist", threshold, slot_ms, arrival=slots_by == "arrival")
-        queries = [bl.start(good, f"{base}/ck/blacklist", available_now)]
-    else:
-        bl = BlacklistLoop(f"{base}/blacklist", threshold, slot_ms)
-        queries = [start_blacklist(good, bl, f"{base}/ck/blacklist", available_now)]
-    rejects = (bad.writeStream.format("parquet").option("path", f"{base}/rejects")
-               .option("checkpointLocation", f"{base}/ck/rejects"))
-    queries.append(with_trigger(rejects, available_now).start())
-    if available_now:  # the downstream queries read what the blacklist committed
-        for q in queries:
-            q.awaitTermination()
-    if mode == "state":
-        kept = bl.kept_count_stream(spark, kept_files_per_trigger)
-    else:
-        kept = kept_click_stream(spark, bl, kept_files_per_trigger)
-    day_area = DayAreaSink(f"{base}/day_area", compact_every=compact_every)
-    last_hour = LastHourSink(f"{base}/last_hour", now_ms=now_ms, compact_every=compact_every)
-    queries.append(start_day_area(kept, day_area, f"{base}/ck/day_area", available_now))
-    queries.append(start_last_hour(kept, last_hour, f"{base}/ck/last_hour", available_now,
-                                   arrival=trend_by == "arrival"))
-    return Realtime(base, bl, day_area, last_hour, queries)
+    rt = realtime_tables(base_dir, threshold, **options)
+    w = lines.writeStream.foreachBatch(rt.batch).option("checkpointLocation", f"{rt.base_dir}/checkpoint")
+    rt.queries.append(with_trigger(w, available_now).start())
+    if rt.last_hour is not None and not available_now:
+        rt.queries.append(start_trend_timer(spark, rt.last_hour, f"{rt.base_dir}/timer"))
+    return rt
+
+
+def start_trend_timer(spark: SparkSession, last_hour: LastHour, checkpoint: str,
+                      interval: str = BATCH_INTERVAL) -> StreamingQuery:
+    """Publish the trend every ``interval`` whether clicks come or not."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    w = ticks.writeStream.foreachBatch(lambda df, _: last_hour.publish(df.sparkSession))
+    return with_trigger(w.option("checkpointLocation", checkpoint), False, interval).start()

@@ -1,125 +1,89 @@
 """R5 on a stream: filter blacklisted users, count, flag.
 
-One ``foreachBatch`` function per micro-batch ``id``:
-
-1. read the state of version ``id - 1``: the blacklist (user, flagging slot)
-   and the open-day counters (day, user, ad, count);
-2. drop clicks of listed users that come after their flagging slot (J3, a
-   join with the list; AQE broadcasts it while it is small);
-3. count the rest per (user, day, ad, slot), add the carried counts, and flag
-   users whose running count reaches the threshold (T6) -- inside a batch too,
-   slot by slot, so the result does not depend on how arrival cut batches;
-4. write kept clicks, counters and blacklist as version ``id``, then a commit
-   marker. A retried batch finds the marker and does nothing, so downstream
-   readers of the kept clicks never see a batch twice.
-
-Clicks of the flagging slot still pass: the filter acts from the next slot
-on (T7). Counters of days older than ``lateness_days`` before the newest day
-seen are dropped, which bounds the state.
+One call per micro-batch, DataFrame operations only:
+
+1. drop the clicks of listed users after their flagging slot (J3, a join with
+   the list; AQE broadcasts it while it is small);
+2. count the rest per (user, day, ad, slot), add the counters carried for just
+   those keys, and list the users whose running count reaches the threshold
+   (T6) -- inside a batch too, slot by slot;
+3. drop their clicks after that slot (T7: the flagging slot still passes) and
+   write the kept clicks' counts as increments of the counter table.
+
+Nothing here depends on the largest timestamp seen: a late click counts in its
+own day whenever it arrives, and a wrong clock disturbs no other user. Counters
+are summed increments, so a batch writes what it counted and not the whole state.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.functions.sizing import broadcast_if_small
+from clickpulse.functions.timefmt import day_string, slot
 from clickpulse.operators import ads
-from clickpulse.sources.keyed import KeyedTable
 from clickpulse.sources.schemas import ADS_INFO
+from clickpulse.sources.versions import CommitLog, VersionedTable
 
-BLACKLIST = T.StructType([T.StructField("user_id", T.StringType()),
-                          T.StructField("flag_slot", T.LongType())])
+FLAGS = T.StructType([T.StructField("user_id", T.StringType()),
+                      T.StructField("flag_slot", T.LongType())])
 COUNTERS = T.StructType([T.StructField("day", T.StringType()), T.StructField("user_id", T.StringType()),
                          T.StructField("ads_id", T.StringType()), T.StructField("cnt", T.LongType())])
-COMMIT = T.StructType([T.StructField("batch_id", T.LongType())])
-
-
-class BlacklistLoop:
-    """R5 as a ``foreachBatch`` function over versioned snapshots (see module doc)."""
-
-    def __init__(self, state_dir: str, threshold: int, slot_ms: int, lateness_days: int = 1):
-        self.state_dir = state_dir.rstrip("/")
-        self.threshold = threshold
-        self.slot_ms = slot_ms
-        self.lateness_days = lateness_days
-        self.blacklist = KeyedTable(f"{self.state_dir}/blacklist", BLACKLIST, [])
-        self.counters = KeyedTable(f"{self.state_dir}/counters", COUNTERS, [])
-        self.kept = KeyedTable(f"{self.state_dir}/kept", ADS_INFO, [])
-        self.commits = KeyedTable(f"{self.state_dir}/commits", COMMIT, [])
-
-    @property
-    def kept_path(self) -> str:
-        return self.kept.path
-
-    def _state(self, table: KeyedTable, spark, version: int) -> DataFrame:
-        got = table.read_version(spark, version) if version >= 0 else None
-        return got if got is not None else table.empty(spark)
-
-    def done(self, spark, batch_id: int) -> bool:
-        return self.commits.read_version(spark, batch_id) is not None
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if self.done(spark, batch_id):
-            return
-        clicks = batch.select(*ads.AD_FIELDS).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._process(spark, clicks, batch_id)
-        finally:
-            clicks.unpersist()
-
-    def _process(self, spark, clicks: DataFrame, batch_id: int) -> None:
-        prev_bl = self._state(self.blacklist, spark, batch_id - 1)
-        prev_cnt = self._state(self.counters, spark, batch_id - 1)
-
-        # T4 + J3 + F9: users listed before this batch keep clicks up to their
-        # slot; the list is broadcast as in the original, once its size is checked
-        passed = ads.kept_clicks(clicks, broadcast_if_small(prev_bl), self.slot_ms)
-        sc = ads.slot_counts(passed, self.slot_ms)
-        base = prev_cnt.select("user_id", "day", "ads_id", F.col("cnt").alias("base"))
-        sc = sc.join(base, ["user_id", "day", "ads_id"], "left").fillna(0, ["base"])
-        new_flags = ads.flag_users(sc, self.threshold)  # T6 (S12 + S11)
-        kept = ads.kept_clicks(passed, new_flags, self.slot_ms)  # T7
-        blacklist = (prev_bl.unionByName(new_flags).groupBy("user_id")
-                     .agg(F.min("flag_slot").alias("flag_slot")))
-        counters = (prev_cnt.unionByName(ads.user_ad_day_counts(kept))
-                    .groupBy("day", "user_id", "ads_id").agg(F.sum("cnt").cast("long").alias("cnt")))
-        newest = clicks.agg(F.max("ts").alias("m")).first()["m"]  # one scalar per batch
-        if newest is not None:
-            horizon = (dt.datetime.fromtimestamp(newest / 1000, dt.timezone.utc).date()
-                       - dt.timedelta(days=self.lateness_days)).isoformat()
-            counters = counters.where(F.col("day") >= F.lit(horizon))
-
-        if not self.kept.version_complete(spark, batch_id):  # read downstream: never rewrite
+_KEYS = ["day", "user_id", "ads_id"]
+
+
+class Blacklist:
+    """The blacklist, its counters and (``keep_clicks``) the clicks it lets through.
+
+    The slot of a click is its event-time slice of ``slot_ms``, or with
+    ``arrival`` the micro-batch itself (its id), as in the original: a flag then
+    takes effect from the next batch.
+    """
+
+    def __init__(self, path: str, log: CommitLog, threshold: int, slot_ms: int, arrival: bool = False,
+                 keep_clicks: bool = False, compact_every: int = 100):
+        self.threshold, self.slot_ms, self.arrival = threshold, slot_ms, arrival
+        self.flags = VersionedTable(f"{path}/blacklist", FLAGS, log, "log", compact_every=compact_every)
+        self.counters = VersionedTable(f"{path}/counters", COUNTERS, log, "sum", _KEYS, ["day"], compact_every)
+        self.kept = VersionedTable(f"{path}/kept", ADS_INFO, log, "log", compact_every=compact_every) \
+            if keep_clicks else None
+
+    def tables(self) -> list[VersionedTable]:
+        return [t for t in (self.flags, self.counters, self.kept) if t is not None]
+
+    def step(self, clicks: DataFrame, batch_id: int) -> DataFrame:
+        """Process one batch; returns the kept clicks (persist them, they are read again)."""
+        spark = clicks.sparkSession
+        at = F.lit(batch_id).cast("long") if self.arrival else slot(F.col("ts"), self.slot_ms)
+        listed = self.flags.current(spark, batch_id - 1)
+        passed = ads.kept_clicks(clicks, listed, at)
+        counts = ads.slot_counts(passed, at)
+        # the days of one batch prune the counter table's folders
+        days = [r["day"] for r in clicks.select(day_string(F.col("ts")).alias("day")).distinct().collect()]
+        held = self.counters.current(spark, batch_id - 1, F.col("day").isin(days),
+                                     counts.select(*_KEYS).distinct())
+        counts = counts.join(held.withColumnRenamed("cnt", "base"), _KEYS, "left").fillna(0, ["base"])
+        fresh = ads.flag_users(counts, self.threshold).join(listed, "user_id", "left_anti")
+        self.flags.write(fresh, batch_id)
+        # read back what was written: the flags are computed once
+        fresh = self.flags._read(spark, "data", [batch_id]).select(*FLAGS.names)
+        return ads.kept_clicks(passed, fresh, at)
+
+    def store(self, kept: DataFrame, batch_id: int) -> None:
+        self.counters.write(ads.user_ad_day_counts(kept), batch_id)
+        if self.kept is not None:
             self.kept.write(kept, batch_id)
-        self.counters.write(counters, batch_id)
-        self.blacklist.write(blacklist, batch_id)
-        self.commits.write(spark.createDataFrame([(int(batch_id),)], COMMIT), batch_id)
 
     # ------------------------------------------------------------ results
-    def current_blacklist(self, spark) -> DataFrame:
-        """S11 read: the newest committed blacklist."""
-        return self._latest(self.blacklist, spark)
+    def current_blacklist(self, spark: SparkSession) -> DataFrame:
+        """S11 read: the committed blacklist."""
+        return self.flags.current(spark)
 
-    def current_counters(self, spark) -> DataFrame:
-        return self._latest(self.counters, spark)
+    def current_counters(self, spark: SparkSession) -> DataFrame:
+        """S12 read: kept clicks per (day, user, ad)."""
+        return self.counters.current(spark)
 
-    def kept_clicks(self, spark) -> DataFrame:
+    def kept_clicks(self, spark: SparkSession) -> DataFrame:
         """Every kept click of the committed batches."""
-        allv = self.kept.versions(spark)
-        if allv is None:
-            return self.kept.empty(spark)
-        return allv.select(*ads.AD_FIELDS)
-
-    def _latest(self, table: KeyedTable, spark) -> DataFrame:
-        commits = self.commits.versions(spark)
-        if commits is None:
-            return table.empty(spark)
-        last = commits.agg(F.max("batch_id").alias("m")).first()["m"]
-        got = table.read_version(spark, int(last))
-        return got if got is not None else table.empty(spark)
+        return self.kept.current(spark)

@@ -1,31 +1,31 @@
-"""R6, R7, R8 on a stream.
-
-R6 keeps running counts per (day, area, city, ad) in Spark's state store: a
-watermarked aggregation over a one-day event-time window, ``update`` mode,
-so each micro-batch emits only the keys it changed and days behind the
-watermark leave the state (the original ``updateStateByKey`` never forgets).
-``foreachBatch`` upserts those rows into a day-partitioned keyed table and,
-for the days touched, re-ranks the top-3 ads per area (R7) from the table --
-ranking cannot run on the stream itself.
-
-R8 counts clicks per (ad, 5 s slot, minute label) the same way, with a
-watermark a little over an hour, and after each batch rebuilds the per-ad
-minute trend of the last 720 slots before "now" as JSON. Slots are event-time
-slots by default, or arrival slots (the original's window) on request.
+"""R6, R7, R8 on a stream.
+
+Each micro-batch adds its own counts to versioned ``sum`` tables: R6 per (day,
+area, city, ad), R8 per (ad, slot, minute label). No watermark is needed: a late
+click is added to its day or slot whenever it comes, and days follow the session
+time zone like the batch form. For the days a batch touches the top-3 ads per
+area (R7) are ranked again from the table.
+
+R8's trend is a function of the clock: :meth:`LastHour.trend_at` computes it for
+any instant, :meth:`LastHour.publish` stores it, and the application publishes
+both after a batch and on a timer, so it moves when no click comes. Slots that no
+later trend can show are not kept.
 """
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickpulse.functions.timefmt import day_string, hour_minute, slot
 from clickpulse.operators import ads
-from clickpulse.sources.keyed import KeyedTable
+from clickpulse.sources import hashview
+from clickpulse.sources.versions import CommitLog, VersionedTable
 
 DAY_AREA_CITY_ADS = T.StructType([
     T.StructField("day", T.StringType()), T.StructField("area", T.StringType()),
@@ -37,121 +37,97 @@ DAY_AREA_ADS_TOP3 = T.StructType([
     T.StructField("rank", T.LongType())])
 AD_SLOT_COUNTS = T.StructType([
     T.StructField("ads_id", T.StringType()), T.StructField("slot", T.LongType()),
-    T.StructField("hm", T.StringType()), T.StructField("cnt", T.LongType()),
-    T.StructField("epoch_day", T.LongType())])
+    T.StructField("hm", T.StringType()), T.StructField("cnt", T.LongType())])
 LAST_HOUR_JSON = T.StructType([
     T.StructField("ads_id", T.StringType()), T.StructField("minutes_json", T.StringType())])
 
 
-def _event_time(clicks: DataFrame, tick_ms: int = 5_000) -> DataFrame:
-    """``event_time`` and a click weight ``_w`` for raw clicks or kept counts.
+class DayArea:
+    """R6 counts (S9) and the R7 ranking of the touched days."""
 
-    Raw clicks (``ts``) weigh 1 each; kept counts from the state form of the
-    blacklist (``tick``, ``n``) weigh ``n`` at the start of their tick.
-    timestamp_millis gives TIMESTAMP (not _NTZ), which withWatermark accepts.
-    """
-    if "ts" in clicks.columns:
-        return clicks.select("*", F.timestamp_millis(F.col("ts")).alias("event_time"),
-                             F.lit(1).cast("long").alias("_w"))
-    return clicks.select("*", F.timestamp_millis(F.col("tick") * F.lit(tick_ms)).alias("event_time"),
-                         F.col("n").cast("long").alias("_w"))
-
-
-# ------------------------------------------------------------------ R6 + R7
-def day_area_city_ads_stream(clicks: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Running counts per (day, area, city, ad) with a watermark."""
-    ev = _event_time(clicks).withWatermark("event_time", lateness)
-    agg = (ev.groupBy(F.window("event_time", "1 day").alias("w"), "area", "city", "ads_id")
-           .agg(F.sum("_w").alias("count")))
-    return agg.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"),
-                      "area", "city", "ads_id", F.col("count").cast("long").alias("cnt"))
-
-
-class DayAreaSink:
-    """foreachBatch target of R6 (S9) and the R7 re-rank."""
-
-    def __init__(self, out_dir: str, top: int = 3, compact_every: int = 100):
-        out_dir = out_dir.rstrip("/")
-        self.counts = KeyedTable(f"{out_dir}/day_area_city_ads", DAY_AREA_CITY_ADS,
-                                 ["day", "area", "city", "ads_id"], ["day"], compact_every)
-        self.top3 = KeyedTable(f"{out_dir}/day_area_ads_top3", DAY_AREA_ADS_TOP3, ["day"], ["day"],
-                               compact_every)
+    def __init__(self, path: str, log: CommitLog, top: int = 3, compact_every: int = 100):
+        self.counts = VersionedTable(f"{path}/day_area_city_ads", DAY_AREA_CITY_ADS, log, "sum",
+                                     ["day", "area", "city", "ads_id"], ["day"], compact_every)
+        self.top3 = VersionedTable(f"{path}/day_area_ads_top3", DAY_AREA_ADS_TOP3, log, "latest", ["day"],
+                                   ["day"], compact_every)
         self.top = top
 
-    def __call__(self, changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        changed = changed.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.counts.write(changed, batch_id)
-            # the days a batch touches are few (bounded by the watermark): as a
-            # partition filter they prune the table to those days' folders
-            days = [r["day"] for r in changed.select("day").distinct().collect()]
-            if not days:
-                return
-            cur = self.counts.current(spark, where=F.col("day").isin(days))
-            top3 = ads.day_area_ads_top3(ads.day_area_ads(cur), self.top)
-            self.top3.write(top3.select("day", "area", "ads_id", "cnt", "rank"), batch_id)
-        finally:
-            changed.unpersist()
-
-    def current_counts(self, spark) -> DataFrame:
+    def tables(self) -> list[VersionedTable]:
+        return [self.counts, self.top3]
+
+    def store(self, kept: DataFrame, batch_id: int) -> None:
+        spark = kept.sparkSession
+        self.counts.write(ads.day_area_city_ads(kept), batch_id)
+        # as a partition filter the batch's days prune the table to their folders
+        days = [r["day"] for r in kept.select(day_string(F.col("ts")).alias("day")).distinct().collect()]
+        cur = self.counts.current(spark, batch_id, F.col("day").isin(days))
+        self.top3.write(ads.day_area_ads_top3(ads.day_area_ads(cur), self.top), batch_id)
+
+    def current_counts(self, spark: SparkSession) -> DataFrame:
         return self.counts.current(spark)
 
-    def current_top3(self, spark) -> DataFrame:
+    def current_top3(self, spark: SparkSession) -> DataFrame:
         return self.top3.current(spark)
 
+    def counts_hash(self, spark: SparkSession) -> DataFrame:
+        """R6 as (key, field, value) rows of the original layout."""
+        return hashview.day_area_city_ads_hash(self.current_counts(spark))
 
-# ------------------------------------------------------------------ R8
-def ad_slot_stream(clicks: DataFrame, slot_ms: int = 5_000, lateness: str = "65 minutes",
-                   arrival: bool = False) -> DataFrame:
-    """Clicks per (ad, slot, event minute) with a watermark just over the trend's hour.
+    def top3_hash(self, spark: SparkSession) -> DataFrame:
+        """R7 as (key, field, value) rows of the original layout."""
+        return hashview.day_area_ads_top3_hash(ads.day_area_ads_top3_json(self.current_top3(spark)))
 
-    By default the slot is the click's event-time slot (deterministic on
-    replay). With ``arrival=True`` it is the slot of the micro-batch that
-    received the click -- ``current_timestamp()`` is the batch's trigger time
-    in a stream -- which is the original's window over arrival; the label is
-    still the click's own minute.
+
+class LastHour:
+    """Clicks per (ad, slot, minute), and the minute trend of the last hour as JSON.
+
+    The slot is the click's event-time slot, or with ``arrival`` the slot of the
+    instant its batch ran; the label is the click's own minute either way.
     """
-    ev = _event_time(clicks, slot_ms)
-    ev = ev.withColumn("hm", F.date_format("event_time", "HH:mm"))
-    clock = "event_time"
-    if arrival:
-        ev = ev.withColumn("arrival_time", F.current_timestamp())
-        clock = "arrival_time"
-    ev = ev.withWatermark(clock, lateness)
-    agg = (ev.groupBy("ads_id", F.window(clock, f"{slot_ms} milliseconds").alias("w"), "hm")
-           .agg(F.sum("_w").alias("count")))
-    start_ms = F.unix_millis(F.col("w.start"))
-    return agg.select("ads_id", F.floor(start_ms / slot_ms).cast("long").alias("slot"), "hm",
-                      F.col("count").cast("long").alias("cnt"),
-                      F.floor(start_ms / 86_400_000).cast("long").alias("epoch_day"))
-
-
-class LastHourSink:
-    """foreachBatch target of R8: slot counts upserted, trend JSON replaced."""
-
-    def __init__(self, out_dir: str, slot_ms: int = 5_000, span_ms: int = 3_600_000,
-                 now_ms: Callable[[], int] | None = None, compact_every: int = 100):
-        out_dir = out_dir.rstrip("/")
-        self.slots = KeyedTable(f"{out_dir}/ad_slot_counts", AD_SLOT_COUNTS, ["ads_id", "slot", "hm"],
-                                ["epoch_day"], compact_every)
-        self.trend = KeyedTable(f"{out_dir}/last_hour_json", LAST_HOUR_JSON, [], None, compact_every)
-        self.slot_ms, self.span_ms = slot_ms, span_ms
+
+    def __init__(self, path: str, log: CommitLog, slot_ms: int = 5_000, span_ms: int = 3_600_000,
+                 arrival: bool = False, compact_every: int = 100,
+                 now_ms: Callable[[], int] | None = None):
+        self.slots = VersionedTable(f"{path}/ad_slot_counts", AD_SLOT_COUNTS, log, "sum",
+                                    ["ads_id", "slot", "hm"], [], compact_every)
+        self.published = CommitLog(f"{path}/trend_commits")
+        self.trend = VersionedTable(f"{path}/last_hour_json", LAST_HOUR_JSON, self.published, "whole")
+        self.slot_ms, self.span_ms, self.arrival = slot_ms, span_ms, arrival
         self.now_ms = now_ms or (lambda: int(time.time() * 1000))
+        self._one = threading.Lock()
 
-    def trend_at(self, spark, end_ms: int) -> DataFrame:
+    def tables(self) -> list[VersionedTable]:
+        return [self.slots]
+
+    def live(self):
+        """Slots that a trend from now on can still show."""
+        return F.col("slot") >= ads.last_hour_bounds(self.now_ms(), self.span_ms, self.slot_ms)[0] // self.slot_ms
+
+    def store(self, kept: DataFrame, batch_id: int) -> None:
+        at = F.lit(self.now_ms()) if self.arrival else F.col("ts")
+        c = kept.select("ads_id", slot(at, self.slot_ms).alias("slot"), hour_minute(F.col("ts")).alias("hm"))
+        self.slots.write(c.where(self.live()).groupBy("ads_id", "slot", "hm")
+                         .agg(F.count(F.lit(1)).alias("cnt")), batch_id)
+
+    def trend_at(self, spark: SparkSession, end_ms: int) -> DataFrame:
         """The per-ad minute JSON of the hour of slots ending at ``end_ms``."""
         lo, hi = ads.last_hour_bounds(end_ms, self.span_ms, self.slot_ms)
-        days = F.col("epoch_day").between(lo // 86_400_000, hi // 86_400_000)
-        cur = self.slots.current(spark, where=days)
+        cur = self.slots.current(spark)
         cur = cur.where((F.col("slot") >= lo // self.slot_ms) & (F.col("slot") < hi // self.slot_ms))
-        minutes = cur.groupBy("ads_id", "hm").agg(F.sum("cnt").cast("long").alias("cnt"))
-        return ads.minutes_json(minutes)
-
-    def __call__(self, changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        self.slots.write(changed, batch_id)
-        self.trend.write(self.trend_at(spark, self.now_ms()), batch_id)
-
-    def current_trend(self, spark) -> DataFrame:
+        return ads.minutes_json(cur.groupBy("ads_id", "hm").agg(F.sum("cnt").cast("long").alias("cnt")))
+
+    def publish(self, spark: SparkSession, end_ms: int | None = None) -> None:
+        """Store the trend as of now; an hour without clicks stores an empty one."""
+        with self._one:  # batches and the timer publish from different threads
+            version = self.published.last(spark) + 1
+            self.trend.write(self.trend_at(spark, self.now_ms() if end_ms is None else end_ms), version)
+            self.published.commit(spark, version)
+            self.trend.tidy(spark, version)
+
+    def current_trend(self, spark: SparkSession) -> DataFrame:
+        """The trend published last."""
         return self.trend.current(spark)
+
+    def trend_hash(self, spark: SparkSession) -> DataFrame:
+        """R8 as (key, field, value) rows of the original layout."""
+        return hashview.last_hour_hash(self.current_trend(spark))

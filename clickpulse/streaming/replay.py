@@ -1,63 +1,67 @@
 """Replays of the stream jobs over the driver's tables.
 
-The ad clicks of the tables are written once as text lines (the stream's
-wire format) into a fresh folder under the shared scratch dir, read back with
-the file stream source and drained with ``availableNow``; the result is the
-final state of the job's keyed table. With all files in one micro-batch the
-jobs reach the same tables as the batch forms in
-:mod:`clickpulse.operators.ads`.
+The ad clicks of the tables are written as text lines (the stream's wire format)
+slice by slice into a fresh folder under the shared scratch dir. After each slice
+the query is started from its checkpoint, drains what is new and stops, so a
+replay crosses ``SLICES`` micro-batches at least, each after a restart; with
+``compact_every=3`` the tables are folded twice on the way. Slices follow the
+event time, or (``unordered``) a hash, so that every batch holds late clicks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpulse.operators import ads
+from clickpulse.plans.params import BLACKLIST_THRESHOLD, LAST_HOUR_END_MS, LAST_HOUR_SLOT_MS, SLOT_MS
 from clickpulse.session import scratch_dir
 from clickpulse.sources.fixtures import MallTables
 from clickpulse.sources.streams import text_lines
-from clickpulse.streaming import app
-from clickpulse.streaming.blacklist import BlacklistLoop
-from clickpulse.streaming.blacklist_state import BlacklistState
-from clickpulse.streaming.counts import DayAreaSink, LastHourSink
+from clickpulse.streaming.app import Realtime, start_realtime
 
+SLICES = 7
 
-def write_log(spark: SparkSession, sf_dir: str, name: str,
-              max_files_per_trigger: int | None = None) -> tuple[str, DataFrame]:
-    """Write the ad clicks of the tables as text lines; return (folder, line stream)."""
+
+def slices(clicks: DataFrame, n: int = SLICES, unordered: bool = False) -> list[DataFrame]:
+    """``clicks`` cut into ``n`` parts by event time, or by a hash of the click."""
+    if unordered:
+        part = F.pmod(F.xxhash64(*clicks.columns), F.lit(n))
+        return [clicks.where(part == i) for i in range(n)]
+    lo, hi = clicks.agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        return [clicks]
+    step = (hi - lo) // n + 1
+    return [clicks.where((F.col("ts") >= lo + i * step) & (F.col("ts") < lo + (i + 1) * step)) for i in range(n)]
+
+
+def replay(spark: SparkSession, parts: list[DataFrame], jobs: tuple[str, ...], threshold: int = BLACKLIST_THRESHOLD,
+           slot_ms: int = SLOT_MS, now_ms: int = LAST_HOUR_END_MS + 60 * 86_400_000, name: str = "replay",
+           **options) -> Realtime:
+    """Run ``jobs`` over lists of clicks, a restart of the query after each."""
     base = scratch_dir(spark, name)
-    ads.to_lines(MallTables(spark, sf_dir).ads()).write.mode("overwrite").text(f"{base}/src")
-    return base, text_lines(spark, f"{base}/src", max_files_per_trigger)
+    rt = None
+    for i, part in enumerate(parts):
+        ads.to_lines(part).write.text(f"{base}/src/part={i:04d}")
+        rt = start_realtime(spark, text_lines(spark, f"{base}/src"), f"{base}/run", threshold, available_now=True,
+                            slot_ms=slot_ms, now_ms=lambda: now_ms, compact_every=3, jobs=jobs, **options)
+        rt.await_all()
+    return rt
 
 
-def blacklist(spark: SparkSession, sf_dir: str, threshold: int, slot_ms: int) -> BlacklistLoop:
-    base, lines = write_log(spark, sf_dir, "stream-blacklist")
-    good, _ = app.parsed_clicks(lines)
-    loop = BlacklistLoop(f"{base}/state", threshold, slot_ms)
-    app.start_blacklist(good, loop, f"{base}/ck", available_now=True).awaitTermination()
-    return loop
+def _parts(spark: SparkSession, sf_dir: str, unordered: bool = False) -> list[DataFrame]:
+    return slices(MallTables(spark, sf_dir).ads(), unordered=unordered)
 
 
-def blacklist_state(spark: SparkSession, sf_dir: str, threshold: int, slot_ms: int) -> BlacklistState:
-    base, lines = write_log(spark, sf_dir, "stream-blacklist-state")
-    good, _ = app.parsed_clicks(lines)
-    bl = BlacklistState(f"{base}/out", threshold, slot_ms)
-    bl.start(good, f"{base}/ck", available_now=True).awaitTermination()
-    return bl
+def blacklist(spark: SparkSession, sf_dir: str, keep_clicks: bool = False) -> Realtime:
+    return replay(spark, _parts(spark, sf_dir), ("R5",), keep_clicks=keep_clicks, name="stream-blacklist")
 
 
-def day_area(spark: SparkSession, sf_dir: str) -> DayAreaSink:
-    base, lines = write_log(spark, sf_dir, "stream-day-area")
-    good, _ = app.parsed_clicks(lines)
-    sink = DayAreaSink(f"{base}/out")
-    app.start_day_area(good, sink, f"{base}/ck", available_now=True).awaitTermination()
-    return sink
+def day_area(spark: SparkSession, sf_dir: str, unordered: bool = False) -> Realtime:
+    return replay(spark, _parts(spark, sf_dir, unordered), ("R6",), name="stream-day-area")
 
 
-def last_hour(spark: SparkSession, sf_dir: str, end_ms: int, slot_ms: int,
-              span_ms: int) -> LastHourSink:
-    base, lines = write_log(spark, sf_dir, "stream-last-hour")
-    good, _ = app.parsed_clicks(lines)
-    sink = LastHourSink(f"{base}/out", slot_ms, span_ms, now_ms=lambda: end_ms)
-    app.start_last_hour(good, sink, f"{base}/ck", available_now=True).awaitTermination()
-    return sink
+def last_hour(spark: SparkSession, sf_dir: str) -> Realtime:
+    # the clock stands at the trend's end: clicks after it are not read by the trend
+    return replay(spark, _parts(spark, sf_dir), ("R8",), now_ms=LAST_HOUR_END_MS, max_ahead_ms=60 * 86_400_000,
+                  trend_slot_ms=LAST_HOUR_SLOT_MS, name="stream-last-hour")

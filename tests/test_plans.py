@@ -10,13 +10,13 @@ import pytest
 
 import __spark_entry__ as E
 
-from .conftest import SF_SMALL
+from .conftest import SF_CHECK, SF_SMALL
 
 QUERIES = E.queries()
 
 
-def final_plan(spark, name: str) -> str:
-    df = QUERIES[name](spark, SF_SMALL)
+def final_plan(spark, name: str, sf_dir: str = SF_SMALL) -> str:
+    df = QUERIES[name](spark, sf_dir)
     df.collect()
     buf = io.StringIO()
     with redirect_stdout(buf):
@@ -29,9 +29,8 @@ def events_scans(plan: str) -> int:
     return len(re.findall(r"FileScan parquet [^\n]*events\.parquet", plan))
 
 
-@pytest.mark.parametrize("name", ["category_session_top10", "category_session_counts",
-                                  "page_conversion", "area_product_top3",
-                                  "user_ad_day_counts", "day_area_ads_top3_json"])
+@pytest.mark.parametrize("name", ["category_session_top10", "category_session_counts", "page_conversion",
+                                  "area_product_top3", "day_area_ads_top3_json"])
 def test_fact_table_read_once(spark, name):
     assert events_scans(final_plan(spark, name)) == 1
 
@@ -45,10 +44,12 @@ def test_top_k_is_cut_before_the_shuffle(spark, name):
 
 def test_shared_aggregate_is_reused(spark):
     assert "ReusedExchange" in final_plan(spark, "category_session_top10")
-    assert "ReusedExchange" in final_plan(spark, "page_conversion")
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
+OWN = sorted(n for n in QUERIES if not n.startswith(("stream_", "op", "pipeline")))
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_no_cartesian_joins_and_pruned_scans(spark, name):
     plan = final_plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -65,26 +66,31 @@ def test_counts_are_combined_map_side(spark):
     assert "city_id" in first and "partial_count" in plan[plan.rfind("Exchange hashpartitioning"):]
 
 
-def _stream_plan(q) -> str:
-    buf = io.StringIO()
-    with redirect_stdout(buf):
-        q.explain()
-    return buf.getvalue()
-
-
-def test_stream_plans_combine_before_the_shuffle(spark):
-    from clickpulse.streaming import app, replay
-    from clickpulse.streaming.blacklist_state import BlacklistState
-    from clickpulse.streaming.counts import DayAreaSink
-
-    base, lines = replay.write_log(spark, SF_SMALL, "t-stream-plans")
-    good, _ = app.parsed_clicks(lines)
-    q = app.start_day_area(good, DayAreaSink(f"{base}/out"), f"{base}/ck", available_now=True)
-    q.awaitTermination()
-    r6 = _stream_plan(q)
-    assert r6.index("StateStoreSave") < r6.index("Exchange") < r6.index("partial_sum")
-    bl = BlacklistState(f"{base}/bl", 3, 3_600_000)
-    q2 = bl.start(good, f"{base}/ck2", available_now=True)
-    q2.awaitTermination()
-    r5 = _stream_plan(q2)
-    assert r5.index("FlatMapGroupsInPandasWithState") < r5.index("Exchange") < r5.index("MapInPandas")
+@pytest.mark.parametrize("name", ["condition_filter", "category_top10", "category_session_top10", "page_conversion",
+                                  "last_hour_json", "last_hour_minutes"])
+def test_time_range_reaches_the_scan(spark, name):
+    scans = re.findall(r"FileScan parquet [^\n]*events\.parquet[^\n]*", final_plan(spark, name))
+    assert scans and all("GreaterThanOrEqual(ts" in s and "LessThan(ts" in s for s in scans), scans
+
+
+def test_pages_are_shuffled_once(spark):
+    plan = final_plan(spark, "page_conversion")
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("MapInArrow") == 1
+
+
+def test_no_click_row_in_the_session_shuffle(spark):
+    from clickpulse.operators import category
+    from clickpulse.plans.params import COND
+    from clickpulse.plans.condition import filter_visits
+    from clickpulse.sources.fixtures import MallTables
+
+    t = MallTables(spark, SF_SMALL)
+    agg = category._metric_counts(filter_visits(t.visits(), t.users(), COND))
+    assert agg.where("m = 's' and c = '-1'").count() == 0 < agg.where("m = 's'").count()
+
+
+def test_blacklist_needs_no_placement_by_user(spark):
+    plan = final_plan(spark, "blacklist_users", SF_CHECK)
+    # slot counts and the window by (user, day, ad), then a partial minimum per user
+    assert "partial_min" in plan and "hashpartitioning(user_id" in plan
+    assert not re.search(r"REPARTITION_BY", plan)

@@ -1,66 +1,43 @@
-"""Generator, catalog and JDBC sinks."""
+"""Catalog and JDBC sinks, the offline application."""
 
 from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from clickpulse.operators import area, category
-from clickpulse.sources import jdbc, synth
+from clickpulse.sources import jdbc
 from clickpulse.sources.catalog import CatalogTables, save_table
+from clickpulse.sources.fixtures import MallTables
 from clickpulse.sources.schemas import USER_VISIT_ACTION, SchemaMismatch, decode
 
-from .conftest import rows
-
-CFG = synth.SynthConfig(seed=7, sessions=300, users=20, products=30)
-
-
-def test_generator_is_deterministic_across_partitionings(spark):
-    a = synth.user_visit_action(spark, CFG)
-    b = synth.user_visit_action(spark, CFG).repartition(3)
-    assert rows(a) == rows(b)
-    assert a.count() > 300  # about 9 actions per session
-
-
-def test_generator_values(spark):
-    v = synth.user_visit_action(spark, CFG)
-    assert [(f.name, f.dataType) for f in v.schema] == [(f.name, f.dataType) for f in USER_VISIT_ACTION]
-    kinds = {r["k"]: r["n"] for r in v.select(
-        F.when(F.col("click_category_id") != -1, "click").when(F.col("order_category_ids").isNotNull(), "order")
-        .when(F.col("pay_category_ids").isNotNull(), "pay").otherwise("search").alias("k"))
-        .groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(kinds.values())
-    assert 0.55 < kinds["click"] / total < 0.78 and kinds["search"] > kinds["order"] > 0
-    bad = v.where((F.col("click_product_id") != -1) & ~F.col("click_product_id").between(1, CFG.products))
-    assert bad.count() == 0
-    ids = v.where(F.col("order_category_ids").isNotNull()).select(F.split("order_category_ids", ",").alias("a"))
-    assert ids.where(F.size("a") != F.size(F.array_distinct("a"))).count() == 0
-    assert ids.where(~F.size("a").between(1, 3)).count() == 0
-    w = Window.partitionBy("session_id").orderBy("action_time")
-    back = v.withColumn("p", F.lag("action_time").over(w)).where(F.col("p") > F.col("action_time"))
-    assert back.count() == 0
-    u = synth.user_info(spark, CFG)
-    assert u.count() == CFG.users and u.where(~F.col("age").between(20, 60)).count() == 0
-    assert synth.city_info(spark).count() == 26
-
-
-def test_generated_tables_through_the_catalog(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS mall_test")
-    synth.write_tables(spark, CFG, "mall_test")
+from .conftest import SF_SMALL, rows
+
+def _save_mall(spark, database):
+    t = MallTables(spark, SF_SMALL)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, df in [("user_visit_action", t.visits()), ("user_info", t.users()), ("city_info", t.cities()),
+                     ("product_info", t.products())]:
+        save_table(df, f"{database}.{name}")
+    return t
+
+
+def test_tables_through_the_catalog(spark):
+    mall = _save_mall(spark, "mall_test")
+    _save_mall(spark, "mall_test")  # replaces, does not append
     t = CatalogTables(spark, "mall_test")
-    assert t.visits().count() == synth.user_visit_action(spark, CFG).count()
-    synth.write_tables(spark, CFG, "mall_test")  # replaces, does not append
-    assert t.users().count() == CFG.users
-    top = category.category_top10(t.visits(), "t").collect()
-    assert len(top) == 10
-    assert area.area_product_top3(t.visits(), t.cities(), t.products()).count() >= 3 * 7
+    assert rows(t.visits()) == rows(mall.visits()) and t.users().count() == mall.users().count()
+    bound = ("2024-01-05", "2024-01-20")
+    assert rows(t.visits(*bound)) == rows(mall.visits(*bound)) != rows(mall.visits())
+    assert rows(category.category_top10(t.visits(), "t")) == rows(category.category_top10(mall.visits(), "t"))
+    assert rows(area.area_product_top3(t.visits(), t.cities(), t.products())) == rows(
+        area.area_product_top3(mall.visits(), mall.cities(), mall.products()))
 
 
 def test_save_table_partitioned_and_decode(spark):
-    df = synth.user_visit_action(spark, CFG)
+    df = MallTables(spark, SF_SMALL).visits()
     save_table(df, "visits_by_day", partition_by=["date"])
-    back = spark.table("visits_by_day").where(F.col("date") == "2019-06-12")
+    back = spark.table("visits_by_day").where(F.col("date") == "2024-01-06")
     import io
     from contextlib import redirect_stdout
 
@@ -88,7 +65,7 @@ def test_offline_app_writes_the_four_results(spark):
 
     spark.sql("CREATE DATABASE IF NOT EXISTS mall_out")
     run_offline(MallTables(spark, SF_SMALL), COND, TASK_ID,
-                lambda df, name: save_table(df, f"mall_out.{name}"))
+                lambda df, name, mode: save_table(df, f"mall_out.{name}"))
     q = E.queries()
     for table, query in [("category_top10", "category_top10"),
                          ("category_top10_session_count", "category_session_top10"),
@@ -153,17 +130,53 @@ def test_cli_offline_writes_tables(spark, tmp_path):
                                 "targetPageFlow": COND.target_page_flow}))
     spark.sql("CREATE DATABASE IF NOT EXISTS cli_out")
     main(["offline", "--sf-dir", SF_SMALL, "--condition", str(cond), "--task-id", TASK_ID,
-          "--out-database", "cli_out", "--r3-range-parts", "4"])
+          "--out-database", "cli_out"])
     q = E.queries()
     assert rows(spark.table("cli_out.page_conversion_rate")) == rows(q["page_conversion"](spark, SF_SMALL))
     assert rows(spark.table("cli_out.category_top10")) == rows(q["category_top10"](spark, SF_SMALL))
 
 
-def test_cli_generate_then_offline_from_the_catalog(spark):
+def test_r3_keeps_its_history(spark):
     from clickpulse.cli import main
 
-    main(["generate", "--database", "gen_db", "--sessions", "200", "--users", "20", "--seed", "3"])
-    assert spark.table("gen_db.city_info").count() == 26
-    main(["offline", "--database", "gen_db", "--task-id", "g", "--out-database", "gen_db"])
-    assert spark.table("gen_db.category_top10").count() == 10
-    assert spark.table("gen_db.area_product_click").count() >= 7
+    _save_mall(spark, "hist_db")
+    for run in ("r1", "r2"):
+        main(["--time-zone", "UTC", "offline", "--database", "hist_db", "--task-id", run, "--out-database", "hist_db",
+              "--condition", str(_flow_file())])
+    seen = {r.task_id for r in spark.table("hist_db.page_conversion_rate").select("task_id").distinct().collect()}
+    assert seen == {"r1", "r2"}
+    assert {r.task_id for r in spark.table("hist_db.category_top10").select("task_id").distinct().collect()} == {"r2"}
+
+
+def _flow_file():
+    import tempfile
+    from pathlib import Path
+
+    p = Path(tempfile.mkdtemp()) / "c.json"
+    p.write_text('{"targetPageFlow": "1,2,3"}')
+    return p
+
+
+def test_jdbc_write_mode_of_each_result(spark, monkeypatch):
+    from clickpulse import cli
+
+    calls = []
+    for name in ("overwrite", "truncate_insert", "append"):
+        monkeypatch.setitem(jdbc.WRITERS, name, lambda df, target, table, n=name: calls.append((table, n)))
+    cli.main(["offline", "--sf-dir", SF_SMALL, "--jdbc-url", "jdbc:mysql://db/mall", "--condition", str(_flow_file())])
+    assert dict(calls) == {"category_top10": "truncate_insert", "category_top10_session_count": "truncate_insert",
+                           "page_conversion_rate": "append", "area_product_click": "overwrite"}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from clickpulse import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session())

@@ -3,31 +3,24 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from clickpulse.operators import ads
 from clickpulse.session import scratch_dir
+from clickpulse.sources import hashview
 from clickpulse.sources.fixtures import MallTables
 from clickpulse.sources.streams import kafka_lines, text_lines
-from clickpulse.streaming import app
-from clickpulse.streaming.blacklist import BlacklistLoop
+from clickpulse.streaming import app, replay
 
 from .conftest import SF_SMALL, rows
 
 THRESHOLD = 3
 HOUR = 3_600_000
-
-
-def _write_in_order(spark, clicks, base, pieces):
-    """Write the log as ``pieces`` files in event-time order, one write each."""
-    lo_hi = clicks.agg(F.min("ts"), F.max("ts")).first()
-    lo, hi = lo_hi[0], lo_hi[1] + 1
-    step = (hi - lo) // pieces + 1
-    for i in range(pieces):
-        part = clicks.where((F.col("ts") >= lo + i * step) & (F.col("ts") < lo + (i + 1) * step))
-        ads.to_lines(part).coalesce(1).write.mode("overwrite").text(f"{base}/src/part={i:03d}")
-    return f"{base}/src"
+DAY = 86_400_000
+END = 1_704_240_000_000
+T0 = 1_704_067_200_000  # 2024-01-01 UTC
 
 
 @pytest.fixture(scope="module")
@@ -35,249 +28,198 @@ def clicks(spark):
     return MallTables(spark, SF_SMALL).ads()
 
 
-def test_blacklist_multi_batch_equals_batch(spark, clicks):
-    base = scratch_dir(spark, "t-bl")
-    src = _write_in_order(spark, clicks, base, 6)
-    good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
-    loop = BlacklistLoop(f"{base}/state", THRESHOLD, HOUR)
-    q = app.start_blacklist(good, loop, f"{base}/ck", available_now=True)
-    q.awaitTermination()
-    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 6
-    want_flags = rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
-    assert want_flags, "threshold should flag someone"
-    assert rows(loop.current_blacklist(spark)) == want_flags
-    assert rows(loop.kept_clicks(spark)) == rows(ads.blacklist_replay(clicks, THRESHOLD, HOUR))
-
-
-def test_blacklist_retry_is_a_no_op(spark, clicks):
-    base = scratch_dir(spark, "t-retry")
-    loop = BlacklistLoop(f"{base}/state", THRESHOLD, HOUR)
-    first = clicks.where(F.col("ts") < 1_704_500_000_000)
-    loop(first, 0)
-    kept0 = loop.kept_clicks(spark).count()
-    loop(first, 0)  # the same batch again, as after a failure before the commit
-    assert loop.kept_clicks(spark).count() == kept0
-    loop(clicks.where(F.col("ts") >= 1_704_500_000_000), 1)
-    assert rows(loop.current_blacklist(spark)) == rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
-
-
-def test_realtime_app_end_to_end(spark, clicks):
-    base = scratch_dir(spark, "t-app")
-    src = _write_in_order(spark, clicks, base, 3)
-    spark.createDataFrame([("not,a,click",), ("x1,n,c,1,1",)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(f"{src}/part=999")
-    end = 1_704_240_000_000
-    rt = app.start_realtime(spark, text_lines(spark, src, max_files_per_trigger=1), base, THRESHOLD,
-                            slot_ms=HOUR, available_now=True, now_ms=lambda: end, compact_every=2,
-                            kept_files_per_trigger=1, mode="loop")
-    rt.await_all()
-    assert rt.day_area.counts.epoch(spark) >= 1  # snapshots were taken between batches
-    kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
-    assert rows(rt.blacklist.kept_clicks(spark)) == rows(kept)
-    assert rows(rt.day_area.current_counts(spark)) == rows(ads.day_area_city_ads(kept))
-    want_top = ads.day_area_ads_top3(ads.day_area_ads(ads.day_area_city_ads(kept)))
-    assert rows(rt.day_area.current_top3(spark)) == rows(want_top.select("day", "area", "ads_id", "cnt", "rank"))
-    want_trend = ads.minutes_json(ads.last_hour_minutes(kept, end))
-    assert rows(rt.last_hour.current_trend(spark)) == rows(want_trend)
-    rejects = spark.read.parquet(f"{base}/rejects")
-    assert sorted(r["line"] for r in rejects.collect()) == ["not,a,click", "x1,n,c,1,1"]
-
-
-def test_kafka_source_needs_the_connector(spark):
-    # the connector jar is not on this classpath; the source fails loudly, not silently
-    with pytest.raises(AnalysisException):
-        kafka_lines(spark, "localhost:1", "ads_log")
-
-
-def test_state_store_blacklist_equals_batch(spark, clicks):
-    from clickpulse.streaming.blacklist_state import BlacklistState
-
-    for pieces in (1, 6):
-        base = scratch_dir(spark, "t-state")
-        src = _write_in_order(spark, clicks, base, pieces)
-        good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
-        bl = BlacklistState(f"{base}/out", THRESHOLD, HOUR)
-        bl.start(good, f"{base}/ck", available_now=True).awaitTermination()
-        assert rows(bl.current_blacklist(spark)) == rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
-        kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
-        got = (bl.kept_counts(spark).groupBy("day", "user_id", "ads_id")
-               .agg(F.sum("n").cast("long").alias("cnt")))
-        assert rows(got) == rows(ads.user_ad_day_counts(kept)), pieces
-
-
-def test_realtime_app_state_mode(spark, clicks):
-    base = scratch_dir(spark, "t-app-state")
-    src = _write_in_order(spark, clicks, base, 4)
-    end = 1_704_240_000_000
-    # the stateful step writes one file per shuffle partition and version; read
-    # them in one go, since a month replayed in 4 batches would otherwise trip
-    # the one-day watermark of R6 (a live stream's files span seconds)
-    rt = app.start_realtime(spark, text_lines(spark, src, max_files_per_trigger=1), base, THRESHOLD,
-                            slot_ms=HOUR, available_now=True, now_ms=lambda: end, mode="state")
-    rt.await_all()
-    kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
-    assert rows(rt.day_area.current_counts(spark)) == rows(ads.day_area_city_ads(kept))
-    want_top = ads.day_area_ads_top3(ads.day_area_ads(ads.day_area_city_ads(kept)))
-    assert rows(rt.day_area.current_top3(spark)) == rows(want_top.select("day", "area", "ads_id", "cnt", "rank"))
-    assert rows(rt.last_hour.current_trend(spark)) == rows(ads.minutes_json(ads.last_hour_minutes(kept, end)))
-
-
-def _files(path):
-    import os
-
-    local = path[5:] if path.startswith("file:") else path
-    return sorted(f for f in os.listdir(local) if f.endswith(".parquet"))
-
-
-class _FailOnce:
-    """Wraps a foreachBatch sink: on ``batch`` it raises after the first table write."""
-
-    def __init__(self, sink, table_attr, batch):
-        self.sink, self.table_attr, self.batch, self.armed = sink, table_attr, batch, True
-
-    def __call__(self, df, batch_id):
-        if self.armed and batch_id == self.batch:
-            self.armed = False
-            table = getattr(self.sink, self.table_attr)
-            real = table.write
+def _clicks_df(spark, rs):
+    return spark.createDataFrame(rs, "ts long, area string, city string, user_id string, ads_id string")
 
-            def write_then_fail(d, v):
-                real(d, v)
-                table.write = real
-                self.files_after_failure = _files(table.version_path(v))
-                raise RuntimeError("simulated loss in the middle of a batch")
 
-            table.write = write_then_fail
-        return self.sink(df, batch_id)
+def _check_totals(spark, rt, lines):
+    t = rt.totals(spark).collect()
+    assert all(r.lines == r.kept + r.blacklisted + r.rejected for r in t)
+    assert sum(r.lines for r in t) == lines
+    return t
 
 
-def _run_until_done(spark, make_query):
-    from pyspark.errors import StreamingQueryException
+@pytest.fixture(scope="module")
+def replayed(spark, clicks):
+    """All jobs over seven time slices, a restart after each, tables folded every third batch."""
+    return replay.replay(spark, replay.slices(clicks), ("R5", "R6", "R8"), THRESHOLD, HOUR, now_ms=END,
+                         max_ahead_ms=60 * DAY, keep_clicks=True, name="t-app")
 
-    for _ in range(3):
-        q = make_query()
-        try:
-            q.awaitTermination()
-            return
-        except StreamingQueryException:
-            continue
-    raise AssertionError("query never finished")
 
+def test_replay_crosses_batches_restarts_and_folds(spark, clicks, replayed):
+    t = _check_totals(spark, replayed, clicks.count())
+    assert len(t) >= 6 and replayed.blacklist.counters.base(spark, 99) >= 2
 
-def test_blacklist_forms_survive_a_failed_batch(spark, clicks):
-    from clickpulse.streaming.blacklist_state import BlacklistState
 
+def test_realtime_tables_equal_the_batch_forms(spark, clicks, replayed):
+    want = rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
+    assert want, "the threshold should list someone"
+    assert rows(replayed.blacklist.current_blacklist(spark)) == want
+    kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
+    assert rows(replayed.blacklist.kept_clicks(spark)) == rows(kept)
+    assert rows(replayed.blacklist.current_counters(spark)) == rows(ads.user_ad_day_counts(kept))
+    counts = ads.day_area_city_ads(kept)
+    assert rows(replayed.day_area.current_counts(spark)) == rows(counts)
+    top3 = ads.day_area_ads_top3(ads.day_area_ads(counts))
+    assert rows(replayed.day_area.current_top3(spark)) == rows(top3.select("day", "area", "ads_id", "cnt", "rank"))
+    trend = ads.minutes_json(ads.last_hour_minutes(kept, END))
+    assert rows(replayed.last_hour.current_trend(spark)) == rows(trend)
+    assert rows(replayed.day_area.counts_hash(spark)) == rows(hashview.day_area_city_ads_hash(counts))
+    assert rows(replayed.day_area.top3_hash(spark)) == rows(
+        hashview.day_area_ads_top3_hash(ads.day_area_ads_top3_json(top3)))
+    assert rows(replayed.last_hour.trend_hash(spark)) == rows(hashview.last_hour_hash(trend))
+
+
+def test_another_process_reads_the_same_tables(spark, replayed):
+    reader = app.realtime_tables(replayed.base_dir, THRESHOLD)
+    assert rows(reader.blacklist.current_blacklist(spark)) == rows(replayed.blacklist.current_blacklist(spark))
+    assert rows(reader.day_area.current_counts(spark)) == rows(replayed.day_area.current_counts(spark))
+
+
+@pytest.mark.parametrize("slots_by", ["event", "arrival"])
+def test_no_click_vanishes(spark, slots_by):
+    """Bad clocks, poison and late lines: kept + blacklisted + rejected = input, nobody else is touched."""
+    def batch(i):
+        rs = [(T0 + i * HOUR + k, "n", "A", "u1", "1") for k in range(3)]
+        rs += [(T0 + i * HOUR + 10, "n", "A", f"v{i}", "1"), (T0 - 40 * DAY + i, "n", "A", "late", str(i))]
+        return _clicks_df(spark, rs + ([(4_102_444_800_000, "n", "A", "future", "1")] if i == 0 else []))
+
+    base = scratch_dir(spark, "t-vanish")
+    for i in range(5):
+        ads.to_lines(batch(i)).write.text(f"{base}/src/part={i}")
+        poison = ["9223372036854775807,a,c,1,1", "-9223372036854775808,a,c,1,1", "x,a,c,1,1", "1,2", ""]
+        spark.createDataFrame([(x,) for x in poison[:3 + i % 3]], "value string").write.text(f"{base}/src/poison={i}")
+        rt = app.start_realtime(spark, text_lines(spark, f"{base}/src").select("value"), f"{base}/run", 5,
+                                available_now=True, slot_ms=HOUR, now_ms=lambda: T0 + DAY, slots_by=slots_by,
+                                keep_clicks=True, compact_every=2)
+        rt.await_all()
+    lines = sum(5 + (i == 0) + 3 + i % 3 for i in range(5))
+    _check_totals(spark, rt, lines)
+    # u1 reaches 5 in its second slot and loses the clicks after it
+    assert rt.blacklist.kept_clicks(spark).where("user_id = 'u1'").count() == 6
+    assert [r.user_id for r in rt.blacklist.current_blacklist(spark).collect()] == ["u1"]
+    assert rt.blacklist.kept_clicks(spark).where("user_id = 'late'").count() == 5
+    errors = {r._error: r["n"] for r in rt.rejects(spark).groupBy("_error").agg(F.count("*").alias("n")).collect()}
+    assert errors.pop("timestamp ahead of the clock") == 1
+    assert sum(errors.values()) == sum(3 + i % 3 for i in range(5))
+
+
+def test_late_and_unordered_clicks_count(spark, clicks):
+    parts = replay.slices(clicks, 6, unordered=True)
+    rt = replay.replay(spark, parts, ("R6",), name="t-unordered")
+    assert len(_check_totals(spark, rt, clicks.count())) >= 6
+    assert rows(rt.day_area.current_counts(spark)) == rows(ads.day_area_city_ads(clicks))
+
+
+def test_days_follow_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        two_am = T0 + 14 * DAY - 6 * HOUR  # 2024-01-15 02:00 local, still the 14th in UTC
+        rt = replay.replay(spark, [_clicks_df(spark, [(two_am, "n", "A", "u", "1")])], ("R5", "R6"), name="t-zone")
+        assert [r.day for r in rt.day_area.current_counts(spark).collect()] == ["2024-01-15"]
+        assert [r.day for r in rt.blacklist.current_counters(spark).collect()] == ["2024-01-15"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("job,table", [("blacklist", "flags"), ("blacklist", "counters"), ("day_area", "counts"),
+                                       ("last_hour", "slots")])
+def test_a_failed_batch_is_run_again(spark, clicks, job, table):
     base = scratch_dir(spark, "t-fail")
-    src = _write_in_order(spark, clicks, base, 4)
-    want_flags = rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
+    parts = replay.slices(clicks, 3)
+    failed = []
+    for i, part in enumerate(parts):
+        ads.to_lines(part).write.text(f"{base}/src/part={i}")
+        for attempt in range(2):
+            rt = app.realtime_tables(f"{base}/run", THRESHOLD, slot_ms=HOUR, now_ms=lambda: END, max_ahead_ms=60 * DAY,
+                                     keep_clicks=True, compact_every=2)
+            if i == 1 and attempt == 0:
+                held = getattr(getattr(rt, job), table)
+                write = held.write
+
+                def write_then_fail(df, v):
+                    write(df, v)
+                    raise RuntimeError("simulated loss in the middle of a batch")
+
+                held.write = write_then_fail
+            q = text_lines(spark, f"{base}/src").select("value").writeStream.foreachBatch(rt.batch) \
+                .option("checkpointLocation", f"{base}/run/checkpoint").trigger(availableNow=True).start()
+            try:
+                q.awaitTermination()
+                break
+            except StreamingQueryException:
+                failed.append(i)
+    assert failed == [1]
+    _check_totals(spark, rt, clicks.count())
     kept = ads.blacklist_replay(clicks, THRESHOLD, HOUR)
+    assert rows(rt.blacklist.current_blacklist(spark)) == rows(ads.blacklist_users(clicks, THRESHOLD, HOUR))
+    assert rows(rt.blacklist.kept_clicks(spark)) == rows(kept)
+    assert rows(rt.blacklist.current_counters(spark)) == rows(ads.user_ad_day_counts(kept))
+    assert rows(rt.day_area.current_counts(spark)) == rows(ads.day_area_city_ads(kept))
+    assert rows(rt.last_hour.current_trend(spark)) == rows(ads.minutes_json(ads.last_hour_minutes(kept, END)))
+
+
+def test_flags_take_effect_from_the_next_batch_by_arrival(spark, clicks):
+    parts = replay.slices(clicks, 5)
+    rt = replay.replay(spark, parts, ("R5",), THRESHOLD, HOUR, slots_by="arrival", keep_clicks=True, name="t-arrival")
+    flagged, kept, count = {}, set(), {}
+    for b, part in enumerate(parts):
+        for r in sorted(ads.with_time_text(part).collect()):
+            if r.user_id in flagged and flagged[r.user_id] < b:
+                continue
+            kept.add((r.ts, r.user_id, r.ads_id))
+            key = r.user_id, r.day, r.ads_id
+            count[key] = count.get(key, 0) + 1
+            if count[key] >= THRESHOLD:
+                flagged.setdefault(r.user_id, b)
+    assert {r.user_id: r.flag_slot for r in rt.blacklist.current_blacklist(spark).collect()} == flagged
+    assert {(r.ts, r.user_id, r.ads_id) for r in rt.blacklist.kept_clicks(spark).collect()} == kept
+
+
+def test_trend_moves_with_the_clock(spark):
+    now = [T0 + HOUR]
+    base = scratch_dir(spark, "t-trend")
+    ads.to_lines(_clicks_df(spark, [(T0 + HOUR - 60_000, "n", "A", "u", "1")])).write.text(f"{base}/src/p=0")
+    rt = app.start_realtime(spark, text_lines(spark, f"{base}/src").select("value"), f"{base}/run", 9,
+                            available_now=True, now_ms=lambda: now[0], jobs=("R5", "R8"))
+    rt.await_all()
+    assert rows(rt.last_hour.current_trend(spark)) == [("1", '[{"00:59":1}]')]
+    now[0] += 2 * HOUR  # no click comes, the hour goes by
+    rt.last_hour.publish(spark)
+    assert rows(rt.last_hour.current_trend(spark)) == []
+    assert rows(rt.last_hour.trend_at(spark, T0 + HOUR)) == [("1", '[{"00:59":1}]')]
+
+
+def test_timer_publishes_without_clicks(spark):
+    base = scratch_dir(spark, "t-timer")
+    rt = app.realtime_tables(f"{base}/run", 9, jobs=("R8",))
+    q = app.start_trend_timer(spark, rt.last_hour, f"{base}/timer", interval="1 second")
+    try:
+        for _ in range(60):
+            q.awaitTermination(1)
+            if rt.last_hour.published.last(spark) >= 1:
+                break
+        assert rt.last_hour.published.last(spark) >= 1
+    finally:
+        q.stop()
 
-    loop = BlacklistLoop(f"{base}/loop", THRESHOLD, HOUR)
-    wrapped = _FailOnce(loop, "kept", 1)
-
-    def loop_query():
-        good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
-        w = good.writeStream.foreachBatch(wrapped).option("checkpointLocation", f"{base}/ck-loop")
-        return w.trigger(availableNow=True).start()
-
-    _run_until_done(spark, loop_query)
-    assert not wrapped.armed
-    assert wrapped.files_after_failure == _files(loop.kept.version_path(1)), "version 1 was rewritten"
-    assert rows(loop.current_blacklist(spark)) == want_flags
-    assert rows(loop.kept_clicks(spark)) == rows(kept)  # batch 1 written once
-
-    st = BlacklistState(f"{base}/state", THRESHOLD, HOUR)
-    wrapped_st = _FailOnce(st, "kept", 1)
-
-    def state_query():
-        good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
-        w = (st.transform(good).writeStream.outputMode("append").foreachBatch(wrapped_st)
-             .option("checkpointLocation", f"{base}/ck-state"))
-        return w.trigger(availableNow=True).start()
 
-    _run_until_done(spark, state_query)
-    assert not wrapped_st.armed
-    assert wrapped_st.files_after_failure == _files(st.kept.version_path(1)), "version 1 was rewritten"
-    assert rows(st.current_blacklist(spark)) == want_flags
-    got = st.kept_counts(spark).groupBy("day", "user_id", "ads_id").agg(F.sum("n").cast("long").alias("cnt"))
-    assert rows(got) == rows(ads.user_ad_day_counts(kept))
+def test_last_hour_by_arrival_labels_event_minutes(spark, clicks):
+    rt = replay.replay(spark, replay.slices(clicks, 2), ("R8",), now_ms=T0 + 400 * DAY, trend_by="arrival", name="t-arr")
+    want = ads.minutes_json(ads.with_time_text(clicks).groupBy("ads_id", "hm").agg(F.count(F.lit(1)).alias("cnt")))
+    assert rows(rt.last_hour.current_trend(spark)) == rows(want)
 
 
-def test_last_hour_by_arrival_labels_event_minutes(spark, clicks):
-    import time
-
-    from clickpulse.streaming.counts import LastHourSink
-
-    base = scratch_dir(spark, "t-arrival")
-    src = _write_in_order(spark, clicks, base, 2)
-    good, _ = app.parsed_clicks(text_lines(spark, src))
-    sink = LastHourSink(f"{base}/out")  # "now" = wall clock at each batch
-    app.start_last_hour(good, sink, f"{base}/ck", available_now=True, arrival=True).awaitTermination()
-    # every click arrived in this run, so the trend holds all of them by event minute
-    want = ads.minutes_json(ads.with_time_text(clicks).groupBy("ads_id", "hm")
-                            .agg(F.count(F.lit(1)).alias("cnt")))
-    assert rows(sink.current_trend(spark)) == rows(want)
-    assert rows(sink.trend_at(spark, int(time.time() * 1000) + 2 * 3_600_000)) == []
-
-
-def test_blacklist_by_arrival_flags_from_the_next_batch(spark, clicks):
-    import pandas as pd
-
-    from clickpulse.streaming.blacklist_state import BlacklistState
-
-    pieces = 5
-    base = scratch_dir(spark, "t-arrival-bl")
-    src = _write_in_order(spark, clicks, base, pieces)
-    good, _ = app.parsed_clicks(text_lines(spark, src, max_files_per_trigger=1))
-    bl = BlacklistState(f"{base}/out", THRESHOLD, HOUR, arrival=True)
-    bl.start(good, f"{base}/ck", available_now=True).awaitTermination()
-
-    # brute force: batch b = file b; a user listed in batch b loses batches > b
-    pdf = ads.with_time_text(clicks).toPandas()
-    lo, hi = pdf["ts"].min(), pdf["ts"].max() + 1
-    step = (hi - lo) // pieces + 1
-    pdf["batch"] = (pdf["ts"] - lo) // step
-    flagged, kept = {}, []
-    for b in range(pieces):
-        part = pdf[(pdf["batch"] == b) & ~pdf["user_id"].map(lambda u: u in flagged and flagged[u] < b)]
-        kept.append(part)
-        so_far = pd.concat(kept)
-        per = so_far.groupby(["user_id", "day", "ads_id"]).size()
-        for (u, _, _), n in per.items():
-            if n >= THRESHOLD and u not in flagged:
-                flagged[u] = b
-    kept = pd.concat(kept)
-    got_users = sorted(r["user_id"] for r in bl.current_blacklist(spark).collect())
-    assert got_users == sorted(flagged)
-    got = {(r["day"], r["user_id"], r["ads_id"]): r["cnt"] for r in bl.kept_counts(spark)
-           .groupBy("day", "user_id", "ads_id").agg(F.sum("n").alias("cnt")).collect()}
-    want = {k: int(v) for k, v in kept.groupby(["day", "user_id", "ads_id"]).size().items()}
-    assert got == want
-
-
-def test_idle_users_state_is_retired(spark):
-    from clickpulse.streaming.blacklist_state import BlacklistState
-
-    base = scratch_dir(spark, "t-evict")
-    day = 86_400_000
-    t0 = 1_704_067_200_000
-    for d in range(5):
-        rs = [(t0 + d * day + 1000, "n", "A", "b", "1")]  # B every day, below the threshold
-        if d == 0:
-            rs += [(t0 + 2000, "n", "A", "a", "1")]  # A once
-            rs += [(t0 + 3000 + i, "n", "A", "c", "1") for i in range(THRESHOLD)]  # C listed on day 1
-        ads.to_lines(_clicks_df(spark, rs)).coalesce(1).write.mode("overwrite").text(f"{base}/src/d={d}")
-    good, _ = app.parsed_clicks(text_lines(spark, f"{base}/src", max_files_per_trigger=1))
-    bl = BlacklistState(f"{base}/out", THRESHOLD, HOUR)
-    bl.start(good, f"{base}/ck", available_now=True).awaitTermination()
-    assert rows(bl.current_blacklist(spark).select("user_id")) == [("c",)]
-    state = spark.read.format("statestore").load(f"{base}/ck")
-    kept = {r["key"]["user_id"]: (r["value"]["groupState"]["flag_slot"], r["value"]["groupState"]["counts"])
-            for r in state.collect()}
-    assert "a" not in kept  # idle and never listed: removed
-    assert kept["c"] == (t0 // HOUR, "{}")  # idle and listed: only the flag stays
-    assert "b" in kept
+def test_many_users_few_listed(spark):
+    one = spark.range(20_000).selectExpr(f"{T0} + id as ts", "'n' as area", "'A' as city", "concat('u', id) as user_id",
+                                         "'1' as ads_id")
+    hot = spark.range(20_000).selectExpr(f"{T0} + id as ts", "'n' as area", "'A' as city", "'hot' as user_id", "'1' as ads_id")
+    rt = replay.replay(spark, [one.unionByName(hot)], ("R5",), 100, HOUR, name="t-users")
+    assert [r.user_id for r in rt.blacklist.current_blacklist(spark).collect()] == ["hot"]
+    assert rt.blacklist.current_counters(spark).count() == 20_001
 
 
-def _clicks_df(spark, rs):
-    return spark.createDataFrame(rs, "ts long, area string, city string, user_id string, ads_id string")
+def test_kafka_source_needs_the_connector(spark):
+    # the connector jar is not on this classpath; the source fails loudly, not silently
+    with pytest.raises(AnalysisException):
+        kafka_lines(spark, "localhost:1", "ads_log")
