@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding by a global distinct-word shuffle (op6).
 
 1. Explode: each task splits its documents into pre-tokens. A block of documents
-   (about ``CHUNK_BYTES`` of text) keeps its distinct pre-tokens once and, in
-   order, the number of the pre-token at every position. Blocks are written to
-   the shared scratch folder.
+   (a run of rows of one input partition, about ``CHUNK_BYTES`` of text) has its
+   distinct pre-tokens once and, in order, the number of the pre-token at every
+   position. A block is split twice, for the pre-tokens and for the positions; a
+   checksum makes sure that both were the same rows.
 2. Global distinct: the blocks' pre-tokens are shuffled by hash, so each distinct
    pre-token of the corpus is encoded once, in one bucket. A pre-token comes once
    per block however often the block repeats it, so frequent ones are no hot keys.
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import text_bytes, written
+from clickpulse.llm.common import text_bytes
 
 CHUNK_BYTES = 8 << 20    # text in one block
 BUCKET_BYTES = 32 << 20  # text whose pre-tokens go to one bucket
@@ -104,45 +105,62 @@ def _unpack(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
-def _blocks(batches, split, buckets: int, chunk_bytes: int):
-    """Rows of one block: its documents with codes, and its distinct pre-tokens by bucket."""
+def _blocks(batches, split, chunk_bytes: int):
+    """(block, checksum, document ids, pre-token lists) for runs of rows of one input partition."""
     part, seq = TaskContext.get().partitionId(), 0
-    kinds = [("chunk", pa.int64()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
-             ("counts", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary())]
-
-    def block(ids: list, lists: list) -> pa.RecordBatch:
-        nonlocal seq
-        tokens = [w for words in lists for w in words]
-        distinct = list(dict.fromkeys(tokens))
-        raw = [w.encode() if isinstance(w, str) else w for w in distinct]
-        home = np.fromiter((zlib.crc32(w) for w in raw), np.int64, len(raw)) % buckets
-        order = np.argsort(home, kind="stable")
-        number = dict(zip((distinct[i] for i in order), range(len(order))))
-        codes = np.fromiter(map(number.__getitem__, tokens), np.uint32, len(tokens))
-        chunk = (part << 32) | seq
-        seq += 1
-        rows = [{"chunk": chunk, "bucket": -1, "doc_ids": ids, "counts": [len(x) for x in lists],
-                 "codes": _pack(codes.tobytes()), "words": None}]
-        edges = np.flatnonzero(np.r_[True, np.diff(home[order]) != 0, True]) if len(order) else [0]
-        for i, j in zip(edges[:-1], edges[1:]):
-            mine = [raw[k] for k in order[i:j]]
-            sizes = np.array([len(mine), *map(len, mine)], np.uint32)
-            rows.append({"chunk": chunk, "bucket": int(home[order[i]]), "doc_ids": None, "counts": None,
-                         "codes": None, "words": _pack(sizes.tobytes(), *mine)})
-        return pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
-
-    ids, lists, held = [], [], 0
+    ids, lists, held, check = [], [], 0, 0
     for batch in batches:
         offsets, data = text_bytes(batch.column(1))
         for doc, i, j in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:]):
-            if held and held + j - i > chunk_bytes:
-                yield block(ids, lists)
-                ids, lists, held = [], [], 0
+            if ids and held + j - i > chunk_bytes:
+                yield (part << 32) | seq, check, ids, lists
+                ids, lists, held, check, seq = [], [], 0, 0, seq + 1
+            raw = data[i:j].tobytes()
             ids.append(doc)
-            lists.append(split(data[i:j].tobytes()))
+            lists.append(split(raw))
             held += int(j - i) + 1
+            check = zlib.crc32(raw + b"\xff", check)
     if ids:
-        yield block(ids, lists)
+        yield (part << 32) | seq, check, ids, lists
+
+
+def _numbered(lists: list, buckets: int):
+    """(tokens in order, distinct pre-tokens as bytes by bucket, their buckets, pre-token -> number)."""
+    tokens = [w for words in lists for w in words]
+    distinct = list(dict.fromkeys(tokens))
+    raw = [w.encode() if isinstance(w, str) else w for w in distinct]
+    home = np.fromiter((zlib.crc32(w) for w in raw), np.int64, len(raw)) % buckets
+    order = np.argsort(home, kind="stable")
+    number = dict(zip((distinct[i] for i in order), range(len(order))))
+    return tokens, [raw[i] for i in order], home[order], number
+
+
+def _send_words(batches, split, buckets: int, chunk_bytes: int):
+    """The distinct pre-tokens of each block, by bucket."""
+    for block, check, _, lists in _blocks(batches, split, chunk_bytes):
+        _, raw, home, _ = _numbered(lists, buckets)
+        cut = np.searchsorted(home, np.arange(buckets + 1))
+        rows = []
+        for b, (i, j) in enumerate(zip(cut[:-1], cut[1:])):
+            if i < j:
+                sizes = np.array([j - i, *map(len, raw[i:j])], np.uint32)
+                rows.append((block, check, b, _pack(sizes.tobytes(), *raw[i:j])))
+        cols = list(zip(*rows)) or [()] * 4
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+            ["chunk", "check", "bucket", "words"])
+
+
+def _send_codes(batches, split, buckets: int, chunk_bytes: int):
+    """The documents of each block with the numbers of their pre-tokens, in order."""
+    for block, check, ids, lists in _blocks(batches, split, chunk_bytes):
+        tokens, _, _, number = _numbered(lists, buckets)
+        codes = np.fromiter(map(number.__getitem__, tokens), np.uint32, len(tokens))
+        row = {"chunk": block, "check": check, "doc_ids": ids, "counts": [len(x) for x in lists],
+               "codes": _pack(np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes())}
+        yield pa.RecordBatch.from_pylist([row], pa.schema([
+            ("chunk", pa.int64()), ("check", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+            ("counts", pa.list_(pa.int64())), ("codes", pa.binary())]))
 
 
 def _encode_bucket(t: pa.Table, encode) -> pa.Table:
@@ -162,7 +180,8 @@ def _encode_bucket(t: pa.Table, encode) -> pa.Table:
         at = [distinct[w] for w in words]
         flat = np.array([i for k in at for i in found[k]], np.uint32)
         blobs.append(_pack(np.uint32(len(at)).tobytes(), sizes[at].tobytes(), flat.tobytes()))
-    return pa.table({"chunk": t["chunk"], "bucket": t["bucket"], "ids": pa.array(blobs, pa.binary())})
+    return pa.table({"chunk": t["chunk"], "check": t["check"], "bucket": t["bucket"],
+                     "ids": pa.array(blobs, pa.binary())})
 
 
 class Block:
@@ -171,7 +190,8 @@ class Block:
     def __init__(self, docs: pa.Table, ids: pa.Table) -> None:
         self.doc_ids = docs["doc_ids"][0].values
         self.counts = docs["counts"][0].values.to_numpy()
-        self.codes = np.frombuffer(_unpack(docs["codes"][0].as_py()), np.uint32)
+        planes = np.frombuffer(_unpack(docs["codes"][0].as_py()), np.uint8).reshape(4, -1)
+        self.codes = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
         sizes, flat = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
         for blob in ids.sort_by("bucket")["ids"].to_pylist():
             raw = np.frombuffer(_unpack(blob), np.uint32)
@@ -208,25 +228,25 @@ def encode_documents(docs: DataFrame, scheme: Scheme, assemble: Callable[[Block]
     total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
 
-    def split_batches(batches):
-        return _blocks(batches, scheme.splitter(), buckets, chunk_bytes)
+    def words(batches):
+        return _send_words(batches, scheme.splitter(), buckets, chunk_bytes)
+
+    def codes(batches):
+        return _send_codes(batches, scheme.splitter(), buckets, chunk_bytes)
 
     def encode_bucket(t: pa.Table) -> pa.Table:
         return _encode_bucket(t, scheme.encoder())
 
     def assembled(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            raise RuntimeError("a block lost its documents")
+        if left.num_rows != 1 or set(right["check"].to_pylist()) - set(left["check"].to_pylist()):
+            raise RuntimeError("a block was read differently for encoding and for assembling")
         return assemble(Block(left, right))
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = written(picked.mapInArrow(
-        split_batches, "chunk long, bucket int, doc_ids array<long>, counts array<long>, codes binary, words binary"),
-        "blocks")
-    ids = blocks.filter("bucket >= 0").select("chunk", "bucket", "words").groupBy("bucket") \
-        .applyInArrow(encode_bucket, "chunk long, bucket int, ids binary")
-    return blocks.filter("bucket < 0").select("chunk", "doc_ids", "counts", "codes").groupBy("chunk") \
-        .cogroup(ids.groupBy("chunk")).applyInArrow(assembled, schema)
+    ids = picked.mapInArrow(words, "chunk long, check long, bucket int, words binary").groupBy("bucket") \
+        .applyInArrow(encode_bucket, "chunk long, check long, bucket int, ids binary")
+    held = picked.mapInArrow(codes, "chunk long, check long, doc_ids array<long>, counts array<long>, codes binary")
+    return held.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(assembled, schema)
 
 
 def byte_bpe_digest(docs: DataFrame, scheme: ByteBpe, **options) -> DataFrame:
