@@ -32,11 +32,11 @@ def parse_ad_lines(lines: DataFrame, col: str = "value", latest_ms: int | None =
     the batch; :func:`good_lines` / :func:`bad_lines` split the two.
     """
     parts = lines.select(F.col(col).alias("line"), split_ids(F.col(col), ",").alias("_p"))
-    first = F.col("_p")[0]
+    first = F.get("_p", F.lit(0))  # null, not an error, where a field is missing
     out = parts.select(
         "line",
         F.when(first.rlike(_LONG_TEXT), first.try_cast("bigint")).alias("ts"),
-        *[F.col("_p")[i].alias(n) for i, n in enumerate(AD_FIELDS) if i > 0],
+        *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(AD_FIELDS) if i > 0],
         F.size("_p").alias("_n"),
     )
     err = (F.when(F.col("_n") < len(AD_FIELDS), F.lit("too few fields"))

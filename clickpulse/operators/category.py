@@ -1,9 +1,8 @@
 """Top categories by click/order/pay counts, then the top sessions
 of each top category (F5, C1, C12, A1-A3, W2, W3, J4).
 
-:func:`top_category_sessions` computes both from one scan (one aggregate whose
-shuffle both results reuse); the separate functions below serve callers that
-need only one of them or bring their own category list.
+:func:`top_category_sessions` chains both; the separate functions serve callers
+that need only one of them or bring their own category list.
 
 All counting is one ``groupBy`` with conditional counts -- a partial hash
 aggregate on every map task, so a hot category costs one row per task in the
@@ -106,66 +105,18 @@ def category_session_top10(visits: DataFrame, top_categories: DataFrame, task_id
                       F.col("click_count").cast("long").alias("click_count"))
 
 
-def _metric_counts(visits: DataFrame) -> DataFrame:
-    """One aggregate serving R1 and R2: counts per (metric, category text, session).
-
-    Each action yields its R1 rows (metric = its kind, one per category id,
-    no session) and, if it is a click, one R2 row (metric ``s``, the text of its
-    category, its session). Built in the projection of the scan and partially
-    aggregated before the shuffle.
-    """
-    kind, ids = _kind_and_ids()
-    # an action that is no click has category -1, which no top category is
-    r2 = F.filter(F.array(F.struct(F.lit("s").alias("m"), id_text(F.col("click_category_id")).alias("c"),
-                                   F.col("session_id").alias("s"))), lambda x: F.col("click_category_id") != -1)
-    r1 = F.transform(F.coalesce(ids, F.array().cast("array<string>")),
-                     lambda x: F.struct(kind.alias("m"), x.alias("c"), F.lit(None).cast("string").alias("s")))
-    rows = visits.select(F.inline(F.concat(r2, r1)))
-    # category text is never null; saying so here gives both consumers the same
-    # plan below the shuffle (the semi join of R2 would otherwise infer it on one side)
-    rows = rows.where(F.col("c").isNotNull())
-    return rows.groupBy("m", "c", "s").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _top_and_session_counts(visits: DataFrame, task_id: str,
-                            n_categories: int) -> tuple[DataFrame, DataFrame]:
-    agg = _metric_counts(visits)
-    m, n = F.col("m"), F.col("n")
-    # Each branch keeps its rows with a test on the count column: a filter on
-    # the grouping column alone would be pushed below the aggregate, the two
-    # shuffles would differ and the fact table would be read twice.
-    r1_rows = agg.where(F.when(m != "s", n) > 0)
-    r2_rows = agg.where(F.when(m == "s", n) > 0)
-    counts = (r1_rows.groupBy(F.col("c").alias("category_id")).agg(
-        F.sum(F.when(m == CLICK, F.col("n")).otherwise(0)).cast("long").alias("click_count"),
-        F.sum(F.when(m == ORDER, F.col("n")).otherwise(0)).cast("long").alias("order_count"),
-        F.sum(F.when(m == PAY, F.col("n")).otherwise(0)).cast("long").alias("pay_count")))
-    top = (counts.orderBy(F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"),
-                          F.asc("category_id")).limit(n_categories)
-           .select(F.lit(task_id).alias("task_id"), "category_id", "click_count", "order_count", "pay_count"))
-    sessions = (r2_rows
-                .select(F.col("c").alias("category_id"), F.col("s").alias("session_id"),
-                        F.col("n").alias("click_count"))
-                .join(F.broadcast(top.select("category_id")), "category_id", "left_semi"))
-    return top, sessions
-
-
 def top_category_session_counts(visits: DataFrame, task_id: str, n_categories: int = 10) -> DataFrame:
-    """A3 from one scan: actions per (top category, session), as :func:`category_session_counts`."""
-    return _top_and_session_counts(visits, task_id, n_categories)[1]
+    """A3: actions per (top category, session), with R1's list computed from the same visits."""
+    return category_session_counts(visits, category_top10(visits, task_id, n_categories))
 
 
 def top_category_sessions(visits: DataFrame, task_id: str, n_categories: int = 10,
                           n_sessions: int = 10) -> tuple[DataFrame, DataFrame]:
-    """R1 and R2 from one scan: (top categories, their top sessions).
+    """(top categories, their top sessions).
 
-    Both results read the same aggregate, so Spark reuses its shuffle and the
-    fact table is read once. Same results as :func:`category_top10` and
-    :func:`category_session_top10`.
+    Two pruned scans: R1 shuffles one row per category and task; R2 meets its
+    list of at most ``n_categories`` rows before anything is shuffled, so only
+    actions of the top categories are counted per session.
     """
-    top, sessions = _top_and_session_counts(visits, task_id, n_categories)
-    w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
-    best = (sessions.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n_sessions)
-            .select(F.lit(task_id).alias("task_id"), "category_id", "session_id",
-                    F.col("click_count").cast("long").alias("click_count")))
-    return top, best
+    top = category_top10(visits, task_id, n_categories)
+    return top, category_session_top10(visits, top, task_id, n_sessions)

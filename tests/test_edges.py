@@ -133,7 +133,7 @@ def test_pairs_across_hour_buckets_and_sessions(spark):
                       (3, "2024-01-01 13:30:00"), (1, "2024-01-01 13:30:01")])
     v = v.unionByName(_sess(spark, [(2, "2024-01-01 09:00:00"), (3, "2024-01-01 09:00:01")], "s2"))
     got = rows(conversion.consecutive_pairs(v.select("session_id", "action_time", "page_id")))
-    assert got == [(1, 2), (2, 3), (2, 3), (3, 1)]
+    assert got == [(1, 2, 1), (2, 3, 2), (3, 1, 1)]
 
 
 def test_single_page_flow_and_low_rate(spark):

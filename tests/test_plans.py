@@ -29,7 +29,7 @@ def events_scans(plan: str) -> int:
     return len(re.findall(r"FileScan parquet [^\n]*events\.parquet", plan))
 
 
-@pytest.mark.parametrize("name", ["category_session_top10", "category_session_counts", "page_conversion",
+@pytest.mark.parametrize("name", ["category_top10", "page_conversion",
                                   "area_product_top3", "day_area_ads_top3_json"])
 def test_fact_table_read_once(spark, name):
     assert events_scans(final_plan(spark, name)) == 1
@@ -42,10 +42,6 @@ def test_top_k_is_cut_before_the_shuffle(spark, name):
     assert plan.count("WindowGroupLimit") >= 2, plan
 
 
-def test_shared_aggregate_is_reused(spark):
-    assert "ReusedExchange" in final_plan(spark, "category_session_top10")
-
-
 OWN = sorted(n for n in QUERIES if not n.startswith(("stream_", "op", "pipeline")))
 
 
@@ -78,15 +74,13 @@ def test_pages_are_shuffled_once(spark):
     assert plan.count("Exchange rangepartitioning") == 1 and plan.count("MapInArrow") == 1
 
 
-def test_no_click_row_in_the_session_shuffle(spark):
-    from clickpulse.operators import category
-    from clickpulse.plans.params import COND
-    from clickpulse.plans.condition import filter_visits
-    from clickpulse.sources.fixtures import MallTables
-
-    t = MallTables(spark, SF_SMALL)
-    agg = category._metric_counts(filter_visits(t.visits(), t.users(), COND))
-    assert agg.where("m = 's' and c = '-1'").count() == 0 < agg.where("m = 's'").count()
+def test_sessions_are_counted_after_the_semi_join(spark):
+    """Only actions of the top categories reach the (category, session) shuffle."""
+    plan = final_plan(spark, "category_session_counts", SF_CHECK)
+    shuffle = plan.index("Exchange hashpartitioning(category_id")
+    below = plan[shuffle:]
+    assert "BroadcastHashJoin" in below and "LeftSemi" in below
+    assert below.index("partial_count") < below.index("LeftSemi")
 
 
 def test_blacklist_needs_no_placement_by_user(spark):

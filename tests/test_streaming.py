@@ -86,9 +86,9 @@ def test_no_click_vanishes(spark, slots_by):
 
     base = scratch_dir(spark, "t-vanish")
     for i in range(5):
-        ads.to_lines(batch(i)).write.text(f"{base}/src/part={i}")
+        ads.to_lines(batch(i)).write.text(f"{base}/src/part={2 * i}")
         poison = ["9223372036854775807,a,c,1,1", "-9223372036854775808,a,c,1,1", "x,a,c,1,1", "1,2", ""]
-        spark.createDataFrame([(x,) for x in poison[:3 + i % 3]], "value string").write.text(f"{base}/src/poison={i}")
+        spark.createDataFrame([(x,) for x in poison[:3 + i % 3]], "value string").write.text(f"{base}/src/part={2 * i + 1}")
         rt = app.start_realtime(spark, text_lines(spark, f"{base}/src").select("value"), f"{base}/run", 5,
                                 available_now=True, slot_ms=HOUR, now_ms=lambda: T0 + DAY, slots_by=slots_by,
                                 keep_clicks=True, compact_every=2)
