@@ -74,7 +74,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                              op5_bradley_terry, op6_byte_bpe, op7_min_bin_slack, op8_two_pass_shuffle, op9_histogram_topk, op10_char_cnn)
 }
 
+_WORD = r"[^\x20\x09-\x0D]"
+
+
+def _repetition_sql() -> str:
+    """op1 in SQL: windows over word positions, one grouping per n-gram length."""
+    limits = quality.NGRAM_LIMITS
+    per_word = ", ".join(
+        f"max(CASE WHEN r{k} > 1 THEN 1 ELSE 0 END) OVER (p ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS d{k}"
+        for k in limits)
+    ranks = ", ".join(
+        f"CASE WHEN i + {k - 1} <= len(l) THEN row_number() OVER (PARTITION BY doc_id, l[i:i + {k - 1}] ORDER BY i) END AS r{k}"
+        for k in limits)
+    n = quality.BASE_LENGTH
+    sums = ", ".join(f"CAST(coalesce(sum(length(word)) FILTER (d{k} = 1), 0) AS BIGINT) AS dup_{k}gram_chars" for k in limits)
+    bad = " OR ".join(f"100 * dup_{k}gram_chars > {v} * word_chars" for k, v in limits.items())
+    outs = ", ".join(f"dup_{k}gram_chars" for k in limits)
+    zero = ", ".join(f"coalesce(dup_{k}gram_chars, 0) AS dup_{k}gram_chars" for k in limits)
+    return f"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        s AS (SELECT doc_id, regexp_extract_all(text, '{_WORD}+') AS l FROM t),
+        u AS (SELECT doc_id, l, unnest(l) AS word, generate_subscripts(l, 1) AS i FROM s),
+        g AS (SELECT doc_id, word, i, {ranks},
+                     CASE WHEN i + {n - 1} <= len(l) THEN count(*) OVER (PARTITION BY doc_id, l[i:i + {n - 1}]) END AS c
+              FROM u),
+        c AS (SELECT doc_id, word, {per_word},
+                     max(CASE WHEN c > 1 THEN 1 ELSE 0 END) OVER (p ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS e
+              FROM g WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+        w AS (SELECT doc_id, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars,
+                     CAST(sum(e) AS BIGINT) AS n_repeat_words, {sums}
+              FROM c GROUP BY doc_id),
+        x AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t),
+        y AS (SELECT doc_id, line, count(*) - 1 AS later FROM x WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id, line),
+        z AS (SELECT doc_id, CAST(sum(later) AS BIGINT) AS n_dup_lines, CAST(sum(later * length(
+                     regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g'))) AS BIGINT) AS dup_line_chars FROM y GROUP BY doc_id),
+        m AS (SELECT t.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+                     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                     coalesce(dup_line_chars, 0) AS dup_line_chars, {zero}
+              FROM t LEFT JOIN w ON t.doc_id = w.doc_id LEFT JOIN z ON t.doc_id = z.doc_id),
+        b AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.BASE_LIMIT} * n_words AS base_failed
+              FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 100 * dup_line_chars > {quality.LINE_LIMIT} * word_chars OR {bad}) AS kept,
+               dup_line_chars, {outs}
+        FROM b"""
+
+
 ORACLE: dict[str, str] = {
+    "op1_repetition_coverage": _repetition_sql(),
     "op9_histogram_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
