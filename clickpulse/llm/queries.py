@@ -78,13 +78,17 @@ _WORD = r"[^\x20\x09-\x0D]"
 
 
 def _repetition_sql() -> str:
-    """op1 in SQL: windows over word positions, one grouping per n-gram length."""
+    """op1 in SQL: one grouping per n-gram length, windows over word positions."""
     limits = quality.NGRAM_LIMITS
+    next_words = ", ".join(f"lead(word, {j}) OVER p AS w{j}" for j in range(1, max(limits)))
+    grams = ", ".join(f"CASE WHEN w{k - 1} IS NOT NULL THEN concat_ws(' ', word, "
+                      f"{', '.join(f'w{j}' for j in range(1, k))}) END AS g{k}" for k in limits)  # words hold no spaces
+    firsts = ", ".join(f"f{k} AS (SELECT doc_id, g{k} AS g, min(i) AS first, count(*) AS c FROM g "
+                       f"WHERE g{k} IS NOT NULL GROUP BY doc_id, g{k})" for k in limits)
+    joins = " ".join(f"LEFT JOIN f{k} ON g.doc_id = f{k}.doc_id AND g{k} = f{k}.g" for k in limits)
+    later = ", ".join(f"f{k}.first < i AS r{k}" for k in limits)
     per_word = ", ".join(
-        f"max(CASE WHEN r{k} > 1 THEN 1 ELSE 0 END) OVER (p ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS d{k}"
-        for k in limits)
-    ranks = ", ".join(
-        f"CASE WHEN i + {k - 1} <= len(l) THEN row_number() OVER (PARTITION BY doc_id, l[i:i + {k - 1}] ORDER BY i) END AS r{k}"
+        f"max(CASE WHEN r{k} THEN 1 ELSE 0 END) OVER (p ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS d{k}"
         for k in limits)
     n = quality.BASE_LENGTH
     sums = ", ".join(f"CAST(coalesce(sum(length(word)) FILTER (d{k} = 1), 0) AS BIGINT) AS dup_{k}gram_chars" for k in limits)
@@ -94,13 +98,14 @@ def _repetition_sql() -> str:
     return f"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         s AS (SELECT doc_id, regexp_extract_all(text, '{_WORD}+') AS l FROM t),
-        u AS (SELECT doc_id, l, unnest(l) AS word, generate_subscripts(l, 1) AS i FROM s),
-        g AS (SELECT doc_id, word, i, {ranks},
-                     CASE WHEN i + {n - 1} <= len(l) THEN count(*) OVER (PARTITION BY doc_id, l[i:i + {n - 1}]) END AS c
-              FROM u),
+        u AS (SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS i FROM s),
+        q AS (SELECT doc_id, word, i, {next_words} FROM u WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+        g AS (SELECT doc_id, word, i, {grams} FROM q),
+        {firsts},
+        r AS (SELECT g.doc_id, word, i, {later}, f{n}.c AS c FROM g {joins}),
         c AS (SELECT doc_id, word, {per_word},
                      max(CASE WHEN c > 1 THEN 1 ELSE 0 END) OVER (p ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS e
-              FROM g WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+              FROM r WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
         w AS (SELECT doc_id, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars,
                      CAST(sum(e) AS BIGINT) AS n_repeat_words, {sums}
               FROM c GROUP BY doc_id),
