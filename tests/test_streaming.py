@@ -122,8 +122,7 @@ def test_days_follow_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-@pytest.mark.parametrize("job,table", [("blacklist", "flags"), ("blacklist", "counters"), ("day_area", "counts"),
-                                       ("last_hour", "slots")])
+@pytest.mark.parametrize("job,table", [("blacklist", "flags"), ("last_hour", "slots")])
 def test_a_failed_batch_is_run_again(spark, clicks, job, table):
     base = scratch_dir(spark, "t-fail")
     parts = replay.slices(clicks, 3)
