@@ -52,10 +52,12 @@ def op7_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of the shuffled shards of all documents (law ``rows``)."""
     text = F.coalesce("record.text", F.lit(""))
-    return sharding.shards(table(spark, sf_dir, "documents"), 8).select(
-        "record.doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
-        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    digest = sharding.permuted(table(spark, sf_dir, "documents")).select(
+        "bucket", "place", "record.doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"))
+    return sharding.dealt(sharding.positions(digest), 8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op9_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,9 +27,9 @@ BUCKET_BYTES = 24 << 20  # text bytes aimed at in one bucket
 SEED = 20240607
 
 
-def shuffle_records(docs: DataFrame, text_col: str = "text", seed: int = SEED,
-                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Struct column ``record`` with every row of ``docs``, and its random ``position`` from 0."""
+def permuted(docs: DataFrame, text_col: str = "text", seed: int = SEED,
+             bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(record, bucket, place): every row of ``docs`` as a struct, its bucket and random place there."""
     total = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + F.lit(64))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     placed = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("record"))
@@ -37,24 +37,41 @@ def shuffle_records(docs: DataFrame, text_col: str = "text", seed: int = SEED,
         .repartition(buckets, "bucket")
     held = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("row", "record"))).alias("held"))
     shuffled = held.select("bucket", F.shuffle("held", seed).alias("held"))
-    done = written(shuffled.select("bucket", F.posexplode("held").alias("place", "item"))
+    return written(shuffled.select("bucket", F.posexplode("held").alias("place", "item"))
                    .select("bucket", "place", "item.record"), "shuffled")
-    counts = done.groupBy("bucket").agg(F.count("*").alias("n"))
+
+
+def positions(rows: DataFrame) -> DataFrame:
+    """``rows`` with (bucket, place) replaced by ``position``, counted through all buckets from 0.
+
+    The join with the buckets' offsets moves ``rows``: pass no more columns than are needed.
+    """
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return done.join(offsets, "bucket").select("record", (F.col("offset") + F.col("place")).alias("position"))
+    return rows.join(offsets, "bucket").withColumn("position", F.col("offset") + F.col("place")) \
+        .drop("bucket", "place", "offset")
+
+
+def shuffle_records(docs: DataFrame, text_col: str = "text", seed: int = SEED,
+                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Struct column ``record`` with every row of ``docs``, and its random ``position`` from 0."""
+    return positions(permuted(docs, text_col, seed, bucket_bytes))
+
+
+def dealt(rows: DataFrame, n: int = 8) -> DataFrame:
+    """``rows`` with ``position`` replaced by shard and gapless slot."""
+    return rows.withColumn("shard", F.pmod("position", F.lit(n)).cast("int")) \
+        .withColumn("slot", F.floor(F.col("position") / n).cast("long")).drop("position")
 
 
 def shards(docs: DataFrame, n: int = 8, text_col: str = "text", seed: int = SEED,
            bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The rows of ``docs`` as ``record``, each with its shard and gapless slot."""
-    shuffled = shuffle_records(docs, text_col, seed, bucket_bytes)
-    return shuffled.select("record", F.pmod("position", F.lit(n)).cast("int").alias("shard"),
-                           F.floor(F.col("position") / n).cast("long").alias("slot"))
+    return dealt(shuffle_records(docs, text_col, seed, bucket_bytes), n)
 
 
 def write_shards(docs: DataFrame, path: str, n: int = 8, **options) -> None:
     """One folder per shard (``shard=k``) of Parquet files, rows in slot order."""
-    dealt = shards(docs, n, **options)
-    dealt.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot") \
+    shards(docs, n, **options).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot") \
         .select("record.*", "slot", "shard").write.partitionBy("shard").parquet(path)
