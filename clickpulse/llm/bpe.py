@@ -3,8 +3,8 @@
 1. Explode: each task splits its documents into pre-tokens. A block of documents
    (a run of rows of one input partition, about ``CHUNK_BYTES`` of text) has its
    distinct pre-tokens once and, in order, the number of the pre-token at every
-   position. A block is split twice, for the pre-tokens and for the positions; a
-   checksum makes sure that both were the same rows.
+   position. A block is split twice, for the pre-tokens and for the positions (a
+   checksum makes sure that both were the same rows), or once and written.
 2. Global distinct: the blocks' pre-tokens are shuffled by hash, so each distinct
    pre-token of the corpus is encoded once, in one bucket. A pre-token comes once
    per block however often the block repeats it, so frequent ones are no hot keys.
@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import text_bytes
+from clickpulse.llm.common import text_bytes, written
 
 CHUNK_BYTES = 8 << 20    # text in one block
 BUCKET_BYTES = 32 << 20  # text whose pre-tokens go to one bucket
@@ -135,32 +135,30 @@ def _numbered(lists: list, buckets: int):
     return tokens, [raw[i] for i in order], home[order], number
 
 
-def _send_words(batches, split, buckets: int, chunk_bytes: int):
-    """The distinct pre-tokens of each block, by bucket."""
-    for block, check, _, lists in _blocks(batches, split, chunk_bytes):
-        _, raw, home, _ = _numbered(lists, buckets)
-        cut = np.searchsorted(home, np.arange(buckets + 1))
-        rows = []
-        for b, (i, j) in enumerate(zip(cut[:-1], cut[1:])):
-            if i < j:
-                sizes = np.array([j - i, *map(len, raw[i:j])], np.uint32)
-                rows.append((block, check, b, _pack(sizes.tobytes(), *raw[i:j])))
-        cols = list(zip(*rows)) or [()] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-            ["chunk", "check", "bucket", "words"])
-
-
-def _send_codes(batches, split, buckets: int, chunk_bytes: int):
-    """The documents of each block with the numbers of their pre-tokens, in order."""
+ROWS = ("chunk long, check long, bucket int, words binary, doc_ids array<long>, counts array<long>, codes binary")
+
+
+def _send(batches, split, buckets: int, chunk_bytes: int, words: bool, codes: bool):
+    """Rows of each block: its distinct pre-tokens by bucket (``words``), and its documents with
+    the numbers of their pre-tokens in order (``codes``)."""
+    kinds = pa.schema([("chunk", pa.int64()), ("check", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()),
+                       ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("codes", pa.binary())])
     for block, check, ids, lists in _blocks(batches, split, chunk_bytes):
-        tokens, _, _, number = _numbered(lists, buckets)
-        codes = np.fromiter(map(number.__getitem__, tokens), np.uint32, len(tokens))
-        row = {"chunk": block, "check": check, "doc_ids": ids, "counts": [len(x) for x in lists],
-               "codes": _pack(np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes())}
-        yield pa.RecordBatch.from_pylist([row], pa.schema([
-            ("chunk", pa.int64()), ("check", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-            ("counts", pa.list_(pa.int64())), ("codes", pa.binary())]))
+        tokens, raw, home, number = _numbered(lists, buckets)
+        rows = []
+        if codes:
+            at = np.fromiter(map(number.__getitem__, tokens), np.uint32, len(tokens))
+            planes = np.ascontiguousarray(at.view(np.uint8).reshape(-1, 4).T).tobytes()
+            rows.append({"chunk": block, "check": check, "doc_ids": ids, "counts": [len(x) for x in lists],
+                         "codes": _pack(planes)})
+        if words:
+            cut = np.searchsorted(home, np.arange(buckets + 1))
+            for b, (i, j) in enumerate(zip(cut[:-1], cut[1:])):
+                if i < j:
+                    sizes = np.array([j - i, *map(len, raw[i:j])], np.uint32)
+                    rows.append({"chunk": block, "check": check, "bucket": b,
+                                 "words": _pack(sizes.tobytes(), *raw[i:j])})
+        yield pa.RecordBatch.from_pylist(rows, kinds)
 
 
 def _encode_bucket(t: pa.Table, encode) -> pa.Table:
@@ -223,16 +221,20 @@ class Block:
 
 def encode_documents(docs: DataFrame, scheme: Scheme, assemble: Callable[[Block], pa.Table], schema: str,
                      id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES,
-                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``assemble`` applied to every block of documents once its pre-tokens are encoded."""
+                     bucket_bytes: int = BUCKET_BYTES, keep_blocks: bool = False) -> DataFrame:
+    """``assemble`` applied to every block of documents once its pre-tokens are encoded.
+
+    ``keep_blocks`` writes the blocks to the shared scratch folder instead of
+    splitting the texts twice: less CPU time, about as much disk again.
+    """
     total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
 
-    def words(batches):
-        return _send_words(batches, scheme.splitter(), buckets, chunk_bytes)
+    def blocks(words: bool, codes: bool) -> DataFrame:
+        def send(batches):
+            return _send(batches, scheme.splitter(), buckets, chunk_bytes, words, codes)
 
-    def codes(batches):
-        return _send_codes(batches, scheme.splitter(), buckets, chunk_bytes)
+        return picked.mapInArrow(send, ROWS)
 
     def encode_bucket(t: pa.Table) -> pa.Table:
         return _encode_bucket(t, scheme.encoder())
@@ -243,10 +245,15 @@ def encode_documents(docs: DataFrame, scheme: Scheme, assemble: Callable[[Block]
         return assemble(Block(left, right))
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ids = picked.mapInArrow(words, "chunk long, check long, bucket int, words binary").groupBy("bucket") \
+    if keep_blocks:
+        both = written(blocks(True, True), "blocks")
+        with_words, with_codes = both.filter("bucket is not null"), both.filter("bucket is null")
+    else:
+        with_words, with_codes = blocks(True, False), blocks(False, True)
+    ids = with_words.select("chunk", "check", "bucket", "words").groupBy("bucket") \
         .applyInArrow(encode_bucket, "chunk long, check long, bucket int, ids binary")
-    held = picked.mapInArrow(codes, "chunk long, check long, doc_ids array<long>, counts array<long>, codes binary")
-    return held.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(assembled, schema)
+    return with_codes.select("chunk", "check", "doc_ids", "counts", "codes").groupBy("chunk") \
+        .cogroup(ids.groupBy("chunk")).applyInArrow(assembled, schema)
 
 
 def byte_bpe_digest(docs: DataFrame, scheme: ByteBpe, **options) -> DataFrame:

@@ -105,7 +105,8 @@ def pieces(docs: DataFrame, scheme: Scheme, window: int = WINDOW, end_id: int =
                          "ids_crc32": col(crcs), "doc_tokens": col(totals)})
 
     cut = encode_documents(docs, scheme, assemble,
-                           "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", **options)
+                           "doc_id long, start long, length long, ids_crc32 long, doc_tokens long",
+                           keep_blocks=True, **options)
     return written(cut.select(F.monotonically_increasing_id().alias("piece"), "*"), "pieces")
 
 
