@@ -16,7 +16,9 @@ all its words), repeats included, hashed by XXH64 with seed 42. A null or empty
 text has fingerprint zero and is linked like any other. Rows with an equal id
 count as one document; a row without an id joins a group but never names it.
 Other columns are ignored by :func:`near_duplicates` and kept by
-:func:`one_per_group`. An empty table gives an empty result.
+:func:`one_per_group` and :func:`one_row_per_group`, which tell rows apart by a
+number written with them, so that repeated and null ids are no rows of another
+group. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -60,17 +62,19 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) with fp the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
+                 *also: str) -> DataFrame:
+    """(doc_id, fp) with fp the fingerprint's 64 bits as a signed long, and the long columns ``also``."""
     def run(batches):
         for batch in batches:
             offsets, data = text_bytes(batch.column(1))
             got = [fingerprint(data[i:j].tobytes(), width) for i, j in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(got, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [batch.column(0), pa.array(np.array(got, np.uint64).view(np.int64)), *batch.columns[2:]],
+                ["doc_id", "fp", *also])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *also)
+    return picked.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *also)))
 
 
 def _distance(points: np.ndarray, to: np.uint64) -> np.ndarray:
@@ -207,24 +211,60 @@ def near_links(fps: DataFrame, r: int = MAX_BITS) -> DataFrame:
     return sent.groupBy("shard").applyInArrow(link, "a long, b long")
 
 
+def _rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct`` (one row per fp) with the root of each fingerprint's component."""
+    star = star_components(near_links(distinct.select("fp"), max_bits))
+    return distinct.join(star.select(F.col("a").alias("fp"), F.col("b").alias("up")), "fp", "left") \
+        .select("fp", "first", F.coalesce("up", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BITS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
     prints = written(fingerprints(docs, width, id_col, text_col), "simhash")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    star = star_components(near_links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(star.select(F.col("a").alias("fp"), F.col("b").alias("up")), "fp", "left") \
-        .select("fp", "first", F.coalesce("up", "fp").alias("root"))
+    rooted = _rooted(distinct, max_bits)
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _represented(docs: DataFrame, width: int, max_bits: int, id_col: str, text_col: str):
+    """``docs`` as c0, c1, ... with a row number, (row, doc_id, fp) of its rows, (fp, root) and (root, first).
+
+    first is the (no id, doc_id, row) of the row that stands for its component: the least id, nulls last.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no name of ``docs`` can clash
+    id_at, text_at = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    # written once: the numbers stay what they are however often the rows are read
+    rows = written(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "rows")
+    prints = fingerprints(rows, width, id_at, text_at, "row")
+    prints = written(prints, "simhash")
+    distinct = written(prints.groupBy("fp").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")), "distinct")
+    rooted = _rooted(distinct, max_bits)
+    return rows, prints, rooted.select("fp", "root"), rooted.groupBy("root").agg(F.min("first").alias("first"))
+
+
+def _these(rows: DataFrame, stay: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.join(stay, "row", "left_semi").drop("row").toDF(*docs.columns)
+
+
 def one_per_group(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BITS,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose id names their group."""
-    groups = near_duplicates(docs, width, max_bits, id_col, text_col)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay"))
-    stay = stay.distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
+    """One document of each group, all columns: the rows in the group that have its least id.
+
+    A group without any id keeps one row.
+    """
+    rows, prints, rooted, best = _represented(docs, width, max_bits, id_col, text_col)
+    stay = prints.join(rooted, "fp").join(best, "root") \
+        .filter((F.col("doc_id") == F.col("first.doc_id")) | (F.col("row") == F.col("first.row"))).select("row")
+    return _these(rows, stay, docs)
+
+
+def one_row_per_group(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BITS,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Exactly one row of each group, all columns: of the least id (nulls last) the first row."""
+    rows, _, _, best = _represented(docs, width, max_bits, id_col, text_col)
+    return _these(rows, best.select("first.row"), docs)

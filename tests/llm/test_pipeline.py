@@ -36,6 +36,20 @@ def test_stages_against_brute_force(spark):
     verify([(r.doc_id, r.text) for r in clean.collect()], packed.collect(), 2048)
 
 
+def test_near_dedup_of_odd_rows_leaves_one_row_per_group(spark):
+    docs = H.odd_documents(spark).union(spark.createDataFrame(
+        [(None, t, "en", None, None, "clash", 7, 8, 9) for t in (H.words(31, 90), H.words(31, 90), H.words(1, 120))], H.SCHEMA))
+    _, good, single, cut, _, _ = stages(spark, docs, SF_SMALL)
+    texts = sorted({r.text for r in good.collect()})
+    near = H.components(texts, lambda a, b: (
+        simhash.fingerprint(a.encode()) ^ simhash.fingerprint(b.encode())).bit_count() <= 2)
+    kept = single.collect()
+    assert len(kept) == len(set(near.values())) < good.count()
+    assert {near[r.text] for r in kept} == set(near.values())
+    # a clean passage of a repeated document is still there after the repeated passages are cut
+    assert [r.text for r in cut.collect() if r.doc_id is None and r.text] == [H.words(31, 90)]
+
+
 def test_run_on_documents(spark):
     pieces = corpus_pipeline.run(spark, SF_SMALL)
     docs = queries.table(spark, SF_SMALL, "documents")

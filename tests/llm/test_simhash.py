@@ -68,6 +68,19 @@ def test_one_per_group_keeps_columns(spark):
     assert ids.count(8) == 2  # rows of one id stay together
 
 
+def test_one_row_per_group_with_null_and_repeated_ids(spark):
+    a, b, c = (H.words(k, 80) for k in (21, 22, 23))
+    rows = [(1, a), (1, a), (None, a), (2, b), (None, b), (None, c), (None, c), (3, a), (None, b), (1, b)]
+    docs = spark.createDataFrame([(i, t, "row") for i, t in rows], "doc_id long, text string, row string").repartition(4)
+    kept = simhash.one_row_per_group(docs)
+    assert kept.schema == docs.schema
+    want = sorted([(1, a), (1, b), (None, c)], key=H.key)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=H.key) == want
+    # by document: the equal rows of id 1 stay, no null-id row of another group does
+    kept = simhash.one_per_group(docs).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=H.key) == sorted([*want, (1, a)], key=H.key)
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(H.no_documents(spark)).count() == 0
     assert simhash.one_per_group(H.no_documents(spark)).count() == 0
