@@ -133,24 +133,32 @@ def fold(id_col: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> BradleyTerry | None:
-    """The model fitted on labelled documents that are not held out."""
+    """The model fitted on labelled documents that are not held out.
+
+    At most TRAIN_ROWS different (id, label, text), by a hash of all three: repeated
+    labels and rows of one id neither fill the sample nor go in or out together.
+    """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull() & (fold(id_col) != 0)) \
-        .select(F.col(id_col).alias("doc_id"), F.col("quality").cast("int").alias("y"))
-    share = min(1.0, TRAIN_ROWS / max(1, known.count()))
-    some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # the sample is bounded by TRAIN_ROWS (16 bytes a row)
+        .select(F.col(id_col).alias("doc_id"), F.col("quality").cast("int").alias("y")).distinct()
+    # labels a little beyond the bound (16 bytes a row), then the bound itself
+    share = min(1.0, (1.2 * TRAIN_ROWS + 4 * TRAIN_ROWS ** 0.5) / max(1, known.count()))
+    some = known.filter(F.pmod(F.xxhash64("doc_id", "y"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    some = some.orderBy(F.xxhash64("doc_id", "y"), "doc_id", "y").limit(TRAIN_ROWS)
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(some), "doc_id")
+    picked = picked.withColumn("h", F.xxhash64("doc_id", "y", "text"))
 
     def run(batches):
         for batch, x in batch_features(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(x.tolist(), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
+                [batch.column(0), batch.column(2), batch.column(3), pa.array(x.tolist(), pa.list_(pa.float64()))],
+                ["doc_id", "y", "h", "x"])
 
-    got = picked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y") \
-        .mapInArrow(run, "doc_id long, y int, x array<double>").toPandas()
+    got = picked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y", "h") \
+        .mapInArrow(run, "doc_id long, y int, h long, x array<double>") \
+        .dropDuplicates(["doc_id", "y", "h"]).orderBy("h", "doc_id", "y").limit(TRAIN_ROWS).toPandas()
     if got.empty or got.y.nunique() < 2:
         return None
-    got = got.sort_values("doc_id", kind="stable")
+    got = got.sort_values(["doc_id", "y", "h"], kind="stable")
     return BradleyTerry(np.stack(got.x.to_numpy()), got.y.to_numpy())
 
 

@@ -44,3 +44,15 @@ def test_without_labels_and_empty_table(spark):
     assert ranking.train(docs, labels) is None
     assert {r.score for r in ranking.score_documents(docs, None).collect()} == {0.5}
     assert ranking.score_documents(empty, None).count() == 0 and ranking.train(empty, labels) is None
+
+
+def test_hot_ids_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "TRAIN_ROWS", 60)
+    docs = [(i, H.words(i, 12)) for i in range(200)] + [(i, H.words(i, 12)) for i in (3, 7, 11) for _ in range(150)]
+    labels = [(i, i % 2) for i in range(200)] + [(i, i % 2) for i in (3, 7, 11) for _ in range(150)]
+    seen = []
+    monkeypatch.setattr(ranking, "BradleyTerry", lambda x, y: seen.append((x, y)))
+    ranking.train(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                  spark.createDataFrame(labels, "doc_id long, quality int"))
+    x, y = seen[0]
+    assert len(x) == len(y) == 60 and len({tuple(r) for r in x.tolist()}) >= 50
