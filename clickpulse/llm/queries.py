@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import bpe, lm, packing, quality, ranking, repeats, secret_scan, sharding, simhash, topk
+from clickpulse.llm import (bpe, codes, divergence, lm, packing, quality, ranking, repeats, secret_scan, sharding, simhash,
+                            token_files, topk)
 from clickpulse.llm.common import table
+from clickpulse.session import scratch_dir
 
 
 def op1_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +73,27 @@ def op10_char_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, secret_scan.train(docs))
 
 
+def op11_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ in their words, and by which."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16-byte codes of all vectors by ball k-means codebooks."""
+    return codes.code_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written as Parquet list columns and read back."""
+    path = scratch_dir(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.token_digest(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_repetition_coverage, op2_simhash_vptree, op3_stupid_backoff, op4_difference_cover,
-                             op5_bradley_terry, op6_byte_bpe, op7_min_bin_slack, op8_two_pass_shuffle, op9_histogram_topk, op10_char_cnn)
+                             op5_bradley_terry, op6_byte_bpe, op7_min_bin_slack, op8_two_pass_shuffle, op9_histogram_topk, op10_char_cnn,
+                             op11_level_products, op12_ball_kmeans, op13_token_lists)
 }
 
 _WORD = r"[^\x20\x09-\x0D]"
@@ -128,7 +148,82 @@ def _repetition_sql() -> str:
         FROM b"""
 
 
+def _divergence_sql() -> str:
+    """op11 in SQL: prices of every term in every group, groups of a language joined term by term."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+        WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS k,
+                          translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS text FROM documents),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        o AS (SELECT lang, source, k, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+              FROM d),
+        kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT k) >= {divergence.MIN_DOCS}),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN kept USING (lang, term)
+              GROUP BY lang, source, term),
+        t AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g
+              LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+        p AS (SELECT t.lang, t.source, kept.term, coalesce(n, 0) AS n,
+                     1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 2) // (total + 2 * v) AS p
+              FROM t JOIN v USING (lang) JOIN kept USING (lang)
+              LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = kept.term),
+        l AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+        q AS (SELECT l.lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 2) // (sum(n) OVER (PARTITION BY l.lang) + 2 * v)
+                     AS q FROM l JOIN v USING (lang)),
+        j AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+              GROUP BY a.lang, a.source, b.source),
+        u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN j ON j.lang = a.lang AND j.source = a.source AND j.item = b.source
+              UNION ALL
+              SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT)
+              FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER)
+                     AS rank FROM u)
+        SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
+def _codes_sql(width: int = 4) -> str:
+    """op12 in SQL for vectors of 16 x ``width`` components: all distances, three times."""
+    steps = []
+    for k in range(codes.ROUNDS + 1):
+        steps.append(f"""
+        a{k} AS MATERIALIZED (
+            SELECT i, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+            FROM (SELECT x.i, x.part, e.entry, CAST(list_sum(list_transform(list_zip(x.v, e.v),
+                         lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+                  FROM x JOIN b{k} e ON x.part = e.part) GROUP BY i, part)""")
+        if k < codes.ROUNDS:
+            steps.append(f"""
+        s{k} AS (SELECT x.part, entry, j, CAST(sum(x.v[j]) AS HUGEINT) AS s, count(*) AS n
+                 FROM x JOIN a{k} USING (i, part), range(1, {width + 1}) t(j) GROUP BY x.part, entry, j),
+        m{k} AS (SELECT part, entry, list(CAST(s // n - CASE WHEN s < 0 AND s % n <> 0 THEN 1 ELSE 0 END AS BIGINT)
+                                          ORDER BY j) AS v FROM s{k} GROUP BY part, entry),
+        b{k + 1} AS MATERIALIZED (SELECT e.part, e.entry, coalesce(m.v, e.v) AS v
+                                  FROM b{k} e LEFT JOIN m{k} m USING (part, entry))""")
+    n = codes.ROUNDS
+    return f"""
+        WITH r AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, label, list_transform(embedding,
+                   lambda x: CAST(floor({codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        x AS MATERIALIZED (SELECT i, part, q[{width} * part + 1:{width} * part + {width}] AS v
+                           FROM r, range({codes.PARTS}) t(part)),
+        b0 AS MATERIALIZED (SELECT part, i - 1 AS entry, v FROM x WHERE i <= {codes.ENTRIES}),{",".join(steps)},
+        o AS (SELECT i, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code,
+                     CAST(sum(d) AS BIGINT) AS error FROM a{n} GROUP BY i),
+        h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS sha FROM b{n})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               sha AS codebooks_sha256
+        FROM o JOIN r USING (i), h"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_level_products": _divergence_sql(),
+    "op12_ball_kmeans": _codes_sql(),
     "op1_repetition_coverage": _repetition_sql(),
     "op9_histogram_topk": """
         WITH v AS (
