@@ -98,7 +98,7 @@ def main(argv=None) -> None:
                    help="lines dated further ahead of the clock are rejected")
     r.add_argument("--trend-by", choices=["event", "arrival"], default="event",
                    help="window the last-hour trend by event time or by arrival")
-    r.add_argument("--compact-every", type=int, default=100, help="sink versions between snapshots")
+    r.add_argument("--compact-every", type=int, default=10, help="table versions merged at once")
     r.add_argument("--slots-by", choices=["event", "arrival"], default="event",
                    help="blacklist slots: event-time slices of --slot-ms, or the micro-batches")
     r.set_defaults(fn=_realtime)

@@ -196,6 +196,49 @@ def last_hour_minutes(clicks: DataFrame, end_ms: int, span_ms: int = 3_600_000,
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def pane_counts(clicks: DataFrame, slot_ms: int, at: Column | None = None) -> DataFrame:
+    """T3 panes: clicks per (ad, slot, HH:mm), each click in one pane.
+
+    The slot is that of the click, or of the instant ``at`` (ms); the label is the click's own minute.
+    """
+    return (clicks.groupBy("ads_id", slot(F.col("ts") if at is None else at, slot_ms).alias("slot"),
+                           hour_minute(F.col("ts")).alias("hm"))
+            .agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def slide_minutes(panes: DataFrame, lo_ms: int, hi_ms: int, span_ms: int = 3_600_000,
+                  slot_ms: int = 5_000) -> DataFrame:
+    """T3 at every slide: (slot, ads_id, hm, cnt) for the windows that end with each slot in [lo_ms, hi_ms).
+
+    A window is the ``span_ms / slot_ms`` slots up to its own. A pane is stored once and
+    enters ``span_ms / slot_ms`` sums; a native sliding window would copy each click that
+    often. Panes are cut into stretches of one span per (ad, label): the sums of a stretch
+    need its own panes and those of the stretch before, so a window function sees at
+    most three spans of slots however many clicks, slots or days there are.
+    """
+    n, lo, hi = span_ms // slot_ms, lo_ms // slot_ms, -(-hi_ms // slot_ms)
+    near = panes.where((F.col("slot") > lo - n) & (F.col("slot") < hi))
+    # the slides on which a pane can be seen: its own slot and the n - 1 after it
+    stretch = F.floor(F.col("slot") / n)
+    two = near.withColumn("stretch", F.explode(F.array(stretch, stretch + 1)))
+    first = F.greatest(F.min("slot"), F.col("stretch") * n, F.lit(lo))
+    last = F.least(F.max("slot") + (n - 1), (F.col("stretch") + 1) * n - 1, F.lit(hi - 1))
+    grid = (two.groupBy("ads_id", "hm", "stretch").agg(first.alias("a"), last.alias("b")).where("a <= b")
+            .select("ads_id", "hm", "stretch", F.explode(F.sequence("a", "b")).alias("slot"))
+            .select("*", F.lit(0).cast("long").alias("cnt"), F.lit(True).alias("slide")))
+    rows = grid.unionByName(two.select("ads_id", "hm", "stretch", "slot", "cnt", F.lit(False).alias("slide")))
+    w = Window.partitionBy("ads_id", "hm", "stretch").orderBy("slot").rangeBetween(1 - n, Window.currentRow)
+    return (rows.withColumn("cnt", F.sum("cnt").over(w))
+            .where(F.col("slide") & (F.col("cnt") > 0))
+            .select("slot", "ads_id", "hm", "cnt"))
+
+
+def slides_json(minutes: DataFrame) -> DataFrame:
+    """Per slide and ad, the minutes as JSON like :func:`minutes_json`."""
+    g = minutes.groupBy("slot", "ads_id").agg(F.array_sort(F.collect_list(F.struct("hm", "cnt"))).alias("_m"))
+    return g.select("slot", "ads_id", pairs_json(F.col("_m"), "hm", "cnt").alias("minutes_json"))
+
+
 def minutes_json(minutes: DataFrame) -> DataFrame:
     """A11 + W6 + C9: per ad, ``[{"HH:mm":count},...]`` in text order of HH:mm.
 

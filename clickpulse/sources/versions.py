@@ -6,27 +6,39 @@ versions; a batch that is run again overwrites what it had written, so every tab
 is idempotent. Kinds of tables:
 
 * ``sum``: a version holds increments; the table is their sum per key. Late rows
-  count whenever they come, and nothing depends on how the input was cut.
+  count whenever they come, and nothing depends on how the input was cut. Keys whose
+  sums are all zero are gone.
+* ``min``: the least value per key.
 * ``latest``: per key group, the rows of the newest version that holds the group.
 * ``whole``: the rows of the newest committed version, also when it is empty.
 * ``log``: all rows.
 
-Every ``compact_every`` versions a table is folded into ``<path>/base/v=<id>``.
-The versions and bases that the previous base already held are then removed; the
-ones in between stay until the next time, for readers that planned on them. A
-read therefore touches one base and at most ``2 * compact_every`` versions, and
-the table's size does not grow with the number of batches.
+Buckets. With ``bucket_by`` a version is laid out in folders ``bucket=<hash of these
+keys>``, rows sorted by key inside. A read for given keys (``only``) opens the buckets
+of those keys and no others; that list is at most ``buckets`` numbers long, whatever
+the keys are.
+
+Runs. Every ``compact_every`` versions those versions are merged into one run
+``<path>/runs/r=<first>-<last>``; every ``compact_every`` squared versions the runs of
+that stretch are merged into a longer one, and so on. A row is therefore rewritten once
+per power of ``compact_every``, a merge rewrites only what its own stretch of versions
+touched, and a read opens fewer than ``compact_every`` folders per power. What a run
+replaces is removed at the next merge, for readers that planned on it; of a ``whole``
+table the last ``KEEP_WHOLE`` versions stay.
 
 What does not exist is looked up by name; any other read error is raised.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = "v"
+BUCKET = "bucket"
+KEEP_WHOLE = 60  # versions of a ``whole`` table: five minutes of a trend published every 5 s
+SALT = 8         # a hot key's rows of a ``log`` are written by so many tasks
 
 
 def _fs(spark: SparkSession, path: str):
@@ -69,100 +81,176 @@ class CommitLog:
                 remove(spark, f"{self.path}/{n}")
 
 
+class BatchClock:
+    """The instant at which a batch was first tried: a batch that is run again gets the same one."""
+
+    KEEP = 50
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def at(self, spark: SparkSession, batch_id: int, now_ms: int) -> int:
+        held = f"{self.path}/{int(batch_id)}"
+        for n in names(spark, held):
+            return int(n)
+        fs, p = _fs(spark, f"{held}/{int(now_ms)}")
+        fs.create(p, True).close()
+        for n in names(spark, self.path):
+            if n.isdigit() and int(n) <= batch_id - self.KEEP:
+                remove(spark, f"{self.path}/{n}")
+        return int(now_ms)
+
+
 class VersionedTable:
     """One table of committed versions (see module doc)."""
 
-    KINDS = ("sum", "latest", "whole", "log")
+    KINDS = ("sum", "min", "latest", "whole", "log")
 
     def __init__(self, path: str, schema: T.StructType, log: CommitLog, kind: str, keys: list[str] = (),
-                 partition_cols: list[str] = (), compact_every: int = 100):
+                 bucket_by: list[str] = (), compact_every: int = 10, buckets: int = 16):
         if kind not in self.KINDS:
             raise ValueError(f"kind must be one of {self.KINDS}: {kind}")
         self.path, self.schema, self.log, self.kind = path.rstrip("/"), schema, log, kind
-        self.keys, self.partition_cols, self.compact_every = list(keys), list(partition_cols), compact_every
+        self.keys, self.bucket_by, self.buckets = list(keys), list(bucket_by), buckets
+        self.compact_every = max(2, compact_every)
 
     # ------------------------------------------------------------ layout
     def version_path(self, version: int) -> str:
         return f"{self.path}/data/{VERSION}={int(version)}"
 
-    def _ids(self, spark: SparkSession, sub: str) -> list[int]:
-        return sorted(int(n[2:]) for n in names(spark, f"{self.path}/{sub}") if n.startswith(f"{VERSION}="))
-
-    def base(self, spark: SparkSession, upto: int) -> int:
-        """Newest finished base of at most ``upto``, -1 before the first."""
-        done = [b for b in self._ids(spark, "base") if b <= upto
-                and exists(spark, f"{self.path}/base/{VERSION}={b}/_SUCCESS")]
-        return max(done, default=-1)
+    def versions(self, spark: SparkSession) -> list[int]:
+        """Version folders that exist."""
+        return sorted(int(n[2:]) for n in names(spark, f"{self.path}/data") if n.startswith(f"{VERSION}="))
+
+    def runs(self, spark: SparkSession) -> list[tuple[int, int]]:
+        """(first, last) version of every finished run."""
+        found = [n for n in names(spark, f"{self.path}/runs") if n.startswith("r=")]
+        return sorted(tuple(map(int, n[2:].split("-"))) for n in found
+                      if exists(spark, f"{self.path}/runs/{n}/_SUCCESS"))
+
+    def _parts(self, spark: SparkSession, upto: int) -> list[tuple[int, int, str]]:
+        """The folders that together hold every version up to ``upto`` once."""
+        held = [(a, b, f"{self.path}/runs/r={a}-{b}") for a, b in self.runs(spark) if b <= upto]
+        held += [(v, v, self.version_path(v)) for v in self.versions(spark) if v <= upto]
+        out, last = [], -1
+        for a, b, path in sorted(held, key=lambda h: (h[0], -h[1])):
+            if b > last:
+                out.append((a, b, path))
+                last = b
+        return out
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
     # ------------------------------------------------------------ write
-    def _save(self, df: DataFrame, path: str) -> None:
-        w = df.select([F.col(f.name).cast(f.dataType) for f in self.schema.fields]).write.mode("overwrite")
-        if self.partition_cols:
-            w = w.partitionBy(*self.partition_cols)
-        w.parquet(path)
-
-    def write(self, df: DataFrame, version: int) -> None:
-        """The rows of ``version``, replacing what an unfinished run of it left."""
-        self._save(df, self.version_path(version))
+    def _save(self, df: DataFrame, path: str, observation: Observation | None = None, *metrics: Column) -> None:
+        if self.bucket_by:
+            df = df.withColumn(BUCKET, self._bucket())
+            salt = [F.pmod(F.hash(*self.schema.names), F.lit(SALT))] if self.kind == "log" else []
+            df = df.repartition(BUCKET, *salt).sortWithinPartitions(BUCKET, *self.keys)
+        if observation is not None:
+            # on the rows as they are written, in the job's last stage: a task that is run again counts once
+            df = df.observe(observation, *metrics)
+        w = df.write.mode("overwrite")
+        (w.partitionBy(BUCKET) if self.bucket_by else w).parquet(path)
+
+    def write(self, df: DataFrame, version: int, observation: Observation | None = None, *metrics: Column) -> None:
+        """The rows of ``version``, replacing what an unfinished run of it left.
+
+        ``observation`` collects ``metrics`` of these rows while they are written.
+        """
+        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
+                         F.lit(int(version)).cast("long").alias(VERSION))
+        self._save(rows, self.version_path(version), observation, *metrics)
 
     def tidy(self, spark: SparkSession, version: int, keep: Column | None = None) -> None:
-        """After ``version`` is committed: fold and remove what is superseded.
+        """After ``version`` is committed: merge its stretch of versions, remove what is superseded.
 
-        ``keep`` limits the rows that a fold carries on.
+        ``keep`` limits the rows that a merge carries on; the table is then merged whole
+        every time, which pays while few rows are kept.
         """
         if self.kind == "whole":
-            for v in self._ids(spark, "data"):
-                if v < version - 2:
+            for v in self.versions(spark):
+                if v <= version - KEEP_WHOLE:
                     remove(spark, self.version_path(v))
             return
-        if (version + 1) % self.compact_every:
+        n = span = version + 1
+        if n % self.compact_every:
             return
-        before = self.base(spark, version - 1)
-        folded = self.current(spark, version)
-        self._save(folded if keep is None else folded.where(keep), f"{self.path}/base/{VERSION}={version}")
-        for v in self._ids(spark, "data"):
-            if v <= before:
+        if keep is None:
+            span = self.compact_every
+            while n % (span * self.compact_every) == 0:
+                span *= self.compact_every
+        parts = self._parts(spark, version)
+        live = {path for _, _, path in parts}
+        for a, b in self.runs(spark):
+            if b <= version and f"{self.path}/runs/r={a}-{b}" not in live:
+                remove(spark, f"{self.path}/runs/r={a}-{b}")
+        for v in self.versions(spark):
+            if v <= version and self.version_path(v) not in live:
                 remove(spark, self.version_path(v))
-        for b in self._ids(spark, "base"):
-            if b < before:
-                remove(spark, f"{self.path}/base/{VERSION}={b}")
+        parts = [p for p in parts if p[1] >= n - span]
+        if len(parts) < 2 and keep is None:
+            return
+        rows = self._merged(self._read(spark, [p[2] for p in parts]))
+        path = f"{self.path}/runs/r={parts[0][0]}-{version}"
+        if path not in live:
+            self._save(rows if keep is None else rows.where(keep), path)
 
     # ------------------------------------------------------------ read
     def empty(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], self.schema)
 
-    def _read(self, spark: SparkSession, sub: str, ids: list[int]) -> DataFrame:
-        paths = [f"{self.path}/{sub}/{VERSION}={v}" for v in ids]
+    def _read(self, spark: SparkSession, paths: list[str]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField(VERSION, T.LongType())])
-        return spark.read.schema(schema).option("basePath", f"{self.path}/{sub}").parquet(*paths)
+        # the folders are listed by name here; their names are no columns
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        """One row per key (``sum``, ``min``) or the newest group (``latest``), with a version."""
+        if self.kind == "log":
+            return rows
+        if self.kind == "latest":
+            newest = rows.groupBy(*self.keys).agg(F.max(VERSION).alias(VERSION))
+            return rows.join(newest, [*self.keys, VERSION], "left_semi").select(*rows.columns)
+        values = [f for f in self.schema.fields if f.name not in self.keys]
+        fold = F.sum if self.kind == "sum" else F.min
+        out = rows.groupBy(*self.keys).agg(*[fold(f.name).cast(f.dataType).alias(f.name) for f in values],
+                                           F.max(VERSION).alias(VERSION))
+        if self.kind == "sum":
+            some = F.lit(False)
+            for f in values:
+                some = some | (F.col(f.name) != 0)
+            out = out.where(some)
+        return out.select(*rows.columns)
+
+    def folders(self, spark: SparkSession, upto: int | None = None, only: DataFrame | None = None) -> list[str]:
+        """The folders a read opens: with ``only`` (key columns) the buckets of those keys."""
+        upto = self.log.last(spark) if upto is None else upto
+        paths = [path for _, _, path in self._parts(spark, upto)]
+        if only is None or not self.bucket_by or not set(self.bucket_by) <= set(only.columns):
+            return paths
+        wanted = {f"{BUCKET}={r[0]}" for r in only.select(self._bucket()).distinct().collect()}
+        return [f"{path}/{n}" for path in paths for n in names(spark, path) if n in wanted]
 
     def current(self, spark: SparkSession, upto: int | None = None, where: Column | None = None,
                 only: DataFrame | None = None) -> DataFrame:
         """The table as of version ``upto`` (default: the last committed one).
 
-        ``where`` prunes by partition columns; ``only`` (key columns) limits the
-        rows read to those keys before anything is summed.
+        ``where`` and ``only`` (distinct key columns) limit the rows read before anything
+        is summed; ``only`` also limits the buckets.
         """
-        cols = [f.name for f in self.schema.fields]
+        cols = self.schema.names
         upto = self.log.last(spark) if upto is None else upto
         if self.kind == "whole":
-            held = [v for v in self._ids(spark, "data") if v == upto]
-            return self._read(spark, "data", held).select(*cols) if held else self.empty(spark)
-        base = self.base(spark, upto)
-        later = [v for v in self._ids(spark, "data") if base < v <= upto]
-        parts = ([self._read(spark, "base", [base])] if base >= 0 else []) \
-            + ([self._read(spark, "data", later)] if later else [])
-        if not parts:
+            held = [self.version_path(v) for v in self.versions(spark) if v == upto]
+            return self._read(spark, held).select(*cols) if held else self.empty(spark)
+        paths = self.folders(spark, upto, only)
+        if not paths:
             return self.empty(spark)
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        rows = self._read(spark, paths)
         if where is not None:
             rows = rows.where(where)
         if only is not None:
             rows = rows.join(only, only.columns, "left_semi")
-        if self.kind == "log":
-            return rows.select(*cols)
-        if self.kind == "sum":
-            sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name not in self.keys]
-            return rows.groupBy(*self.keys).agg(*sums).select(*cols)
-        newest = rows.groupBy(*self.keys).agg(F.max(VERSION).alias(VERSION))
-        return rows.join(newest, [*self.keys, VERSION], "left_semi").select(*cols)
+        return self._merged(rows).select(*cols)

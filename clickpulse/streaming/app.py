@@ -10,11 +10,14 @@ All tables of a micro-batch are written under its batch id and committed togethe
 a batch that failed in the middle is run again and overwrites its own versions, a
 batch that was committed does nothing. So each click is counted once: in the kept
 clicks, among the listed users' dropped clicks, or in the rejects. Per batch these
-numbers are stored, and they add up to the lines read.
+numbers are stored, and they add up to the lines read; clicks taken back by a flag that
+moves are stored beside them. They are observed on the batch's own writes, without jobs
+of their own.
 
 The clock is the wall clock or an injected one (replays), never the largest
 timestamp seen. Lines that claim to come from more than ``max_ahead_ms`` after it
-are rejected; late lines count in their own day.
+are rejected; late lines count in their own day. A batch keeps the instant of its first
+attempt, so one that is run again judges its lines alike.
 
 ``base_dir`` holds the tables and the query's checkpoint; on a cluster it must be
 shared storage (for example under ``spark.checkpoint.dir``).
@@ -27,19 +30,20 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse.operators import ads
 from clickpulse.sources.streams import BATCH_INTERVAL, with_trigger
-from clickpulse.sources.versions import CommitLog, VersionedTable
+from clickpulse.sources.versions import BatchClock, CommitLog, VersionedTable
 from clickpulse.streaming.blacklist import Blacklist
 from clickpulse.streaming.counts import DayArea, LastHour
 
 REJECTS = T.StructType([T.StructField("line", T.StringType()), T.StructField("_error", T.StringType())])
-TOTALS = T.StructType([T.StructField(n, T.LongType()) for n in ("batch_id", "lines", "kept", "blacklisted", "rejected")])
+TOTALS = T.StructType([T.StructField(n, T.LongType()) for n in
+                       ("batch_id", "lines", "kept", "blacklisted", "rejected", "taken_back")])
 DAY_MS = 86_400_000
 
 
@@ -52,9 +56,10 @@ class RealtimeBatch:
 
     def __init__(self, base_dir: str, log: CommitLog, blacklist: Blacklist | None, day_area: DayArea | None,
                  last_hour: LastHour | None, now_ms: Callable[[], int], max_ahead_ms: int = DAY_MS,
-                 compact_every: int = 100):
+                 compact_every: int = 10):
         self.log, self.blacklist, self.day_area, self.last_hour = log, blacklist, day_area, last_hour
         self.now_ms, self.max_ahead_ms = now_ms, max_ahead_ms
+        self.clock = BatchClock(f"{base_dir}/clocks")
         self.rejects = VersionedTable(f"{base_dir}/rejects", REJECTS, log, "log", compact_every=compact_every)
         self.totals = VersionedTable(f"{base_dir}/totals", TOTALS, log, "log", compact_every=compact_every)
 
@@ -62,10 +67,10 @@ class RealtimeBatch:
         spark = lines.sparkSession
         if batch_id <= self.log.last(spark):
             return
-        parsed = ads.parse_ad_lines(lines, latest_ms=self.now_ms() + self.max_ahead_ms) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        now = self.clock.at(spark, batch_id, self.now_ms())
+        parsed = ads.parse_ad_lines(lines, latest_ms=now + self.max_ahead_ms).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._run(spark, parsed, int(batch_id))
+            self._run(spark, parsed, int(batch_id), now)
         finally:
             parsed.unpersist()
         self.log.commit(spark, batch_id)
@@ -79,21 +84,28 @@ class RealtimeBatch:
         self.rejects.tidy(spark, batch_id)
         self.totals.tidy(spark, batch_id)
 
-    def _run(self, spark: SparkSession, parsed: DataFrame, batch_id: int) -> None:
-        n = parsed.agg(F.count(F.lit(1)).alias("lines"), F.count("_error").alias("rejected")).first()
-        if n["rejected"]:
-            self.rejects.write(ads.bad_lines(parsed), batch_id)
+    def _run(self, spark: SparkSession, parsed: DataFrame, batch_id: int, now: int) -> None:
+        seen = Observation()
+        read = parsed.observe(seen, F.count(F.lit(1)).alias("lines"), F.count("_error").alias("rejected"))
+        # written without rejects too: an earlier attempt may have left some
+        self.rejects.write(ads.bad_lines(read), batch_id)
+        lines, rejected = seen.get.get("lines") or 0, seen.get.get("rejected") or 0
         clicks = ads.good_lines(parsed)
-        kept = self.blacklist.step(clicks, batch_id) if self.blacklist is not None else clicks
+        kept, back = self.blacklist.step(clicks, batch_id) if self.blacklist is not None else (clicks, None)
         kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+        back = back.persist(StorageLevel.MEMORY_AND_DISK) if back is not None else None
         try:
-            for step in (self.blacklist, self.day_area, self.last_hour):
-                if step is not None:
-                    step.store(kept, batch_id)
-            k = kept.count()
+            n = self.blacklist.store(kept, batch_id) if self.blacklist is not None else lines - rejected
+            if self.day_area is not None:
+                self.day_area.store(kept, batch_id, back)
+            if self.last_hour is not None:
+                self.last_hour.store(kept, batch_id, back, now)
+            taken = back.count() if back is not None else 0
         finally:
             kept.unpersist()
-        row = (batch_id, n["lines"], k, n["lines"] - n["rejected"] - k, n["rejected"])
+            if back is not None:
+                back.unpersist()
+        row = (batch_id, lines, n, lines - rejected - n, rejected, taken)
         self.totals.write(spark.createDataFrame([row], TOTALS), batch_id)
 
 
@@ -121,7 +133,7 @@ class Realtime:
         return self.batch.rejects.current(spark)
 
     def totals(self, spark: SparkSession) -> DataFrame:
-        """Per batch: lines = kept + blacklisted + rejected."""
+        """Per batch: lines = kept + blacklisted + rejected, and the earlier kept clicks taken back."""
         return self.batch.totals.current(spark)
 
     def await_all(self) -> None:
@@ -130,7 +142,7 @@ class Realtime:
 
 
 def realtime_tables(base_dir: str, threshold: int, slot_ms: int = 5_000, now_ms: Callable[[], int] | None = None,
-                    compact_every: int = 100, trend_by: str = "event", slots_by: str = "event",
+                    compact_every: int = 10, trend_by: str = "event", slots_by: str = "event",
                     max_ahead_ms: int = DAY_MS, keep_clicks: bool = False, trend_slot_ms: int = 5_000,
                     jobs: tuple[str, ...] = ("R5", "R6", "R8")) -> Realtime:
     """The application's tables under ``base_dir``, without a running query (readers use this too)."""
