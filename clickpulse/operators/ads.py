@@ -107,11 +107,66 @@ def kept_clicks(clicks: DataFrame, flags: DataFrame, slot_ms: int | Column) -> D
             .select(*clicks.columns))
 
 
+# ------------------------------------------------------------------ S11, J3 for long lists
+BLOOM_PROBES = 5
+BLOOM_WORDS = 1 << 17  # at most so many 64-bit words: 1 MB
+
+
+def bloom_bits(key: Column, words: int) -> list[tuple[Column, Column]]:
+    """(word, bit mask) of every probe of a key."""
+    h = [F.xxhash64(key, F.lit(i)) for i in range(BLOOM_PROBES)]
+    return [(F.pmod(F.shiftrightunsigned(x, 6), F.lit(words)).cast("int"),
+             F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))) for x in h]
+
+
+def bloom_filter(keys: DataFrame, col: str, words: int) -> DataFrame:
+    """One row, ``bits`` (array of ``words`` longs): a Bloom filter over the keys.
+
+    The bits are or-ed per word before and after the shuffle; what meets in one task is
+    the ``words`` longs, whatever the number of keys.
+    """
+    probes = F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in bloom_bits(F.col(col), words)])
+    hit = keys.select(F.explode(probes).alias("p")).groupBy(F.col("p.w").alias("w")).agg(F.bit_or("p.b").alias("b"))
+    whole = keys.sparkSession.range(words).select(F.col("id").cast("int").alias("w")).join(hit, "w", "left")
+    pairs = F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b"))))
+    return whole.agg(F.transform(pairs, lambda p: p["b"]).alias("bits"))
+
+
+def might_contain(bits: Column, key: Column, words: int) -> Column:
+    """Whether all bits of a key are set: false only for keys that are not in the filter."""
+    out = F.lit(True)
+    for word, bit in bloom_bits(key, words):
+        out = out & (F.get(bits, word).bitwiseAND(bit) != 0)
+    return out
+
+
 def blacklist_users(clicks: DataFrame, threshold: int, slot_ms: int) -> DataFrame:
     """R5 result: users on the blacklist and the slot that put them there."""
     return flag_users(slot_counts(clicks, slot_ms), threshold)
 
 
+def bloom_words(n: int) -> int:
+    """Words for ``n`` keys: about 10 bits a key, a power of two, at most ``BLOOM_WORDS``."""
+    words = 64
+    while words * 64 < 10 * n and words < BLOOM_WORDS:
+        words *= 2
+    return words
+
+
+def kept_clicks_long_list(clicks: DataFrame, flags: DataFrame, slot_ms: int | Column, n_flags: int) -> DataFrame:
+    """:func:`kept_clicks` against a list too long to broadcast.
+
+    A Bloom filter over the list (``n_flags`` users, at most ``BLOOM_WORDS`` words; beyond
+    about 800,000 users it only lets more clicks through to the join) is probed in the
+    scan. Clicks of users that are surely not listed pass there and are never shuffled;
+    the others meet the list in an exact join, which decides. ``flags`` is read twice:
+    give a written table.
+    """
+    words = bloom_words(n_flags)
+    hit = might_contain(bloom_filter(flags, "user_id", words).scalar(), F.col("user_id"), words)
+    return clicks.where(~hit).unionByName(kept_clicks(clicks.where(hit), flags, slot_ms))
+
+
 def blacklist_replay(clicks: DataFrame, threshold: int, slot_ms: int) -> DataFrame:
     """R5 filter: the clicks the blacklist lets through, slot by slot.
 
@@ -136,8 +191,12 @@ def blacklist_counters(clicks: DataFrame, threshold: int, slot_ms: int) -> DataF
     row per (user, day, ad, slot), never one per click.
     """
     counts = slot_counts(clicks, slot_ms)
-    flagged = counts.join(flag_users(counts, threshold), "user_id", "left")
-    kept = flagged.where(F.col("flag_slot").isNull() | (F.col("slot") <= F.col("flag_slot")))
+    flags = flag_users(counts, threshold).select(F.col("user_id").alias("flagged"), "flag_slot")
+    # null-safe: a plain equality would filter nulls out of one of the two uses of the
+    # counts, and their scan and shuffle could not be shared (clicks without a user stay)
+    same = F.col("user_id").eqNullSafe(F.col("flagged"))
+    flagged = counts.join(flags, same, "left")
+    kept = flagged.where(F.col("user_id").isNull() | F.col("flag_slot").isNull() | (F.col("slot") <= F.col("flag_slot")))
     return kept.groupBy("day", "user_id", "ads_id").agg(F.sum("n").cast("long").alias("cnt"))
 
 

@@ -12,6 +12,8 @@ and a ``rank`` per area that Spark cuts early with a partial WindowGroupLimit.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,6 +84,66 @@ def city_remark(by_city: DataFrame, group_cols: list[str], city_col: str = "city
                           join_text(entries, REMARK_SEP).alias("city_remark"))
 
 
+def city_remark_udf(top_n: int = 2):
+    """U1 as a grouped aggregate over Arrow columns: ``city_remark(city_name, n)`` -> text.
+
+    Feed it one row per (group, city) with its count, as :data:`AREA_REMARK_SQL` does: a
+    group then holds at most one row per city, and counting keeps its partial aggregation.
+    Cities listed twice are added up; without rows the remark is null.
+    """
+    other, sep = OTHER_LABEL, REMARK_SEP
+
+    @F.arrow_udf("string")
+    def remark(city: pa.Array, n: pa.Array) -> str:
+        t = pa.table({"city": pc.fill_null(pc.cast(city, pa.string()), "null"), "n": pc.cast(n, pa.int64())})
+        t = t.group_by("city").aggregate([("n", "sum")]).sort_by([("n_sum", "descending"), ("city", "ascending")])
+        names, counts = t["city"].to_pylist(), [x or 0 for x in t["n_sum"].to_pylist()]
+        total = sum(counts)
+        if not names:
+            return None
+        shares = [c / total if total else 0.0 for c in counts[:top_n]]
+        entries = list(zip(names, shares))
+        if len(names) > top_n:
+            rest = 1.0
+            for share in shares:
+                rest -= share
+            entries.append((other, rest))
+        return sep.join(f"{name}:{share * 100:.2f}%" for name, share in entries)
+
+    return remark
+
+
+def register_city_remark(spark, name: str = "city_remark", top_n: int = 2) -> None:
+    """Make ``city_remark(city_name, n)`` callable from SQL of this session."""
+    spark.udf.register(name, city_remark_udf(top_n))
+
+
+# A6 + A7 as SQL with the registered aggregate; counts per city come first.
+AREA_REMARK_SQL = """
+WITH clicks AS (
+  SELECT city_id, click_product_id AS product_id, count(*) AS n
+  FROM user_visit_action WHERE click_product_id > -1
+  GROUP BY city_id, click_product_id),
+by_city AS (
+  SELECT c.area, p.product_name, c.city_name, sum(k.n) AS n
+  FROM clicks k JOIN city_info c ON k.city_id = c.city_id
+  JOIN product_info p ON k.product_id = p.product_id
+  GROUP BY c.area, p.product_name, c.city_name),
+totals AS (
+  SELECT area, product_name, sum(n) AS click_count FROM by_city GROUP BY area, product_name),
+remarks AS (
+  SELECT area, product_name, city_remark(city_name, n) AS city_remark FROM by_city GROUP BY area, product_name)
+SELECT t.area, t.product_name, CAST(t.click_count AS BIGINT) AS click_count, r.city_remark
+FROM totals t JOIN remarks r ON t.area = r.area AND t.product_name = r.product_name
+"""
+
+
+def area_product_clicks_sql(spark) -> DataFrame:
+    """A6 + A7 through ``spark.sql`` on the registered views, with U1 as a SQL function."""
+    register_city_remark(spark)
+    return spark.sql(AREA_REMARK_SQL)
+
+
 def area_product_clicks(visits: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
     """A6 + A7: (area, product_name, click_count, city_remark)."""
     by_city = area_product_city_counts(visits, cities, products)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from clickpulse.plans.params import (
     BLACKLIST_THRESHOLD,
     COND,
+    LAST_HOUR_DAY_MS,
     LAST_HOUR_END_MS,
     LAST_HOUR_SLOT_MS,
     LAST_HOUR_SPAN_MS,
@@ -236,6 +237,16 @@ SELECT ads_id, '[' || string_agg('{"' || hm || '":' || cnt || '}', ',' ORDER BY
 FROM lh GROUP BY ads_id
 """
 
+LAST_HOUR_ALL_SLIDES = _with(_ADS, f"""
+pane AS (SELECT ads_id, hm, ts // {LAST_HOUR_SLOT_MS} AS slot, count(*) AS n FROM ads_log GROUP BY ALL),
+slide AS (SELECT range AS slot FROM range({LAST_HOUR_DAY_MS[0] // LAST_HOUR_SLOT_MS}, {LAST_HOUR_DAY_MS[1] // LAST_HOUR_SLOT_MS})),
+seen AS (SELECT s.slot, ads_id, hm, CAST(sum(n) AS BIGINT) AS cnt FROM slide s
+         JOIN pane p ON p.slot > s.slot - {LAST_HOUR_SPAN_MS // LAST_HOUR_SLOT_MS} AND p.slot <= s.slot GROUP BY ALL)
+""") + """
+SELECT slot, ads_id, '[' || string_agg('{"' || hm || '":' || cnt || '}', ',' ORDER BY hm) || ']' AS minutes_json
+FROM seen GROUP BY slot, ads_id
+"""
+
 # ---------------------------------------------------------------- rejects, key/field rows
 ADS_REJECTS = _with("""
 spoilt AS (
@@ -296,4 +307,12 @@ ORACLE: dict[str, str] = {
     "day_area_ads_top3_hash": DAY_AREA_ADS_TOP3_HASH,
     "last_hour_hash": LAST_HOUR_HASH,
     "condition_from_properties": CONDITION_FILTER,
+    "area_product_clicks_sql": CITY_REMARK,
+    "condition_filter_bucketed": CONDITION_FILTER,
+    "blacklist_replay_bloom": BLACKLIST_REPLAY,
+    "last_hour_all_slides": LAST_HOUR_ALL_SLIDES,
+    # whatever the order in which the clicks came
+    "stream_blacklist_unordered": BLACKLIST_USERS,
+    "stream_blacklist_replay_unordered": BLACKLIST_REPLAY,
+    "stream_running_counts": DAY_AREA_CITY_ADS,
 }

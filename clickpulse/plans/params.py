@@ -27,3 +27,7 @@ LAST_HOUR_END_MS = 1_705_320_000_000
 LAST_HOUR_SPAN_MS = 3_600_000
 # the original 5 s batch interval: the last hour is 720 such slots
 LAST_HOUR_SLOT_MS = 5_000
+# the trend at every slide of that day
+LAST_HOUR_DAY_MS = (1_705_276_800_000, 1_705_363_200_000)
+# buckets of the tables saved by user
+USER_BUCKETS = 8

@@ -6,6 +6,7 @@ work grows with the input. Parameters come from :mod:`clickpulse.plans.params`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,16 @@ from clickpulse.plans.params import (
     BLACKLIST_THRESHOLD,
     COND,
     COND_PROPERTIES,
+    LAST_HOUR_DAY_MS,
     LAST_HOUR_END_MS,
     LAST_HOUR_SLOT_MS,
     LAST_HOUR_SPAN_MS,
     SLOT_MS,
     TASK_ID,
+    USER_BUCKETS,
 )
-from clickpulse.sources import hashview
+from clickpulse.session import materialized, scratch_dir
+from clickpulse.sources import catalog, hashview
 from clickpulse.sources.fixtures import MallTables
 from clickpulse.streaming import replay
 from clickpulse.streaming.app import realtime_tables
@@ -210,6 +214,50 @@ def _condition_from_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_visits(t.visits(*cond.ts_bounds()), t.users(), cond)
 
 
+def _area_product_clicks_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The remark as a SQL function over (city, count) rows."""
+    MallTables(spark, sf_dir).register_views()
+    return area.area_product_clicks_sql(spark)
+
+
+def _condition_filter_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + J1: the mall tables saved as managed tables bucketed by user, read back and joined."""
+    db = f"mall_{uuid.uuid4().hex[:12]}"
+    catalog.create_database(spark, db, scratch_dir(spark, "mall"))
+    catalog.save_mall(MallTables(spark, sf_dir), db, USER_BUCKETS)
+    t = catalog.CatalogTables(spark, db)
+    return filter_visits(t.visits(COND.start_date, COND.end_date), t.users(), COND)
+
+
+def _blacklist_replay_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3/S11 for a list too long to broadcast."""
+    clicks = _ads(spark, sf_dir)
+    flags = materialized(ads.blacklist_users(clicks, BLACKLIST_THRESHOLD, SLOT_MS), "flags")
+    return ads.kept_clicks_long_list(clicks, flags, SLOT_MS, flags.count())
+
+
+def _last_hour_all_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last-hour trend at every 5 s slide of a day."""
+    lo, hi = LAST_HOUR_DAY_MS
+    clicks = MallTables(spark, sf_dir).ads(lo - LAST_HOUR_SPAN_MS, hi)
+    panes = ads.pane_counts(clicks, LAST_HOUR_SLOT_MS)
+    return ads.slides_json(ads.slide_minutes(panes, lo, hi, LAST_HOUR_SPAN_MS, LAST_HOUR_SLOT_MS))
+
+
+def _stream_blacklist_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.blacklist(spark, sf_dir, unordered=True).blacklist.current_blacklist(spark)
+
+
+def _stream_blacklist_replay_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6/T7 when every batch holds late clicks: the kept clicks of the batch form."""
+    return replay.blacklist(spark, sf_dir, keep_clicks=True, unordered=True).blacklist.kept_clicks(spark)
+
+
+def _stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6 with the count in the engine's state store."""
+    return replay.running_counts(spark, sf_dir).current(spark)
+
+
 QUERIES: dict[str, Query] = {
     "condition_filter": _condition_filter,
     "action_classify": _action_classify,
@@ -248,4 +296,11 @@ QUERIES: dict[str, Query] = {
     "day_area_ads_top3_hash": _day_area_ads_top3_hash,
     "last_hour_hash": _last_hour_hash,
     "condition_from_properties": _condition_from_properties,
+    "area_product_clicks_sql": _area_product_clicks_sql,
+    "condition_filter_bucketed": _condition_filter_bucketed,
+    "blacklist_replay_bloom": _blacklist_replay_bloom,
+    "last_hour_all_slides": _last_hour_all_slides,
+    "stream_blacklist_unordered": _stream_blacklist_unordered,
+    "stream_blacklist_replay_unordered": _stream_blacklist_replay_unordered,
+    "stream_running_counts": _stream_running_counts,
 }

@@ -144,16 +144,20 @@ class Realtime:
 def realtime_tables(base_dir: str, threshold: int, slot_ms: int = 5_000, now_ms: Callable[[], int] | None = None,
                     compact_every: int = 10, trend_by: str = "event", slots_by: str = "event",
                     max_ahead_ms: int = DAY_MS, keep_clicks: bool = False, trend_slot_ms: int = 5_000,
-                    jobs: tuple[str, ...] = ("R5", "R6", "R8")) -> Realtime:
-    """The application's tables under ``base_dir``, without a running query (readers use this too)."""
+                    jobs: tuple[str, ...] = ("R5", "R6", "R8"), buckets: int = 16) -> Realtime:
+    """The application's tables under ``base_dir``, without a running query (readers use this too).
+
+    ``buckets``: folders by key in each version of the keyed tables; the same for as long as they live.
+    """
     base = base_dir.rstrip("/")
     clock = now_ms or (lambda: int(time.time() * 1000))
     log = CommitLog(f"{base}/commits")
     return Realtime(base, RealtimeBatch(
         base, log,
-        Blacklist(f"{base}/blacklist", log, threshold, slot_ms, slots_by == "arrival", keep_clicks, compact_every)
+        Blacklist(f"{base}/blacklist", log, threshold, slot_ms, slots_by == "arrival", keep_clicks, compact_every,
+                  buckets)
         if "R5" in jobs else None,
-        DayArea(f"{base}/day_area", log, compact_every=compact_every) if "R6" in jobs else None,
+        DayArea(f"{base}/day_area", log, compact_every=compact_every, buckets=buckets) if "R6" in jobs else None,
         LastHour(f"{base}/last_hour", log, trend_slot_ms, arrival=trend_by == "arrival", compact_every=compact_every,
                  now_ms=clock) if "R8" in jobs else None,
         clock, max_ahead_ms, compact_every))

@@ -18,9 +18,11 @@ from clickpulse.plans.params import BLACKLIST_THRESHOLD, LAST_HOUR_END_MS, LAST_
 from clickpulse.session import scratch_dir
 from clickpulse.sources.fixtures import MallTables
 from clickpulse.sources.streams import text_lines
+from clickpulse.streaming import running
 from clickpulse.streaming.app import Realtime, start_realtime
 
 SLICES = 7
+BUCKETS = 2  # a replay's tables are small
 
 
 def slices(clicks: DataFrame, n: int = SLICES, unordered: bool = False) -> list[DataFrame]:
@@ -44,7 +46,7 @@ def replay(spark: SparkSession, parts: list[DataFrame], jobs: tuple[str, ...], t
     for i, part in enumerate(parts):
         ads.to_lines(part).write.text(f"{base}/src/part={i:04d}")
         rt = start_realtime(spark, text_lines(spark, f"{base}/src"), f"{base}/run", threshold, available_now=True,
-                            slot_ms=slot_ms, now_ms=lambda: now_ms, compact_every=3, jobs=jobs, **options)
+                            slot_ms=slot_ms, now_ms=lambda: now_ms, compact_every=3, jobs=jobs, **{"buckets": BUCKETS, **options})
         rt.await_all()
     return rt
 
@@ -53,8 +55,8 @@ def _parts(spark: SparkSession, sf_dir: str, unordered: bool = False) -> list[Da
     return slices(MallTables(spark, sf_dir).ads(), unordered=unordered)
 
 
-def blacklist(spark: SparkSession, sf_dir: str, keep_clicks: bool = False) -> Realtime:
-    return replay(spark, _parts(spark, sf_dir), ("R5",), keep_clicks=keep_clicks, name="stream-blacklist")
+def blacklist(spark: SparkSession, sf_dir: str, keep_clicks: bool = False, unordered: bool = False) -> Realtime:
+    return replay(spark, _parts(spark, sf_dir, unordered), ("R5",), keep_clicks=keep_clicks, name="stream-blacklist")
 
 
 def day_area(spark: SparkSession, sf_dir: str, unordered: bool = False) -> Realtime:
@@ -65,3 +67,14 @@ def last_hour(spark: SparkSession, sf_dir: str) -> Realtime:
     # the clock stands at the trend's end: clicks after it are not read by the trend
     return replay(spark, _parts(spark, sf_dir), ("R8",), now_ms=LAST_HOUR_END_MS, max_ahead_ms=60 * 86_400_000,
                   trend_slot_ms=LAST_HOUR_SLOT_MS, name="stream-last-hour")
+
+
+def running_counts(spark: SparkSession, sf_dir: str, unordered: bool = True) -> running.RunningCounts:
+    """R6 with the engine's own state, a restart after each slice."""
+    base = scratch_dir(spark, "stream-running")
+    table = None
+    for i, part in enumerate(_parts(spark, sf_dir, unordered)):
+        ads.to_lines(part).write.text(f"{base}/src/part={i:04d}")
+        table = running.RunningCounts(f"{base}/run", compact_every=3, buckets=BUCKETS)
+        table.start(text_lines(spark, f"{base}/src"), available_now=True).awaitTermination()
+    return table
