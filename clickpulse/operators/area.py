@@ -89,7 +89,7 @@ def city_remark_udf(top_n: int = 2):
 
     Feed it one row per (group, city) with its count, as :data:`AREA_REMARK_SQL` does: a
     group then holds at most one row per city, and counting keeps its partial aggregation.
-    Cities listed twice are added up; without rows the remark is null.
+    Cities listed twice are added up.
     """
     other, sep = OTHER_LABEL, REMARK_SEP
 
@@ -99,8 +99,6 @@ def city_remark_udf(top_n: int = 2):
         t = t.group_by("city").aggregate([("n", "sum")]).sort_by([("n_sum", "descending"), ("city", "ascending")])
         names, counts = t["city"].to_pylist(), [x or 0 for x in t["n_sum"].to_pylist()]
         total = sum(counts)
-        if not names:
-            return None
         shares = [c / total if total else 0.0 for c in counts[:top_n]]
         entries = list(zip(names, shares))
         if len(names) > top_n:
