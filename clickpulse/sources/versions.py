@@ -224,28 +224,33 @@ class VersionedTable:
             out = out.where(some)
         return out.select(*rows.columns)
 
-    def folders(self, spark: SparkSession, upto: int | None = None, only: DataFrame | None = None) -> list[str]:
-        """The folders a read opens: with ``only`` (key columns) the buckets of those keys."""
+    def buckets_of(self, only: DataFrame) -> list[int]:
+        """The buckets of some keys, at most ``buckets`` numbers."""
+        return [r[0] for r in only.select(self._bucket()).distinct().collect()]
+
+    def folders(self, spark: SparkSession, upto: int | None = None, only: DataFrame | None = None,
+                buckets: list[int] | None = None) -> list[str]:
+        """The folders a read opens: with ``only`` (key columns) the buckets of those keys, or those given."""
         upto = self.log.last(spark) if upto is None else upto
         paths = [path for _, _, path in self._parts(spark, upto)]
         if only is None or not self.bucket_by or not set(self.bucket_by) <= set(only.columns):
             return paths
-        wanted = {f"{BUCKET}={r[0]}" for r in only.select(self._bucket()).distinct().collect()}
+        wanted = {f"{BUCKET}={b}" for b in (self.buckets_of(only) if buckets is None else buckets)}
         return [f"{path}/{n}" for path in paths for n in names(spark, path) if n in wanted]
 
     def current(self, spark: SparkSession, upto: int | None = None, where: Column | None = None,
-                only: DataFrame | None = None) -> DataFrame:
+                only: DataFrame | None = None, buckets: list[int] | None = None) -> DataFrame:
         """The table as of version ``upto`` (default: the last committed one).
 
         ``where`` and ``only`` (distinct key columns) limit the rows read before anything
-        is summed; ``only`` also limits the buckets.
+        is summed; ``only`` also limits the buckets (``buckets``: if they are known already).
         """
         cols = self.schema.names
         upto = self.log.last(spark) if upto is None else upto
         if self.kind == "whole":
             held = [self.version_path(v) for v in self.versions(spark) if v == upto]
             return self._read(spark, held).select(*cols) if held else self.empty(spark)
-        paths = self.folders(spark, upto, only)
+        paths = self.folders(spark, upto, only, buckets)
         if not paths:
             return self.empty(spark)
         rows = self._read(spark, paths)

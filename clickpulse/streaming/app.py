@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,12 @@ TOTALS = T.StructType([T.StructField(n, T.LongType()) for n in
 DAY_MS = 86_400_000
 
 
+def together(*steps: Callable) -> list:
+    """Results of independent steps run at the same time: a small batch is mostly waiting for its jobs."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(s)) for s in steps]]
+
+
 class RealtimeBatch:
     """The ``foreachBatch`` function of the application (see module doc).
 
@@ -74,33 +81,30 @@ class RealtimeBatch:
         finally:
             parsed.unpersist()
         self.log.commit(spark, batch_id)
+        tables = [t for step in (self.blacklist, self.day_area) if step is not None for t in step.tables()]
+        last_steps = [lambda t=t: t.tidy(spark, batch_id) for t in [*tables, self.rejects, self.totals]]
         if self.last_hour is not None:
-            self.last_hour.publish(spark)
-        for step in (self.blacklist, self.day_area):
-            for table in step.tables() if step is not None else []:
-                table.tidy(spark, batch_id)
-        if self.last_hour is not None:
-            self.last_hour.slots.tidy(spark, batch_id, self.last_hour.live())
-        self.rejects.tidy(spark, batch_id)
-        self.totals.tidy(spark, batch_id)
+            last_steps += [lambda: self.last_hour.publish(spark),
+                           lambda: self.last_hour.slots.tidy(spark, batch_id, self.last_hour.live())]
+        together(*last_steps)
 
     def _run(self, spark: SparkSession, parsed: DataFrame, batch_id: int, now: int) -> None:
         seen = Observation()
         read = parsed.observe(seen, F.count(F.lit(1)).alias("lines"), F.count("_error").alias("rejected"))
-        # written without rejects too: an earlier attempt may have left some
-        self.rejects.write(ads.bad_lines(read), batch_id)
-        lines, rejected = seen.get.get("lines") or 0, seen.get.get("rejected") or 0
         clicks = ads.good_lines(parsed)
-        kept, back = self.blacklist.step(clicks, batch_id) if self.blacklist is not None else (clicks, None)
+        step = self.blacklist.step if self.blacklist is not None else lambda clicks, _: (clicks, None)
+        # rejects are written when there are none too: an earlier attempt may have left some
+        _, (kept, back) = together(lambda: self.rejects.write(ads.bad_lines(read), batch_id),
+                                   lambda: step(clicks, batch_id))
+        lines, rejected = seen.get.get("lines") or 0, seen.get.get("rejected") or 0
         kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         back = back.persist(StorageLevel.MEMORY_AND_DISK) if back is not None else None
         try:
-            n = self.blacklist.store(kept, batch_id) if self.blacklist is not None else lines - rejected
-            if self.day_area is not None:
-                self.day_area.store(kept, batch_id, back)
-            if self.last_hour is not None:
-                self.last_hour.store(kept, batch_id, back, now)
-            taken = back.count() if back is not None else 0
+            n, taken, _, _ = together(
+                lambda: self.blacklist.store(kept, batch_id) if self.blacklist is not None else lines - rejected,
+                lambda: back.count() if back is not None else 0,
+                lambda: self.day_area and self.day_area.store(kept, batch_id, back),
+                lambda: self.last_hour and self.last_hour.store(kept, batch_id, back, now))
         finally:
             kept.unpersist()
             if back is not None:

@@ -71,10 +71,12 @@ class Blacklist:
         spark = clicks.sparkSession
         at = self._slot(batch_id)
         users = clicks.select("user_id").distinct()
-        listed = self.flags.current(spark, batch_id - 1, only=users)
+        touched = self.flags.buckets_of(users)  # of all tables here, they are bucketed alike
+        listed = self.flags.current(spark, batch_id - 1, only=users, buckets=touched)
         passed = ads.kept_clicks(clicks, listed, at)
         counts = ads.slot_counts(passed, at)
-        held = self.counters.current(spark, batch_id - 1, only=counts.select(*_GROUP).distinct())
+        held = self.counters.current(spark, batch_id - 1, only=counts.select(*_GROUP).distinct(),
+                                     buckets=touched)
         both = counts.unionByName(held).groupBy("user_id", "day", "ads_id", "slot").agg(F.sum("n").alias("n"))
         found = ads.flag_users(both, self.threshold)
         old = listed.withColumnRenamed("flag_slot", "old_slot")
