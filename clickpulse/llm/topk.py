@@ -14,8 +14,11 @@ Vectors that are null or hold a null, NaN or infinite component take no part.
 Shorter vectors count as padded with zeros. A query's own row is left out, with
 any other row of its id; repeated query rows give one result list, repeated
 candidate rows are candidates each. Rows without an id are no queries and, as
-candidates, come last among ties. Scores are exact up to 2^63. An empty table
-gives an empty result, and fewer than k candidates are all returned.
+candidates, come last among ties. Scores of any components are computed exactly
+(Python integers for rows with components too large for 64-bit products) and given up
+to 2^63 - 1 in magnitude: a score beyond is that bound, and ties there go to the smaller
+id. A component of 2^1015 or more in magnitude counts as infinite. An empty table gives
+an empty result, and fewer than k candidates are all returned.
 """
 
 from __future__ import annotations
@@ -36,20 +39,25 @@ BINS = 256
 CELL_ROWS = 16_384
 CELL_QUERIES = 2_048
 STEP = 128  # queries scored at once in a cell
+LONG = (1 << 63) - 1
+LARGEST = 2.0 ** 1015
 
 
 def _vectors(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """(id, vec array<long>) of the rows that take part, with their norm."""
-    whole = F.transform(F.col(vec_col), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    """(id, vec array<double> of whole numbers) of the rows that take part."""
+    # beyond 2^44 the product is whole already (doubles have 53 bits), and floor() might leave 64 bits
+    whole = F.transform(F.col(vec_col), lambda x: F.when(
+        F.abs(x.cast("double")) < float(1 << 44), F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
+        .otherwise(F.lit(float(scale)) * x.cast("double")))
     sound = F.col(vec_col).isNotNull() & F.forall(
-        F.col(vec_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+        F.col(vec_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < LARGEST))
     picked = df.select(F.col(id_col).cast("long").alias("id"), vec_col).filter(F.coalesce(sound, F.lit(False)))
     return picked.select("id", whole.alias("vec"))
 
 
-def _matrix(column: pa.ChunkedArray, width: int, exact_float: bool) -> np.ndarray:
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     column = column.combine_chunks()
-    out = np.zeros((len(column), width), np.int64)
+    out = np.zeros((len(column), width))
     offsets = column.offsets.to_numpy()
     flat = column.values.to_numpy(zero_copy_only=False)
     lengths = np.diff(offsets)
@@ -58,7 +66,27 @@ def _matrix(column: pa.ChunkedArray, width: int, exact_float: bool) -> np.ndarra
     else:
         rows = np.repeat(np.arange(len(column)), lengths)
         out[rows, np.arange(len(rows)) - np.repeat(offsets[:-1] - offsets[0], lengths)] = flat[offsets[0]:offsets[-1]]
-    return out.astype(np.float64) if exact_float else out
+    return out
+
+
+def _large(vectors: np.ndarray) -> np.ndarray:
+    """Rows whose products may exceed 64 bits, whatever they are multiplied with."""
+    return (np.abs(vectors) > math.isqrt((1 << 62) // max(1, vectors.shape[1]))).any(axis=1)
+
+
+def _products(q: np.ndarray, c: np.ndarray, exact_float: bool) -> np.ndarray:
+    """Inner products of whole numbers as 64-bit integers, at most ``LONG`` in magnitude."""
+    if exact_float:
+        return (q @ c.T).astype(np.int64)
+    ql, cl = _large(q), _large(c)
+    small = lambda x, large: np.where(large[:, None], 0, x).astype(np.int64)
+    whole = lambda x: np.array([[int(v) for v in row] for row in x.tolist()], object).reshape(x.shape)
+    out = small(q, ql) @ small(c, cl).T
+    for rows, at in ((np.flatnonzero(ql), np.arange(len(c))), (np.arange(len(q)), np.flatnonzero(cl))):
+        if len(rows) and len(at):
+            exact = whole(q[rows]) @ whole(c[at]).T
+            out[np.ix_(rows, at)] = np.clip(exact, -LONG, LONG).astype(np.int64)
+    return out
 
 
 def _cell(t: pa.Table, width: int, exact_float: bool):
@@ -70,11 +98,11 @@ def _cell(t: pa.Table, width: int, exact_float: bool):
     none = c["id"].is_null().to_numpy()
     order = np.lexsort((ids, none))
     ids, none = ids[order], none[order]
-    rows = _matrix(c["vec"], width, exact_float)[order]
-    qv = _matrix(q["vec"], width, exact_float)
+    rows = _matrix(c["vec"], width)[order]
+    qv = _matrix(q["vec"], width)
     qid, qkey, lo, need = (q[x].to_numpy() for x in ("id", "qkey", "lo", "need"))
     for i in range(0, len(qid) if len(ids) else 0, STEP):
-        scores = (qv[i:i + STEP] @ rows.T).astype(np.int64)
+        scores = _products(qv[i:i + STEP], rows, exact_float)
         own = (qid[i:i + STEP, None] == ids[None, :]) & ~none
         yield qid[i:i + STEP], qkey[i:i + STEP], lo[i:i + STEP], need[i:i + STEP], ids, none, scores, own
 
@@ -82,9 +110,10 @@ def _cell(t: pa.Table, width: int, exact_float: bool):
 def _histogram(t: pa.Table, width: int, exact_float: bool, bin_width: int) -> pa.Table:
     keys, bins, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for _, qkey, lo, need, _, _, scores, own in _cell(t, width, exact_float):
-        at = (scores - lo[:, None]) // bin_width
-        use = ~own & (at >= 0) & (at < BINS)
-        at += np.arange(len(qkey))[:, None] * BINS
+        # unsigned: the range may span all 64 bits
+        away = (scores.view(np.uint64) - lo[:, None].view(np.uint64)) // np.uint64(bin_width)
+        use = ~own & (scores >= lo[:, None]) & (away < BINS)
+        at = np.where(use, away, 0).astype(np.int64) + np.arange(len(qkey))[:, None] * BINS
         hist = np.bincount(at[use], minlength=len(qkey) * BINS).reshape(len(qkey), BINS)
         above = hist[:, ::-1].cumsum(axis=1)[:, ::-1] - hist  # scores in higher bins
         r, b = np.nonzero((hist > 0) & (above < need[:, None]))
@@ -110,6 +139,12 @@ def _highest(t: pa.Table, width: int, exact_float: bool, k: int) -> pa.Table:
     return pa.concat_tables(parts) if parts else kinds.empty_table()
 
 
+def _raised(bin_width: int) -> F.Column:
+    """The lower end of the bin found, as a long; a bin times its width may exceed one."""
+    step = F.coalesce("bin", F.lit(0)).cast("decimal(3,0)") * F.lit(bin_width).cast("decimal(20,0)")
+    return (F.col("lo").cast("decimal(20,0)") + step).cast("long")
+
+
 def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE,
           id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of each row with ``is_query``.
@@ -118,12 +153,13 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE,
     """
     rows = written(_vectors(vectors, id_col, vec_col, scale), "vectors")
     asked = F.col("id").isNotNull() & is_query
-    norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
     n, n_queries, width, most, norm_all, norm_q = rows.agg(
         F.count("*"), F.count(F.when(asked, 1)), F.max(F.size("vec")),
         F.max(F.array_max(F.transform("vec", F.abs))), F.max(norm), F.max(F.when(asked, norm))).first()
     width, most = width or 0, most or 0
-    bound = int(math.sqrt((norm_all or 0.0) * (norm_q or 0.0)) * (1 + 1e-9)) + 1
+    reach = math.sqrt(norm_all or 0.0) * math.sqrt(norm_q or 0.0) * (1 + 1e-9) + 1
+    bound = int(reach) + 1 if reach < LONG else LONG
     exact_float = width * most * most < 1 << 53
     parts, blocks = max(1, math.ceil(n / CELL_ROWS)), max(1, math.ceil(n_queries / CELL_QUERIES))
 
@@ -158,7 +194,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE,
             .select("qkey", "bin", "above")
         # too few candidates: the lowest bin, so that all of them pass in the end
         state = state.join(hit, "qkey", "left").select(
-            "id", "vec", "qkey", (F.col("lo") + F.coalesce("bin", F.lit(0)) * F.lit(w)).alias("lo"),
+            "id", "vec", "qkey", _raised(w).alias("lo"),
             (F.col("need") - F.coalesce("above", F.lit(0))).alias("need"))
     best = cells(written(state, "state")).applyInArrow(
         lambda t: _highest(t, width, exact_float, k), "qkey long, query_id long, vec_id long, score long")

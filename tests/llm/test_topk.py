@@ -55,5 +55,24 @@ def test_large_components(spark):
     assert {tuple(r) for r in got} == brute(rows, 5, 20)
 
 
+@pytest.mark.parametrize("huge", [1e30, 4e7, 3e38])
+def test_huge_finite_components(spark, huge):
+    """Scores beyond 64 bits are given as the largest magnitude, ties there to the smaller id."""
+    rows = vectors(4, 90, 8)
+    huge = float(np.float32(huge))
+    rows[5] = (5, [huge] + rows[5][1][1:])
+    rows[20] = (20, [-huge] * 8)
+    rows[40] = (40, [float(np.float32(huge / 3)), -huge] + [0.0] * 6)
+    got = topk.top_k(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA), F.col("id") % 20 == 0, k=7).collect()
+    good = [(i, [math.floor(64 * v) if abs(v) < 2.0 ** 44 else 64 * int(v) for v in x]) for i, x in rows]
+    cut = lambda s: max(-topk.LONG, min(topk.LONG, s))
+    want = set()
+    for i, v in good:
+        if i % 20 == 0:
+            scored = sorted((-cut(sum(a * b for a, b in zip(v, w))), j) for j, w in good if j != i)
+            want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:7])}
+    assert {tuple(r) for r in got} == want
+
+
 def test_empty_table(spark):
     assert topk.top_k(spark.createDataFrame([], SCHEMA), F.col("id") % 20 == 0).count() == 0
