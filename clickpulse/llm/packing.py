@@ -1,7 +1,7 @@
 """Packing token sequences by minimum bin slack (op7).
 
-Documents are tokenized by the distinct-word shuffle of :mod:`bpe` and end with
-an end id. Each is cut into whole windows and one remainder shorter than a
+Documents are tokenized where they are read, each word once per task (at most ``KNOWN``
+are held), and end with an end id. Each is cut into whole windows and one remainder shorter than a
 window. A whole window is a sequence by itself. The remainders are packed by
 length: their histogram (at most window - 1 counts, gathered by an aggregate) is
 filled into windows by a bitset subset-sum: bit s of a step's set says that
@@ -18,13 +18,14 @@ Ranks within a length are counted per group of pieces first, so a length that
 holds a third of all pieces is numbered in parallel. Defined results: a null
 text is empty, so the end id is its only one; rows with equal or null ids are
 packed one by one; extra columns are ignored; an empty table gives an empty
-result.
+result. A very long text is split whole by one worker: about 90 bytes per word.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -33,12 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from clickpulse.llm.bpe import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES, Block, Scheme, encode_documents, _below_256
-from clickpulse.llm.common import written
+from clickpulse.llm.bpe import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES, Scheme, _below_256
+from clickpulse.llm.common import text_bytes, written
 
 WINDOW = 2048
 END_ID = 1
 GROUPS = 1024  # groups of pieces numbered on their own
+KNOWN = 600_000  # words whose ids a task holds
 
 
 class WordBpe(Scheme):
@@ -69,6 +71,8 @@ class WordBpe(Scheme):
         def core(piece: str) -> list[int]:
             ids = known.get(piece)
             if ids is None:
+                if len(known) >= KNOWN:
+                    known.clear()
                 mapped = piece.encode().decode("latin-1").translate(alphabet)
                 ids = known[piece] = [t.id for t in coder.model.tokenize(mapped)]
             return ids
@@ -86,27 +90,47 @@ class WordBpe(Scheme):
         return encode
 
 
-def pieces(docs: DataFrame, scheme: Scheme, window: int = WINDOW, end_id: int = END_ID, **options) -> DataFrame:
-    """(piece, doc_id, start, length, ids_crc32, doc_tokens): whole windows and remainders."""
+class WordIds(dict):
+    """Ids (four bytes each) of words; a word is encoded when it is first looked up."""
+
+    def __init__(self, scheme: Scheme, most: int) -> None:
+        super().__init__()
+        self.encode, self.most = scheme.encoder(), most
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        found = self[word] = array("I", self.encode([word])[0]).tobytes()
+        return found
+
 
-    def assemble(block: Block) -> pa.Table:
-        offsets, ids = block.token_ids()
+def _cut(batches, scheme: Scheme, window: int, end_id: int, known: int):
+    """The pieces of each document."""
+    split, find, end = scheme.splitter(), WordIds(scheme, known).__getitem__, array("I", [end_id]).tobytes()
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    for batch in batches:
+        offsets, data = text_bytes(batch.column(1))
         docs, starts, lengths, crcs, totals = [], [], [], [], []
         for k, (i, j) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-            own = np.append(ids[i:j], np.uint32(end_id)).astype("<u4")
-            for at in range(0, len(own), window):
+            raw = b"".join(map(find, split(data[i:j].tobytes()))) + end
+            n = len(raw) // 4
+            for at in range(0, n, window):
                 docs.append(k)
                 starts.append(at)
-                lengths.append(min(window, len(own) - at))
-                crcs.append(zlib.crc32(own[at:at + window].tobytes()))
-                totals.append(len(own))
-        col = lambda x: pa.array(x, pa.int64())
-        return pa.table({"doc_id": block.doc_ids.take(col(docs)), "start": col(starts), "length": col(lengths),
-                         "ids_crc32": col(crcs), "doc_tokens": col(totals)})
-
-    cut = encode_documents(docs, scheme, assemble,
-                           "doc_id long, start long, length long, ids_crc32 long, doc_tokens long",
-                           keep_blocks=True, **options)
+                lengths.append(min(window, n - at))
+                crcs.append(zlib.crc32(raw[4 * at:4 * (at + window)]))
+                totals.append(n)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(docs, pa.int64())),
+             *(pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals))], names=names)
+
+
+def pieces(docs: DataFrame, scheme: Scheme, window: int = WINDOW, end_id: int = END_ID, known: int = KNOWN,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(piece, doc_id, start, length, ids_crc32, doc_tokens): whole windows and remainders."""
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    cut = picked.mapInArrow(lambda batches: _cut(batches, scheme, window, end_id, known),
+                            "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
     return written(cut.select(F.monotonically_increasing_id().alias("piece"), "*"), "pieces")
 
 
@@ -173,7 +197,6 @@ def _slots(patterns: list, first: int) -> list[tuple]:
 def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     """``cut`` with each piece's sequence_id and offset in it."""
     spark = cut.sparkSession
-    full = F.col("length") == window
     group = F.pmod(F.xxhash64("piece"), F.lit(GROUPS)).alias("group")
     grouped = cut.select("*", group)
     sizes = grouped.groupBy("length", "group").agg(F.count("*").alias("n"))

@@ -91,7 +91,7 @@ def test_packing_is_exact_and_tight(spark):
     rows = [(i, t) for k, (i, t, *_) in enumerate(H.odd_rows()) if i is not None and i not in (8, 9)]
     rows += [(1000 + k, H.words(k % 300, 1 + k % 170)) for k in range(1500)]
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, length int, piece int").repartition(4)
-    got = packing.pack_documents(docs, WORDS, window=512, chunk_bytes=50_000, bucket_bytes=100_000).collect()
+    got = packing.pack_documents(docs, WORDS, window=512, known=40).collect()
     assert verify(rows, got, 512) < 0.01 * sum(r.length for r in got)
 
 
