@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from clickpulse.llm.bpe import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES, Scheme, _below_256
+from clickpulse.llm.bpe import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES, Scheme
 from clickpulse.llm.common import text_bytes, written
 
 WINDOW = 2048
@@ -67,21 +67,26 @@ class WordBpe(Scheme):
         alphabet = {b: chr(b) for b in plain}
         alphabet |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in alphabet)}
         known: dict[str, list[int]] = {}
+        tokenize = coder.model.tokenize
+
+        def plainly(mapped: str) -> list[int]:
+            return [t.id for t in tokenize(mapped)]
 
         def core(piece: str) -> list[int]:
             ids = known.get(piece)
             if ids is None:
                 if len(known) >= KNOWN:
                     known.clear()
-                mapped = piece.encode().decode("latin-1").translate(alphabet)
-                ids = known[piece] = [t.id for t in coder.model.tokenize(mapped)]
+                ids = known[piece] = plainly(piece.encode().decode("latin-1").translate(alphabet))
             return ids
 
         def encode(words: list[bytes]) -> list[list[int]]:
             out = []
             for raw in words:
                 text = raw.decode()
-                if _below_256(raw):  # stable under NFC; same pre-tokens as the file's pattern
+                if raw.isalpha():  # ASCII letters, lower-cased by the splitter: one pre-token, bytes as they are
+                    out.append(plainly(text.lower()))
+                elif raw.isascii() or max(raw) <= 0xC3:  # stable under NFC; same pre-tokens as the file's pattern
                     out.append([i for piece in latin.findall(text.lower()) for i in core(piece)])
                 else:
                     out.append(coder.encode(text, add_special_tokens=False).ids)
