@@ -48,10 +48,10 @@ TOTALS = T.StructType([T.StructField(n, T.LongType()) for n in
 DAY_MS = 86_400_000
 
 
-def together(*steps: Callable) -> list:
+def together(spark: SparkSession, *steps: Callable) -> list:
     """Results of independent steps run at the same time: a small batch is mostly waiting for its jobs."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(s)) for s in steps]]
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(s)) for s in steps]]
 
 
 class RealtimeBatch:
@@ -86,7 +86,7 @@ class RealtimeBatch:
         if self.last_hour is not None:
             last_steps += [lambda: self.last_hour.publish(spark),
                            lambda: self.last_hour.slots.tidy(spark, batch_id, self.last_hour.live())]
-        together(*last_steps)
+        together(spark, *last_steps)
 
     def _run(self, spark: SparkSession, parsed: DataFrame, batch_id: int, now: int) -> None:
         seen = Observation()
@@ -94,13 +94,14 @@ class RealtimeBatch:
         clicks = ads.good_lines(parsed)
         step = self.blacklist.step if self.blacklist is not None else lambda clicks, _: (clicks, None)
         # rejects are written when there are none too: an earlier attempt may have left some
-        _, (kept, back) = together(lambda: self.rejects.write(ads.bad_lines(read), batch_id),
+        _, (kept, back) = together(spark, lambda: self.rejects.write(ads.bad_lines(read), batch_id),
                                    lambda: step(clicks, batch_id))
         lines, rejected = seen.get.get("lines") or 0, seen.get.get("rejected") or 0
         kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         back = back.persist(StorageLevel.MEMORY_AND_DISK) if back is not None else None
         try:
             n, taken, _, _ = together(
+                spark,
                 lambda: self.blacklist.store(kept, batch_id) if self.blacklist is not None else lines - rejected,
                 lambda: back.count() if back is not None else 0,
                 lambda: self.day_area and self.day_area.store(kept, batch_id, back),
