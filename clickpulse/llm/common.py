@@ -79,7 +79,10 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 class Rolling:
-    """Rolling polynomial hashes modulo 2^64 of any spans of a sequence."""
+    """Rolling polynomial hashes modulo 2^64 of spans shorter than 1,024 values (op4's contexts).
+
+    Some different spans of 1,024 values or more are equal in every base: PrimeRolling tells them apart.
+    """
 
     BASE = 0x9E3779B97F4A7C15
 
@@ -105,5 +108,69 @@ class Rolling:
         return mix((prefix[end] - prefix[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
+_P = np.uint64((1 << 61) - 1)  # a prime, of which remainders need shifts only
+_LOW, _LOW30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_S1, _S30, _S31, _S61 = (np.uint64(k) for k in (1, 30, 31, 61))
+
+
+def remainder(x: np.ndarray) -> np.ndarray:
+    """64-bit values modulo 2^61 - 1."""
+    x = (x & _P) + (x >> _S61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def multiplied(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2^61 - 1 of values below it, from halves of 30 and 31 bits."""
+    ah, al, bh, bl = a >> _S31, a & _LOW, b >> _S31, b & _LOW
+    middle = ah * bl + al * bh
+    return remainder((ah * bh << _S1) + (middle >> _S30) + ((middle & _LOW30) << _S31) + al * bl)
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo 2^61 - 1 (n + 1 values)."""
+    out, have = np.ones(n + 1, np.uint64), 1
+    while have <= n:
+        more = min(have, n + 1 - have)
+        out[have:have + more] = multiplied(out[:more], np.uint64(pow(base, have, int(_P))))
+        have += more
+    return out
+
+
+class PrimeRolling:
+    """Rolling polynomial hashes modulo the prime 2^61 - 1 of any spans of a sequence.
+
+    Two different spans of n values have equal hashes in at most n of the 2^61 bases.
+    """
+
+    BASE = 0x9E3779B97F4A7C15 % ((1 << 61) - 1)
+    BLOCK = 1 << 16  # values summed at a time, so that intermediate arrays stay small
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if len(self.up) <= n:
+            n = max(n, 2 * len(self.up))
+            self.up = prime_powers(self.BASE, n)
+            self.down = prime_powers(pow(self.BASE, -1, int(_P)), n)
+
+    def prefix(self, values: np.ndarray) -> np.ndarray:
+        """Prefix sums from which :meth:`spans` takes its hashes."""
+        n = len(values)
+        self._grow(n)
+        out = np.zeros(n + 1, np.uint64)
+        for i in range(0, n, self.BLOCK):
+            j = min(n, i + self.BLOCK)
+            part = multiplied(remainder(values[i:j]), self.up[i:j])
+            high, low = np.cumsum(part >> _S31), np.cumsum(part & _LOW)  # at most 2^47 each
+            out[i + 1:j + 1] = remainder((high >> _S30) + ((high & _LOW30) << _S31) + low + out[i])
+        return out
+
+    def spans(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of each span [start, end); equal spans hash equally wherever they stand."""
+        sums = remainder(prefix[end] + (_P - prefix[start]))
+        return mix(multiplied(sums, self.down[start]) + (end - start).astype(np.uint64))
+
+
 # One random-looking 64-bit value per byte, never zero.
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import BYTE_VALUES, Rolling, mix, runs, text_bytes
+from clickpulse.llm.common import BYTE_VALUES, PrimeRolling, mix, runs, text_bytes
 
 # Largest allowed share (per cent) of the words' characters inside repeats
 # of n-grams, by n-gram length, and of lines (first occurrences not counted). Fixed values, as
@@ -64,7 +64,7 @@ def _covered(n: int, starts: np.ndarray, k: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def measure(offsets: np.ndarray, data: np.ndarray, rolling: Rolling) -> dict[str, np.ndarray]:
+def measure(offsets: np.ndarray, data: np.ndarray, rolling: PrimeRolling) -> dict[str, np.ndarray]:
     """Measures of the texts that lie one after another in ``data``."""
     n_docs, n = len(offsets) - 1, len(data)
     per_doc = lambda docs, w=None: np.bincount(docs, w, n_docs).astype(np.int64)
@@ -122,7 +122,7 @@ def measure(offsets: np.ndarray, data: np.ndarray, rolling: Rolling) -> dict[str
 
 
 def _measure_batches(batches, id_at: int, text_at: int, names: list[str], only_kept: bool, piece: int = 1 << 20):
-    rolling = Rolling()
+    rolling = PrimeRolling()
     for batch in batches:
         offsets, data = text_bytes(batch.column(text_at))
         parts = [measure(offsets[i:j + 1] - offsets[i], data[offsets[i]:offsets[j]], rolling)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import BYTE_VALUES, Rolling, mix, runs, text_bytes
+from clickpulse.llm.common import BYTE_VALUES, PrimeRolling, mix, runs, text_bytes
 from clickpulse.llm.quality import _SEPARATOR, _twice
 
 TRAIN_ROWS = 20_000   # labelled documents the model may be fitted on
@@ -42,7 +42,7 @@ EXTRA = 9
 N_FEATURES = N_CLASSES + EXTRA
 
 
-def features(offsets: np.ndarray, data: np.ndarray, rolling: Rolling) -> np.ndarray:
+def features(offsets: np.ndarray, data: np.ndarray, rolling: PrimeRolling) -> np.ndarray:
     """One row of raw features per text."""
     n_docs, n = len(offsets) - 1, len(data)
     sizes = np.diff(offsets)
@@ -83,7 +83,7 @@ def features(offsets: np.ndarray, data: np.ndarray, rolling: Rolling) -> np.ndar
 
 def batch_features(batches, id_at: int = 0, text_at: int = 1, piece: int = 1 << 20):
     """(batch, features of its texts) pairs."""
-    rolling = Rolling()
+    rolling = PrimeRolling()
     for batch in batches:
         offsets, data = text_bytes(batch.column(text_at))
         parts = [features(offsets[i:j + 1] - offsets[i], data[offsets[i]:offsets[j]], rolling)

@@ -93,3 +93,9 @@ def components(keys: list, linked) -> dict:
 
 def key(row) -> tuple:
     return tuple((x is not None, x) for x in row)
+
+
+def mirrored(n: int) -> tuple[str, str]:
+    """Two different words of 2^n letters with equal polynomial hashes modulo 2^64 from n = 10 on."""
+    a = "".join("ab"[i.bit_count() & 1] for i in range(1 << n))
+    return a, a.translate(str.maketrans("ab", "ba"))

@@ -38,3 +38,14 @@ def test_keep_good_passes_rows_whole(spark):
 def test_empty_table(spark):
     assert quality.quality_rules(H.no_documents(spark)).count() == 0
     assert quality.keep_good(H.no_documents(spark)).count() == 0
+
+
+def test_different_long_words_are_different(spark):
+    rows = []
+    for n in (9, 10, 11):
+        a, b = H.mirrored(n)
+        rows += [(n, a + "\n" + b + " " + H.words(n, 30)), (20 + n, f"{a} c d e f {b} c d e f " + H.words(n, 30)),
+                 (40 + n, f"{a}\n{a}\n{b}")]
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert tuple(got[i][m] for m in quality.MEASURES) == H.repeated_measures(text)

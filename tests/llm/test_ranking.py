@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
+import pyarrow as pa
+
 from clickpulse.llm import ranking
-from clickpulse.llm.common import table
+from clickpulse.llm.common import PrimeRolling, table, text_bytes
 from tests.conftest import SF_CHECK
 from tests.llm import helpers as H
 
@@ -22,6 +25,40 @@ def test_held_out_accuracy(spark):
     assert sum(pairs) / len(pairs) >= 0.95
 
 
+def test_repeat_features_match_brute_force():
+    a, b = H.mirrored(10)
+    texts = [f"{a} {b} c", f"{a} {b} {a}", "", " \n ", "a b c a b c a", H.words(1, 50) + " " + H.words(1, 20)]
+    x = ranking.features(*text_bytes(pa.array(texts)), PrimeRolling())
+    for row, text in zip(x, texts):
+        w = H.WORD.findall(text)
+        grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+        assert np.isclose(row[ranking.N_CLASSES + 4], (len(w) - len(set(w))) / max(1, len(w)))
+        assert np.isclose(row[ranking.N_CLASSES + 5], (len(grams) - len(set(grams))) / max(1, len(w)))
+
+
+def test_weights_reach_the_pairwise_optimum():
+    rng = np.random.default_rng(3)
+    y = (np.arange(800) % 2).astype(int)
+    x = rng.normal(0, 1, (800, 4)) + 0.7 * y[:, None] * np.array([1, -1, 0.5, 0])
+    model = ranking.BradleyTerry(x, y)
+    z = (model.expand(x) - model.centre) / model.spread
+    diff = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, z.shape[1])  # every pair
+
+    def loss(w):
+        return np.logaddexp(0, -diff @ w).mean() + 0.5e-4 * w @ w
+
+    best = np.zeros(z.shape[1])
+    for _ in range(40):  # Newton steps on the loss of all pairs
+        p = 1 / (1 + np.exp(diff @ best))
+        grad = -(p[:, None] * diff).mean(axis=0) + 1e-4 * best
+        hess = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + 1e-4 * np.eye(len(best))
+        best -= np.linalg.solve(hess, grad)
+    assert loss(best) <= loss(model.weights) <= loss(best) + 0.02
+    a, b = z @ model.weights, z @ best
+    assert np.corrcoef(np.argsort(np.argsort(a)), np.argsort(np.argsort(b)))[0, 1] >= 0.97
+    assert (model.score(x) >= ranking.DECISION).sum() == (y == 1).sum()  # the quantile at the share of bad labels
+
+
 def test_labels_held_out_are_never_read(spark):
     docs, labels = table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels")
     turned = labels.selectExpr("doc_id", "case when crc32(cast(cast(doc_id as string) as binary)) % 5 = 0 "
