@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding by a global distinct-word shuffle (op6).
 
-1. Explode: each task splits its documents into pre-tokens. A block of documents
-   (a run of rows of one input partition, about ``CHUNK_BYTES`` of text) has its
+1. Explode: each task splits its documents into pre-tokens: character classes in
+   numpy say where one begins. A block of documents (a run of rows of one input
+   partition, about ``CHUNK_BYTES`` of text) is dictionary-encoded: it has its
    distinct pre-tokens once and, in order, the number of the pre-token at every
    position. A block is split twice, for the pre-tokens and for the positions (a
    checksum makes sure that both were the same rows), or once and written.
@@ -13,12 +14,10 @@
 4. Decoding joins the token-byte table (bounded by the vocabulary) to the ids of
    the distinct pre-tokens and reassembles the bytes the same way.
 
-The same steps serve any scheme whose pre-tokens are encoded one by one
-(:class:`Scheme`). Defined results: a null text is empty; an empty text has no
-ids; rows with equal or null ids are encoded one by one; extra columns are
-ignored; an empty table gives an empty result. A block holds at least one whole
-document, so memory is bounded by a block or by the longest text (about 30 bytes
-per byte of it).
+Defined results: a null text is empty; an empty text has no ids; rows with equal
+or null ids are encoded one by one; extra columns are ignored; an empty table
+gives an empty result. A block holds at least one whole document, so memory is
+bounded by a block or by the longest text (about 40 bytes per byte of it).
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ import math
 import re
 import zlib
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import text_bytes, written
+from clickpulse.llm.common import runs, text_bytes, written
 
 CHUNK_BYTES = 8 << 20    # text in one block
 BUCKET_BYTES = 32 << 20  # text whose pre-tokens go to one bucket
@@ -86,12 +86,90 @@ class ByteBpe(Scheme):
 
         return split
 
+    def cutter(self) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """A function from texts (offsets, UTF-8 bytes) to the places where their pre-tokens begin."""
+        if self.pattern == public_tokenizers.PATTERN:
+            return Cutter().starts
+        split = self.splitter()
+
+        def starts(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+            # findall leaves out what the pattern does not match, as the library does: such patterns are refused
+            sizes = [len(w.encode()) for i, j in zip(offsets[:-1], offsets[1:]) for w in split(data[i:j].tobytes())]
+            ends = np.cumsum(sizes, dtype=np.int64)
+            if (int(ends[-1]) if len(ends) else 0) != len(data):
+                raise ValueError("the pattern leaves out characters")
+            return offsets[0] + ends - np.array(sizes, np.int64)
+
+        return starts
+
     def encoder(self):
         import tiktoken
         coder = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=self.ranks(), special_tokens={})
         return lambda words: [coder.encode_ordinary(w.decode()) for w in words]
 
 
+LETTER, NUMBER, SPACE, OTHER = range(4)
+
+
+class Cutter:
+    """Finds where the pre-tokens of ``public_tokenizers.PATTERN`` begin, from the classes of the characters.
+
+    A pre-token is a run of one class. Of white space before other characters, the last one stands
+    alone, or belongs to what follows if it is a space. An apostrophe that begins a pre-token
+    and is followed by one of the pattern's endings takes these letters only.
+    """
+
+    def __init__(self) -> None:
+        self.classes = np.zeros(0, np.uint8)
+
+    def _classes(self, top: int) -> np.ndarray:
+        """Class of every code point up to ``top`` at least."""
+        if len(self.classes) <= top:
+            import regex
+            size = next(n for n in (0x100, 0x10000, 0x110000) if n > top)
+            points = np.arange(size, dtype="<u4")
+            points[0xD800:0xE000] = 0  # surrogates occur in no text
+            every = points.tobytes().decode("utf-32-le")
+            self.classes = np.full(size, OTHER, np.uint8)
+            for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+                for m in regex.finditer(pattern, every):
+                    self.classes[m.start():m.end()] = kind
+        return self.classes
+
+    def starts(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Byte places where pre-tokens begin; ``data`` holds the texts from ``offsets[0]`` on."""
+        if not len(data):
+            return np.zeros(0, np.int64)
+        points, at = data, None
+        if int(data.max()) >= 0x80:
+            points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+            width = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
+            at = np.cumsum(width, dtype=np.int64) - width
+        n, kind = len(points), self._classes(int(points.max()))[points]
+        first = offsets[:-1][offsets[:-1] < offsets[1:]] - offsets[0]
+        first = first if at is None else np.searchsorted(at, first)
+        last = np.zeros(n, bool)  # last characters of texts
+        last[np.r_[first[1:], n] - 1] = True
+        begin = np.ones(n, bool)
+        np.not_equal(kind[1:], kind[:-1], out=begin[1:])
+        begin[first] = True
+        # white space before something else
+        ends = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE) & ~last[:-1])
+        begin[ends] = True
+        begin[ends[points[ends] == 0x20] + 1] = False
+        # apostrophes with an ending: 's 't 'm 'd, 're 've 'll
+        quote = np.flatnonzero((points[:-1] == 0x27) & begin[:-1] & (kind[1:] == LETTER) & ~last[:-1])
+        one = points[quote + 1]
+        two = np.where(last[quote + 1], 0, points[np.minimum(quote + 2, n - 1)])
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = (two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | (two == ord("l")) & (one == ord("l"))
+        begin[quote[short | long] + 1] = False
+        after = np.r_[quote[short] + 2, quote[long] + 3]
+        begin[after[after < n]] = True
+        found = np.flatnonzero(begin)
+        return offsets[0] + (found if at is None else at[found])
+
+
 def _below_256(raw: bytes) -> bool:
     """Whether a UTF-8 text has no code point above U+00FF (no lead byte above 0xC3)."""
     return not len(raw) or raw.isascii() or int(np.frombuffer(raw, np.uint8).max()) <= 0xC3
@@ -105,83 +183,115 @@ def _unpack(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
-def _blocks(batches, split, chunk_bytes: int):
-    """(block, checksum, document ids, pre-token lists) for runs of rows of one input partition."""
+def _binary(offsets: np.ndarray, data) -> pa.LargeBinaryArray:
+    """Arrow array of the byte strings between ``offsets``, which begin at 0."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1,
+                                            [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(data)])
+
+
+def _parts(array: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of an array of byte strings without nulls."""
+    _, offsets, data = array.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[array.offset:array.offset + len(array) + 1] if len(array) else np.zeros(1, np.int64)
+    return offsets, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+
+
+def _blocks(batches, cut, chunk_bytes: int):
+    """(block, checksum, document ids, pre-tokens per document, pre-tokens) for runs of rows of one input partition."""
     part, seq = TaskContext.get().partitionId(), 0
-    ids, lists, held, check = [], [], 0, 0
+    ids, counts, starts, texts, held, check = [], [], [], [], 0, 0
+
+    def block():
+        size = sum(map(len, texts))
+        places = np.r_[np.concatenate(starts), size]
+        return (part << 32) | seq, check, ids, np.concatenate(counts), _binary(places, np.concatenate(texts))
+
     for batch in batches:
         offsets, data = text_bytes(batch.column(1))
-        for doc, i, j in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:]):
-            if ids and held + j - i > chunk_bytes:
-                yield (part << 32) | seq, check, ids, lists
-                ids, lists, held, check, seq = [], [], 0, 0, seq + 1
-            raw = data[i:j].tobytes()
-            ids.append(doc)
-            lists.append(split(raw))
-            held += int(j - i) + 1
-            check = zlib.crc32(raw + b"\xff", check)
+        for i, j in runs(offsets, min(1 << 20, chunk_bytes)):
+            size = int(offsets[j] - offsets[i])
+            if ids and held + size > chunk_bytes:
+                yield block()
+                ids, counts, starts, texts, held, check, seq = [], [], [], [], 0, 0, seq + 1
+            raw, here = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+            begin = cut(here, raw)
+            ids = ids + batch.column(0).slice(i, j - i).to_pylist()
+            counts.append(np.diff(np.searchsorted(begin, here)))
+            starts.append(begin + sum(map(len, texts)))
+            texts.append(raw)
+            held += size + j - i
+            check = zlib.crc32(raw, zlib.crc32(here, check))
     if ids:
-        yield (part << 32) | seq, check, ids, lists
+        yield block()
 
 
-def _numbered(lists: list, buckets: int):
-    """(tokens in order, distinct pre-tokens as bytes by bucket, their buckets, pre-token -> number)."""
-    tokens = [w for words in lists for w in words]
-    distinct = list(dict.fromkeys(tokens))
-    raw = [w.encode() if isinstance(w, str) else w for w in distinct]
-    home = np.fromiter((zlib.crc32(w) for w in raw), np.int64, len(raw)) % buckets
+def _numbered(tokens: pa.LargeBinaryArray, buckets: int):
+    """(distinct pre-tokens by bucket, their buckets, number of the pre-token at every position)."""
+    coded = tokens.dictionary_encode()
+    distinct = coded.dictionary
+    home = np.fromiter(map(zlib.crc32, distinct.to_pylist()), np.int64, len(distinct)) % buckets
     order = np.argsort(home, kind="stable")
-    number = dict(zip((distinct[i] for i in order), range(len(order))))
-    return tokens, [raw[i] for i in order], home[order], number
+    number = np.empty(len(order), np.uint32)
+    number[order] = np.arange(len(order), dtype=np.uint32)
+    return distinct.take(pa.array(order)), home[order], number[coded.indices.to_numpy()]
 
 
 ROWS = ("chunk long, check long, bucket int, words binary, doc_ids array<long>, counts array<long>, codes binary")
 
 
-def _send(batches, split, buckets: int, chunk_bytes: int, words: bool, codes: bool):
+def _send(batches, cut, buckets: int, chunk_bytes: int, words: bool, codes: bool):
     """Rows of each block: its distinct pre-tokens by bucket (``words``), and its documents with
     the numbers of their pre-tokens in order (``codes``)."""
     kinds = pa.schema([("chunk", pa.int64()), ("check", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()),
                        ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("codes", pa.binary())])
-    for block, check, ids, lists in _blocks(batches, split, chunk_bytes):
-        tokens, raw, home, number = _numbered(lists, buckets)
+    for block, check, ids, counts, tokens in _blocks(batches, cut, chunk_bytes):
+        distinct, home, at = _numbered(tokens, buckets)
         rows = []
         if codes:
-            at = np.fromiter(map(number.__getitem__, tokens), np.uint32, len(tokens))
             planes = np.ascontiguousarray(at.view(np.uint8).reshape(-1, 4).T).tobytes()
-            rows.append({"chunk": block, "check": check, "doc_ids": ids, "counts": [len(x) for x in lists],
-                         "codes": _pack(planes)})
+            rows.append({"chunk": block, "check": check, "doc_ids": ids, "counts": counts, "codes": _pack(planes)})
         if words:
-            cut = np.searchsorted(home, np.arange(buckets + 1))
-            for b, (i, j) in enumerate(zip(cut[:-1], cut[1:])):
-                if i < j:
-                    sizes = np.array([j - i, *map(len, raw[i:j])], np.uint32)
-                    rows.append({"chunk": block, "check": check, "bucket": b,
-                                 "words": _pack(sizes.tobytes(), *raw[i:j])})
+            offsets, data = _parts(distinct)
+            edges = np.searchsorted(home, np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(edges)).tolist():
+                i, j = edges[b], edges[b + 1]
+                sizes = np.r_[j - i, np.diff(offsets[i:j + 1])].astype(np.uint32)
+                rows.append({"chunk": block, "check": check, "bucket": b,
+                             "words": _pack(sizes.tobytes(), data[offsets[i]:offsets[j]].tobytes())})
         yield pa.RecordBatch.from_pylist(rows, kinds)
 
 
 def _encode_bucket(t: pa.Table, encode) -> pa.Table:
     """The ids of every block's pre-tokens of one bucket; each distinct pre-token is encoded once."""
-    lists = []
+    counts, sizes, texts = [], [], []
     for blob in t["words"].to_pylist():
         raw = _unpack(blob)
         n = int(np.frombuffer(raw, np.uint32, 1)[0])
-        ends = 4 * (n + 1) + np.cumsum(np.frombuffer(raw, np.uint32, n, 4), dtype=np.int64)
-        starts = np.r_[4 * (n + 1), ends[:-1]]
-        lists.append([raw[i:j] for i, j in zip(starts.tolist(), ends.tolist())])
-    distinct = {w: k for k, w in enumerate(dict.fromkeys(w for words in lists for w in words))}
-    found = encode(list(distinct))
-    sizes = np.fromiter(map(len, found), np.uint32, len(found))
-    blobs = []
-    for words in lists:
-        at = [distinct[w] for w in words]
-        flat = np.array([i for k in at for i in found[k]], np.uint32)
-        blobs.append(_pack(np.uint32(len(at)).tobytes(), sizes[at].tobytes(), flat.tobytes()))
+        counts.append(n)
+        sizes.append(np.frombuffer(raw, np.uint32, n, 4))
+        texts.append(np.frombuffer(raw, np.uint8, offset=4 * (n + 1)))
+    ends = np.cumsum(np.concatenate(sizes), dtype=np.int64)
+    coded = _binary(np.r_[0, ends], np.concatenate(texts)).dictionary_encode()
+    found = encode(coded.dictionary.to_pylist())
+    n_ids = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.fromiter(chain.from_iterable(found), np.uint32, int(n_ids.sum()))
+    places, blobs, i = coded.indices.to_numpy(), [], 0
+    for n in counts:
+        at = places[i:i + n]
+        blobs.append(_pack(np.uint32(n).tobytes(), n_ids[at].astype(np.uint32).tobytes(), _spread(flat, n_ids, at).tobytes()))
+        i += n
     return pa.table({"chunk": t["chunk"], "check": t["check"], "bucket": t["bucket"],
                      "ids": pa.array(blobs, pa.binary())})
 
 
+def _spread(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pieces number ``at`` of ``flat``, which holds pieces of ``sizes``, one after another."""
+    each = sizes[at]
+    upto = np.cumsum(each)
+    shift = np.repeat((np.cumsum(sizes) - sizes)[at] - (upto - each), each)
+    return flat[np.arange(len(shift)) + shift]
+
+
 class Block:
     """One block's documents with their ids: what ``assemble`` functions receive."""
 
@@ -196,30 +306,25 @@ class Block:
             sizes.append(raw[1:1 + raw[0]])
             flat.append(raw[1 + raw[0]:])
         self.sizes, self.flat = np.concatenate(sizes).astype(np.int64), np.concatenate(flat)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-
-    def word_ids(self) -> list[list[int]]:
-        """The ids of each distinct pre-token."""
-        flat = self.flat.tolist()
-        return [flat[i:i + n] for i, n in zip(self.starts.tolist(), self.sizes.tolist())]
-
-    def documents(self):
-        """The codes of each document's pre-tokens, document by document."""
-        ends = np.cumsum(self.counts)
-        for i, j in zip(ends - self.counts, ends):
-            yield self.codes[i:j]
+        self.upto = np.r_[0, np.cumsum(self.counts)]  # positions before each document
 
     def token_ids(self) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): all documents' ids one after another."""
-        each = self.sizes[self.codes]
-        upto = np.cumsum(each)
-        total = int(upto[-1]) if len(upto) else 0
-        at = np.arange(total) + np.repeat(self.starts[self.codes] - (upto - each), each)
-        ends = np.r_[0, upto][np.cumsum(self.counts)]
-        return np.r_[0, ends], self.flat[at]
+        return self.token_offsets(), _spread(self.flat, self.sizes, self.codes)
+
+    def token_offsets(self) -> np.ndarray:
+        """Tokens before each document, and of all."""
+        return np.r_[0, np.cumsum(self.sizes[self.codes])][self.upto]
 
+    def joined(self, table: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, bytes) of the documents' entries of ``table``, an entry per id, one after another."""
+        entries, data = _parts(table.take(pa.array(self.flat)))
+        words = _binary(entries[np.r_[0, np.cumsum(self.sizes)]], data)
+        offsets, data = _parts(words.take(pa.array(self.codes)))
+        return offsets[self.upto], data
 
-def encode_documents(docs: DataFrame, scheme: Scheme, assemble: Callable[[Block], pa.Table], schema: str,
+
+def encode_documents(docs: DataFrame, scheme: ByteBpe, assemble: Callable[[Block], pa.Table], schema: str,
                      id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES,
                      bucket_bytes: int = BUCKET_BYTES, keep_blocks: bool = False) -> DataFrame:
     """``assemble`` applied to every block of documents once its pre-tokens are encoded.
@@ -232,7 +337,7 @@ def encode_documents(docs: DataFrame, scheme: Scheme, assemble: Callable[[Block]
 
     def blocks(words: bool, codes: bool) -> DataFrame:
         def send(batches):
-            return _send(batches, scheme.splitter(), buckets, chunk_bytes, words, codes)
+            return _send(batches, scheme.cutter(), buckets, chunk_bytes, words, codes)
 
         return picked.mapInArrow(send, ROWS)
 
@@ -256,22 +361,26 @@ def encode_documents(docs: DataFrame, scheme: Scheme, assemble: Callable[[Block]
         .cogroup(ids.groupBy("chunk")).applyInArrow(assembled, schema)
 
 
+def _token_bytes(scheme: ByteBpe) -> pa.LargeBinaryArray:
+    """The token-byte table: bytes of each id; ids that the file lacks are empty."""
+    ranks = {i: b for b, i in scheme.ranks().items()}
+    return pa.array([ranks.get(i, b"") for i in range(max(ranks, default=-1) + 1)], pa.large_binary())
+
+
 def byte_bpe_digest(docs: DataFrame, scheme: ByteBpe, **options) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document's ids and their decoding."""
+    held: list = []  # tables of a task
 
     def assemble(block: Block) -> pa.Table:
-        token_bytes = {i: b for b, i in scheme.ranks().items()}
-        words = block.word_ids()
-        texts = [b",".join(b"%d" % i for i in ids) for ids in words]
-        decoded = [b"".join(map(token_bytes.__getitem__, ids)) for ids in words]
-        n, shas, back = [], [], []
-        for codes in block.documents():
-            at = codes.tolist()
-            n.append(int(block.sizes[codes].sum()))
-            shas.append(hashlib.sha256(b",".join(map(texts.__getitem__, at))).hexdigest())
-            back.append(hashlib.sha256(b"".join(map(decoded.__getitem__, at))).hexdigest())
-        return pa.table({"doc_id": block.doc_ids, "n_tokens": pa.array(n, pa.int64()),
-                         "ids_sha256": pa.array(shas, pa.string()), "decoded_sha256": pa.array(back, pa.string())})
+        if not held:
+            held.append(_token_bytes(scheme))
+            held.append(pa.array([b"%d," % i for i in range(len(held[0]))], pa.large_binary()))
+        texts, decoded = block.joined(held[1]), block.joined(held[0])
+        sha = lambda offsets, data, less: [hashlib.sha256(data[i:max(i, j - less)]).hexdigest()
+                                           for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        return pa.table({"doc_id": block.doc_ids, "n_tokens": pa.array(np.diff(block.token_offsets()), pa.int64()),
+                         "ids_sha256": pa.array(sha(*texts, 1), pa.string()),
+                         "decoded_sha256": pa.array(sha(*decoded, 0), pa.string())})
 
     return encode_documents(docs, scheme, assemble,
                             "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", **options)
@@ -281,11 +390,11 @@ def byte_bpe_ids(docs: DataFrame, scheme: ByteBpe, **options) -> DataFrame:
     """(doc_id, ids, decoded): the ids of every document and the text they decode to."""
 
     def assemble(block: Block) -> pa.Table:
-        token_bytes = {i: b for b, i in scheme.ranks().items()}
         offsets, ids = block.token_ids()
         lists = [ids[i:j].tolist() for i, j in zip(offsets[:-1], offsets[1:])]
+        ends, data = block.joined(_token_bytes(scheme))
         return pa.table({"doc_id": block.doc_ids, "ids": pa.array(lists, pa.list_(pa.int32())),
-                         "decoded": pa.array([b"".join(map(token_bytes.__getitem__, x)).decode() for x in lists],
+                         "decoded": pa.array([data[i:j].tobytes().decode() for i, j in zip(ends[:-1], ends[1:])],
                                              pa.string())})
 
     return encode_documents(docs, scheme, assemble, "doc_id long, ids array<int>, decoded string", **options)

@@ -48,6 +48,26 @@ def test_byte_bpe_matches_the_library(spark):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_pretokens_begin_where_the_pattern_says():
+    import pyarrow as pa
+    import regex
+
+    from clickpulse.llm.common import text_bytes
+    scheme, rng = bpe.ByteBpe(RANKS), random.Random(5)
+    pool = list(" '' stmdrevl LSa\n\x1c\x85\u3000é日7²😀-ſ")
+    short = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 14))) for _ in range(20_000)]
+    pattern, cut = regex.compile(scheme.pattern), scheme.cutter()
+    for texts in [short + strange_texts(500, 6) + [t or "" for _, t, *_ in H.odd_rows()], *([t] for t in short[:2_000])]:
+        offsets, data = text_bytes(pa.array(texts, pa.string()))
+        sizes = np.diff(np.r_[cut(offsets, data), len(data)])
+        assert sizes.tolist() == [len(w.encode()) for t in texts for w in pattern.findall(t)]
+    other = bpe.ByteBpe(RANKS, r"\w+|\W+")
+    offsets, data = text_bytes(pa.array(["ab cd", "", "é!"]))
+    assert other.cutter()(offsets, data).tolist() == [0, 2, 3, 5, 7]
+    with pytest.raises(ValueError):
+        bpe.ByteBpe(RANKS, r"\w+").cutter()(offsets, data)
+
+
 def test_ids_round_trip(spark):
     rows = [(i, t) for i, t in enumerate(strange_texts(40, 9))]
     got = bpe.byte_bpe_ids(spark.createDataFrame(rows, "doc_id long, text string"), bpe.ByteBpe(RANKS)).collect()
