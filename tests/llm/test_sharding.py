@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import collections
 
+import numpy as np
 import pytest
 
 from clickpulse.llm import sharding
@@ -34,6 +35,53 @@ def test_order_is_shuffled_and_seeded(spark):
     assert sum(x < y for x, y in zip(a, a[1:])) / 4000 == pytest.approx(0.5, abs=0.05)
 
 
+class Replay:
+    """Fisher-Yates permutations as the engine draws them: a Mersenne twister per partition, seeded by seed + partition."""
+
+    def __init__(self, seed: int) -> None:
+        self.bits = np.random.RandomState(np.array([seed >> 32, seed & 0xFFFFFFFF], np.uint32))
+
+    def below(self, n: int) -> int:
+        draw = lambda: int(self.bits.randint(0, 1 << 32, dtype=np.uint32)) >> 1
+        if n & -n == n:
+            return n * draw() >> 31
+        while (bits := draw()) - bits % n + n - 1 >= 1 << 31:
+            pass
+        return bits % n
+
+    def permutation(self, n: int) -> list[int]:
+        out = [0] * n
+        for i in range(n):
+            j = self.below(i + 1)
+            out[i] = out[j]
+            out[j] = i
+        return out
+
+
+@pytest.mark.parametrize("bucket_bytes", [1 << 30, 20_000])
+def test_permutation_replayed_from_its_seed(spark, bucket_bytes):
+    docs = spark.range(2000).selectExpr("id as doc_id", "cast(id as string) as text").coalesce(1)
+    held = collections.defaultdict(list)
+    for r in sharding.permuted(docs, seed=77, bucket_bytes=bucket_bytes).orderBy("bucket", "place").collect():
+        assert r.place == len(held[r.bucket])
+        held[r.bucket].append(r.record.doc_id)
+    assert sorted(d for b in held.values() for d in b) == list(range(2000))
+    n, left = max(held) + 1, dict(held)
+    # each partition's twister permutes its buckets one after another; which ones it holds, and in what order, is tried
+    for partition in range(n):
+        replay, going = Replay(77 + partition), True
+        while going:
+            state, going = replay.bits.get_state(), False
+            for bucket, got in left.items():
+                replay.bits.set_state(state)
+                rows = sorted(got)
+                if [rows[k] for k in replay.permutation(len(rows))] == got:
+                    del left[bucket]
+                    going = True
+                    break
+    assert not left
+
+
 def test_plan_runs_no_python(spark):
     docs = H.odd_documents(spark)
     text = sharding.shards(docs)._jdf.queryExecution().toString()
