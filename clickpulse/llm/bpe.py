@@ -4,20 +4,22 @@
    numpy say where one begins. A block of documents (a run of rows of one input
    partition, about ``CHUNK_BYTES`` of text) is dictionary-encoded: it has its
    distinct pre-tokens once and, in order, the number of the pre-token at every
-   position. A block is split twice, for the pre-tokens and for the positions (a
-   checksum makes sure that both were the same rows), or once and written.
+   position. It is split and put together a run of about ``RUN_BYTES`` of text at a
+   time, a row each. A block is split twice, for the pre-tokens and for the positions
+   (a checksum makes sure that both were the same rows), or once and written.
 2. Global distinct: the blocks' pre-tokens are shuffled by hash, so each distinct
    pre-token of the corpus is encoded once, in one bucket. A pre-token comes once
    per block however often the block repeats it, so frequent ones are no hot keys.
 3. Join back: the ids return to their blocks; each block reassembles the id
-   sequences of its documents by position.
+   sequences of its documents by position, run by run.
 4. Decoding joins the token-byte table (bounded by the vocabulary) to the ids of
    the distinct pre-tokens and reassembles the bytes the same way.
 
 Defined results: a null text is empty; an empty text has no ids; rows with equal
 or null ids are encoded one by one; extra columns are ignored; an empty table
-gives an empty result. A block holds at least one whole document, so memory is
-bounded by a block or by the longest text (about 40 bytes per byte of it).
+gives an empty result. A run holds at least one whole document, so memory is
+bounded by a run or by the longest text (about 40 bytes per byte of it), besides four
+bytes per position of a block and its distinct pre-tokens.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ from pyspark.sql import functions as F
 from clickpulse.llm.common import runs, text_bytes, written
 
 CHUNK_BYTES = 8 << 20    # text in one block
+RUN_BYTES = 1 << 20      # text split, and put together, at a time
+SLICE = 1 << 16          # pre-tokens that are Python objects at a time
 BUCKET_BYTES = 32 << 20  # text whose pre-tokens go to one bucket
 
 # Letters, numbers and white space below U+0100, by Unicode category.
@@ -144,10 +148,11 @@ class Cutter:
         if int(data.max()) >= 0x80:
             points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
             width = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
-            at = np.cumsum(width, dtype=np.int64) - width
+            at = np.cumsum(width, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+            at -= width
         n, kind = len(points), self._classes(int(points.max()))[points]
         first = offsets[:-1][offsets[:-1] < offsets[1:]] - offsets[0]
-        first = first if at is None else np.searchsorted(at, first)
+        first = first if at is None else np.searchsorted(at, first.astype(at.dtype))
         last = np.zeros(n, bool)  # last characters of texts
         last[np.r_[first[1:], n] - 1] = True
         begin = np.ones(n, bool)
@@ -175,8 +180,8 @@ def _below_256(raw: bytes) -> bool:
     return not len(raw) or raw.isascii() or int(np.frombuffer(raw, np.uint8).max()) <= 0xC3
 
 
-def _pack(*arrays: bytes) -> bytes:
-    return zstandard.ZstdCompressor(3).compress(b"".join(arrays))
+def _pack(*arrays: bytes | np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(3).compress(b"".join(arrays) if len(arrays) > 1 else arrays[0])
 
 
 def _unpack(blob: bytes) -> bytes:
@@ -196,40 +201,52 @@ def _parts(array: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
-def _blocks(batches, cut, chunk_bytes: int):
-    """(block, checksum, document ids, pre-tokens per document, pre-tokens) for runs of rows of one input partition."""
-    part, seq = TaskContext.get().partitionId(), 0
-    ids, counts, starts, texts, held, check = [], [], [], [], 0, 0
+def _release() -> None:
+    """Gives freed Arrow memory back to the system: a worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+
+
+def _slices(words: pa.LargeBinaryArray):
+    """The byte strings, some at a time."""
+    for i in range(0, len(words), SLICE):
+        yield words.slice(i, SLICE).to_pylist()
+
 
-    def block():
-        size = sum(map(len, texts))
-        places = np.r_[np.concatenate(starts), size]
-        return (part << 32) | seq, check, ids, np.concatenate(counts), _binary(places, np.concatenate(texts))
+def _blocks(batches, cut, chunk_bytes: int, codes: bool):
+    """(block, checksum, runs, distinct pre-tokens of each run) for runs of rows of one input partition.
 
+    A run, with ``codes``: document ids, pre-tokens per document, and where every position's pre-token
+    stands in the distinct pre-tokens of all the block's runs, one after another.
+    """
+    part, seq = TaskContext.get().partitionId(), 0
+    some, words, held, known, check = [], [], 0, 0, 0
     for batch in batches:
         offsets, data = text_bytes(batch.column(1))
-        for i, j in runs(offsets, min(1 << 20, chunk_bytes)):
+        for i, j in runs(offsets, min(RUN_BYTES, chunk_bytes)):
             size = int(offsets[j] - offsets[i])
-            if ids and held + size > chunk_bytes:
-                yield block()
-                ids, counts, starts, texts, held, check, seq = [], [], [], [], 0, 0, seq + 1
+            if words and held + size > chunk_bytes:
+                yield (part << 32) | seq, check, some, words
+                some, words, held, known, check, seq = [], [], 0, 0, 0, seq + 1
             raw, here = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
             begin = cut(here, raw)
-            ids = ids + batch.column(0).slice(i, j - i).to_pylist()
-            counts.append(np.diff(np.searchsorted(begin, here)))
-            starts.append(begin + sum(map(len, texts)))
-            texts.append(raw)
+            coded = _binary(np.r_[begin, size], raw).dictionary_encode()
+            if codes:
+                at = coded.indices.to_numpy().astype(np.uint32)
+                at += np.uint32(known)
+                some.append((batch.column(0).slice(i, j - i).to_pylist(), np.diff(np.searchsorted(begin, here)), at))
+            words.append(coded.dictionary)
+            known += len(coded.dictionary)
             held += size + j - i
             check = zlib.crc32(raw, zlib.crc32(here, check))
-    if ids:
-        yield block()
+    if words:
+        yield (part << 32) | seq, check, some, words
 
 
-def _numbered(tokens: pa.LargeBinaryArray, buckets: int):
-    """(distinct pre-tokens by bucket, their buckets, number of the pre-token at every position)."""
-    coded = tokens.dictionary_encode()
+def _numbered(words: list[pa.LargeBinaryArray], buckets: int):
+    """(distinct pre-tokens by bucket, their buckets, number of each of ``words``)."""
+    coded = pa.concat_arrays(words).dictionary_encode()
     distinct = coded.dictionary
-    home = np.fromiter(map(zlib.crc32, distinct.to_pylist()), np.int64, len(distinct)) % buckets
+    home = np.fromiter((zlib.crc32(w) for some in _slices(distinct) for w in some), np.int64, len(distinct)) % buckets
     order = np.argsort(home, kind="stable")
     number = np.empty(len(order), np.uint32)
     number[order] = np.arange(len(order), dtype=np.uint32)
@@ -240,15 +257,17 @@ ROWS = ("chunk long, check long, bucket int, words binary, doc_ids array<long>,
 
 
 def _send(batches, cut, buckets: int, chunk_bytes: int, words: bool, codes: bool):
-    """Rows of each block: its distinct pre-tokens by bucket (``words``), and its documents with
+    """Rows of each block: its distinct pre-tokens by bucket (``words``), and each run's documents with
     the numbers of their pre-tokens in order (``codes``)."""
     kinds = pa.schema([("chunk", pa.int64()), ("check", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()),
                        ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("codes", pa.binary())])
-    for block, check, ids, counts, tokens in _blocks(batches, cut, chunk_bytes):
-        distinct, home, at = _numbered(tokens, buckets)
+
+    def sent(found) -> pa.RecordBatch:
+        block, check, some, known = found
+        distinct, home, number = _numbered(known, buckets)
         rows = []
-        if codes:
-            planes = np.ascontiguousarray(at.view(np.uint8).reshape(-1, 4).T).tobytes()
+        for ids, counts, at in some:
+            planes = np.ascontiguousarray(number[at].view(np.uint8).reshape(-1, 4).T).ravel()
             rows.append({"chunk": block, "check": check, "doc_ids": ids, "counts": counts, "codes": _pack(planes)})
         if words:
             offsets, data = _parts(distinct)
@@ -258,7 +277,10 @@ def _send(batches, cut, buckets: int, chunk_bytes: int, words: bool, codes: bool
                 sizes = np.r_[j - i, np.diff(offsets[i:j + 1])].astype(np.uint32)
                 rows.append({"chunk": block, "check": check, "bucket": b,
                              "words": _pack(sizes.tobytes(), data[offsets[i]:offsets[j]].tobytes())})
-        yield pa.RecordBatch.from_pylist(rows, kinds)
+        _release()
+        return pa.RecordBatch.from_pylist(rows, kinds)
+
+    yield from map(sent, _blocks(batches, cut, chunk_bytes, codes))  # no block is held while the next one is read
 
 
 def _encode_bucket(t: pa.Table, encode) -> pa.Table:
@@ -270,16 +292,24 @@ def _encode_bucket(t: pa.Table, encode) -> pa.Table:
         counts.append(n)
         sizes.append(np.frombuffer(raw, np.uint32, n, 4))
         texts.append(np.frombuffer(raw, np.uint8, offset=4 * (n + 1)))
-    ends = np.cumsum(np.concatenate(sizes), dtype=np.int64)
-    coded = _binary(np.r_[0, ends], np.concatenate(texts)).dictionary_encode()
-    found = encode(coded.dictionary.to_pylist())
-    n_ids = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter(chain.from_iterable(found), np.uint32, int(n_ids.sum()))
+    ends = np.zeros(sum(counts) + 1, np.int64)
+    np.cumsum(np.concatenate(sizes), out=ends[1:])
+    sizes, texts = None, np.concatenate(texts)
+    coded = _binary(ends, texts).dictionary_encode()
+    ends = texts = raw = None
+    n_ids, flat = [], []
+    for some in _slices(coded.dictionary):
+        found = encode(some)
+        n_ids.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(n_ids[-1].sum())))
+    n_ids, flat = np.concatenate(n_ids), np.concatenate(flat)
     places, blobs, i = coded.indices.to_numpy(), [], 0
     for n in counts:
         at = places[i:i + n]
         blobs.append(_pack(np.uint32(n).tobytes(), n_ids[at].astype(np.uint32).tobytes(), _spread(flat, n_ids, at).tobytes()))
         i += n
+    coded = places = None
+    _release()
     return pa.table({"chunk": t["chunk"], "check": t["check"], "bucket": t["bucket"],
                      "ids": pa.array(blobs, pa.binary())})
 
@@ -296,32 +326,40 @@ class Block:
     """One block's documents with their ids: what ``assemble`` functions receive."""
 
     def __init__(self, docs: pa.Table, ids: pa.Table) -> None:
-        self.doc_ids = docs["doc_ids"][0].values
-        self.counts = docs["counts"][0].values.to_numpy()
-        planes = np.frombuffer(_unpack(docs["codes"][0].as_py()), np.uint8).reshape(4, -1)
-        self.codes = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+        self.docs = docs
         sizes, flat = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
         for blob in ids.sort_by("bucket")["ids"].to_pylist():
             raw = np.frombuffer(_unpack(blob), np.uint32)
             sizes.append(raw[1:1 + raw[0]])
             flat.append(raw[1 + raw[0]:])
         self.sizes, self.flat = np.concatenate(sizes).astype(np.int64), np.concatenate(flat)
-        self.upto = np.r_[0, np.cumsum(self.counts)]  # positions before each document
 
-    def token_ids(self) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids): all documents' ids one after another."""
-        return self.token_offsets(), _spread(self.flat, self.sizes, self.codes)
+    def runs(self):
+        """Run by run: (document ids, positions before each document and of all, numbers of their pre-tokens)."""
+        for k in range(self.docs.num_rows):
+            counts, blob = self.docs["counts"][k].values.to_numpy(), self.docs["codes"][k].as_py()
+            planes = np.frombuffer(_unpack(blob), np.uint8).reshape(4, -1)
+            codes = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+            yield self.docs["doc_ids"][k].values, np.r_[0, np.cumsum(counts)], codes
+
+    def token_ids(self, codes: np.ndarray) -> np.ndarray:
+        """A run's ids one after another."""
+        return _spread(self.flat, self.sizes, codes)
 
-    def token_offsets(self) -> np.ndarray:
-        """Tokens before each document, and of all."""
-        return np.r_[0, np.cumsum(self.sizes[self.codes])][self.upto]
+    def token_offsets(self, upto: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Tokens before each document of a run, and of all."""
+        return np.r_[0, np.cumsum(self.sizes[codes])][upto]
 
-    def joined(self, table: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, bytes) of the documents' entries of ``table``, an entry per id, one after another."""
+    def spelled(self, table: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Each pre-token's entries of ``table``, an entry per id, one after another."""
         entries, data = _parts(table.take(pa.array(self.flat)))
-        words = _binary(entries[np.r_[0, np.cumsum(self.sizes)]], data)
-        offsets, data = _parts(words.take(pa.array(self.codes)))
-        return offsets[self.upto], data
+        return _binary(entries[np.r_[0, np.cumsum(self.sizes)]], data)
+
+
+def _joined(words: pa.LargeBinaryArray, upto: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of the documents of a run, their pre-tokens spelled by ``words``."""
+    offsets, data = _parts(words.take(pa.array(codes)))
+    return offsets[upto], data
 
 
 def encode_documents(docs: DataFrame, scheme: ByteBpe, assemble: Callable[[Block], pa.Table], schema: str,
@@ -341,12 +379,17 @@ def encode_documents(docs: DataFrame, scheme: ByteBpe, assemble: Callable[[Block
 
         return picked.mapInArrow(send, ROWS)
 
+    held: list = []  # the encoder of a task
+
     def encode_bucket(t: pa.Table) -> pa.Table:
-        return _encode_bucket(t, scheme.encoder())
+        if not held:
+            held.append(scheme.encoder())
+        return _encode_bucket(t, held[0])
 
     def assembled(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows != 1 or set(right["check"].to_pylist()) - set(left["check"].to_pylist()):
+        if not left.num_rows or len({*left["check"].to_pylist(), *right["check"].to_pylist()}) != 1:
             raise RuntimeError("a block was read differently for encoding and for assembling")
+        _release()
         return assemble(Block(left, right))
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -375,12 +418,14 @@ def byte_bpe_digest(docs: DataFrame, scheme: ByteBpe, **options) -> DataFrame:
         if not held:
             held.append(_token_bytes(scheme))
             held.append(pa.array([b"%d," % i for i in range(len(held[0]))], pa.large_binary()))
-        texts, decoded = block.joined(held[1]), block.joined(held[0])
+        decoded, texts = map(block.spelled, held)
         sha = lambda offsets, data, less: [hashlib.sha256(data[i:max(i, j - less)]).hexdigest()
                                            for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        return pa.table({"doc_id": block.doc_ids, "n_tokens": pa.array(np.diff(block.token_offsets()), pa.int64()),
-                         "ids_sha256": pa.array(sha(*texts, 1), pa.string()),
-                         "decoded_sha256": pa.array(sha(*decoded, 0), pa.string())})
+        return pa.concat_tables(
+            pa.table({"doc_id": ids, "n_tokens": pa.array(np.diff(block.token_offsets(upto, codes)), pa.int64()),
+                      "ids_sha256": pa.array(sha(*_joined(texts, upto, codes), 1), pa.string()),
+                      "decoded_sha256": pa.array(sha(*_joined(decoded, upto, codes), 0), pa.string())})
+            for ids, upto, codes in block.runs())
 
     return encode_documents(docs, scheme, assemble,
                             "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", **options)
@@ -390,11 +435,13 @@ def byte_bpe_ids(docs: DataFrame, scheme: ByteBpe, **options) -> DataFrame:
     """(doc_id, ids, decoded): the ids of every document and the text they decode to."""
 
     def assemble(block: Block) -> pa.Table:
-        offsets, ids = block.token_ids()
-        lists = [ids[i:j].tolist() for i, j in zip(offsets[:-1], offsets[1:])]
-        ends, data = block.joined(_token_bytes(scheme))
-        return pa.table({"doc_id": block.doc_ids, "ids": pa.array(lists, pa.list_(pa.int32())),
-                         "decoded": pa.array([data[i:j].tobytes().decode() for i, j in zip(ends[:-1], ends[1:])],
-                                             pa.string())})
+        words, parts = block.spelled(_token_bytes(scheme)), []
+        for doc_ids, upto, codes in block.runs():
+            offsets, ids = block.token_offsets(upto, codes), block.token_ids(codes)
+            ends, data = _joined(words, upto, codes)
+            parts.append(pa.table({
+                "doc_id": doc_ids, "ids": pa.array([ids[i:j].tolist() for i, j in zip(offsets[:-1], offsets[1:])], pa.list_(pa.int32())),
+                "decoded": pa.array([data[i:j].tobytes().decode() for i, j in zip(ends[:-1], ends[1:])], pa.string())}))
+        return pa.concat_tables(parts)
 
     return encode_documents(docs, scheme, assemble, "doc_id long, ids array<int>, decoded string", **options)

@@ -3,7 +3,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -48,6 +50,36 @@ def test_byte_bpe_matches_the_library(spark):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_blocks_are_handled_run_by_run(monkeypatch):
+    # a block of 8 MB was one row, of which every position took 8 bytes several times over
+    import pyarrow as pa
+    monkeypatch.setattr(bpe.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 3)))
+    scheme, rng = bpe.ByteBpe(RANKS), random.Random(8)
+    pool = [H.words(k, 300) + " é日" for k in range(200)]
+    texts = [" ".join(rng.choice(pool) for _ in range(5)) for _ in range(650)] + [None, ""]
+    batches = [pa.record_batch({"doc_id": pa.array(range(i, min(i + 100, len(texts)))), "text": pa.array(texts[i:i + 100], pa.string())})
+               for i in range(0, len(texts), 100)]
+    size = sum(len((t or "").encode()) for t in texts)
+    assert 6 << 20 < size < bpe.CHUNK_BYTES
+
+    def sent(words, codes):
+        tracemalloc.start()
+        got = list(bpe._send(batches, scheme.cutter(), 3, bpe.CHUNK_BYTES, words, codes))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 3.5 * size
+        return pa.Table.from_batches(got)
+
+    docs, words = sent(False, True), sent(True, False)
+    assert all(sum(len((texts[i] or "").encode()) for i in r) <= 1 << 20 for r in docs["doc_ids"].to_pylist())
+    ids = pa.concat_tables(bpe._encode_bucket(words.slice(k, 1), scheme.encoder()) for k in range(words.num_rows))
+    block, enc, got = bpe.Block(docs, ids), coder(), {}
+    for doc_ids, upto, codes in block.runs():
+        at, flat = block.token_offsets(upto, codes), block.token_ids(codes)
+        got |= {d: flat[i:j].tolist() for d, i, j in zip(doc_ids.to_pylist(), at[:-1], at[1:])}
+    assert got == {i: enc.encode_ordinary(t or "") for i, t in enumerate(texts)}
+
+
 def test_pretokens_begin_where_the_pattern_says():
     import pyarrow as pa
     import regex
