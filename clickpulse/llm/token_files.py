@@ -14,40 +14,51 @@ Readers take what they need: :func:`metadata` never touches the list column,
 :func:`documents` pushes a range of ids to row group statistics and page indexes,
 :func:`tokens_between` finds the files of a range of token positions in the index first.
 
-A pre-token is encoded once per task and then looked up (at most ``KNOWN`` are held).
+Texts are cut into pre-tokens a run of about ``PIECE`` bytes at a time, by the classes of
+their characters. The different pre-tokens of about ``BLOCK_BYTES`` of text are looked up
+together among those that the worker has met in this task or an earlier one, in Arrow arrays;
+only new ones are encoded. At most ``KNOWN`` are held besides a block's; beyond that those of
+the latest block stay.
 Defined results: a null text is empty, so the end id is its only one; null ids come
 first; rows with equal ids lie in the order of a hash of their texts, equal rows count
 each; strings of special tokens in a text are ordinary text; other columns than those
 named in ``meta`` are left out, and ``meta`` is a struct, so its names cannot clash; an
 empty table gives a folder without documents. A worker holds one batch of texts or one
-long text with its ids (about 10 bytes per byte of it; long texts are split in pieces).
+long text with its ids (about 10 bytes per byte of it; long texts are split in pieces), besides
+the pre-tokens' numbers of a block.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import os
 import re
 import zlib
 from array import array
+from collections import deque
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from clickpulse.llm.bpe import ByteBpe
-from clickpulse.llm.common import text_bytes
+from clickpulse.llm.bpe import ByteBpe, _binary, _joined, _release, _slices
+from clickpulse.llm.common import runs, text_bytes
 
 END_ID = 2
 FILE_TEXT_BYTES = 64 << 20   # text of one file, about
 ROW_GROUP_BYTES = 16 << 20   # buffered bytes of a row group
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 512              # a page holds at most so many documents
-PIECE = 1 << 20              # bytes of a text split at once
-KNOWN = 600_000              # pre-tokens whose ids a task holds
+PIECE = 1 << 20              # bytes of texts split at once
+BLOCK_BYTES = 8 << 20        # text whose pre-tokens are looked up at once
+KNOWN = 600_000              # pre-tokens whose ids a worker holds
 PARTS_PER_BLOCK = 1024       # files whose offsets are added up at once
 # A space between two ASCII letters always starts a pre-token.
 _CUT = re.compile(rb"[A-Za-z] (?=[A-Za-z])")
@@ -66,49 +77,145 @@ def _pieces(raw: bytes):
     yield raw[at:] if at else raw
 
 
-class Encoder(dict):
-    """Ids (as bytes) of pre-tokens by a ``tokenizers`` file of the byte-level kind.
+class Run(NamedTuple):
+    """Texts, or a piece of one, cut into pre-tokens."""
 
-    A pre-token is encoded when it is first looked up.
+    rows: int                    # texts of the item that the run is of
+    first: int                   # its texts, from this one
+    last: int                    # to the one before this
+    size: int                    # bytes
+    words: pa.LargeBinaryArray   # its different pre-tokens
+    codes: np.ndarray            # number in ``words`` of each pre-token
+    upto: np.ndarray             # pre-tokens before each text and of all
+    whole: bool                  # whether its last text ends here
+
+
+class Encoder:
+    """Ids of texts by a ``tokenizers`` file of the byte-level kind.
+
+    The pre-tokens met (``words``) and their ids (``found``, four bytes each) are held, so that each is encoded once.
     """
 
     def __init__(self, file: str) -> None:
         from tokenizers import Tokenizer
-        super().__init__()
         coder = Tokenizer.from_file(file)
         self.tokenize = coder.model.tokenize  # special tokens are not looked for
-        self.split = ByteBpe("").splitter()
+        scheme = ByteBpe("")
+        self.split, self.starts = scheme.splitter(), scheme.cutter()
         # byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from U+0100
         self.alphabet = {b: chr(b) for b in range(256) if chr(b).isprintable() and b != 0x20}
         self.alphabet |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in self.alphabet)}
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= KNOWN:
-            self.clear()
-        mapped = word.encode().decode("latin-1").translate(self.alphabet)
-        found = self[word] = array("I", [t.id for t in self.tokenize(mapped)]).tobytes()
-        return found
+        self.words = self.found = pa.array([], pa.large_binary())
+
+    def _encoded(self, word: bytes) -> bytes:
+        mapped = word.decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.tokenize(mapped)]).tobytes()
+
+    def look_up(self, words: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """The ids of each pre-token; those not met before are encoded."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null()).dictionary_encode()
+        number = at.fill_null(-1).to_numpy().copy()
+        number[number < 0] = len(self.words) + new.indices.to_numpy()
+        ids = pa.array([self._encoded(w) for some in _slices(new.dictionary) for w in some], pa.large_binary())
+        self.words, self.found = pa.concat_arrays([self.words, new.dictionary]), pa.concat_arrays([self.found, ids])
+        out = self.found.take(pa.array(number))
+        if len(self.words) > KNOWN:
+            kept = pa.array(np.unique(number))
+            self.words, self.found = self.words.take(kept), self.found.take(kept)
+        _release()
+        return out
+
+    def _cut(self, texts):
+        """The runs of each item of ``texts``."""
+        for offsets, data in texts:
+            rows = len(offsets) - 1
+            for i, j in runs(offsets, PIECE):
+                here, raw = offsets[i:j + 1] - offsets[i], data[offsets[i]:offsets[j]]
+                left = len(raw)
+                for piece in [raw] if left <= PIECE else _pieces(raw.tobytes()):
+                    left -= len(piece)
+                    if len(piece) > 2 * PIECE:  # no place to cut: arrays of its characters would be large
+                        coded = pa.array(map(str.encode, self.split(piece)), pa.large_binary()).dictionary_encode()
+                        upto = np.array([0, len(coded)])
+                    else:
+                        chars = np.frombuffer(piece, np.uint8)
+                        ends = here if len(chars) == len(raw) else np.array([0, len(chars)])
+                        begin = self.starts(ends, chars)
+                        coded = _binary(np.r_[begin, len(chars)], chars).dictionary_encode()
+                        upto = np.searchsorted(begin, ends)
+                    yield Run(rows, i, j, len(piece), coded.dictionary, coded.indices.to_numpy(), upto, not left)
+
+    def _joined(self, held: list[Run], end: bytes):
+        """(run, bytes of ids of each of its texts, ids one after another) of the runs of a block."""
+        found, k = self.look_up(pa.concat_arrays([run.words for run in held])), 0
+        for run in held:
+            n, upto, codes = len(run.words), run.upto, run.codes
+            ids = pa.concat_arrays([found.slice(k, n), pa.array([end], pa.large_binary())])
+            if run.whole:
+                codes, upto = np.insert(codes, upto[1:], n), upto + np.arange(len(upto))
+            ends, flat = _joined(ids, upto, codes)
+            yield run, np.diff(ends), flat[:ends[-1]]
+            k += n
+
+    def _blocks(self, cut):
+        held, size = [], 0
+        for run in cut:
+            held.append(run)
+            size += run.size
+            if size >= BLOCK_BYTES:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
+    def texts(self, texts, end: bytes):
+        """(ids before each text and of all, ids one after another) of each item of ``texts``.
+
+        An item holds the offsets and bytes of a text or more; ``end`` comes after each text.
+        """
+        n, parts = None, []
+        for held in self._blocks(self._cut(texts)):
+            for run, sizes, flat in self._joined(held, end):
+                n = np.zeros(run.rows, np.int64) if n is None else n
+                n[run.first:run.last] += sizes
+                parts.append(flat)
+                if run.whole and run.last == run.rows:
+                    yield np.r_[0, np.cumsum(n)] // 4, np.concatenate(parts).view(np.int32)
+                    n, parts = None, []
 
     def ids(self, raw: bytes) -> bytes:
         """The ids of a whole text, four bytes each."""
-        return b"".join([b"".join(map(self.__getitem__, self.split(piece))) for piece in _pieces(raw)])
+        (_, flat), = self.texts([(np.array([0, len(raw)]), np.frombuffer(raw, np.uint8))], b"")
+        return flat.tobytes()
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(file: str, changed: int) -> Encoder:
+    """The encoder that the tasks of a worker share."""
+    return Encoder(file)
 
 
 def _encode(batches, file: str, end_id: int):
     """(doc_id, meta, part, local_start, n_tokens, ids) of the documents of one file, in their order."""
-    encoder, part, at = Encoder(file), TaskContext.get().partitionId(), 0
-    end = array("I", [end_id]).tobytes()
-    for batch in batches:
-        offsets, data = text_bytes(batch.column(2))
-        lists = [encoder.ids(data[i:j].tobytes()) + end for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        n = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
-        ends = np.cumsum(n)
-        flat = np.frombuffer(b"".join(lists), np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(flat))
+    encoder, part, at = _encoder(file, os.stat(file).st_mtime_ns), TaskContext.get().partitionId(), 0
+    held = deque()
+
+    def texts():
+        for batch in batches:
+            if batch.num_rows:
+                every = pa.array(np.arange(batch.num_rows))
+                held.append([batch.column(k).take(every) for k in (0, 1)])  # copies: the texts are let go
+                yield text_bytes(batch.column(2))
+
+    for ends, flat in encoder.texts(texts(), array("I", [end_id]).tobytes()):
+        doc_id, meta = held.popleft()
+        n = np.diff(ends)
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(np.full(len(n), part, np.int32)), pa.array(at + ends - n),
-             pa.array(n), ids], names=["doc_id", "meta", "part", "local_start", "n_tokens", "ids"])
-        at += int(n.sum())
+            [doc_id, meta, pa.array(np.full(len(n), part, np.int32)), pa.array(at + ends[:-1]), pa.array(n), ids],
+            names=["doc_id", "meta", "part", "local_start", "n_tokens", "ids"])
+        at += int(ends[-1])
 
 
 def write_tokens(docs: DataFrame, path: str, file: str, end_id: int = END_ID, meta: tuple[str, ...] = (),

@@ -5,11 +5,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 from clickpulse.llm import token_files as tf
+from clickpulse.llm.common import text_bytes
 from tests.llm.helpers import SCHEMA, key, no_documents, odd_rows, words
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -114,6 +116,30 @@ def test_long_texts_are_cut_where_pretokens_begin(monkeypatch):
     assert np.frombuffer(tf.Encoder(FILE).ids(text.encode()), np.uint32).tolist() == encoded([(1, text)])[0][1][:-1]
 
 
+def test_pretokens_in_use_stay_known(monkeypatch):
+    monkeypatch.setattr(tf, "KNOWN", 60)
+    encoder, calls = tf.Encoder(FILE), []
+    tokenize = encoder.tokenize
+    encoder.tokenize = lambda word: calls.append(word) or tokenize(word)
+    hot = "".join(f" hot{chr(97 + i)}" for i in range(26)) + "".join(f" warm{chr(97 + i)}" for i in range(14))
+    texts = [hot + "".join(f" new{chr(97 + k)}{chr(97 + i)}" for i in range(15)) for k in range(8)]
+    for text in texts:
+        assert np.frombuffer(encoder.ids(text.encode()), np.uint32).tolist() == encoded([(1, text)])[0][1][:-1]
+    assert len(calls) == len(set(calls)) == 40 + 8 * 15  # each is encoded once, though more than KNOWN occur
+
+
+@pytest.mark.parametrize("piece, block", [(1 << 20, 8 << 20), (60, 8 << 20), (1 << 20, 1), (60, 500)])
+def test_texts_in_runs_and_blocks(monkeypatch, rows, piece, block):
+    monkeypatch.setattr(tf, "PIECE", piece)
+    monkeypatch.setattr(tf, "BLOCK_BYTES", block)
+    rows = [r for r in rows if len(r[1] or "") < 20_000]
+    items = [text_bytes(pa.array([r[1] for r in rows[i:i + 23]], pa.string())) for i in range(0, len(rows), 23)]
+    end, got = np.array([2], np.uint32).tobytes(), []
+    for ends, flat in tf.Encoder(FILE).texts(iter(items), end):
+        got += [flat[i:j].tolist() for i, j in zip(ends[:-1], ends[1:])]
+    assert got == [x for _, x in encoded(rows)]
+
+
 def test_offsets_over_many_files(spark, monkeypatch):
     monkeypatch.setattr(tf, "PARTS_PER_BLOCK", 3)
     per_file = spark.createDataFrame([(p, 0, 0, 1, 10 + p) for p in range(0, 20, 2)],
