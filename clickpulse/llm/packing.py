@@ -18,7 +18,9 @@ Ranks within a length are counted per group of pieces first, so a length that
 holds a third of all pieces is numbered in parallel. Defined results: a null
 text is empty, so the end id is its only one; rows with equal or null ids are
 packed one by one; extra columns are ignored; an empty table gives an empty
-result. A very long text is split whole by one worker: about 90 bytes per word.
+result. Pieces are small: those of many tasks share a file, and the result has no
+more partitions than its pieces need, however thinly the documents are dealt out.
+A very long text is split whole by one worker: about 90 bytes per word.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ WINDOW = 2048
 END_ID = 1
 GROUPS = 1024  # groups of pieces numbered on their own
 KNOWN = 600_000  # words whose ids a task holds
+PER_TASK = 50_000  # documents whose pieces share a file, pieces in one partition of the result
 
 
 class WordBpe(Scheme):
@@ -132,11 +135,16 @@ def _cut(batches, scheme: Scheme, window: int, end_id: int, known: int):
 
 def pieces(docs: DataFrame, scheme: Scheme, window: int = WINDOW, end_id: int = END_ID, known: int = KNOWN,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(piece, doc_id, start, length, ids_crc32, doc_tokens): whole windows and remainders."""
+    """(piece, doc_id, start, length, ids_crc32, doc_tokens): whole windows and remainders.
+
+    ``piece`` follows the order of the input; the pieces of ``PER_TASK`` documents share a file.
+    """
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cut = picked.mapInArrow(lambda batches: _cut(batches, scheme, window, end_id, known),
                             "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
-    return written(cut.select(F.monotonically_increasing_id().alias("piece"), "*"), "pieces")
+    files = min(1 + docs.count() // PER_TASK, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    numbered = cut.select(F.monotonically_increasing_id().alias("piece"), "*").repartition(files)
+    return written(numbered, "pieces")
 
 
 def fullest(counts: dict[int, int], window: int) -> dict[int, int]:
@@ -211,6 +219,7 @@ def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     ranked = grouped.withColumn("within", F.row_number().over(inside) - 1).join(bases, ["length", "group"]) \
         .withColumn("rank", F.col("base") + F.col("within"))
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    tasks = 1 + sum(histogram.values()) // PER_TASK
     whole = histogram.pop(window, 0)
     rows = _slots(plan(histogram, window), whole) + ([(window, 0, whole, 1, 0, 0)] if whole else [])
     slots = spark.createDataFrame(
@@ -224,7 +233,7 @@ def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     return placed.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens",
         (F.col("slot.first") + F.floor(nth / F.col("slot.per"))).cast("long").alias("sequence_id"),
-        (F.col("slot.at") + F.pmod(nth, F.col("slot.per")) * F.col("length")).cast("long").alias("offset"))
+        (F.col("slot.at") + F.pmod(nth, F.col("slot.per")) * F.col("length")).cast("long").alias("offset")).coalesce(tasks)
 
 
 def pack_documents(docs: DataFrame, file: str | None = None, window: int = WINDOW, end_id: int = END_ID,

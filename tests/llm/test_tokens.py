@@ -147,6 +147,29 @@ def test_packing_is_exact_and_tight(spark):
     assert verify(rows, got, 512) < 0.01 * sum(r.length for r in got)
 
 
+def test_thinly_dealt_documents_share_files(spark):
+    rows = [(k, H.words(k, 1 + k % 60)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(60)
+    found = packing.pieces(docs, packing.WordBpe(WORDS), 16)
+    assert len(found.inputFiles()) == 1  # once a file for each of the 60 tasks
+    numbers = [r.piece for r in found.collect()]
+    assert len(set(numbers)) == len(numbers) and len({n >> 33 for n in numbers}) == 60  # numbered where they were cut
+    got = packing.pack_documents(docs, WORDS, window=16)
+    assert got.rdd.getNumPartitions() == 1
+    verify(rows, got.collect(), 16)
+
+
+def test_pieces_share_files_up_to_a_limit(spark, monkeypatch):
+    rows = [(k, H.words(k, 3)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    monkeypatch.setattr(packing, "PER_TASK", 100)
+    found = packing.pieces(docs, packing.WordBpe(WORDS))
+    assert len(found.inputFiles()) == 4
+    verify(rows, packing.pack(found).collect(), 2048)
+    monkeypatch.setattr(packing, "PER_TASK", 1)  # not more than the session shuffles to
+    assert len(packing.pieces(docs, packing.WordBpe(WORDS)).inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_repeated_and_missing_ids(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None), (None, "")], "doc_id long, text string")
     got = packing.pack_documents(docs, WORDS).collect()
